@@ -1,0 +1,19 @@
+"""Size-checked broadcast.
+
+Broadcast a side only when it is proven small; otherwise return it unchanged so
+Spark plans a shuffle join.  Data-sized sides are left to Catalyst/AQE, whose
+broadcast decision is itself size-checked (``autoBroadcastJoinThreshold``).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Count (bounded: stops looking after ``max_rows + 1`` rows) and broadcast if small."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
