@@ -33,6 +33,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     conf = dict(_DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     conf["spark.driver.memory"] = os.environ.get("QUILL_DRIVER_MEMORY", "16g")
     conf.update(extra or {})
     for k, v in conf.items():
