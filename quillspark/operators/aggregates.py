@@ -11,6 +11,7 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillspark.operators.broadcast import broadcast_if_small
 from quillspark.operators.ordering import newest_n_per_key
@@ -133,6 +134,53 @@ def schema_drift(rows: DataFrame, expected: Mapping[str, Sequence[str]], raw_col
     return drift.select("entity", "key", _python_type_name(vt).alias("value_type")).distinct()
 
 
+_SPARK_TYPE_NAMES = [
+    (T.StringType, "str"), (T.BooleanType, "bool"), (T.IntegralType, "int"), (T.FractionalType, "float"),
+    (T.DecimalType, "float"), (T.ArrayType, "list"), (T.StructType, "dict"), (T.MapType, "dict"),
+]
+
+
+def _type_name(dt) -> str:
+    for cls, name in _SPARK_TYPE_NAMES:
+        if isinstance(dt, cls):
+            return name
+    return dt.simpleString()
+
+
+def schema_drift_typed(rows: DataFrame, expected: Mapping[str, Sequence[str]],
+                       entity_col: str = "entityType") -> DataFrame:
+    """A7 for typed (landed) frames: per entity type, columns that are not expected for
+    it and hold a non-empty value in at least one row.  One aggregation with a
+    presence flag per column (partial aggregation, one row per entity type), then an
+    unpivot to (entity, key, value_type)."""
+    common = set(COMMON_ENTITY_KEYS)
+    cols = [f for f in rows.schema.fields
+            if f.name not in common and f.name != entity_col and not f.name.startswith("_")]
+    if not cols:
+        return rows.sparkSession.createDataFrame([], "entity string, key string, value_type string")
+
+    def present(f) -> Column:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.StringType):
+            return c.isNotNull() & (c != "")
+        if isinstance(f.dataType, (T.ArrayType, T.MapType)):
+            return c.isNotNull() & (F.size(c) > 0)
+        return c.isNotNull()
+
+    ent = F.col(entity_col)
+    flags = []
+    for f in cols:
+        allowed = [e for e, ks in expected.items() if f.name in ks]
+        unexpected = ~ent.isin(*allowed) if allowed else F.lit(True)
+        flags.append(F.max((present(f) & unexpected).cast("int")).alias(f.name))
+    per_entity = rows.groupBy(ent.alias("entity")).agg(*flags)
+    stacked = F.explode(F.array(*[F.struct(F.lit(f.name).alias("key"), F.lit(_type_name(f.dataType)).alias("value_type"),
+                                           F.col(f.name).alias("flag")) for f in cols])).alias("kv")
+    return (per_entity.select("entity", stacked)
+            .filter(F.col("kv.flag") == 1)
+            .select("entity", F.col("kv.key").alias("key"), F.col("kv.value_type").alias("value_type")))
+
+
 def unmapped_entities(rows: DataFrame, known: Sequence[str], col: str = "entityType") -> DataFrame:
     """Distinct non-empty entity types that have no projection."""
     return (rows.filter(F.coalesce(F.col(col), F.lit("")) != "")

@@ -256,3 +256,35 @@ def visible_to(docs: DataFrame, user_keys: DataFrame, id_col: str = "id", acl_co
 
 def public_documents(docs: DataFrame, acl_col: str = "acl_info") -> DataFrame:
     return docs.filter(F.coalesce(F.element_at(F.col(acl_col)["readers"], 1)["idp_wide"], F.lit(False)))
+
+
+def visible_counts(docs: DataFrame, users: DataFrame, id_col: str = "id", acl_col: str = "acl_info") -> DataFrame:
+    """J12 as counts, exact and without emitting (user, document) pairs for group grants.
+
+    ``users``: (user_id, groups ARRAY<STRING>) where groups are group principal ids.
+    visible(u) = public + |direct(u)| + |docs granting any group of u| - |direct(u) that
+    also grant a group of u|.  Users are bucketed by their sorted group set, so the
+    group term is computed once per distinct set, not once per user."""
+    first = F.element_at(F.col(acl_col)["readers"], 1)
+    is_public = F.coalesce(first["idp_wide"], F.lit(False))
+    restricted = docs.filter(~is_public & F.col(acl_col).isNotNull())
+    principals = restricted.select(F.col(id_col).alias("_doc"), F.explode(first["principals"]).alias("p"))
+    doc_users = principals.filter(F.col("p.user_id").isNotNull()).select("_doc", F.col("p.user_id").alias("user_id")).distinct()
+    doc_groups = principals.filter(F.col("p.group_id").isNotNull()).select("_doc", F.col("p.group_id").alias("group_id")).distinct()
+
+    u = users.select("user_id", F.array_sort(F.array_distinct(F.coalesce("groups", F.array().cast("array<string>"))))
+                     .alias("gset"))
+    sets = u.select("gset").distinct()
+    set_groups = sets.select("gset", F.explode("gset").alias("group_id"))
+    per_set = (doc_groups.join(set_groups, "group_id").select("gset", "_doc").distinct()
+               .groupBy("gset").agg(F.count(F.lit(1)).alias("_group_n")))
+    direct = doc_users.join(u, "user_id")
+    direct_n = direct.groupBy("user_id").agg(F.count(F.lit(1)).alias("_direct_n"))
+    overlap = (direct.join(doc_groups, "_doc").filter(F.array_contains("gset", F.col("group_id")))
+               .select("user_id", "_doc").distinct().groupBy("user_id").agg(F.count(F.lit(1)).alias("_overlap")))
+    public_n = docs.filter(is_public).agg(F.count(F.lit(1)).alias("_public_n")).withColumn("_one", F.lit(1))
+    out = (u.join(per_set, "gset", "left").join(direct_n, "user_id", "left").join(overlap, "user_id", "left")
+           .withColumn("_one", F.lit(1)).join(F.broadcast(public_n), "_one"))
+    total = (F.col("_public_n") + F.coalesce("_direct_n", F.lit(0)) + F.coalesce("_group_n", F.lit(0))
+             - F.coalesce("_overlap", F.lit(0)))
+    return out.select("user_id", total.cast("bigint").alias("visible"))

@@ -247,7 +247,8 @@ def json_prop(df: DataFrame, name: str) -> Column:
     if isinstance(t, T.ArrayType):
         return F.when(F.size(c) > 0, F.to_json(c))
     if isinstance(t, T.StringType):
-        return F.when(c != "", F.to_json(F.array(c)).substr(F.lit(2), F.length(F.to_json(F.array(c))) - 2))
+        # landed JSON columns (mixed-type fields) already hold JSON text
+        return F.when(c != "", c)
     return F.to_json(c)
 
 
@@ -286,14 +287,16 @@ def _entity_props(df: DataFrame, entity: str) -> list[tuple[str, Column]]:
     if entity == "launch":
         ids = _opt(df, "commitmentIds", "array<string>")
         prefixed = F.when(F.size(ids) > 0, F.to_json(F.transform(ids, lambda x: prefix_id("commitment", x))))
-        links = _opt(df, "links", "array<string>")
-        link_type = _dtype(df, "links")
-        if isinstance(link_type, T.ArrayType) and isinstance(link_type.elementType, T.StringType):
-            as_text = lambda x: F.to_json(F.array(x)).substr(F.lit(2), F.length(F.to_json(F.array(x))) - 2)
-        else:
-            as_text = F.to_json
-        # Each link is JSON-encoded, then the list of those strings is encoded again.
-        link_texts = F.when(F.size(links) > 0, F.to_json(F.transform(links, as_text)))
+        link_texts = F.lit(None).cast("string")
+        if "links" in df.columns:
+            links = F.col("links")
+            link_type = _dtype(df, "links")
+            if isinstance(link_type, T.ArrayType) and isinstance(link_type.elementType, T.StringType):
+                as_text = lambda x: F.to_json(F.array(x)).substr(F.lit(2), F.length(F.to_json(F.array(x))) - 2)
+            else:
+                as_text = lambda x: F.to_json(x)  # noqa: E731  (one-argument lambda for transform)
+            # Each link is JSON-encoded, then the list of those strings is encoded again.
+            link_texts = F.when(F.size(links) > 0, F.to_json(F.transform(links, as_text)))
         return [("launchDate", pv("launchDate")), ("committedQuarter", pv("committedQuarter")),
                 ("platforms", pv("platforms")), ("productSurfaces", pv("productSurfaces")),
                 ("pillars", pv("pillars")), ("reviewsJsonString", jp("reviews")),

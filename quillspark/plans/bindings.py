@@ -85,6 +85,11 @@ def entity_rows(orders: DataFrame, customer: DataFrame) -> DataFrame:
     status = F.col("o_orderstatus")
     seg = F.col("c_mktsegment")
     q = F.quarter("o_orderdate").cast("string")
+    et = etype
+
+    def only(entity: str, col: Column) -> Column:
+        return F.when(et == entity, col)
+
     return j.select(
         etype.alias("entityType"),
         F.when(status == "P", F.lit("delete")).when(status == "O", F.lit("update")).alias("action"),
@@ -102,37 +107,30 @@ def entity_rows(orders: DataFrame, customer: DataFrame) -> DataFrame:
                                        (F.col("o_orderkey") % 10).cast("bigint").alias("numComments"),
                                        F.col("o_totalprice").cast("bigint").alias("numViews"))).alias("interactions"),
         # initiative
-        status.alias("programStatus"),
-        F.array(F.concat(F.lit("Q"), q)).alias("activeQuarters"),
-        F.array(seg).alias("hierarchyTeamList"),
+        only("initiative", status).alias("programStatus"),
+        only("initiative", F.array(F.concat(F.lit("Q"), q))).alias("activeQuarters"),
+        # hierarchyTeam: a list for initiatives (landed as JSON text), a string for people
+        F.when(et == "initiative", F.to_json(F.array(seg))).when(et == "person", seg).alias("hierarchyTeam"),
         # commitment
-        F.concat(F.year("o_orderdate").cast("string"), F.lit("-Q"), q).alias("quarter"),
-        status.alias("commitmentStatus"),
-        (status == "F").alias("isClosedOut"),
+        only("commitment", F.concat(F.year("o_orderdate").cast("string"), F.lit("-Q"), q)).alias("quarter"),
+        only("commitment", status).alias("commitmentStatus"),
+        only("commitment", status == "F").alias("isClosedOut"),
         # launch
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("launchDate"),
-        F.when(F.col("o_totalprice") > 200000, F.array(F.lit("web"), F.lit("ios")))
-         .otherwise(F.array().cast("array<string>")).alias("platforms"),
-        F.array(F.col("o_orderkey").cast("string"),
-                F.concat(F.lit("commitment-"), F.col("o_custkey").cast("string"))).alias("commitmentIds"),
+        only("launch", F.date_format("o_orderdate", "yyyy-MM-dd")).alias("launchDate"),
+        only("launch", F.when(F.col("o_totalprice") > 200000, F.array(F.lit("web"), F.lit("ios")))
+             .otherwise(F.array().cast("array<string>"))).alias("platforms"),
+        only("launch", F.array(F.col("o_orderkey").cast("string"),
+                               F.concat(F.lit("commitment-"), F.col("o_custkey").cast("string")))).alias("commitmentIds"),
         # person
-        email.alias("email"), F.col("c_name").alias("displayName"),
-        F.col("o_orderkey").cast("string").alias("positionId"),
-        F.col("c_custkey").cast("string").alias("employeeId"), seg.alias("level"),
+        only("person", email).alias("email"), only("person", F.col("c_name")).alias("displayName"),
+        only("person", F.col("o_orderkey").cast("string")).alias("positionId"),
+        only("person", F.col("c_custkey").cast("string")).alias("employeeId"), only("person", seg).alias("level"),
         # columns the projections do not know (schema drift)
         F.lit("orders").alias("sourceTable"), F.col("o_totalprice").alias("totalPrice"),
         F.col("o_orderkey").alias("_seq"), F.col("c_nationkey").alias("_nation"),
     )
 
 
-def entity_rows_for(entity_rows_df: DataFrame) -> DataFrame:
-    """Entity-specific column naming: ``hierarchyTeam`` is a list for initiatives and a
-    string for people (the reference's mixed-type column)."""
-    return entity_rows_df.withColumn(
-        "hierarchyTeam", F.when(F.col("entityType") == "initiative", F.to_json("hierarchyTeamList"))
-        .when(F.col("entityType") == "person", F.col("level"))).drop("hierarchyTeamList")
-
-
 # ---------------------------------------------------------------- policy from customer / nation / region
 
 def policy_groups(nation: DataFrame, region: DataFrame) -> DataFrame:

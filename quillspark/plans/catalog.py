@@ -80,8 +80,8 @@ k AS (
   SELECT *,
     CASE WHEN entityType = 'person' OR NOT private THEN 'PUBLIC'
          WHEN len(allowedUsers) + coalesce(len(allowedGroups), 0) > 0 THEN
-           array_to_string(list_concat(list_transform(allowedUsers, u -> 'user:' || u),
-                           list_transform(coalesce(allowedGroups, []), g -> 'group:' || g)), ',')
+           array_to_string(list_concat(list_transform(allowedUsers, lambda u: 'user:' || u),
+                           list_transform(coalesce(allowedGroups, []), lambda g: 'group:' || g)), ',')
          WHEN coalesce(ownerEmail, '') <> '' THEN 'user:' || ownerEmail
     END AS acl
   FROM r

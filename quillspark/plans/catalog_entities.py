@@ -1,3 +1,325 @@
-"""Registered queries (see catalog.py)."""
+"""Registered queries over entity rows (orders + customer): projections, ACL, dedupe,
+drift, skip reasons, visibility and change application."""
 
-from quillspark.plans.catalog import query  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillspark.functions import acl as A
+from quillspark.operators import aggregates as AG
+from quillspark.operators import filters as FL
+from quillspark.operators import joins as J
+from quillspark.operators import ordering as O
+from quillspark.operators import project as P
+from quillspark.operators import state as ST
+from quillspark.plans import bindings as B
+from quillspark.plans.catalog import SQL_CUSTOMER_EMAIL, SQL_ENTITY, SQL_ENTITY_DOCS, _t, query
+
+KNOWN = list(P.ENTITY_OBJECT_TYPES)
+
+
+def rows(spark: SparkSession, sf: str) -> DataFrame:
+    return B.entity_rows(_t(spark, sf, "orders"), _t(spark, sf, "customer"))
+
+
+def emitted(spark: SparkSession, sf: str) -> DataFrame:
+    """F2 -> F3 -> P8-P13 -> P14 (drops rows without ACL, i.e. F8)."""
+    r = FL.drop_unmapped_entities(FL.drop_deletes(rows(spark, sf)), KNOWN)
+    return P.finalize_documents(P.project_entities(r, KNOWN))
+
+
+def latest(spark: SparkSession, sf: str) -> DataFrame:
+    e = emitted(spark, sf).withColumn("_updated", F.col("envelope")["updatedAt"])
+    return O.latest_per_id(e, "id", [F.col("_updated"), F.col("_seq")])
+
+
+def _props_text(env) -> F.Column:
+    return F.array_join(F.transform(env["customProperties"], lambda p: F.concat(p["name"], F.lit("="), p["value"])), ";")
+
+
+SQL_PROPS = f"""
+CASE entityType
+  WHEN 'initiative' THEN 'programStatus=' || o_orderstatus || ';activeQuarters=["Q' || CAST(quarter(o_orderdate) AS VARCHAR)
+       || '"];hierarchyTeam=["' || c_mktsegment || '"]'
+  WHEN 'commitment' THEN 'quarter=' || CAST(year(o_orderdate) AS VARCHAR) || '-Q' || CAST(quarter(o_orderdate) AS VARCHAR)
+       || ';commitmentStatus=' || o_orderstatus || ';isClosedOut=' || CASE WHEN o_orderstatus = 'F' THEN 'True' ELSE 'False' END
+  WHEN 'launch' THEN 'launchDate=' || strftime(o_orderdate, '%Y-%m-%d')
+       || CASE WHEN o_totalprice > 200000 THEN ';platforms=["web","ios"]' ELSE '' END
+       || ';commitmentID=["commitment-' || CAST(seq AS VARCHAR) || '","commitment-' || CAST(o_custkey AS VARCHAR) || '"]'
+  WHEN 'person' THEN 'email=' || email || ';displayName=' || c_name || ';positionId=' || CAST(seq AS VARCHAR)
+       || ';employeeId=' || CAST(c_custkey AS VARCHAR) || ';level=' || c_mktsegment || ';hierarchyTeam=' || c_mktsegment
+END
+"""
+
+SQL_VIEW_URL = """
+'https://launch.snooguts.net' || CASE entityType WHEN 'initiative' THEN '/programs/' || id
+  WHEN 'commitment' THEN '/commitment/' || id WHEN 'launch' THEN '/launch/' || id
+  ELSE '/org?u=' || CAST(c_custkey AS VARCHAR) END
+"""
+
+SQL_AUTHOR = """
+CASE WHEN entityType = 'person' THEN email ELSE coalesce(ownerEmail, 'mission.control.internal.user@reddit.com') END
+"""
+
+
+@query("project_entities", f"""
+SELECT seq, doc_id,
+       CASE entityType WHEN 'initiative' THEN 'Initiatives' WHEN 'commitment' THEN 'Commitments'
+                       WHEN 'launch' THEN 'Launches' ELSE 'OrgData' END AS object_type,
+       title, {SQL_VIEW_URL} AS view_url, {SQL_AUTHOR} AS author_email, acl,
+       coalesce(description, '') AS body_text, updatedAt AS updated_at,
+       entityType = 'person' OR NOT private AS allow_anonymous,
+       CASE WHEN entityType <> 'person' AND private THEN len(allowedUsers) ELSE 0 END AS n_allowed_users,
+       {SQL_PROPS} AS props,
+       CASE WHEN o_orderstatus = 'O' THEN 0 END AS likes,
+       CASE WHEN o_orderstatus = 'O' THEN seq % 10 END AS comments,
+       CASE WHEN o_orderstatus = 'O' THEN CAST(floor(o_totalprice) AS BIGINT) END AS views
+FROM ({SQL_ENTITY_DOCS})
+""")
+def q_project_entities(spark, sf):
+    """P7-P14 (+C12, C13): every emitted document before dedupe, flattened."""
+    e = emitted(spark, sf)
+    env = F.col("envelope")
+    perms = env["permissions"]
+    inter = env["interactions"]
+    return e.select(F.col("_seq").alias("seq"), F.col("id").alias("doc_id"), env["objectType"].alias("object_type"),
+                    env["title"].alias("title"), env["viewURL"].alias("view_url"),
+                    env["author"]["email"].alias("author_email"), A.acl_summary("acl_info").alias("acl"),
+                    env["body"]["textContent"].alias("body_text"), env["updatedAt"].alias("updated_at"),
+                    perms["allowAnonymousAccess"].alias("allow_anonymous"),
+                    F.coalesce(F.size(perms["allowedUsers"]), F.lit(0)).cast("bigint").alias("n_allowed_users"),
+                    _props_text(env).alias("props"),
+                    inter["numLikes"].alias("likes"), inter["numComments"].alias("comments"),
+                    inter["numViews"].alias("views"))
+
+
+@query("custom_properties", f"""
+SELECT seq, {SQL_PROPS} AS props FROM ({SQL_ENTITY_DOCS})
+""")
+def q_custom_props(spark, sf):
+    """Properties kept only when non-empty, values coerced to text."""
+    e = emitted(spark, sf)
+    return e.select(F.col("_seq").alias("seq"), _props_text(F.col("envelope")).alias("props"))
+
+
+@query("acl_from_row", f"""
+WITH r AS ({SQL_ENTITY})
+SELECT seq,
+  CASE WHEN NOT private THEN 'PUBLIC'
+       WHEN len(allowedUsers) + coalesce(len(allowedGroups), 0) > 0 THEN
+         array_to_string(list_concat(list_transform(allowedUsers, lambda u: 'user:' || u),
+                         list_transform(coalesce(allowedGroups, []), lambda g: 'group:' || g)), ',')
+       WHEN coalesce(ownerEmail, '') <> '' THEN 'user:' || ownerEmail END AS acl
+FROM r
+""")
+def q_acl_row(spark, sf):
+    """C12 over every entity row (NULL = nobody to grant to)."""
+    r = rows(spark, sf)
+    acl = A.acl_from_row("private", "allowedUsers", "allowedGroups", "ownerEmail")
+    return r.select(F.col("_seq").alias("seq"), A.acl_summary(acl).alias("acl"))
+
+
+@query("permissions_block", f"""
+WITH r AS ({SQL_ENTITY})
+SELECT seq, NOT private AS allow_anonymous,
+       CASE WHEN private AND len(allowedUsers) > 0 THEN len(allowedUsers) END AS n_users,
+       CASE WHEN private AND coalesce(len(allowedGroups), 0) > 0 THEN len(allowedGroups) END AS n_groups
+FROM r
+""")
+def q_perm_block(spark, sf):
+    """Anonymous flag; user/group lists only when private and non-empty."""
+    r = rows(spark, sf)
+    pb = A.permissions_block("private", "allowedUsers", "allowedGroups")
+    return r.select(F.col("_seq").alias("seq"), pb["allowAnonymousAccess"].alias("allow_anonymous"),
+                    F.size(pb["allowedUsers"]).cast("bigint").alias("n_users"),
+                    F.size(pb["allowedGroups"]).cast("bigint").alias("n_groups"))
+
+
+@query("interactions", f"""
+WITH r AS ({SQL_ENTITY})
+SELECT seq, CASE WHEN o_orderstatus = 'O' THEN 0 END AS likes,
+       CASE WHEN o_orderstatus = 'O' THEN seq % 10 END AS comments,
+       CASE WHEN o_orderstatus = 'O' THEN CAST(floor(o_totalprice) AS BIGINT) END AS views
+FROM r
+""")
+def q_interactions(spark, sf):
+    """Counters as integers, missing ones 0, only when present."""
+    r = rows(spark, sf)
+    i = P.interactions(r)
+    return r.select(F.col("_seq").alias("seq"), i["numLikes"].alias("likes"), i["numComments"].alias("comments"),
+                    i["numViews"].alias("views"))
+
+
+@query("latest_per_id", f"""
+SELECT doc_id, title, updatedAt AS updated_at, acl FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY updatedAt DESC, seq DESC) AS rn
+  FROM ({SQL_ENTITY_DOCS})) WHERE rn = 1
+""")
+def q_latest(spark, sf):
+    """Last arrival per document id wins (order: updatedAt, then source sequence)."""
+    l = latest(spark, sf)
+    return l.select(F.col("id").alias("doc_id"), F.col("envelope")["title"].alias("title"),
+                    F.col("envelope")["updatedAt"].alias("updated_at"), A.acl_summary("acl_info").alias("acl"))
+
+
+@query("drop_deletes", f"""
+SELECT seq, entityType AS entity_type, coalesce(action, 'upsert') AS action
+FROM ({SQL_ENTITY}) WHERE coalesce(action, 'upsert') <> 'delete'
+""")
+def q_drop_deletes(spark, sf):
+    """delete actions skipped; missing action = upsert."""
+    r = FL.drop_deletes(rows(spark, sf))
+    return r.select(F.col("_seq").alias("seq"), F.col("entityType").alias("entity_type"),
+                    FL.action_of("action").alias("action"))
+
+
+@query("drop_unmapped_entities", f"""
+SELECT seq, entityType AS entity_type FROM ({SQL_ENTITY})
+WHERE entityType IN ('initiative', 'commitment', 'launch', 'person')
+""")
+def q_drop_unmapped(spark, sf):
+    """rows whose entity type has a projection."""
+    r = FL.drop_unmapped_entities(rows(spark, sf), KNOWN)
+    return r.select(F.col("_seq").alias("seq"), F.col("entityType").alias("entity_type"))
+
+
+@query("unmapped_entities", f"""
+SELECT DISTINCT entityType AS entity_type FROM ({SQL_ENTITY})
+WHERE coalesce(entityType, '') <> '' AND entityType NOT IN ('initiative', 'commitment', 'launch', 'person')
+""")
+def q_unmapped(spark, sf):
+    """Distinct entity types without a projection (reported once each)."""
+    return AG.unmapped_entities(rows(spark, sf), KNOWN)
+
+
+SQL_REJECTED = f"""
+SELECT seq, entityType,
+  CASE WHEN coalesce(action, 'upsert') = 'delete' THEN 'deleted'
+       WHEN entityType NOT IN ('initiative', 'commitment', 'launch', 'person') THEN 'unmapped_type'
+       WHEN entityType <> 'person' AND private AND len(allowedUsers) + coalesce(len(allowedGroups), 0) = 0
+            AND coalesce(ownerEmail, '') = '' THEN 'private_without_principals' END AS reason
+FROM ({SQL_ENTITY})
+"""
+
+
+def rejected(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row that produced no document, with the first reason in transform order."""
+    r = rows(spark, sf)
+    acl = A.acl_from_row("private", "allowedUsers", "allowedGroups", "ownerEmail")
+    reason = (F.when(FL.action_of("action") == "delete", F.lit("deleted"))
+              .when(~F.col("entityType").isin(*KNOWN), F.lit("unmapped_type"))
+              .when((F.col("entityType") != "person") & acl.isNull(), F.lit("private_without_principals")))
+    return r.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+
+
+@query("drop_private_without_principals", f"""
+SELECT seq, entityType || '-' || id AS doc_id FROM ({SQL_ENTITY})
+WHERE coalesce(action, 'upsert') <> 'delete' AND entityType IN ('initiative', 'commitment', 'launch')
+  AND private AND len(allowedUsers) + coalesce(len(allowedGroups), 0) = 0 AND coalesce(ownerEmail, '') = ''
+""")
+def q_drop_private(spark, sf):
+    """F8: the rows dropped because they are private with nobody to grant to."""
+    r = FL.drop_unmapped_entities(FL.drop_deletes(rows(spark, sf)), KNOWN)
+    proj = P.project_entities(r, KNOWN)
+    dropped = proj.filter(F.col("acl_info").isNull())  # complement of FL.drop_private_without_principals
+    return dropped.select(F.col("_seq").alias("seq"), F.col("id").alias("doc_id"))
+
+
+@query("skip_reasons", f"""
+SELECT reason, entityType AS entity_type, count(*) AS n FROM ({SQL_REJECTED}) WHERE reason IS NOT NULL
+GROUP BY reason, entityType
+""")
+def q_skip_reasons(spark, sf):
+    """Rows not emitted, counted by reason and entity type."""
+    return AG.skip_reasons(rejected(spark, sf).withColumnRenamed("entityType", "entity_type"),
+                           entity_col="entity_type")
+
+
+@query("schema_drift", f"""
+SELECT DISTINCT entityType AS entity, 'sourceTable' AS key, 'str' AS value_type FROM ({SQL_ENTITY_DOCS})
+UNION ALL
+SELECT DISTINCT entityType, 'totalPrice', 'float' FROM ({SQL_ENTITY_DOCS})
+""")
+def q_drift(spark, sf):
+    """Unexpected keys with a value, per entity type, over the emitted rows."""
+    r = FL.drop_unmapped_entities(FL.drop_deletes(rows(spark, sf)), KNOWN)
+    acl = A.acl_from_row("private", "allowedUsers", "allowedGroups", "ownerEmail")
+    ok = r.filter((F.col("entityType") == "person") | acl.isNotNull())
+    return AG.schema_drift_typed(ok, P.ENTITY_KEYS)
+
+
+@query("referenced_users", f"""
+WITH l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY updatedAt DESC, seq DESC) AS rn
+                          FROM ({SQL_ENTITY_DOCS})) WHERE rn = 1),
+e AS (SELECT {SQL_AUTHOR} AS email FROM l
+      UNION SELECT unnest(allowedUsers) FROM l WHERE private AND entityType <> 'person'),
+u AS (SELECT {SQL_CUSTOMER_EMAIL} AS email, c_name, c_acctbal > 0 AS active FROM customer)
+SELECT e.email, e.email AS user_id, u.c_name AS name, coalesce(u.active, true) AS is_active
+FROM e LEFT JOIN u ON e.email = u.email
+""")
+def q_referenced_users(spark, sf):
+    """A10: users referenced by synced documents (authors and allowed users)."""
+    c = _t(spark, sf, "customer")
+    users = c.select(B.customer_email(F.col("c_name")).alias("email"), F.col("c_name").alias("name"),
+                     (F.col("c_acctbal") > 0).alias("isActive"))
+    out = AG.referenced_users(latest(spark, sf), users)
+    return out.select("email", F.col("userId").alias("user_id"), "name", F.col("isActive").alias("is_active"))
+
+
+@query("resolve_external_groups", f"""
+WITH g AS (SELECT DISTINCT unnest(allowedGroups) AS group_id FROM ({SQL_ENTITY_DOCS}) WHERE entityType <> 'person')
+SELECT DISTINCT g.group_id, {SQL_CUSTOMER_EMAIL} AS member_user_id
+FROM g JOIN customer ON replace(g.group_id, 'external_group:', '') = 'nation-' || CAST(c_nationkey AS VARCHAR)
+""")
+def q_external_groups(spark, sf):
+    """External-group principals of emitted documents -> member users."""
+    e = emitted(spark, sf)
+    first = F.element_at(F.col("acl_info")["readers"], 1)
+    groups = (e.select(F.explode(first["principals"]).alias("p")).filter(F.col("p.group_id").isNotNull())
+              .select(F.col("p.group_id").alias("group_id")).distinct())
+    members = B.group_memberships(_t(spark, sf, "customer"))
+    resolved = J.resolve_external_groups(groups, members, "group_id")
+    return resolved.filter(F.col("member_user_id").isNotNull()).select("group_id", "member_user_id").distinct()
+
+
+@query("visible_to", f"""
+WITH l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY updatedAt DESC, seq DESC) AS rn
+                          FROM ({SQL_ENTITY_DOCS})) WHERE rn = 1),
+p AS (SELECT doc_id, unnest(string_split(acl, ',')) AS principal FROM l WHERE acl <> 'PUBLIC'),
+u AS (SELECT {SQL_CUSTOMER_EMAIL} AS user_id,
+             'group:external_group:nation-' || CAST(c_nationkey AS VARCHAR) AS grp FROM customer),
+v AS (SELECT DISTINCT u.user_id, p.doc_id FROM u JOIN p ON p.principal = 'user:' || u.user_id OR p.principal = u.grp)
+SELECT u.user_id, (SELECT count(*) FROM l WHERE acl = 'PUBLIC')
+       + (SELECT count(*) FROM v WHERE v.user_id = u.user_id) AS visible
+FROM u
+""")
+def q_visible(spark, sf):
+    """Number of (latest) documents each customer may read: public, granted to
+    the user, or granted to the user's external group."""
+    c = _t(spark, sf, "customer")
+    users = c.select(B.customer_email(F.col("c_name")).alias("user_id"),
+                     F.array(F.concat(F.lit("external_group:nation-"), F.col("c_nationkey").cast("string"))).alias("groups"))
+    return J.visible_counts(latest(spark, sf), users)
+
+
+@query("apply_changes", f"""
+WITH r AS ({SQL_ENTITY}),
+m AS (SELECT *, entityType || '-' || id AS doc_id FROM r WHERE entityType IN ('initiative', 'commitment', 'launch', 'person')),
+idx AS (SELECT doc_id, title FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY updatedAt DESC, seq DESC) rn
+                                   FROM m WHERE o_orderstatus = 'F') WHERE rn = 1),
+ch AS (SELECT doc_id, title, action FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY updatedAt DESC, seq DESC) rn
+                                          FROM m WHERE o_orderstatus IN ('O', 'P')) WHERE rn = 1)
+SELECT doc_id, title FROM idx WHERE doc_id NOT IN (SELECT doc_id FROM ch)
+UNION ALL SELECT doc_id, title FROM ch WHERE action <> 'delete'
+""")
+def q_apply_changes(spark, sf):
+    """Closed orders form the index; open (update) and pending (delete) orders are a
+    change feed applied with deletes propagated."""
+    r = FL.drop_unmapped_entities(rows(spark, sf), KNOWN) \
+        .withColumn("doc_id", F.concat(F.col("entityType"), F.lit("-"), F.col("id")))
+    base = r.filter(F.col("action").isNull()).select("doc_id", "title", "updatedAt", "_seq")
+    index = O.latest_per_id(base, "doc_id", [F.col("updatedAt"), F.col("_seq")]).select("doc_id", "title")
+    changes = r.filter(F.col("action").isNotNull()).select("doc_id", "title", "action", "updatedAt", "_seq")
+    return ST.apply_changes(index, changes, [F.col("updatedAt"), F.col("_seq")], key="doc_id",
+                            propagate_deletes=True)
