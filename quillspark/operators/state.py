@@ -53,13 +53,21 @@ def state_get(df: DataFrame, state: DataFrame, key: Column, now: float, value_co
              .drop("_lookup_key", "_s_key")
 
 
-def state_put(state: DataFrame, entries: DataFrame, now: float, ttl_seconds: float = DEFAULT_TTL_SECONDS) -> DataFrame:
+def state_put(state: DataFrame | None, entries: DataFrame, now: float, ttl_seconds: float = DEFAULT_TTL_SECONDS,
+              order: list | None = None) -> DataFrame:
     """Insert or replace ``(key, value)`` entries with ``expires_at = now + ttl``.
-    Expired entries are dropped on the way (I3); the newest write per key wins."""
-    old = state_live(state, now).select("key", "value", "expires_at", F.lit(0).alias("_gen"))
+    Expired entries are dropped on the way (I3); the newest write per key wins, and
+    within one batch ``order`` (write order) decides."""
+    order = order or []
     new = entries.select(F.col("key").cast("string"), F.col("value").cast("string"),
-                         F.lit(float(now) + float(ttl_seconds)).alias("expires_at"), F.lit(1).alias("_gen"))
-    return latest_per_id(old.unionByName(new), "key", [F.col("_gen"), F.col("expires_at")]).drop("_gen")
+                         F.lit(float(now) + float(ttl_seconds)).alias("expires_at"), F.lit(1).alias("_gen"),
+                         F.struct(*order).alias("_ord") if order else F.lit(None).alias("_ord"))
+    merged = new
+    if state is not None:
+        old = state_live(state, now).select("key", "value", "expires_at", F.lit(0).alias("_gen"),
+                                            F.lit(None).cast(new.schema["_ord"].dataType).alias("_ord"))
+        merged = old.unionByName(new)
+    return latest_per_id(merged, "key", [F.col("_gen"), F.col("_ord")]).drop("_gen", "_ord")
 
 
 def state_clear(state: DataFrame) -> DataFrame:
