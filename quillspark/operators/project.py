@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from quillspark.functions.acl import (acl_from_permissions, acl_from_row, permissions_block,
                                       public_acl)
-from quillspark.functions.scalars import (author_display, base64_decode, basename, encode_text,
+from quillspark.functions.scalars import (author_display, author_email, base64_decode, basename, encode_text,
                                           extract_tickets, int_or_null, prefix_id, sanitize_doc_id,
                                           thread_lines)
 
@@ -147,8 +147,17 @@ def pull_request_text(number: Column, title: Column, state: Column, author: Colu
     return F.array_join(F.concat(*parts), "\n")
 
 
+def _struct_field(df: DataFrame, col: str, field: str) -> Column:
+    dt = df.schema[col].dataType if col in df.columns else None
+    if isinstance(dt, T.StructType) and field in dt.fieldNames():
+        return F.col(col)[field]
+    return F.lit(None).cast("string")
+
+
 def _discussion_common(df: DataFrame, kind: str, url_part: str, web_base: str, with_reviews: bool) -> DataFrame:
-    author = author_display(_opt(df, "author_email"), F.col("author")["login"])
+    # C14: SSO name id when landed, else the author's profile e-mail, else login, else Unknown.
+    email = author_email(_opt(df, "author_name_id"), _struct_field(df, "author", "email"))
+    author = author_display(email, _struct_field(df, "author", "login"))
     comments = F.coalesce(F.col("comments"), F.array())
     reviews = F.coalesce(F.col("reviews"), F.array()) if with_reviews else None
     text = pull_request_text(F.col("number"), F.col("title"), F.col("state"), author, F.col("created_at"),
