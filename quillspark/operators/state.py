@@ -13,6 +13,7 @@ from typing import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.operators.broadcast import broadcast_if_small
 from quillspark.operators.ordering import latest_per_id
 
 DEFAULT_TTL_SECONDS = 3600
@@ -60,14 +61,16 @@ def state_put(state: DataFrame | None, entries: DataFrame, now: float, ttl_secon
     within one batch ``order`` (write order) decides."""
     order = order or []
     new = entries.select(F.col("key").cast("string"), F.col("value").cast("string"),
-                         F.lit(float(now) + float(ttl_seconds)).alias("expires_at"), F.lit(1).alias("_gen"),
+                         F.lit(float(now) + float(ttl_seconds)).alias("expires_at"),
                          F.struct(*order).alias("_ord") if order else F.lit(None).alias("_ord"))
-    merged = new
-    if state is not None:
-        old = state_live(state, now).select("key", "value", "expires_at", F.lit(0).alias("_gen"),
-                                            F.lit(None).cast(new.schema["_ord"].dataType).alias("_ord"))
-        merged = old.unionByName(new)
-    return latest_per_id(merged, "key", [F.col("_gen"), F.col("_ord")]).drop("_gen", "_ord")
+    latest_new = latest_per_id(new, "key", [F.col("_ord")]).drop("_ord")
+    if state is None:
+        return latest_new
+    # Written keys are usually few next to the store: a size-checked broadcast anti
+    # join keeps the live store unshuffled.
+    untouched = state_live(state, now).select("key", "value", "expires_at") \
+        .join(broadcast_if_small(latest_new.select("key")), "key", "left_anti")
+    return untouched.unionByName(latest_new)
 
 
 def state_clear(state: DataFrame) -> DataFrame:
@@ -114,5 +117,5 @@ def apply_changes(index: DataFrame, changes: DataFrame, order: list, key: str =
     latest = latest_per_id(ch, key, order)
     upserts = latest.filter(F.coalesce(F.col(action_col), F.lit("upsert")) != "delete").drop(action_col)
     cols = [c for c in index.columns]
-    untouched = index.join(latest.select(key), key, "left_anti")
+    untouched = index.join(broadcast_if_small(latest.select(key)), key, "left_anti")
     return untouched.unionByName(upserts.select(*cols))

@@ -29,8 +29,12 @@ def emitted(spark: SparkSession, sf: str) -> DataFrame:
     return P.finalize_documents(P.project_entities(r, KNOWN))
 
 
-def latest(spark: SparkSession, sf: str) -> DataFrame:
+def latest(spark: SparkSession, sf: str, *cols) -> DataFrame:
+    """W1 over emitted documents; ``cols`` narrows the carried payload (the dedupe
+    aggregate then moves only what the query reads)."""
     e = emitted(spark, sf).withColumn("_updated", F.col("envelope")["updatedAt"])
+    if cols:
+        e = e.select("id", "_updated", "_seq", *cols)
     return O.latest_per_id(e, "id", [F.col("_updated"), F.col("_seq")])
 
 
@@ -158,9 +162,8 @@ SELECT doc_id, title, updatedAt AS updated_at, acl FROM (
 """)
 def q_latest(spark, sf):
     """Last arrival per document id wins (order: updatedAt, then source sequence)."""
-    l = latest(spark, sf)
-    return l.select(F.col("id").alias("doc_id"), F.col("envelope")["title"].alias("title"),
-                    F.col("envelope")["updatedAt"].alias("updated_at"), A.acl_summary("acl_info").alias("acl"))
+    l = latest(spark, sf, F.col("envelope")["title"].alias("title"), A.acl_summary("acl_info").alias("acl"))
+    return l.select(F.col("id").alias("doc_id"), "title", F.col("_updated").alias("updated_at"), "acl")
 
 
 @query("drop_deletes", f"""
@@ -263,7 +266,7 @@ def q_referenced_users(spark, sf):
     c = _t(spark, sf, "customer")
     users = c.select(B.customer_email(F.col("c_name")).alias("email"), F.col("c_name").alias("name"),
                      (F.col("c_acctbal") > 0).alias("isActive"))
-    out = AG.referenced_users(latest(spark, sf), users)
+    out = AG.referenced_users(latest(spark, sf, "envelope"), users)
     return out.select("email", F.col("userId").alias("user_id"), "name", F.col("isActive").alias("is_active"))
 
 
@@ -300,7 +303,7 @@ def q_visible(spark, sf):
     c = _t(spark, sf, "customer")
     users = c.select(B.customer_email(F.col("c_name")).alias("user_id"),
                      F.array(F.concat(F.lit("external_group:nation-"), F.col("c_nationkey").cast("string"))).alias("groups"))
-    return J.visible_counts(latest(spark, sf), users)
+    return J.visible_counts(latest(spark, sf, "acl_info"), users)
 
 
 @query("apply_changes", f"""

@@ -678,3 +678,22 @@ def q_json_source(spark, sf):
     from pyspark.sql.types import _parse_datatype_string
     return SF.scan_json_documents(spark, path, _parse_datatype_string(schema), delta_path=path + "-delta",
                                   multiline=False)
+
+
+@query("reject_wrong_type", """
+SELECT CASE WHEN lang = 'es' THEN 'failed' ELSE 'ok' END AS status, count(*) AS n FROM documents GROUP BY 1
+""")
+def q_reject_wrong_type(spark, sf):
+    """a landed export where Spanish documents arrived as JSON arrays instead of
+    objects; the REST transformer fails those records, the rest are read."""
+    path = scratch_dir(spark, "wrong-type")
+    d = _t(spark, sf, "documents")
+    line = F.when(F.col("lang") == "es", F.to_json(F.array("text"))).otherwise(
+        F.to_json(F.struct("doc_id", "lang", "source", "text")))
+    d.select(line.alias("value")).write.text(path)
+    from pyspark.sql.types import _parse_datatype_string
+    recs = SF.scan_json_records(spark, path, _parse_datatype_string("doc_id bigint, lang string, source string, text string"))
+    ok, rejected = SF.reject_wrong_type(recs, "fail", "rest_transformer")
+    counts_ok = ok.agg(F.count(F.lit(1)).cast("bigint").alias("n")).select(F.lit("ok").alias("status"), "n")
+    counts_bad = rejected.groupBy("status").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    return counts_ok.unionByName(counts_bad).filter(F.col("n") > 0)

@@ -16,9 +16,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions.scalars import decode_text
+from quillspark.operators.broadcast import broadcast_if_small
 from quillspark.operators.ordering import latest_per_id
 
 UPLOAD_BATCH_SIZE = 100
+MAX_BROADCAST_IDS = 2_000_000
 
 
 def index_upsert(existing: DataFrame | None, new: DataFrame, key: str = "id", order: list | None = None) -> DataFrame:
@@ -28,15 +30,19 @@ def index_upsert(existing: DataFrame | None, new: DataFrame, key: str = "id", or
     One shuffle on ``id``: both sides are unioned with a generation tag and reduced
     with ``max_by`` (partial aggregation handles a hot id)."""
     order = order or []
-    fresh = new.filter(F.coalesce(F.col(key), F.lit("")) != "").withColumn("_gen", F.lit(1))
-    if existing is None:
-        merged = fresh
-    else:
-        merged = existing.withColumn("_gen", F.lit(0)).unionByName(fresh, allowMissingColumns=True)
+    fresh = new.filter(F.coalesce(F.col(key), F.lit("")) != "")
     for c in order:
-        if c not in merged.columns:
+        if c not in fresh.columns:
             raise ValueError(f"order column {c!r} missing")
-    return latest_per_id(merged, key, [F.col("_gen"), *[F.col(c) for c in order]]).drop("_gen")
+    latest_new = latest_per_id(fresh, key, [F.col(c) for c in order]) if order else fresh.dropDuplicates([key])
+    if existing is None:
+        return latest_new
+    # The run's ids are usually far fewer than the index: a size-checked broadcast
+    # anti join leaves the existing index unshuffled; a large run falls back to a
+    # shuffle join.
+    replaced = broadcast_if_small(latest_new.select(key), MAX_BROADCAST_IDS)
+    untouched = existing.join(replaced, key, "left_anti")
+    return untouched.unionByName(latest_new, allowMissingColumns=True)
 
 
 def index_replace(new: DataFrame) -> DataFrame:
@@ -76,11 +82,10 @@ def read_index(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.parquet(v) if v else None
 
 
-def publish(spark: SparkSession, df: DataFrame, root: str, partition_hint: str | None = "id") -> str:
+def publish(spark: SparkSession, df: DataFrame, root: str) -> str:
     """Write ``df`` as a new version folder and move the pointer to it."""
     version = f"{root.rstrip('/')}/v-{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
-    out = df.repartition(partition_hint) if partition_hint and partition_hint in df.columns else df
-    out.write.mode("errorifexists").parquet(version)
+    df.write.mode("errorifexists").parquet(version)
     spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(_pointer_dir(root))
     return version
 

@@ -103,3 +103,31 @@ def scan_commits(history: DataFrame, seen: DataFrame | None = None,
     return h.select(F.lit("commit").alias("type"),
                     F.concat(F.col("repository"), F.lit(":commit:"), F.col("sha")).alias("id"),
                     "sha", "message", "committed_date", "author", "repository")
+
+
+CORRUPT_COL = "_corrupt_record"
+
+
+def scan_json_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """JSON lines with a declared schema.  Each line is parsed with ``from_json``;
+    a line that is not a JSON object keeps its text in ``_corrupt_record`` instead of
+    failing the read."""
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    is_object = F.trim("value").startswith("{")
+    parsed = F.from_json(F.when(is_object, F.col("value")), schema)
+    return lines.select(parsed.alias("_rec"), F.when(~is_object | parsed.isNull(), F.col("value")).alias(CORRUPT_COL)) \
+                .select("_rec.*", CORRUPT_COL)
+
+
+def reject_wrong_type(records: DataFrame, policy: str, component: str) -> tuple[DataFrame, DataFrame]:
+    """a payload that is not an object either fails the record (REST and file
+    transformers: ``policy='fail'``) or is skipped (entity and discussion
+    transformers: ``policy='skip'``).  Returns (objects, rejected-with-status)."""
+    bad = F.col(CORRUPT_COL).isNotNull()
+    ok = records.filter(~bad).drop(CORRUPT_COL)
+    status = "failed" if policy == "fail" else "skipped"
+    rejected = records.filter(bad).select(
+        F.lit(component).alias("component"), F.lit(status).alias("status"),
+        F.lit("TypeError" if policy == "fail" else None).cast("string").alias("error_type"),
+        F.col(CORRUPT_COL).alias("payload"))
+    return ok, rejected
