@@ -36,16 +36,11 @@ def run_metrics(outcomes: DataFrame, extra_failures: DataFrame | None = None) ->
         _count_status("transformed").alias("uploaded"),
     )
     if extra_failures is not None:
-        n = extra_failures.agg(F.count(F.lit(1)).cast("bigint").alias("_extra"))
-        m = _one_row_join(m, n).withColumn("failed", F.col("failed") + F.col("_extra")).drop("_extra")
+        extra = extra_failures.agg(F.count(F.lit(1)).cast("bigint")).scalar()  # scalar subquery
+        m = m.withColumn("failed", F.col("failed") + extra)
     return m
 
 
-def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Join two single-row aggregates on a constant key (both sides are one row)."""
-    return a.withColumn("_one", F.lit(1)).join(F.broadcast(b.withColumn("_one", F.lit(1))), "_one").drop("_one")
-
-
 def breakdown_key(repo_col: str | None = "repository", source_col: str | None = "source") -> Column:
     parts = []
     for c in (repo_col, source_col):
@@ -192,13 +187,12 @@ def run_report(metrics: DataFrame, breakdown: DataFrame, errors: DataFrame, run_
     """One row with run id, name, times, success, metrics map, error count and the
     number of sources.  The per-source breakdown stays its own frame (A2): the number of
     sources is unbounded, so it is never folded into a single row."""
-    err = errors.agg(F.count(F.lit(1)).cast("bigint").alias("error_count"))
-    n_src = breakdown.agg(F.count(F.lit(1)).cast("bigint").alias("n_sources"))
+    err = errors.agg(F.count(F.lit(1)).cast("bigint")).scalar()
+    n_src = breakdown.agg(F.count(F.lit(1)).cast("bigint")).scalar()
     m = metrics.select(F.create_map(*[x for c in metrics.columns for x in (F.lit(c), F.col(c))]).alias("metrics"))
-    return (_one_row_join(_one_row_join(m, err), n_src)
-            .select(F.lit(run_id).alias("run_id"), F.lit(name).alias("name"),
+    return m.select(F.lit(run_id).alias("run_id"), F.lit(name).alias("name"),
                     F.lit(started).alias("start_time"), F.lit(ended).alias("end_time"),
-                    (F.col("error_count") == 0).alias("success"), "metrics", "error_count", "n_sources"))
+                    (err == 0).alias("success"), "metrics", err.alias("error_count"), n_src.alias("n_sources"))
 
 
 def skip_reasons(rejected: DataFrame, reason_col: str = "reason", entity_col: str = "entityType") -> DataFrame:

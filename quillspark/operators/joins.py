@@ -265,6 +265,9 @@ def visible_counts(docs: DataFrame, users: DataFrame, id_col: str = "id", acl_co
     visible(u) = public + |direct(u)| + |docs granting any group of u| - |direct(u) that
     also grant a group of u|.  Users are bucketed by their sorted group set, so the
     group term is computed once per distinct set, not once per user."""
+    # The documents feed four branches: materialise the narrow (id, acl) frame once in
+    # the shared checkpoint folder instead of recomputing its lineage per branch.
+    docs = docs.select(id_col, acl_col).checkpoint(eager=True)
     first = F.element_at(F.col(acl_col)["readers"], 1)
     is_public = F.coalesce(first["idp_wide"], F.lit(False))
     restricted = docs.filter(~is_public & F.col(acl_col).isNotNull())
@@ -282,9 +285,8 @@ def visible_counts(docs: DataFrame, users: DataFrame, id_col: str = "id", acl_co
     direct_n = direct.groupBy("user_id").agg(F.count(F.lit(1)).alias("_direct_n"))
     overlap = (direct.join(doc_groups, "_doc").filter(F.array_contains("gset", F.col("group_id")))
                .select("user_id", "_doc").distinct().groupBy("user_id").agg(F.count(F.lit(1)).alias("_overlap")))
-    public_n = docs.filter(is_public).agg(F.count(F.lit(1)).alias("_public_n")).withColumn("_one", F.lit(1))
-    out = (u.join(per_set, "gset", "left").join(direct_n, "user_id", "left").join(overlap, "user_id", "left")
-           .withColumn("_one", F.lit(1)).join(F.broadcast(public_n), "_one"))
-    total = (F.col("_public_n") + F.coalesce("_direct_n", F.lit(0)) + F.coalesce("_group_n", F.lit(0))
+    public_n = docs.filter(is_public).agg(F.count(F.lit(1))).scalar()  # scalar subquery, no join
+    out = u.join(per_set, "gset", "left").join(direct_n, "user_id", "left").join(overlap, "user_id", "left")
+    total = (public_n + F.coalesce("_direct_n", F.lit(0)) + F.coalesce("_group_n", F.lit(0))
              - F.coalesce("_overlap", F.lit(0)))
     return out.select("user_id", total.cast("bigint").alias("visible"))

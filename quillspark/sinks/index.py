@@ -107,12 +107,10 @@ def sync_index(spark: SparkSession, root: str, docs: DataFrame, mode: str = "INC
 def upload_summary(written: DataFrame, synced: DataFrame, mode: str) -> DataFrame:
     """K9: ``{destination_format, total_records_indexed, records_synced_this_run, mode, status}``."""
     total = written.agg(F.count(F.lit(1)).cast("bigint").alias("total_records_indexed"))
-    this_run = synced.agg(F.count(F.lit(1)).cast("bigint").alias("records_synced_this_run"))
-    return (total.withColumn("_one", F.lit(1))
-            .join(F.broadcast(this_run.withColumn("_one", F.lit(1))), "_one").drop("_one")
-            .select(F.lit("PARQUET").alias("destination_format"), "total_records_indexed",
-                    "records_synced_this_run", F.lit(mode.upper()).alias("reconciliation_mode"),
-                    F.lit("success").alias("status")))
+    this_run = synced.agg(F.count(F.lit(1)).cast("bigint")).scalar()  # scalar subquery
+    return total.select(F.lit("PARQUET").alias("destination_format"), "total_records_indexed",
+                        this_run.alias("records_synced_this_run"), F.lit(mode.upper()).alias("reconciliation_mode"),
+                        F.lit("success").alias("status"))
 
 
 def write_ndjson(df: DataFrame, path: str, keep_nulls: bool = False) -> None:
