@@ -26,6 +26,10 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Epoch seconds and ISO text of zone-less timestamps must not depend on where the
+    # driver runs: pin the session time zone to UTC.
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

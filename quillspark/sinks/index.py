@@ -86,20 +86,27 @@ def publish(spark: SparkSession, df: DataFrame, root: str) -> str:
     """Write ``df`` as a new version folder and move the pointer to it."""
     version = f"{root.rstrip('/')}/v-{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
     df.write.mode("errorifexists").parquet(version)
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(_pointer_dir(root))
+    point_to(spark, root, version)
     return version
 
 
+def point_to(spark: SparkSession, root: str, version: str) -> None:
+    """Make ``version`` current (a one-line pointer, written only after the data)."""
+    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(_pointer_dir(root))
+
+
 def sync_index(spark: SparkSession, root: str, docs: DataFrame, mode: str = "INCREMENTAL",
                staging_root: str | None = None, order: list | None = None) -> dict:
     """K1/K2/K5/K9 end to end: merge (or replace), publish, and summarise."""
     stage = full_requires_staging(mode, staging_root)
     if mode.upper() == "FULL":
-        docs.write.mode("errorifexists").parquet(stage)
-        result = index_replace(spark.read.parquet(stage))
+        # The complete staged run becomes the new version as is: publishing moves the
+        # pointer, no second copy of the index is written.
+        index_replace(docs).write.mode("errorifexists").parquet(stage)
+        point_to(spark, root, stage)
+        version = stage
     else:
-        result = index_upsert(read_index(spark, root), docs, order=order)
-    version = publish(spark, result, root)
+        version = publish(spark, index_upsert(read_index(spark, root), docs, order=order), root)
     written = spark.read.parquet(version)
     return upload_summary(written, docs, mode).first().asDict() | {"version": version}
 
