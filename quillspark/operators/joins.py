@@ -176,15 +176,13 @@ def expand_groups(groups: DataFrame, mappings: DataFrame, public_email: str = DE
 def map_repository_acl(repos: DataFrame, repo_readers: DataFrame, repo_col: str = "repository") -> DataFrame:
     """Case-insensitive repository lookup, else the ``*`` entry, else empty.
 
-    ``repo_readers`` comes from the policy (one row per repository key), so both
-    lookups are size-checked broadcasts; the wildcard is an equi join on a constant."""
+    ``repo_readers`` has one row per repository key (J8 dedupes), so the exact lookup
+    is a size-checked broadcast join and the wildcard entry is a scalar subquery."""
     exact = broadcast_if_small(repo_readers.select(F.col("repo_key").alias("_k"), F.col("readers").alias("_exact")))
-    star = broadcast_if_small(repo_readers.filter(F.col("repo_key") == "*")
-                              .select(F.col("repo_key").alias("_sk"), F.col("readers").alias("_star")))
-    out = (repos.join(exact, F.lower(repos[repo_col]) == exact["_k"], "left").drop("_k")
-           .withColumn("_sk", F.lit("*")).join(star, "_sk", "left").drop("_sk"))
-    return (out.withColumn("readers", F.coalesce(F.col("_exact"), F.col("_star"), F.array().cast("array<string>")))
-               .drop("_exact", "_star"))
+    star = repo_readers.filter(F.col("repo_key") == "*").select("readers").scalar()
+    out = repos.join(exact, F.lower(repos[repo_col]) == exact["_k"], "left").drop("_k")
+    return (out.withColumn("readers", F.coalesce(F.col("_exact"), star, F.array().cast("array<string>")))
+               .drop("_exact"))
 
 
 def attach_repository_acl(docs: DataFrame, repo_readers: DataFrame, is_public: bool = False,
