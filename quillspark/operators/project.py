@@ -7,7 +7,6 @@ whole chain compiles into one whole-stage-codegen span with the scan.
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame

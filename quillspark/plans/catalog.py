@@ -12,18 +12,12 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.functions import acl as A
 from quillspark.functions import scalars as S
 from quillspark.operators import aggregates as AG
 from quillspark.operators import filters as FL
-from quillspark.operators import joins as J
 from quillspark.operators import ordering as O
 from quillspark.operators import project as P
-from quillspark.operators import state as ST
 from quillspark.plans import bindings as B
-from quillspark.session import scratch_dir
-from quillspark.sinks import index as K
-from quillspark.sources import files as SF
 from quillspark.sources import tables as ST_
 
 QueryFn = Callable[[SparkSession, str], DataFrame]

@@ -34,7 +34,10 @@ def index_upsert(existing: DataFrame | None, new: DataFrame, key: str = "id", or
     for c in order:
         if c not in fresh.columns:
             raise ValueError(f"order column {c!r} missing")
-    latest_new = latest_per_id(fresh, key, [F.col(c) for c in order]) if order else fresh.dropDuplicates([key])
+    # Without an explicit order the winner must still be deterministic (a retried task
+    # has to pick the same row): fall back to a hash of the payload.
+    ordering = [F.col(c) for c in order] or [F.xxhash64(*[F.col(c) for c in fresh.columns if c != key])]
+    latest_new = latest_per_id(fresh, key, ordering)
     if existing is None:
         return latest_new
     # The run's ids are usually far fewer than the index: a size-checked broadcast
