@@ -38,6 +38,23 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return B.load(spark, sf, name)
 
 
+_SHARED: dict = {}
+
+
+def shared(fn):
+    """Memoise a DataFrame-building block per (session, data folder).  A DataFrame is
+    an immutable logical plan, so queries that start from the same block reuse the
+    already-analysed plan instead of rebuilding large expression trees."""
+    def wrapper(spark: SparkSession, sf: str, *args):
+        key = (fn.__module__, fn.__qualname__, id(spark._jsparkSession), spark._jsparkSession.toString(), sf, args)
+        if key not in _SHARED:
+            _SHARED[key] = fn(spark, sf, *args)
+        return _SHARED[key]
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 # ====================================================================== SQL fragments
 # DuckDB forms of the bindings in ``bindings.py`` (kept textual: the oracle is independent).
 
@@ -113,6 +130,7 @@ FROM events
 
 # ====================================================================== flagship (A2)
 
+@shared
 def rest_pipeline_outcomes(spark: SparkSession, sf: str) -> DataFrame:
     """documents -> REST records -> P1 -> quarantine (I6) -> status per record."""
     records = B.rest_records(_t(spark, sf, "documents"))

@@ -10,7 +10,7 @@ from quillspark.operators import aggregates as AG
 from quillspark.operators import project as P
 from quillspark.operators import state as ST
 from quillspark.plans import bindings as B
-from quillspark.plans.catalog import SQL_ENTITY, SQL_REST, _t, query, rest_pipeline_outcomes
+from quillspark.plans.catalog import SQL_ENTITY, SQL_REST, _t, query, rest_pipeline_outcomes, shared
 from quillspark.session import scratch_dir
 from quillspark.sinks import index as K
 
@@ -20,6 +20,7 @@ CASE WHEN source = 'src0' THEN 'PUBLIC'
 """
 
 
+@shared
 def rest_documents(spark: SparkSession, sf: str) -> DataFrame:
     return P.project_rest_document(B.rest_records(_t(spark, sf, "documents")))
 

@@ -14,15 +14,17 @@ from quillspark.operators import ordering as O
 from quillspark.operators import project as P
 from quillspark.operators import state as ST
 from quillspark.plans import bindings as B
-from quillspark.plans.catalog import SQL_CUSTOMER_EMAIL, SQL_ENTITY, SQL_ENTITY_DOCS, _t, query
+from quillspark.plans.catalog import SQL_CUSTOMER_EMAIL, SQL_ENTITY, SQL_ENTITY_DOCS, _t, query, shared
 
 KNOWN = list(P.ENTITY_OBJECT_TYPES)
 
 
+@shared
 def rows(spark: SparkSession, sf: str) -> DataFrame:
     return B.entity_rows(_t(spark, sf, "orders"), _t(spark, sf, "customer"))
 
 
+@shared
 def emitted(spark: SparkSession, sf: str) -> DataFrame:
     """F2 -> F3 -> P8-P13 -> P14 (drops rows without ACL, i.e. F8)."""
     r = FL.drop_unmapped_entities(FL.drop_deletes(rows(spark, sf)), KNOWN)

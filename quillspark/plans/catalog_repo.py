@@ -15,7 +15,7 @@ from quillspark.operators import ordering as O
 from quillspark.operators import project as P
 from quillspark.operators import state as ST
 from quillspark.plans import bindings as B
-from quillspark.plans.catalog import SQL_COMMITS, SQL_CUSTOMER_EMAIL, SQL_PAGES, _t, query
+from quillspark.plans.catalog import SQL_COMMITS, SQL_CUSTOMER_EMAIL, SQL_PAGES, _t, query, shared
 from quillspark.session import scratch_dir
 from quillspark.sources import files as SF
 
@@ -40,6 +40,7 @@ SQL_PATH_INCLUDED = (f"(regexp_matches(lower(path), '{SQL_INCL_EXT}') OR lower(l
                      " OR starts_with(lower(list_last(string_split(path, '/'))), 'readme.'))")
 
 
+@shared
 def files(spark: SparkSession, sf: str) -> DataFrame:
     pages = _t(spark, sf, "pages")
     return SF.scan_repo_files(B.repo_entries(pages), B.repo_blobs(pages), exclude_paths=EXCLUDE_PATHS)
@@ -221,10 +222,12 @@ LEFT JOIN ({SQL_THREAD.format(cond=cond)}) c ON h.conv_id = c.conv_id{join_r}
 """
 
 
+@shared
 def prs(spark: SparkSession, sf: str) -> DataFrame:
     return SF.scan_pull_requests(B.pull_requests(_t(spark, sf, "conversations"), with_reviews=True))
 
 
+@shared
 def issues(spark: SparkSession, sf: str) -> DataFrame:
     return SF.scan_issues(B.pull_requests(_t(spark, sf, "conversations"), with_reviews=False))
 
@@ -284,6 +287,7 @@ def q_thread(spark, sf):
 
 # ---------------------------------------------------------------- commit histories (events)
 
+@shared
 def commits(spark: SparkSession, sf: str) -> DataFrame:
     return B.commit_history(_t(spark, sf, "events"))
 
@@ -295,6 +299,7 @@ SELECT c.* FROM c LEFT JOIN s ON c.repository = s.repository WHERE s.m IS NULL O
 """
 
 
+@shared
 def emitted_commits(spark: SparkSession, sf: str) -> DataFrame:
     """S9 + W3: history newest first up to the first already-synced commit (purchases
     mark what an earlier run synced)."""
@@ -472,6 +477,7 @@ readers AS (SELECT repo_key, array_to_string(list(email ORDER BY ord), ',') AS r
 """
 
 
+@shared
 def policy_readers(spark: SparkSession, sf: str) -> DataFrame:
     nation, region, customer = _t(spark, sf, "nation"), _t(spark, sf, "region"), _t(spark, sf, "customer")
     return J.expand_groups(B.policy_groups(nation, region), B.policy_mappings(customer, nation, region))
