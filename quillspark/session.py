@@ -63,3 +63,24 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint location."""
     root = ensure_checkpoint_dir(spark)
     return f"{root.rstrip('/')}/quillspark/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,
+               target_partition_bytes: int = 256 * 1024 * 1024) -> dict:
+    """Settings for a cluster run over ``input_bytes`` of input.
+
+    Shuffle partitions are sized so each holds about ``target_partition_bytes``
+    (AQE coalesces small ones and splits skewed ones at runtime), never fewer than
+    two waves of tasks; file splits match the partition target so scan tasks and
+    shuffle tasks are of similar size and fit executor memory without spilling."""
+    slots = max(1, executors * cores_per_executor)
+    partitions = max(2 * slots, int(input_bytes // target_partition_bytes) + 1)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }

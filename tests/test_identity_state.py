@@ -92,3 +92,10 @@ def test_sync_mode_precedence():
     assert ST.sync_mode(None, {}, {}) == ST.SyncMode.INCREMENTAL
     assert ST.sync_mode("incremental", {"RECONCILIATION_MODE": "FULL"}) == ST.SyncMode.FULL
     assert ST.sync_mode(None, {}, {"reconciliation_mode": "full"}) == ST.SyncMode.FULL
+
+
+def test_scale_conf_sizes_partitions():
+    from quillspark.session import scale_conf
+    conf = scale_conf(100 * 1024 ** 4, executors=1000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (256 * 1024 ** 2) + 1
+    assert int(scale_conf(1024, executors=10)["spark.sql.shuffle.partitions"]) == 80
