@@ -27,9 +27,12 @@ REST_DEFAULTS = {
     "version": "1.0_rest",
     "node": "primary",
 }
-ENTITY_DATASOURCE = "snoogutsmissioncontrol"
-INTERNAL_AUTHOR_FALLBACK = "mission.control.internal.user@reddit.com"
-ENTITY_URL_BASE = "https://launch.snooguts.net"
+# Deployment settings of the entity sync (the datasource name written into each
+# payload, the author used when a row names none, the base of generated view URLs):
+# set them to the values of the deployment being replaced.
+ENTITY_DATASOURCE = "entity-catalog"
+INTERNAL_AUTHOR_FALLBACK = "internal.author@example.com"
+ENTITY_URL_BASE = "https://entities.example.com"
 ENTITY_OBJECT_TYPES = {
     "initiative": "Initiatives",
     "commitment": "Commitments",

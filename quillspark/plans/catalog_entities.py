@@ -59,13 +59,13 @@ END
 """
 
 SQL_VIEW_URL = """
-'https://launch.snooguts.net' || CASE entityType WHEN 'initiative' THEN '/programs/' || id
+'https://entities.example.com' || CASE entityType WHEN 'initiative' THEN '/programs/' || id
   WHEN 'commitment' THEN '/commitment/' || id WHEN 'launch' THEN '/launch/' || id
   ELSE '/org?u=' || CAST(c_custkey AS VARCHAR) END
 """
 
 SQL_AUTHOR = """
-CASE WHEN entityType = 'person' THEN email ELSE coalesce(ownerEmail, 'mission.control.internal.user@reddit.com') END
+CASE WHEN entityType = 'person' THEN email ELSE coalesce(ownerEmail, 'internal.author@example.com') END
 """
 
 

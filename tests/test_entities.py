@@ -13,7 +13,7 @@ from quillspark.operators import project as P
 SCHEMA = ("scenario string, entityType string, action string, id string, title string, private boolean, "
           "allowedUsers array<string>, allowedGroups array<string>, ownerEmail string, updatedAt bigint, "
           "_seq int, email string")
-INTERNAL = "mission.control.internal.user@reddit.com"
+INTERNAL = "internal.author@example.com"
 ROWS = [
     ("initiative_private_full", "initiative", None, "101", "I", True, ["lead.one@example.com", "exec.one@example.com"],
      ["external_group:pillar-growth-leads"], "lead.one@example.com", 1762676400, 1, None),
@@ -88,7 +88,7 @@ def test_envelope_shape(spark):
     assert person.id == "person-9001" and env.objectType == "OrgData"
     assert env.permissions.allowAnonymousAccess is True and env.author.email == "engineer.one@example.com"
     init = docs.filter(F.col("_seq") == 1).first()
-    assert init.envelope.viewURL == "https://launch.snooguts.net/programs/101"
+    assert init.envelope.viewURL == "https://entities.example.com/programs/101"
     perms = init.envelope.permissions
     assert perms.allowAnonymousAccess is False and [u.email for u in perms.allowedUsers] == [
         "lead.one@example.com", "exec.one@example.com"]

@@ -10,12 +10,12 @@ from quillspark.operators import state as ST
 
 
 def test_commit_mining_golden(spark):
-    logins = spark.createDataFrame([("MyReddit/test-repo", 1, "user-a"), ("MyReddit/test-repo", 2, "user-b")],
+    logins = spark.createDataFrame([("Acme/test-repo", 1, "user-a"), ("Acme/test-repo", 2, "user-b")],
                                    "repository string, pos int, login string")
-    commits = spark.createDataFrame([("MyReddit/test-repo", 1, "user-a", "user-a@myreddit.com")],
+    commits = spark.createDataFrame([("Acme/test-repo", 1, "user-a", "user-a@acme.example")],
                                     "repository string, pos int, login string, email string")
     got = [r.email for r in J.mine_login_emails(logins, commits).orderBy("pos").collect()]
-    assert got == ["user-a@myreddit.com", None]
+    assert got == ["user-a@acme.example", None]
 
 
 def test_commit_mining_window_and_oldest(spark):
@@ -29,8 +29,8 @@ def test_commit_mining_window_and_oldest(spark):
 
 def test_domain_pass_through(spark):
     df = spark.createDataFrame([("sandra_martinez",), ("admin",), (None,)], "login string")
-    got = [r[0] for r in df.select(J.domain_emails("login", "@altostrat.com")).collect()]
-    assert got == ["sandra_martinez@altostrat.com", "admin@altostrat.com", None]
+    got = [r[0] for r in df.select(J.domain_emails("login", "@corp.example")).collect()]
+    assert got == ["sandra_martinez@corp.example", "admin@corp.example", None]
     with pytest.raises(ValueError):
         J.domain_emails("login", "   ")
 
@@ -39,20 +39,20 @@ def test_unified_policy_golden(spark):
     groups, mappings = J.policy_frames(
         spark,
         {"mygroup1": ["email1@email.com", "email2@email.com"], "mygroup2": ["default-audit@email.com"]},
-        [{"repository": "MyReddit/repo-1", "permissions": {"groups": ["mygroup1"], "emails": ["extra@email.com"]}},
-         {"repository": "MyReddit/repo-public", "isPublic": True},
+        [{"repository": "Acme/repo-1", "permissions": {"groups": ["mygroup1"], "emails": ["extra@email.com"]}},
+         {"repository": "Acme/repo-public", "isPublic": True},
          {"repository": "*", "permissions": {"groups": ["mygroup2"]}}])
     readers = J.expand_groups(groups, mappings)
-    repos = spark.createDataFrame([("MyReddit/repo-1",), ("myreddit/repo-1",), ("MyReddit/repo-public",),
-                                   ("MyReddit/some-other-repo",)], "repository string")
+    repos = spark.createDataFrame([("Acme/repo-1",), ("acme/repo-1",), ("Acme/repo-public",),
+                                   ("Acme/some-other-repo",)], "repository string")
     got = {r.repository: r.readers for r in J.map_repository_acl(repos, readers).collect()}
-    assert got["MyReddit/repo-1"] == ["email1@email.com", "email2@email.com", "extra@email.com"]
-    assert got["myreddit/repo-1"] == ["email1@email.com", "email2@email.com", "extra@email.com"]
-    assert got["MyReddit/repo-public"] == ["allUsers"]
-    assert got["MyReddit/some-other-repo"] == ["default-audit@email.com"]
+    assert got["Acme/repo-1"] == ["email1@email.com", "email2@email.com", "extra@email.com"]
+    assert got["acme/repo-1"] == ["email1@email.com", "email2@email.com", "extra@email.com"]
+    assert got["Acme/repo-public"] == ["allUsers"]
+    assert got["Acme/some-other-repo"] == ["default-audit@email.com"]
     acl = J.attach_repository_acl(repos, J.map_repository_acl(repos, readers).select("repository", "readers"))
     public = {r.repository: r.a for r in acl.select("repository", A.acl_summary("acl_info").alias("a")).collect()}
-    assert public["MyReddit/repo-public"] == "PUBLIC"
+    assert public["Acme/repo-public"] == "PUBLIC"
 
 
 def test_resolve_repo_readers_and_contributors(spark):

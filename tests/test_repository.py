@@ -57,14 +57,14 @@ def test_drop_binary(spark):
 
 
 def test_match_repositories_golden(spark):
-    repos = spark.createDataFrame([("MyReddit/gangplank-demo",), ("MyReddit/gep-custom-connectors",),
-                                   ("MyReddit/test_bot",), ("OtherOrg/other-repo",)], "name string")
-    pats = J.parse_repo_patterns(["^MyReddit/gangplank-demo:master", "^MyReddit/gep-custom-connectors:develop",
-                                  "^MyReddit/.*", "(:bad"], default_branch="main")
+    repos = spark.createDataFrame([("Acme/demo-app",), ("Acme/connectors",),
+                                   ("Acme/test_bot",), ("OtherOrg/other-repo",)], "name string")
+    pats = J.parse_repo_patterns(["^Acme/demo-app:master", "^Acme/connectors:develop",
+                                  "^Acme/.*", "(:bad"], default_branch="main")
     got = {r.name: r.branch for r in J.match_repositories(repos, pats).collect()}
-    assert got == {"MyReddit/gangplank-demo": "master", "MyReddit/gep-custom-connectors": "develop",
-                   "MyReddit/test_bot": "main"}
-    assert J.single_repository("MyReddit/test_bot:master") == ("MyReddit/test_bot", "master")
+    assert got == {"Acme/demo-app": "master", "Acme/connectors": "develop",
+                   "Acme/test_bot": "main"}
+    assert J.single_repository("Acme/test_bot:master") == ("Acme/test_bot", "master")
 
 
 def test_resolve_branch(spark):
@@ -83,27 +83,27 @@ PR_SCHEMA = ("type string, id string, number bigint, title string, body string,
 
 def test_pull_request_document_tickets_and_text(spark):
     pr = spark.createDataFrame([("pull_request", "pr-1", 42, "Fix GEP-789 ticket", "Resolves issue described in GEP-123.",
-                                 "OPEN", "2026-06-09T00:00:00Z", None, ("author-user", "author@myreddit.com"),
+                                 "OPEN", "2026-06-09T00:00:00Z", None, ("author-user", "author@acme.example"),
                                  [("2026-06-09T01:00:00Z", "This also touches CC-456.", ("commenter",))],
                                  [("2026-06-09T02:00:00Z", "LGTM XY-9", "APPROVED", (None,))],
-                                 "MyReddit/test-repo")], PR_SCHEMA)
+                                 "Acme/test-repo")], PR_SCHEMA)
     doc = P.project_pull_request_document(pr).first()
     assert doc.struct_data.jiraTickets == ["CC-456", "GEP-123", "GEP-789"]
     assert doc.text.splitlines()[:4] == ["PULL REQUEST #42: Fix GEP-789 ticket", "State: OPEN",
-                                         "Author: author@myreddit.com", "Created At: 2026-06-09T00:00:00Z"]
+                                         "Author: author@acme.example", "Created At: 2026-06-09T00:00:00Z"]
     assert "- [2026-06-09T01:00:00Z] commenter: This also touches CC-456." in doc.text
     assert doc.text.endswith("- [2026-06-09T02:00:00Z] anonymous (APPROVED): LGTM XY-9")
-    assert doc.struct_data.sourceUrl == "https://github.com/MyReddit/test-repo/pull/42"
+    assert doc.struct_data.sourceUrl == "https://github.com/Acme/test-repo/pull/42"
 
 
 def test_commit_document(spark):
     c = spark.createDataFrame([("commit-1", "sha-123456", "GEP-101: Initial commit for CC-202", "2026-06-09T00:00:00Z",
-                                ("Author Name", "author@myreddit.com", ("author",)), "MyReddit/test-repo")],
+                                ("Author Name", "author@acme.example", ("author",)), "Acme/test-repo")],
                               "id string, sha string, message string, committed_date string, "
                               "author struct<name:string,email:string,user:struct<login:string>>, repository string")
     doc = P.project_commit_document(c).first()
     assert doc.struct_data.jiraTickets == ["CC-202", "GEP-101"]
-    assert doc.text.split("\n")[1] == "Author: Author Name <author@myreddit.com>"
+    assert doc.text.split("\n")[1] == "Author: Author Name <author@acme.example>"
 
 
 def test_route_discussion_drops_unknown(spark):
