@@ -237,3 +237,18 @@ def q_report(spark, sf):
     rep = AG.run_report(metrics, breakdown, errors, "run-rest", "rest documents", "start", "end")
     return rep.select("run_id", "name", "success", "error_count", "n_sources",
                       F.col("metrics")["fetched"].alias("fetched"), F.col("metrics")["transformed"].alias("transformed"))
+
+
+@query("full_requires_staging", f"""
+SELECT id, title, true AS staged FROM ({SQL_REST})
+""")
+def q_full_staging(spark, sf):
+    """K5: a FULL run is written to a staging folder under the staging root, and that
+    staged folder becomes the published version (FULL without staging is an error)."""
+    root = _index_root(spark, "index-staged")
+    staging = root + "/_staging"
+    base = rest_documents(spark, sf).select("id", "struct_data", "content", "acl_info")
+    K.sync_index(spark, root, base, mode="FULL", staging_root=staging)
+    version = K.current_version(spark, root)
+    return K.read_index(spark, root).select("id", F.col("struct_data")["title"].alias("title"),
+                                            F.lit(version.startswith(staging)).alias("staged"))

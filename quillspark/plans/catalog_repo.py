@@ -703,3 +703,17 @@ def q_reject_wrong_type(spark, sf):
     counts_ok = ok.agg(F.count(F.lit(1)).cast("bigint").alias("n")).select(F.lit("ok").alias("status"), "n")
     counts_bad = rejected.groupBy("status").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
     return counts_ok.unionByName(counts_bad).filter(F.col("n") > 0)
+
+
+@query("route_discussion", f"""
+SELECT repository || ':commit:' || sha AS id, 'discussion_commit' AS discussion_type
+FROM ({SQL_COMMITS}) WHERE event_type <> 'error'
+""")
+def q_route(spark, sf):
+    """Records are dispatched on their type and the type rewritten; unknown kinds
+    (status events in the commit feed) are dropped."""
+    c = commits(spark, sf)
+    recs = SF.scan_commits(c).join(c.select(F.concat(F.col("repository"), F.lit(":commit:"), F.col("sha")).alias("id"),
+                                            "event_type"), "id")
+    recs = recs.withColumn("type", F.when(F.col("event_type") == "error", F.lit("status")).otherwise(F.col("type")))
+    return P.route_discussion(recs).select("id", "discussion_type")
