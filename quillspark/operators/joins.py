@@ -127,12 +127,18 @@ def domain_emails(login, domain: str) -> Column:
     return F.when(F.coalesce(lg, F.lit("")) != "", F.concat(lg, F.lit("@" + d)))
 
 
-def policy_frames(spark, groups: dict, mappings: list[dict]) -> tuple[DataFrame, DataFrame]:
+def policy_frames(spark, groups: dict | list, mappings: list[dict]) -> tuple[DataFrame, DataFrame]:
     """Policy document -> two small frames.  ``groups``: name -> member or members;
     ``mappings``: entries with repository, isPublic, permissions (dict or list of dicts
     holding ``groups`` / ``emails``)."""
     grows = []
-    for name, members in (groups or {}).items():
+    # groups: a mapping name -> members, or a list of such single-entry mappings;
+    # a scalar member is accepted as a one-member list.
+    items = []
+    for entry in (groups if isinstance(groups, list) else [groups or {}]):
+        if isinstance(entry, dict):
+            items += list(entry.items())
+    for name, members in items:
         members = members if isinstance(members, list) else [members]
         grows += [(name, i, m) for i, m in enumerate(members)]
     mrows = []

@@ -168,7 +168,8 @@ def _discussion_common(df: DataFrame, kind: str, url_part: str, web_base: str, w
     scan = F.concat_ws("\n", F.coalesce(F.col("title"), F.lit("None")), F.coalesce(F.col("body"), F.lit("")),
                        F.array_join(F.transform(comments, lambda c: F.coalesce(c["body"], F.lit(""))), "\n"))
     url = F.concat(F.lit(web_base + "/"), F.col("repository"), F.lit(f"/{url_part}/"), F.col("number").cast("string"))
-    sd = F.struct(F.lit(kind).alias("type"), F.col("number").alias("number"), F.col("title").alias("title"),
+    number_field = "prNumber" if kind == "pull_request" else "issueNumber"
+    sd = F.struct(F.lit(kind).alias("type"), F.col("number").alias(number_field), F.col("title").alias("title"),
                   F.col("state").alias("state"), F.col("repository").alias("repository"),
                   F.coalesce(F.col("created_at"), F.lit("")).alias("createdAt"),
                   F.lit("text/markdown").alias("mimeType"), url.alias("sourceUrl"),

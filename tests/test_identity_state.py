@@ -99,3 +99,11 @@ def test_scale_conf_sizes_partitions():
     conf = scale_conf(100 * 1024 ** 4, executors=1000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (256 * 1024 ** 2) + 1
     assert int(scale_conf(1024, executors=10)["spark.sql.shuffle.partitions"]) == 80
+
+
+def test_policy_groups_as_list_and_scalar_member(spark):
+    groups, mappings = J.policy_frames(
+        spark, [{"g1": "solo@x"}, {"g2": ["a@x", "b@x"]}],
+        [{"repository": "o/r", "permissions": [{"groups": ["g2", "g1", "nope"]}, {"emails": ["a@x", "c@x"]}]}])
+    got = {r.repo_key: r.readers for r in J.expand_groups(groups, mappings).collect()}
+    assert got == {"o/r": ["a@x", "b@x", "solo@x", "c@x"]}
