@@ -308,7 +308,7 @@ def q_visible(spark, sf):
     return J.visible_counts(latest(spark, sf, "acl_info"), users)
 
 
-@query("apply_changes", f"""
+SQL_APPLY_CHANGES = f"""
 WITH r AS ({SQL_ENTITY}),
 m AS (SELECT *, entityType || '-' || id AS doc_id FROM r WHERE entityType IN ('initiative', 'commitment', 'launch', 'person')),
 idx AS (SELECT doc_id, title FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY updatedAt DESC, seq DESC) rn
@@ -317,7 +317,10 @@ ch AS (SELECT doc_id, title, action FROM (SELECT *, row_number() OVER (PARTITION
                                           FROM m WHERE o_orderstatus IN ('O', 'P')) WHERE rn = 1)
 SELECT doc_id, title FROM idx WHERE doc_id NOT IN (SELECT doc_id FROM ch)
 UNION ALL SELECT doc_id, title FROM ch WHERE action <> 'delete'
-""")
+"""
+
+
+@query("apply_changes", SQL_APPLY_CHANGES)
 def q_apply_changes(spark, sf):
     """Closed orders form the index; open (update) and pending (delete) orders are a
     change feed applied with deletes propagated."""
@@ -328,3 +331,25 @@ def q_apply_changes(spark, sf):
     changes = r.filter(F.col("action").isNotNull()).select("doc_id", "title", "action", "updatedAt", "_seq")
     return ST.apply_changes(index, changes, [F.col("updatedAt"), F.col("_seq")], key="doc_id",
                             propagate_deletes=True)
+
+
+@query("apply_changes_stream", SQL_APPLY_CHANGES)
+def q_apply_changes_stream(spark, sf):
+    """I7 as Structured Streaming: the change feed lands as JSON files, a
+    ``foreachBatch`` stream (available-now trigger, checkpointed) applies it to the
+    published index, and the resulting index version is read back."""
+    from quillspark.session import scratch_dir
+    from quillspark.sinks import index as K
+    from quillspark.streaming.changes import start_change_stream
+    r = FL.drop_unmapped_entities(rows(spark, sf), KNOWN) \
+        .withColumn("doc_id", F.concat(F.col("entityType"), F.lit("-"), F.col("id")))
+    root, changes_dir, ckpt = (scratch_dir(spark, n) for n in ("stream-index", "stream-changes", "stream-ckpt"))
+    base = r.filter(F.col("action").isNull()).select("doc_id", "title", "updatedAt", "_seq")
+    K.publish(spark, O.latest_per_id(base, "doc_id", [F.col("updatedAt"), F.col("_seq")])
+              .select("doc_id", "title", "updatedAt", "_seq"), root)
+    feed = r.filter(F.col("action").isNotNull()).select("doc_id", "title", "action", "updatedAt", "_seq")
+    feed.write.json(changes_dir)
+    q = start_change_stream(spark, changes_dir, feed.schema, root, ckpt, key="doc_id",
+                            order=("updatedAt", "_seq"), propagate_deletes=True)
+    q.awaitTermination()
+    return K.read_index(spark, root).select("doc_id", "title")
