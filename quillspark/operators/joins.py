@@ -184,6 +184,9 @@ def map_repository_acl(repos: DataFrame, repo_readers: DataFrame, repo_col: str
 
     ``repo_readers`` has one row per repository key (J8 dedupes), so the exact lookup
     is a size-checked broadcast join and the wildcard entry is a scalar subquery."""
+    # The expanded policy feeds a size check, the exact lookup and the wildcard subquery:
+    # materialise it once in the shared checkpoint folder.
+    repo_readers = repo_readers.select("repo_key", "readers").checkpoint(eager=True)
     exact = broadcast_if_small(repo_readers.select(F.col("repo_key").alias("_k"), F.col("readers").alias("_exact")))
     star = repo_readers.filter(F.col("repo_key") == "*").select("readers").scalar()
     out = repos.join(exact, F.lower(repos[repo_col]) == exact["_k"], "left").drop("_k")
