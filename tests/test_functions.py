@@ -106,3 +106,21 @@ def test_permissions_block(spark):
     assert rows[0].p.allowAnonymousAccess is False and rows[0].p.allowedUsers[0].email == "a@x"
     assert rows[0].p.allowedGroups is None
     assert rows[1].p.allowAnonymousAccess is True and rows[1].p.allowedUsers is None
+
+
+def test_thread_lines_null_handling(spark):
+    df = spark.createDataFrame(
+        [([("2024-01-01", "hi", ("ann",)), (None, None, (None,)), ("d", "x", None)],)],
+        "c array<struct<createdAt:string,body:string,author:struct<login:string>>>")
+    got = df.select(S.thread_lines("c").alias("l")).first().l
+    assert got == ["- [2024-01-01] ann: hi", "- [] anonymous: ", "- [d] anonymous: x"]
+    reviews = spark.createDataFrame([([("t", "ok", "APPROVED", ("bob",))],)],
+                                    "r array<struct<createdAt:string,body:string,state:string,author:struct<login:string>>>")
+    assert reviews.select(S.thread_lines("r", with_state=True)).first()[0] == ["- [t] bob (APPROVED): ok"]
+
+
+def test_author_rules(spark):
+    df = spark.createDataFrame([("sso@x", "p@x", "lg"), ("", "p@x", "lg"), (None, None, "lg"), (None, None, None)],
+                               "n string, e string, l string")
+    got = [tuple(r) for r in df.select(S.author_email("n", "e"), S.author_display(S.author_email("n", "e"), "l")).collect()]
+    assert got == [("sso@x", "sso@x"), ("p@x", "p@x"), (None, "lg"), (None, "Unknown")]
