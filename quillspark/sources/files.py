@@ -23,8 +23,9 @@ REVIEW_LIMIT = 50
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    """Path check through the data source's own resolution (no job runs)."""
     try:
-        spark.read.format("text").load(path).limit(0).collect()
+        spark.read.format("text").load(path)
         return True
     except Exception:
         return False
