@@ -62,3 +62,30 @@ def _relabel(pairs: DataFrame, hooks: DataFrame) -> DataFrame:
     ends = pairs.join(left, "u", "left").join(right, "v", "left").select(
         F.coalesce("pu", "u").alias("u"), F.coalesce("pv", "v").alias("v"))
     return ends.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+
+
+def bucket_links(buckets: DataFrame, prepare) -> DataFrame:
+    """Confirmed links (a, b) that connect all members that any confirmed pair of members of a
+    bucket connects.  ``buckets`` has (bucket, node); ``prepare(nodes)`` returns a filter of
+    candidate pairs (a, b) of these nodes.
+
+    All members of a bucket are first compared with its smallest and its largest node; then only
+    pairs of members that these links leave in different groups remain, and all are compared."""
+    buckets = cut(buckets.distinct(), "buckets")
+    hubs = buckets.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+    shared = cut(buckets.join(hubs, "bucket"), "shared")
+    stars = shared.select(F.explode(F.array(
+        F.struct(F.col("low").alias("a"), F.col("node").alias("b")),
+        F.struct(F.col("node").alias("a"), F.col("high").alias("b")))).alias("p")).select("p.*").where("a < b").distinct()
+    check = prepare(shared.select("node").distinct())
+    links = cut(check(stars), "star-links")
+    groups = components(links)
+    member = cut(
+        shared.join(groups, "node", "left").select("bucket", "node", "low", "high", F.coalesce("component", "node").alias("g")),
+        "members",
+    )
+    mixed = member.groupBy("bucket").agg(F.min("g").alias("g1"), F.max("g").alias("g2")).where("g1 < g2").select("bucket")
+    inner = member.where("node != low AND node != high").join(mixed, "bucket", "left_semi")
+    x, y = inner.select("bucket", F.col("node").alias("a"), F.col("g").alias("ga")), inner.select("bucket", F.col("node").alias("b"), F.col("g").alias("gb"))
+    rest = x.join(y, "bucket").where("a < b AND ga != gb").select("a", "b").distinct()
+    return links.unionByName(cut(check(rest), "more-links"))

@@ -62,3 +62,53 @@ def op9_minimax_shards(spark, sf_dir):
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+#: Words of a text in DuckDB; the class is space and \\t..\\r.
+_WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(_LOWER.format("coalesce(text, '')"))} AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 1 THEN ws
+        ELSE list_transform(generate_series(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1]) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b USING (g) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT x, y FROM p JOIN n nx ON x = nx.doc_id JOIN n ny ON y = ny.doc_id WHERE 100 * i >= 80 * (nx.n + ny.n - i)),
+e2 AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+r(doc_id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e2.y, r.c FROM r JOIN e2 ON r.doc_id = e2.x),
+m AS (SELECT doc_id, min(c) AS component_id FROM r GROUP BY 1)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM m LEFT JOIN n USING (doc_id)
+""")
+def op1_near_duplicates(spark, sf_dir):
+    from quillspark.llm.minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
+@query(f"""
+WITH w AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS ws FROM documents),
+win AS (SELECT doc_id, p, array_to_string(ws[p:p + 34], ' ') AS g
+        FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 34)) AS p FROM w)),
+rep AS (SELECT g FROM win GROUP BY g HAVING count(*) > 1),
+cov AS (SELECT DISTINCT doc_id, p + k AS q FROM win JOIN rep USING (g), generate_series(0, 34) t(k)),
+pos AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS q FROM w),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY q) AS t FROM pos ANTI JOIN cov USING (doc_id, q) GROUP BY 1)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+""")
+def op10_repeated_windows(spark, sf_dir):
+    from quillspark.llm.substrings import remove_repeated
+
+    found = remove_repeated(table(spark, sf_dir, "documents"), window=35)
+    return found.withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op4_quality_rules(spark, sf_dir):
+    from quillspark.llm.quality import judge
+
+    return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
