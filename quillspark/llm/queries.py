@@ -112,3 +112,10 @@ def op4_quality_rules(spark, sf_dir):
     from quillspark.llm.quality import judge
 
     return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op8_fuzzy_lines(spark, sf_dir):
+    from quillspark.llm.lines import line_groups
+
+    return line_groups(table(spark, sf_dir, "documents"), min_words=5, percent=80)
