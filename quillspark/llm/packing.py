@@ -36,7 +36,7 @@ class WordIds:
     Words of ASCII and Latin letters are split by the file's own pattern and their parts looked up;
     parts not seen yet are given to the tokenizer many at a time.  Both stores are bounded."""
 
-    words_bound, parts_bound = 200_000, 600_000
+    words_bound, parts_bound = 400_000, 900_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -55,8 +55,6 @@ class WordIds:
         self.parts: dict[str, bytes] = {}
 
     def _learn(self, new: set[bytes]) -> None:
-        if len(self.words) + len(new) > self.words_bound:
-            self.words.clear()
         split, missing = {}, set()
         for w in new:
             s = w.decode("utf-8")
@@ -86,13 +84,10 @@ class WordIds:
     def encode(self, texts: list[bytes]):
         """The ids of each text, as bytes."""
         split = [t.split() for t in texts]
-        have, new = self.words, set()
-        for s in split:
-            new.update(w for w in s if w not in have)
-        if len(have) + len(new) > self.words_bound:  # learning starts afresh: all words are needed
-            have.clear()
-            new = {w for s in split for w in s}
-        self._learn(new)
+        words = set().union(*split)
+        if len(self.words) + len(words) > self.words_bound:
+            self.words = {w: self.words[w] for w in words & self.words.keys()}
+        self._learn(words - self.words.keys())
         for s in split:
             yield b"".join(map(self.words.__getitem__, s))
 

@@ -119,3 +119,15 @@ def op8_fuzzy_lines(spark, sf_dir):
     from quillspark.llm.lines import line_groups
 
     return line_groups(table(spark, sf_dir, "documents"), min_words=5, percent=80)
+
+
+@query()
+def op2_ppm_scores(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from quillspark.llm.lm import score
+
+    docs = table(spark, sf_dir, "documents")
+    rest = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    scored = score(docs, rest != 1)
+    return scored.select(F.col("id").alias("doc_id"), (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -147,3 +147,36 @@ def arrow_map(df: DataFrame, function, schema: str) -> DataFrame:
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = zip(*rows)
     return pa.record_batch([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def planes(values: np.ndarray) -> bytes:
+    """64-bit integers in any order, as byte planes."""
+    return np.ascontiguousarray(np.ascontiguousarray(values, np.uint64).view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def unplanes(blob: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+
+
+def split_ranges(values: np.ndarray, ranges: int) -> list[tuple[int, int, int]]:
+    """(range, from, to) of ascending 64-bit ``values``, by their leading bits; ranges is 2**k."""
+    if ranges == 1:
+        return [(0, 0, len(values))] if len(values) else []
+    step = np.uint64((1 << 64) // ranges)
+    edges = np.searchsorted(values, np.arange(1, ranges, dtype=np.uint64) * step).tolist()
+    return [(r, a, b) for r, (a, b) in enumerate(zip([0, *edges], [*edges, len(values)])) if b > a]
+
+
+def gather(df: DataFrame, keys: list[str], *columns: str) -> DataFrame:
+    """One row for each group, its rows as the list ``found`` (a block's or a range's small parts)."""
+    return df.groupBy(*keys).agg(F.collect_list(F.struct(*columns)).alias("found"))
+
+
+def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and the sum of their counts."""
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    if not len(keys):
+        return keys, counts
+    at = np.nonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))[0]
+    return keys[at], np.add.reduceat(counts, at)

@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.shared import WordHash, arrow_map, blocks, mix, pack, read_block, stage, unpack
+from quillspark.llm.shared import WordHash, arrow_map, blocks, gather, mix, pack, read_block, split_ranges, stage, unpack
 
 U = np.uint64
 #: Text bytes that a task looks at together.
@@ -128,10 +128,6 @@ def _by_chunk(found: list[dict] | None) -> dict[int, list[dict]]:
     return out
 
 
-def _gather(df: DataFrame, keys: list[str], *columns: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.collect_list(F.struct(*columns)).alias("found"))
-
-
 def remove_repeated(docs: DataFrame, window: int = 35, depth: int = 2, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
     """Per row: id, n_words, n_removed, kept_sha256[, kept] after removing every word that a
     window found at another start, anywhere, covers."""
@@ -165,7 +161,7 @@ def remove_repeated(docs: DataFrame, window: int = 35, depth: int = 2, id_col: s
                     yield x["block"], x["chunk"], r["row"], pack(hit)
 
     sketches = arrow_map(where, sketch, "row int, part int, block string, chunk int, cells binary, twice binary")
-    merged = arrow_map(_gather(sketches, ["row", "part"], "block", "chunk", "cells", "twice"), merge, "block string, chunk int, row int, cells binary")
+    merged = arrow_map(gather(sketches, ["row", "part"], "block", "chunk", "cells", "twice"), merge, "block string, chunk int, row int, cells binary")
 
     def candidates(rows):
         for r in rows:
@@ -187,7 +183,7 @@ def remove_repeated(docs: DataFrame, window: int = 35, depth: int = 2, id_col: s
                 at = np.nonzero(new)[0]
                 twice = np.diff(at, append=len(one)) > 1
                 one, two = one[at], two[at]
-                for k, a, b in _split(one >> U(1), 63, ranges):
+                for k, a, b in split_ranges(one, ranges):
                     yield k, r["block"], c.number, pack(one[a:b]), two[a:b].astype(np.uint32).tobytes(), _bits(twice[a:b])
 
     def group(rows):
@@ -211,9 +207,9 @@ def remove_repeated(docs: DataFrame, window: int = 35, depth: int = 2, id_col: s
                 if own.any():
                     yield x["block"], x["chunk"], pack(e[own])
 
-    side = where.join(_gather(merged, ["block"], "chunk", "row", "cells"), "block", "left")
+    side = where.join(gather(merged, ["block"], "chunk", "row", "cells"), "block", "left")
     chosen = arrow_map(side, candidates, "part int, block string, chunk int, one binary, two binary, twice binary")
-    exact = arrow_map(_gather(chosen, ["part"], "block", "chunk", "one", "two", "twice"), group, "block string, chunk int, one binary")
+    exact = arrow_map(gather(chosen, ["part"], "block", "chunk", "one", "two", "twice"), group, "block string, chunk int, one binary")
 
     def keep(rows):
         for r in rows:
@@ -232,5 +228,5 @@ def remove_repeated(docs: DataFrame, window: int = 35, depth: int = 2, id_col: s
                     row = (key, n, n - len(left), hashlib.sha256(text).hexdigest())
                     yield (*row, text.decode()) if with_text else row
 
-    side = where.join(_gather(exact, ["block"], "chunk", "one"), "block", "left")
+    side = where.join(gather(exact, ["block"], "chunk", "one"), "block", "left")
     return arrow_map(side, keep, f"id {kind}, n_words long, n_removed long, kept_sha256 string" + (", kept string" if with_text else ""))
