@@ -48,22 +48,25 @@ class WordIds:
         kinds = [unicodedata.category(chr(c))[0] for c in range(LATIN)]
         letters = "".join(re.escape(chr(c)) for c in range(LATIN) if kinds[c] == "L")
         digits = "".join(re.escape(chr(c)) for c in range(LATIN) if kinds[c] == "N")
-        self.split = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[^{letters}{digits}]+").findall
-        self.plain = re.compile("[\x20-\x7e\xa1-ɏ]+").fullmatch
-        self.special = re.compile(r"<\|(?:start|end)oftext\|>").search
+        self.ascii = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+").findall
+        self.latin = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[^{letters}{digits}]+").findall
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
     def _learn(self, new: set[bytes]) -> None:
-        split, missing = {}, set()
+        split: dict[bytes, tuple | list] = {}
         for w in new:
             s = w.decode("utf-8")
-            if not self.plain(s) or self.special(s):
+            if s.isascii() and s.isalpha():
+                split[w] = (s.lower(),)
+            elif not s.isprintable() or max(s) >= chr(LATIN) or "<|" in s:
                 ids = self.tokenizer.encode(s, add_special_tokens=False).ids
                 self.words[w] = array("I", ids).tobytes()
+            elif s.isascii() and "'" not in s:
+                split[w] = self.ascii(s.lower())
             else:
-                split[w] = p = self.split(s.lower())
-                missing.update(x for x in p if x not in self.parts)
+                split[w] = self.latin(s.lower())
+        missing = set().union(*split.values()) - self.parts.keys()
         if len(self.parts) + len(missing) > self.parts_bound:
             self.parts.clear()
             missing = {x for p in split.values() for x in p}
@@ -77,9 +80,9 @@ class WordIds:
                 continue
             data, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
             self.parts |= {x: data[a:b] for x, a, b in zip(some, cuts, cuts[1:])}
-        get = self.parts.__getitem__
+        parts, words = self.parts, self.words
         for w, p in split.items():
-            self.words[w] = b"".join(map(get, p))
+            words[w] = parts[p[0]] if len(p) == 1 else b"".join([parts[x] for x in p])
 
     def encode(self, texts: list[bytes]):
         """The ids of each text, as bytes."""
