@@ -66,7 +66,7 @@ class WordIds:
                 split[w] = self.ascii(s.lower())
             else:
                 split[w] = self.latin(s.lower())
-        missing = set().union(*split.values()) - self.parts.keys()
+        missing = set().union(*split.values()).difference(self.parts)
         if len(self.parts) + len(missing) > self.parts_bound:
             self.parts.clear()
             missing = {x for p in split.values() for x in p}
@@ -90,7 +90,7 @@ class WordIds:
         words = set().union(*split)
         if len(self.words) + len(words) > self.words_bound:
             self.words = {w: self.words[w] for w in words & self.words.keys()}
-        self._learn(words - self.words.keys())
+        self._learn(words.difference(self.words))
         for s in split:
             yield b"".join(map(self.words.__getitem__, s))
 
