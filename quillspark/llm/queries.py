@@ -131,3 +131,11 @@ def op2_ppm_scores(spark, sf_dir):
     rest = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
     scored = score(docs, rest != 1)
     return scored.select(F.col("id").alias("doc_id"), (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query()
+def op5_latent_decontamination(spark, sf_dir):
+    from quillspark.llm.decontaminate import contaminated
+
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
