@@ -139,3 +139,10 @@ def op5_latent_decontamination(spark, sf_dir):
 
     found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op7_licence_scan(spark, sf_dir):
+    from quillspark.llm.licenses import scan
+
+    return scan(table(spark, sf_dir, "documents"))
