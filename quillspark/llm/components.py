@@ -64,28 +64,38 @@ def _relabel(pairs: DataFrame, hooks: DataFrame) -> DataFrame:
     return ends.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
-def bucket_links(buckets: DataFrame, prepare) -> DataFrame:
+def bucket_links(buckets: DataFrame, prepare, traits: DataFrame | None = None, near=None) -> DataFrame:
     """Confirmed links (a, b) that connect all members that any confirmed pair of members of a
     bucket connects.  ``buckets`` has (bucket, node); ``prepare(nodes)`` returns a filter of
     candidate pairs (a, b) of these nodes.
 
-    All members of a bucket are first compared with its smallest and its largest node; then only
-    pairs of members that these links leave in different groups remain, and all are compared."""
+    All members of a bucket are first compared with its smallest node and with its most central one,
+    the node whose buckets hold most members (the text that many others were copied from).  Then only
+    pairs of members that these links leave in different groups remain, and all are compared, but
+    for those that ``near(x, y)`` rules out; it gets the two sides' columns of ``traits``, which has one
+    row for each node."""
     buckets = cut(buckets.distinct(), "buckets")
-    hubs = buckets.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    shared = cut(buckets.join(hubs, "bucket"), "shared")
-    stars = shared.select(F.explode(F.array(
-        F.struct(F.col("low").alias("a"), F.col("node").alias("b")),
-        F.struct(F.col("node").alias("a"), F.col("high").alias("b")))).alias("p")).select("p.*").where("a < b").distinct()
+    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("low")).where("size > 1")
+    shared = cut(buckets.join(sizes, "bucket"), "shared")
+    central = shared.groupBy("node").agg(F.sum("size").alias("weight"))
+    hubs = shared.join(central, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node"))["node"].alias("high"))
+    shared = cut(shared.join(hubs, "bucket").select("bucket", "node", "low", "high"), "hubs")
+    stars = shared.select(F.explode(F.array("low", "high")).alias("hub"), "node").where("hub != node")
+    stars = stars.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
     check = prepare(shared.select("node").distinct())
-    links = cut(check(stars), "star-links")
+    links = cut(check(cut(stars, "stars")), "star-links")
     groups = components(links)
     member = cut(
         shared.join(groups, "node", "left").select("bucket", "node", "low", "high", F.coalesce("component", "node").alias("g")),
         "members",
     )
     mixed = member.groupBy("bucket").agg(F.min("g").alias("g1"), F.max("g").alias("g2")).where("g1 < g2").select("bucket")
-    inner = member.where("node != low AND node != high").join(mixed, "bucket", "left_semi")
-    x, y = inner.select("bucket", F.col("node").alias("a"), F.col("g").alias("ga")), inner.select("bucket", F.col("node").alias("b"), F.col("g").alias("gb"))
-    rest = x.join(y, "bucket").where("a < b AND ga != gb").select("a", "b").distinct()
-    return links.unionByName(cut(check(rest), "more-links"))
+    inner = member.where("node != low AND node != high").join(mixed, "bucket", "left_semi").drop("low", "high")
+    if traits is not None:
+        inner = inner.join(traits, "node")
+    x, y = inner.alias("x"), inner.alias("y")
+    apart = F.expr("x.bucket = y.bucket AND x.node < y.node AND x.g != y.g")
+    if near is not None:
+        apart = apart & near(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"))
+    rest = x.join(y, apart).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    return links.unionByName(cut(check(cut(rest, "rest")), "more-links"))
