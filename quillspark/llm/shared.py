@@ -73,17 +73,36 @@ def read_block(block: str, columns: list[str]) -> Iterator[dict[str, list]]:
             yield {c: batch.column(c).to_pylist() for c in columns}
 
 
+def planes(values: np.ndarray) -> bytes:
+    """64-bit integers as byte planes, low ones first, without the high planes that are all zero."""
+    values = np.ascontiguousarray(values, np.uint64)
+    used = (int(values.max(initial=0)).bit_length() + 7) // 8
+    return len(values).to_bytes(8, "little") + np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :used].T).tobytes()
+
+
+def unplanes(blob: bytes) -> np.ndarray:
+    n = int.from_bytes(blob[:8], "little")
+    out = np.zeros((n, 8), np.uint8)
+    if n:
+        found = np.frombuffer(blob, np.uint8, offset=8).reshape(-1, n)
+        out[:, : len(found)] = found.T
+    return out.view(np.uint64).ravel()
+
+
 def pack(values: np.ndarray) -> bytes:
-    """Ascending unsigned integers as byte planes of their differences (the high planes, all
-    zeros, then compress to nothing)."""
+    """Ascending unsigned integers as byte planes of their differences."""
     values = np.ascontiguousarray(values, np.uint64)
-    steps = np.diff(values, prepend=np.uint64(0))
-    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes()
+    if not len(values):
+        return planes(values)
+    # The first value travels apart: it would need planes that the differences don't.
+    return int(values[0]).to_bytes(8, "little") + planes(np.diff(values))
 
 
 def unpack(blob: bytes) -> np.ndarray:
-    planes = np.frombuffer(blob, np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+    if len(blob) == 8:
+        return np.zeros(0, np.uint64)
+    steps = np.concatenate([np.frombuffer(blob, np.uint64, 1), unplanes(blob[8:])])
+    return np.cumsum(steps, dtype=np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -149,15 +168,6 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.record_batch([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-def planes(values: np.ndarray) -> bytes:
-    """64-bit integers in any order, as byte planes."""
-    return np.ascontiguousarray(np.ascontiguousarray(values, np.uint64).view(np.uint8).reshape(-1, 8).T).tobytes()
-
-
-def unplanes(blob: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
-
-
 def split_ranges(values: np.ndarray, ranges: int) -> list[tuple[int, int, int]]:
     """(range, from, to) of ascending 64-bit ``values``, by their leading bits; ranges is 2**k."""
     if ranges == 1:

@@ -108,9 +108,16 @@ def _split(values: np.ndarray, bits: int, ranges: int) -> list[tuple[int, int, i
 def _member(values: np.ndarray, among: np.ndarray) -> np.ndarray:
     if not len(among):
         return np.zeros(len(values), bool)
-    at = np.searchsorted(among, values)
+    # Most values are not there: a table of their hashes' low bits spares them the search.
+    low = U((1 << 24) - 1)
+    table = np.zeros(1 << 24, bool)
+    table[mix(among) & low] = True
+    out = table[mix(values) & low]
+    left = values[out]
+    at = np.searchsorted(among, left)
     at[at == len(among)] = 0
-    return among[at] == values
+    out[out] = among[at] == left
+    return out
 
 
 def _bits(flags: np.ndarray) -> bytes:
@@ -137,8 +144,8 @@ def remove_repeated(docs: DataFrame, window: int = 35, depth: int = 2, id_col: s
     size = spark.read.parquet(path).agg(F.sum(F.octet_length("text"))).first()[0] or 0
     where = blocks(spark, path)
     bits = max(16, math.ceil(math.log2(size + 1)))
-    ranges = 1 << max(0, where.count() - 1).bit_length()
-    ranges = min(ranges, 1 << 16)
+    # Four ranges for each block: a range's counters from all blocks are then a quarter of a block's.
+    ranges = min(1 << 16, 4 << max(0, where.count() - 1).bit_length())
 
     def sketch(rows):
         for r in rows:
