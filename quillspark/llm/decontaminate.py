@@ -73,7 +73,7 @@ def lcs(a: list[str], b: list[str]) -> int:
 class Terms(dict):
     """raw word (bytes) -> number of its term, -1 for words that no item has, -2 for no word."""
 
-    def __init__(self, terms: dict[str, int], bound: int = 400_000):
+    def __init__(self, terms: dict[str, int], bound: int = 250_000):
         super().__init__()
         self.terms, self.bound = terms, bound
 

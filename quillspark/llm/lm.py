@@ -40,7 +40,7 @@ U = np.uint64
 ORDER = 5
 #: Stands for the time before a text and for its end; no UTF-8 text has it.
 EDGE = 255
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 _WORDS = WordHash()
 
 
@@ -119,7 +119,7 @@ class Tally:
         keys, counts = np.unique(values, return_counts=True)
         self.new.append((keys, counts if train else np.zeros(len(keys), np.int64)))
         self.size += len(keys)
-        if self.size > max(2_000_000, len(self.keys)):
+        if self.size > max(1_000_000, len(self.keys)):
             self.settle()
 
     def settle(self) -> "Tally":

@@ -118,7 +118,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHash(dict):
     """word (bytes) -> 64-bit hash, remembering frequent words up to a bound on memory."""
 
-    def __init__(self, bound: int = 400_000):
+    def __init__(self, bound: int = 250_000):
         super().__init__()
         self.bound = bound
 

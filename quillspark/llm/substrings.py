@@ -33,7 +33,7 @@ from quillspark.llm.shared import WordHash, arrow_map, blocks, gather, mix, pack
 
 U = np.uint64
 #: Text bytes that a task looks at together.
-CHUNK = 8 << 20
+CHUNK = 3 << 20
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _WORDS = WordHash()
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
