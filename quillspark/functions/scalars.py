@@ -6,6 +6,8 @@ none needs a Python UDF.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -128,8 +130,19 @@ def repo_name(full_name) -> Column:
     return F.regexp_extract(_c(full_name), r"^[^/]*/(.*)$", 1)
 
 
+def sorted_json(fields: dict) -> Column:
+    """JSON text of an object with its keys in order, whatever order they are given in, and
+    the separators ``", "`` and ``": "``."""
+    def value(c) -> Column:
+        text = F.to_json(F.struct(_c(c).alias("v")), {"ignoreNullFields": "false"})
+        return F.substring(text, F.lit(6), F.length(text) - 6)  # without {"v": and }
+
+    members = [F.concat(F.lit(json.dumps(k) + ": "), value(fields[k])) for k in sorted(fields)]
+    return F.concat(F.lit("{"), F.concat_ws(", ", *members), F.lit("}"))
+
+
 def config_hash(text) -> Column:
-    """C17: first 16 hex digits of SHA-256."""
+    """C17: first 16 hex digits of SHA-256 of the configuration's JSON with sorted keys."""
     return F.substring(F.sha2(_c(text), 256), 1, 16)
 
 

@@ -2,7 +2,7 @@
 
 Every aggregate here is a ``groupBy().agg()`` of built-in functions, planned as
 partial (map-side) + final aggregation, so a hot group is combined before the
-shuffle.  Collected lists are bounded by an upstream window (``newest_n_per_key``).
+shuffle.  Collected lists hold the distinct values that one document carries.
 """
 
 from __future__ import annotations
@@ -13,12 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillspark.operators.broadcast import broadcast_if_small
 from quillspark.operators.ordering import newest_n_per_key
 from quillspark.schemas import COMMON_ENTITY_KEYS
 
 STATUSES = ("transformed", "failed", "skipped")
-CONTRIBUTOR_WINDOW = 100
 
 
 def _count_status(status: str) -> Column:
@@ -72,20 +70,22 @@ def error_table(failed: DataFrame, component: str) -> DataFrame:
     )
 
 
-def repo_contributors(commits: DataFrame, window: int = CONTRIBUTOR_WINDOW, order: list | None = None) -> DataFrame:
-    """A4: distinct author e-mails containing ``@`` among the newest ``window`` commits
-    per repository, sorted.  ``commits``: (repository, email, ...) with ``order`` giving
-    newest first (default: ``pos`` ascending, pos 1 = newest)."""
-    recent = newest_n_per_key(commits, "repository", order or [F.col("pos").asc()], window, pos_col="_cwpos")
-    return (recent.filter(F.coalesce(F.col("email").contains("@"), F.lit(False)))
-            .groupBy("repository")
-            .agg(F.array_sort(F.collect_set("email")).alias("contributors")))
+def contributor_rows(commits: DataFrame, window: int | None = None, order: list | None = None) -> DataFrame:
+    """A4 as rows: the distinct (repository, email) pairs with an ``@`` in the e-mail, over the
+    whole history (``window=None``) or the newest ``window`` commits, ``order`` giving newest
+    first (default: ``pos`` ascending, pos 1 = newest).  A distinct has a map-side step, so a
+    repository with a third of all commits is no hot key."""
+    if window is not None:
+        commits = newest_n_per_key(commits, "repository", order or [F.col("pos").asc()], window, pos_col="_cwpos")
+    usable = commits.filter(F.coalesce(F.col("email").contains("@"), F.lit(False)))
+    return usable.select("repository", "email").distinct()
 
 
-def email_per_login(commits: DataFrame) -> DataFrame:
-    """A5: per (repository, login) the e-mail seen last when reading newest first, i.e.
-    the one with the greatest position."""
-    return commits.groupBy("repository", "login").agg(F.max_by("email", "pos").alias("email"))
+def repo_contributors(commits: DataFrame, window: int | None = None, order: list | None = None) -> DataFrame:
+    """A4: ``contributor_rows`` as one sorted list per repository, the shape of a document's
+    field; it holds each person once, however many commits they made."""
+    return (contributor_rows(commits, window, order).groupBy("repository")
+            .agg(F.array_sort(F.collect_list("email")).alias("contributors")))
 
 
 def next_checkpoint(emitted: DataFrame, key: str = "repository", updated_col: str = "updated_at") -> DataFrame:
@@ -125,7 +125,7 @@ def schema_drift(rows: DataFrame, expected: Mapping[str, Sequence[str]], raw_col
             & ~((vt == "STRING") & (text == ""))
             & ~(vt.startswith("ARRAY") & (text == "[]")))
     # The expected-key list is configuration (a few dozen rows): a checked broadcast.
-    drift = exploded.filter(keep).join(broadcast_if_small(exp), ["entity", "key"], "left_anti")
+    drift = exploded.filter(keep).join(exp, ["entity", "key"], "left_anti")
     return drift.select("entity", "key", _python_type_name(vt).alias("value_type")).distinct()
 
 

@@ -10,22 +10,19 @@ lists are bounded by the config itself.
 
 from __future__ import annotations
 
-import re
+import json
 from typing import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.functions.acl import acl_from_emails, public_acl
-from quillspark.operators.broadcast import broadcast_if_small
 from quillspark.operators.ordering import latest_per_id, newest_n_per_key
 
 # Fixed values that must equal the reference's.
 DEFAULT_BRANCH = "HEAD"
 DEFAULT_PUBLIC_EMAIL = "allUsers"
-IDENTITY_WINDOW = 50          # commits mined for login -> e-mail
-CONTRIBUTOR_WINDOW = 100      # commits scanned for contributors
-COLLABORATOR_LIMIT = 100      # collaborators resolved per repository
 EXTERNAL_GROUP_PREFIX = "external_group:"
 
 
@@ -33,18 +30,17 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def parse_repo_patterns(patterns: Sequence[str], default_branch: str = DEFAULT_BRANCH) -> list[tuple[str, str]]:
-    """Split ``pattern[:branch]`` at the first ``:`` (the reference's rule) and drop
-    patterns that do not compile, as the reference logs and skips them."""
-    out = []
-    for p in patterns:
-        pat, branch = p.split(":", 1) if ":" in p else (p, default_branch)
+def usable_patterns(spark: SparkSession, patterns: Sequence[tuple[str, str]]) -> list[tuple[str, str]]:
+    """The (pattern, branch) pairs whose pattern Spark's own regular expressions accept; the
+    others are skipped.  Each is tried on one constant row, by the engine that will run it."""
+    def accepted(pattern: str) -> bool:
         try:
-            re.compile(pat)
-        except re.error:
-            continue
-        out.append((pat, branch))
-    return out
+            spark.range(1).select(F.lit("").rlike(f"^(?:{pattern})")).collect()
+        except PySparkException:
+            return False
+        return True
+
+    return [(p, b or DEFAULT_BRANCH) for p, b in patterns if accepted(p)]
 
 
 def match_repositories(repos: DataFrame, patterns: Sequence[tuple[str, str]], name_col: str = "name",
@@ -53,7 +49,9 @@ def match_repositories(repos: DataFrame, patterns: Sequence[tuple[str, str]], na
     supplies the branch; unmatched repositories are dropped.
 
     The pattern list is configuration, so the theta join is written as one CASE
-    chain evaluated inside the scan stage: no join, no shuffle, no broadcast."""
+    chain evaluated inside the scan stage: no join, no shuffle, no broadcast.  Patterns
+    that Spark cannot compile are skipped."""
+    patterns = usable_patterns(repos.sparkSession, patterns)
     if not patterns:
         raise ValueError("Either a single repository or repository patterns must be given.")
     name = _c(name_col)
@@ -101,23 +99,32 @@ def checkpoint_lookup(df: DataFrame, checkpoints: DataFrame, key: str = "reposit
     return df.join(cp, df[key] == cp["_cp_key"], "left").drop("_cp_key")
 
 
-def mine_login_emails(logins: DataFrame, commits: DataFrame, window: int = IDENTITY_WINDOW,
-                      order: list | None = None) -> DataFrame:
-    """J5 (+A5): per repository, each collaborator login gets the e-mail from the newest
-    ``window`` commits where the login matches and the e-mail contains ``@``; reading
-    newest first with the last write winning means the *oldest* such e-mail.  Output
-    keeps every login (unresolved -> NULL) with its position.
-
-    ``logins``: (repository, pos, login); ``commits``: (repository, pos, login, email)
-    with pos 1 = newest, or any columns plus an ``order`` that sorts newest first."""
-    recent = newest_n_per_key(commits, "repository", order or [F.col("pos").asc()], window, pos_col="_wpos")
-    usable = recent.filter(F.col("login").isNotNull() & (F.col("login") != "")
-                           & F.coalesce(F.col("email").contains("@"), F.lit(False)))
-    per_login = (usable.groupBy("repository", "login")
-                 .agg(F.max_by("email", "_wpos").alias("email")))
+def mine_login_emails(logins: DataFrame, commits: DataFrame, window: int | None = None,
+                      oldest: Column | None = None, order: list | None = None) -> DataFrame:
+    """J5 (+A5): per repository, each collaborator login gets an e-mail of a commit where the
+    login matches and the e-mail contains ``@``; reading newest first with the last write
+    winning means the *oldest* such e-mail.  Output keeps every login (unresolved -> NULL)
+    with its position.
+
+    ``logins``: (repository, pos, login); ``commits``: (repository, login, email) and either
+    ``pos`` (1 = newest) or the columns of ``oldest``, a value that is largest for the oldest
+    commit.  ``window`` looks only at that many newest commits, in ``order``."""
+    oldest = F.col("pos") if oldest is None else oldest
+    if window is not None:
+        commits = newest_n_per_key(commits, "repository", order or [F.col("pos").asc()], window, pos_col="_wpos")
+        oldest = F.col("_wpos")
+    usable = commits.filter(F.col("login").isNotNull() & (F.col("login") != "")
+                            & F.coalesce(F.col("email").contains("@"), F.lit(False)))
+    per_login = email_per_login(usable, oldest)
     return logins.join(per_login, ["repository", "login"], "left").select("repository", "pos", "login", "email")
 
 
+def email_per_login(commits: DataFrame, oldest: Column | None = None) -> DataFrame:
+    """A5: per (repository, login) the e-mail seen last when reading newest first, i.e. the one
+    with the greatest ``oldest`` value (default: the position, 1 = newest)."""
+    return commits.groupBy("repository", "login").agg(F.max_by("email", F.col("pos") if oldest is None else oldest).alias("email"))
+
+
 def domain_emails(login, domain: str) -> Column:
     """``login@domain``; a NULL/empty login stays NULL.  An empty domain is an error."""
     d = domain.strip().lstrip("@")
@@ -127,35 +134,35 @@ def domain_emails(login, domain: str) -> Column:
     return F.when(F.coalesce(lg, F.lit("")) != "", F.concat(lg, F.lit("@" + d)))
 
 
-def policy_frames(spark, groups: dict | list, mappings: list[dict]) -> tuple[DataFrame, DataFrame]:
-    """Policy document -> two small frames.  ``groups``: name -> member or members;
-    ``mappings``: entries with repository, isPublic, permissions (dict or list of dicts
-    holding ``groups`` / ``emails``)."""
-    grows = []
-    # groups: a mapping name -> members, or a list of such single-entry mappings;
-    # a scalar member is accepted as a one-member list.
-    items = []
-    for entry in (groups if isinstance(groups, list) else [groups or {}]):
-        if isinstance(entry, dict):
-            items += list(entry.items())
-    for name, members in items:
-        members = members if isinstance(members, list) else [members]
-        grows += [(name, i, m) for i, m in enumerate(members)]
-    mrows = []
-    for seq, entry in enumerate(mappings or []):
-        repo = entry.get("repository")
-        if not repo:
-            continue
-        perms = entry.get("permissions") or {}
-        gs, es = [], []
-        for item in (perms if isinstance(perms, list) else [perms]):
-            if isinstance(item, dict):
-                gs += list(item.get("groups") or [])
-                es += list(item.get("emails") or [])
-        mrows.append((seq, repo, bool(entry.get("isPublic", False)), gs, es))
-    g = spark.createDataFrame(grows, "name string, pos int, email string")
-    m = spark.createDataFrame(mrows, "seq int, repository string, is_public boolean, "
-                                     "groups array<string>, emails array<string>")
+_PERMISSION = "struct<groups:array<string>,emails:array<string>>"
+
+
+def policy_frames(spark: SparkSession, groups: dict | list, mappings: list[dict]) -> tuple[DataFrame, DataFrame]:
+    """Policy document -> (groups, mappings) frames, taken apart by Spark from its JSON text.
+    ``groups``: name -> member or members, as one mapping or a list of them; ``mappings``:
+    entries with repository, isPublic, permissions (one or a list of ``groups`` / ``emails``)."""
+    policy = spark.createDataFrame([(json.dumps(groups or []), json.dumps(mappings or []))], "g string, m string")
+
+    def one_or_many(text: Column, kind: str) -> Column:
+        return F.from_json(F.when(F.ltrim(text).startswith("["), text).otherwise(F.concat(F.lit("["), text, F.lit("]"))),
+                           f"array<{kind}>")
+
+    named = policy.select(F.explode(one_or_many(F.col("g"), "map<string,string>")).alias("entry")) \
+        .select(F.explode("entry").alias("name", "members"))
+    # A single member is plain text, several are a JSON list.
+    members = F.when(F.col("members").startswith("["), F.from_json("members", "array<string>")).otherwise(F.array("members"))
+    g = named.select("name", F.posexplode(members).alias("pos", "email"))
+    entries = policy.select(F.posexplode(F.from_json(
+        "m", "array<struct<repository:string,isPublic:boolean,permissions:string>>")).alias("seq", "e")).select("seq", "e.*")
+    permissions = one_or_many(F.coalesce("permissions", F.lit("[]")), _PERMISSION)
+
+    def all_of(field: str) -> Column:
+        lists = F.transform(permissions, lambda p: F.coalesce(p[field], F.array().cast("array<string>")))
+        return F.flatten(lists)
+
+    m = entries.filter(F.coalesce("repository", F.lit("")) != "").select(
+        "seq", "repository", F.coalesce("isPublic", F.lit(False)).alias("is_public"),
+        all_of("groups").alias("groups"), all_of("emails").alias("emails"))
     return g, m
 
 
@@ -183,11 +190,11 @@ def map_repository_acl(repos: DataFrame, repo_readers: DataFrame, repo_col: str
     """Case-insensitive repository lookup, else the ``*`` entry, else empty.
 
     ``repo_readers`` has one row per repository key (J8 dedupes), so the exact lookup
-    is a size-checked broadcast join and the wildcard entry is a scalar subquery."""
-    # The expanded policy feeds a size check, the exact lookup and the wildcard subquery:
-    # materialise it once in the shared checkpoint folder.
+    is a join that Spark broadcasts only if it is small, and the wildcard entry is a scalar subquery."""
+    # The expanded policy feeds the exact lookup and the wildcard subquery: materialise it
+    # once in the shared checkpoint folder.
     repo_readers = repo_readers.select("repo_key", "readers").checkpoint(eager=True)
-    exact = broadcast_if_small(repo_readers.select(F.col("repo_key").alias("_k"), F.col("readers").alias("_exact")))
+    exact = repo_readers.select(F.col("repo_key").alias("_k"), F.col("readers").alias("_exact"))
     star = repo_readers.filter(F.col("repo_key") == "*").select("readers").scalar()
     out = repos.join(exact, F.lower(repos[repo_col]) == exact["_k"], "left").drop("_k")
     return (out.withColumn("readers", F.coalesce(F.col("_exact"), star, F.array().cast("array<string>")))
@@ -217,17 +224,23 @@ def attach_contributors(docs: DataFrame, contributors: DataFrame, repo_col: str
                           F.when(F.size(F.coalesce("contributors", F.array())) > 0, F.col("contributors")))
 
 
-def resolve_repo_readers(collaborators: DataFrame,
-                         mapper: Callable[[DataFrame], DataFrame],
-                         limit: int = COLLABORATOR_LIMIT) -> DataFrame:
-    """First ``limit`` collaborators per repository -> identity mapper ->
-    empty e-mails dropped -> ordered reader list per repository.
+def repo_reader_rows(collaborators: DataFrame, mapper: Callable[[DataFrame], DataFrame],
+                     limit: int | None = None) -> DataFrame:
+    """J13 as rows (repository, pos, email): every collaborator, or the first ``limit`` per
+    repository -> identity mapper -> empty e-mails dropped.
 
     ``collaborators``: (repository, pos, login); ``mapper`` returns (repository, pos, email)."""
-    first = newest_n_per_key(collaborators, "repository", [F.col("pos").asc()], limit, pos_col="_cpos") \
-        .drop("_cpos")
-    mapped = mapper(first).filter(F.coalesce(F.col("email"), F.lit("")) != "")
-    # Bounded by ``limit`` per repository, so the ordered collect is safe.
+    if limit is not None:
+        collaborators = newest_n_per_key(collaborators, "repository", [F.col("pos").asc()], limit,
+                                         pos_col="_cpos").drop("_cpos")
+    return mapper(collaborators).filter(F.coalesce(F.col("email"), F.lit("")) != "")
+
+
+def resolve_repo_readers(collaborators: DataFrame,
+                         mapper: Callable[[DataFrame], DataFrame],
+                         limit: int | None = None) -> DataFrame:
+    """``repo_reader_rows`` as the ordered reader list that a document's ACL holds."""
+    mapped = repo_reader_rows(collaborators, mapper, limit)
     return (mapped.groupBy("repository")
             .agg(F.array_sort(F.collect_list(F.struct("pos", "email"))).alias("_r"))
             .select("repository", F.transform("_r", lambda s: s["email"]).alias("readers")))

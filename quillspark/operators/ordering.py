@@ -68,6 +68,23 @@ def newest_n_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[Co
     return df.withColumn(pos_col, F.row_number().over(w)).filter(F.col(pos_col) <= n)
 
 
+def number_rows(sorted_df: DataFrame, name: str = "position") -> DataFrame:
+    """Rows of a globally sorted frame numbered from 0 in its order.
+
+    No single-partition window: each partition numbers its own rows and adds the row count
+    of all earlier partitions, from a table with one row per partition.  The checkpoint in
+    the shared folder pins which rows a partition has."""
+    numbered = (sorted_df.withColumn("_pid", F.spark_partition_id())
+                .withColumn("_mono", F.monotonically_increasing_id()).checkpoint(eager=True))
+    local = numbered.withColumn("_local", F.col("_mono") - F.shiftleft(F.col("_pid").cast("bigint"), 33))
+    counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_pid", F.sum("_n").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)).alias("_off"))
+    out = local.join(offsets, "_pid", "left")
+    position = F.coalesce(F.col("_off"), F.lit(0)) + F.col("_local")
+    return out.withColumn(name, position.cast("bigint")).drop("_pid", "_mono", "_local", "_off")
+
+
 def order_by_updated_desc(df: DataFrame, updated_col: str, *tiebreak: str) -> DataFrame:
     """O1: source order ``UPDATED_AT DESC`` (range-partitioned global sort)."""
     return df.orderBy(F.col(updated_col).desc(), *[F.col(t).desc() for t in tiebreak])

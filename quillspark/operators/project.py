@@ -77,9 +77,14 @@ def _dtype(df: DataFrame, name: str):
 
 # ---------------------------------------------------------------- P1 REST
 
+REST_UNDECODABLE = "content is not valid base64"
+
+
 def project_rest_document(records: DataFrame) -> DataFrame:
     """REST record -> document.  The id is required and *not* sanitized; content is
-    base64-decoded if given, else UTF-8 text, else none; ACL from C11."""
+    base64-decoded if given, else UTF-8 text, else none; ACL from C11.  A body that does
+    not decode fails the record: ``_error`` says so, NULL on all others, and
+    ``state.quarantine(docs, F.col("_error"), ...)`` parts the two."""
     r = records
     mime = F.coalesce(_opt(r, "mime"), F.lit(REST_DEFAULTS["mime"]))
     b64 = _opt(r, "content_base64")
@@ -95,10 +100,11 @@ def project_rest_document(records: DataFrame) -> DataFrame:
         F.coalesce(_opt(r, "database_cluster_node"), F.lit(REST_DEFAULTS["node"])).alias("sys_audit_node"),
     )
     perms = _opt(r, "permissions", "array<struct<email:string,type:string>>")
-    keep = [c for c in r.columns if c.startswith("_")]  # carry bookkeeping columns (_seq, _source...)
+    error = F.when(b64.isNotNull() & raw.isNull(), F.lit(REST_UNDECODABLE))
+    keep = [c for c in r.columns if c.startswith("_") and c != "_error"]  # carry bookkeeping columns (_seq, _source...)
     return (r.filter(F.coalesce(F.col("id").cast("string"), F.lit("")) != "")
              .select(F.col("id").cast("string").alias("id"), struct_data.alias("struct_data"),
-                     content.alias("content"), acl_from_permissions(perms).alias("acl_info"), *keep))
+                     content.alias("content"), acl_from_permissions(perms).alias("acl_info"), *keep, error.alias("_error")))
 
 
 # ---------------------------------------------------------------- repository documents

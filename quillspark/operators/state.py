@@ -13,7 +13,6 @@ from typing import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.operators.broadcast import broadcast_if_small
 from quillspark.operators.ordering import latest_per_id
 
 DEFAULT_TTL_SECONDS = 3600
@@ -66,10 +65,10 @@ def state_put(state: DataFrame | None, entries: DataFrame, now: float, ttl_secon
     latest_new = latest_per_id(new, "key", [F.col("_ord")]).drop("_ord")
     if state is None:
         return latest_new
-    # Written keys are usually few next to the store: a size-checked broadcast anti
-    # join keeps the live store unshuffled.
+    # Written keys are usually few next to the store; Spark broadcasts them when their
+    # size is under its threshold, and shuffles otherwise.
     untouched = state_live(state, now).select("key", "value", "expires_at") \
-        .join(broadcast_if_small(latest_new.select("key")), "key", "left_anti")
+        .join(latest_new.select("key"), "key", "left_anti")
     return untouched.unionByName(latest_new)
 
 
@@ -109,13 +108,25 @@ def enforce_error_policy(errors: DataFrame, policy: str) -> bool:
     return True
 
 
-def apply_changes(index: DataFrame, changes: DataFrame, order: list, key: str = "id",
+def apply_changes(index: DataFrame, changes: DataFrame, order: list[str], key: str = "id",
                   action_col: str = "action", propagate_deletes: bool = False) -> DataFrame:
-    """Apply upsert and delete events.  The newest event per id decides; with
-    ``propagate_deletes=False`` delete events are ignored (reference behaviour)."""
-    ch = changes if propagate_deletes else changes.filter(F.coalesce(F.col(action_col), F.lit("upsert")) != "delete")
-    latest = latest_per_id(ch, key, order)
-    upserts = latest.filter(F.coalesce(F.col(action_col), F.lit("upsert")) != "delete").drop(action_col)
-    cols = [c for c in index.columns]
-    untouched = index.join(broadcast_if_small(latest.select(key)), key, "left_anti")
-    return untouched.unionByName(upserts.select(*cols))
+    """Apply upsert and delete events to an index that holds the ``order`` columns.  The
+    newest of an id's row and events decides, so a late event never replaces a newer document.
+    A delete leaves a tombstone (``_deleted``, with its order columns), so a late upsert does
+    not bring the document back; ``live`` drops them.  With ``propagate_deletes=False`` delete
+    events are ignored (reference behaviour).  An event as new as the row wins over it."""
+    if "_deleted" not in index.columns:
+        index = index.withColumn("_deleted", F.lit(False))
+    deletes = F.coalesce(F.col(action_col), F.lit("upsert")) == "delete"
+    events = changes if propagate_deletes else changes.filter(~deletes)
+    events = events.withColumn("_deleted", deletes).drop(action_col).select(*index.columns)
+    latest = latest_per_id(events, key, [F.col(c) for c in order])
+    before = index.join(latest.select(key), key, "left_semi").withColumn("_event", F.lit(0))
+    decided = latest_per_id(before.unionByName(latest.withColumn("_event", F.lit(1))), key,
+                            [*[F.col(c) for c in order], F.col("_event")]).drop("_event")
+    return index.join(latest.select(key), key, "left_anti").unionByName(decided.select(*index.columns))
+
+
+def live(index: DataFrame) -> DataFrame:
+    """An index without its tombstones."""
+    return index.filter(~F.coalesce(F.col("_deleted"), F.lit(False))).drop("_deleted")

@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.functions.scalars import iso_datetime
-from quillspark.operators.ordering import newest_n_per_key
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -37,7 +36,8 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def rest_records(documents: DataFrame) -> DataFrame:
     """REST record per document: id ``source/doc_id`` (unsanitized), title = first line,
-    German texts arrive base64-encoded, readers = the source's user plus the language
+    German texts arrive base64-encoded, but source ``src7`` sends its own marker and plain
+    text in that field, which does not decode; readers = the source's user plus the language
     group; source ``src0`` is published to everyone."""
     d = documents
     perms = F.array(
@@ -50,7 +50,8 @@ def rest_records(documents: DataFrame) -> DataFrame:
         F.concat(F.col("source"), F.lit("/"), F.col("doc_id").cast("string")).alias("id"),
         F.substring_index(F.col("text"), "\n", 1).alias("title"),
         F.when(F.col("lang") != "de", F.col("text")).alias("content"),
-        F.when(F.col("lang") == "de", F.base64(F.encode(F.col("text"), "UTF-8"))).alias("content_base64"),
+        F.when(F.col("lang") == "de", F.when(F.col("source") == "src7", F.concat(F.lit("raw:"), "text"))
+               .otherwise(F.base64(F.encode(F.col("text"), "UTF-8")))).alias("content_base64"),
         F.col("lang").alias("department_code"),
         F.lit(None).cast("string").alias("mime"),
         F.lit(None).cast("string").alias("version"),
@@ -199,9 +200,6 @@ def repo_blobs(pages: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- conversations -> pull requests / issues
 
-THREAD_LIMIT = 50
-
-
 def _turn_struct(with_state: bool) -> Column:
     fields = [F.concat(F.lit("turn-"), F.col("turn").cast("string")).alias("createdAt"),
               F.col("text").alias("body"), F.struct(F.col("role").alias("login")).alias("author")]
@@ -210,35 +208,36 @@ def _turn_struct(with_state: bool) -> Column:
     return F.struct(F.col("turn"), *fields)
 
 
-def _thread(turns: DataFrame, with_state: bool, name: str) -> DataFrame:
-    """First ``THREAD_LIMIT`` turns per conversation as an ordered array (bounded)."""
-    first = newest_n_per_key(turns, "conv_id", [F.col("turn").asc()], THREAD_LIMIT, pos_col="_tpos")
-    return (first.groupBy("conv_id")
-            .agg(F.array_sort(F.collect_list(_turn_struct(with_state))).alias("_t"))
-            .select("conv_id", F.transform("_t", lambda s: s.dropFields("turn")).alias(name)))
+def _thread(cond: Column, with_state: bool) -> Column:
+    """The turns that meet ``cond``, in order: they are the text of one document."""
+    return F.array_sort(F.collect_list(F.when(cond, _turn_struct(with_state))))
 
 
 def pull_requests(conversations: DataFrame, with_reviews: bool = True) -> DataFrame:
-    """Conversation = pull request (issue when ``with_reviews`` is False): turn 0 opens
-    it, later turns are comments; with reviews, system turns are reviews."""
+    """Conversation = pull request (issue when ``with_reviews`` is False): its first turn
+    opens it, the others are comments; with reviews, later system turns are reviews.
+
+    One aggregate by conversation; the first turn is told from the others afterwards."""
     conv = conversations.select("conv_id", "turn", "role", "text")
-    head = conv.filter(F.col("turn") == 0).select(
-        "conv_id", F.substring_index("text", "\n", 1).alias("title"), F.col("text").alias("body"),
-        F.struct(F.col("role").alias("login"), F.lit(None).cast("string").alias("email")).alias("author"))
-    later = conv.filter(F.col("turn") >= 1)
-    if with_reviews:
-        comments = _thread(later.filter(F.col("role") != "system"), False, "comments")
-        reviews = _thread(later.filter(F.col("role") == "system"), True, "reviews")
-        out = head.join(comments, "conv_id", "left").join(reviews, "conv_id", "left")
-    else:
-        out = head.join(_thread(later, False, "comments"), "conv_id", "left")
+    system = F.col("role") == "system" if with_reviews else F.lit(False)
+    by = conv.groupBy("conv_id").agg(
+        F.min(F.struct("turn", "text", "role")).alias("head"),
+        _thread(~system, False).alias("comments"), _thread(system, True).alias("reviews"))
+    first = F.col("head")["turn"]
+
+    def later(name: str) -> Column:
+        return F.transform(F.filter(name, lambda s: s["turn"] > first), lambda s: s.dropFields("turn"))
+
+    out = by.select(
+        "conv_id", F.substring_index("head.text", "\n", 1).alias("title"), F.col("head.text").alias("body"),
+        F.struct(F.col("head.role").alias("login"), F.lit(None).cast("string").alias("email")).alias("author"),
+        later("comments").alias("comments"), later("reviews").alias("reviews"))
     kind = "pr" if with_reviews else "issue"
     return out.select(
         F.concat(F.lit("org/threads:" + kind + ":"), F.col("conv_id").cast("string")).alias("id"),
         F.col("conv_id").alias("number"), "title", "body", F.lit("OPEN").alias("state"),
         F.lit(None).cast("string").alias("created_at"), F.lit(None).cast("string").alias("updated_at"),
-        "author", F.coalesce("comments", F.array()).alias("comments"),
-        *([F.coalesce("reviews", F.array()).alias("reviews")] if with_reviews else []),
+        "author", "comments", *(["reviews"] if with_reviews else []),
         F.lit("org/threads").alias("repository"))
 
 
@@ -264,3 +263,8 @@ def commit_history(events: DataFrame) -> DataFrame:
 
 def newest_first() -> list[Column]:
     return [F.col("ts").desc(), F.col("event_id").desc()]
+
+
+def age() -> Column:
+    """A value that is largest for the oldest commit."""
+    return F.struct(-F.unix_micros(F.col("ts").cast("timestamp")), -F.col("event_id"))

@@ -10,7 +10,7 @@ from quillspark.operators import aggregates as AG
 from quillspark.operators import project as P
 from quillspark.operators import state as ST
 from quillspark.plans import bindings as B
-from quillspark.plans.catalog import SQL_ENTITY, SQL_REST, _t, query, rest_pipeline_outcomes, shared
+from quillspark.plans.catalog import SQL_ENTITY, SQL_REST, SQL_REST_ALL, _t, query, rest_pipeline_outcomes, shared
 from quillspark.session import scratch_dir
 from quillspark.sinks import index as K
 
@@ -22,7 +22,10 @@ CASE WHEN source = 'src0' THEN 'PUBLIC'
 
 @shared
 def rest_documents(spark: SparkSession, sf: str) -> DataFrame:
-    return P.project_rest_document(B.rest_records(_t(spark, sf, "documents")))
+    """The documents that could be projected (the good side of I6)."""
+    good, _bad = ST.quarantine(P.project_rest_document(B.rest_records(_t(spark, sf, "documents"))),
+                               F.col("_error"), "rest_transformer")
+    return good
 
 
 @query("project_rest_document", f"""
@@ -43,7 +46,7 @@ def q_rest(spark, sf):
 @query("acl_from_permissions", f"""
 SELECT id, {SQL_REST_ACL} AS acl,
        CASE WHEN source = 'src0' THEN 0 ELSE 2 END AS n_principals
-FROM ({SQL_REST})
+FROM ({SQL_REST_ALL})
 """)
 def q_acl_perms(spark, sf):
     r = B.rest_records(_t(spark, sf, "documents"))
@@ -52,14 +55,14 @@ def q_acl_perms(spark, sf):
 
 
 @query("chain_transforms", f"""
-SELECT id, title FROM ({SQL_REST}) WHERE n_chars >= 50
+SELECT id, title FROM ({SQL_REST})
 """)
 def q_chain(spark, sf):
     """Projections applied in order; a step returning no row drops the record."""
     steps = (
         B.rest_records,
-        lambda df: df.filter(F.col("_n_chars") >= 50),
         P.project_rest_document,
+        lambda df: df.filter(F.col("_error").isNull()),
         lambda df: df.filter(F.col("acl_info").isNotNull()),
     )
     out = P.chain_transforms(_t(spark, sf, "documents"), *steps)
@@ -113,7 +116,7 @@ def q_index_replace(spark, sf):
 
 
 @query("upload_summary", f"""
-SELECT 'PARQUET' AS destination_format, (SELECT count(*) FROM documents) AS total_records_indexed,
+SELECT 'PARQUET' AS destination_format, (SELECT count(*) FROM ({SQL_REST})) AS total_records_indexed,
        (SELECT count(*) FROM ({SQL_LABELLED})) AS records_synced_this_run,
        'INCREMENTAL' AS reconciliation_mode, 'success' AS status
 """)
@@ -122,24 +125,27 @@ def q_upload_summary(spark, sf):
     root = _index_root(spark, "index-summary")
     base = rest_documents(spark, sf).select("id", "struct_data", "content", "acl_info", "_seq")
     K.sync_index(spark, root, base, mode="FULL", staging_root=root + "/_staging")
-    delta = _labelled_delta(spark, sf)
-    merged = K.index_upsert(K.read_index(spark, root), delta, order=["_seq"])
-    version = K.publish(spark, merged, root)
-    return K.upload_summary(spark.read.parquet(version), delta, "INCREMENTAL")
+    summary = K.sync_index(spark, root, _labelled_delta(spark, sf), mode="INCREMENTAL", order=["_seq"])
+    return K.upload_summary(spark, summary)
 
 
 @query("write_ndjson", f"""
-SELECT id, title, 'text/html' AS mime_type, octet_length(encode(text)) AS content_len FROM ({SQL_REST})
+SELECT id, title, 'text/html' AS mime_type, octet_length(encode(text)) AS content_len, {SQL_REST_ACL} AS acl FROM ({SQL_REST})
 """)
 def q_ndjson(spark, sf):
-    """K3: NDJSON lines (bytes as base64), read back from the written files."""
+    """K3: NDJSON lines (camelCase names, bytes as base64), read back from the written files."""
     path = scratch_dir(spark, "ndjson")
     K.write_ndjson(rest_documents(spark, sf).select("id", "struct_data", "content", "acl_info"), path)
-    back = spark.read.schema("id string, struct_data struct<title:string, mimeType:string>, "
-                             "content struct<mime_type:string, raw_bytes:string>").json(path)
-    return back.select("id", F.col("struct_data")["title"].alias("title"),
-                       F.col("struct_data")["mimeType"].alias("mime_type"),
-                       F.octet_length(F.unbase64(F.col("content")["raw_bytes"])).cast("bigint").alias("content_len"))
+    back = spark.read.schema("id string, structData struct<title:string, mimeType:string>, "
+                             "content struct<mimeType:string, rawBytes:string>, aclInfo struct<readers:array<struct<"
+                             "idpWide:boolean, principals:array<struct<userId:string, groupId:string>>>>>").json(path)
+    reader = F.element_at("aclInfo.readers", 1)
+    principals = F.transform(reader["principals"], lambda p: F.coalesce(
+        F.concat(F.lit("user:"), p["userId"]), F.concat(F.lit("group:"), p["groupId"])))
+    return back.select("id", F.col("structData")["title"].alias("title"),
+                       F.col("structData")["mimeType"].alias("mime_type"),
+                       F.octet_length(F.unbase64(F.col("content")["rawBytes"])).cast("bigint").alias("content_len"),
+                       F.when(reader["idpWide"], F.lit("PUBLIC")).otherwise(F.array_join(principals, ",")).alias("acl"))
 
 
 @query("assign_batches", f"""
@@ -188,45 +194,40 @@ def q_split(spark, sf):
 
 # ---------------------------------------------------------------- telemetry
 
-@query("run_metrics", """
-SELECT count(*) AS fetched, count(*) FILTER (WHERE n_chars >= 50) AS transformed,
-       count(*) FILTER (WHERE n_chars < 50) AS failed, CAST(0 AS BIGINT) AS skipped,
-       count(*) FILTER (WHERE n_chars >= 50) AS uploaded
-FROM documents
+@query("run_metrics", f"""
+SELECT count(*) AS fetched, count(*) FILTER (WHERE NOT failed) AS transformed,
+       count(*) FILTER (WHERE failed) AS failed, CAST(0 AS BIGINT) AS skipped,
+       count(*) FILTER (WHERE NOT failed) AS uploaded
+FROM ({SQL_REST_ALL})
 """)
 def q_metrics(spark, sf):
     return AG.run_metrics(rest_pipeline_outcomes(spark, sf))
 
 
 @query("quarantine", f"""
-SELECT id FROM ({SQL_REST}) WHERE n_chars >= 50
+SELECT id FROM ({SQL_REST})
 """)
 def q_quarantine(spark, sf):
     """Validation splits good rows from error rows; the good side continues."""
-    docs = rest_documents(spark, sf)
-    good, _bad = ST.quarantine(docs, F.when(F.col("_n_chars") < 50, F.lit("content shorter than 50 characters")),
-                               "rest_transformer")
-    return good.select("id")
+    return rest_documents(spark, sf).select("id")
 
 
 @query("error_table", f"""
-SELECT 'rest_transformer' AS component, id AS item_id, 'ValidationError' AS error_type,
-       'content shorter than 50 characters' AS message
-FROM ({SQL_REST}) WHERE n_chars < 50
+SELECT 'rest_transformer' AS component, id AS item_id, 'ValueError' AS error_type,
+       'content is not valid base64' AS message
+FROM ({SQL_REST_ALL}) WHERE failed
 """)
 def q_errors(spark, sf):
     """A3: one row per failed record, item id from ``id``."""
-    docs = rest_documents(spark, sf)
-    _good, bad = ST.quarantine(docs, F.when(F.col("_n_chars") < 50, F.lit("content shorter than 50 characters")),
-                               "rest_transformer")
-    return bad
+    failed = rest_pipeline_outcomes(spark, sf).filter(F.col("status") == "failed")
+    return AG.error_table(failed, "rest_transformer")
 
 
-@query("run_report", """
-SELECT 'run-rest' AS run_id, 'rest documents' AS name, count(*) FILTER (WHERE n_chars < 50) = 0 AS success,
-       count(*) FILTER (WHERE n_chars < 50) AS error_count, count(DISTINCT source) AS n_sources,
-       count(*) AS fetched, count(*) FILTER (WHERE n_chars >= 50) AS transformed
-FROM documents
+@query("run_report", f"""
+SELECT 'run-rest' AS run_id, 'rest documents' AS name, count(*) FILTER (WHERE failed) = 0 AS success,
+       count(*) FILTER (WHERE failed) AS error_count, count(DISTINCT source) AS n_sources,
+       count(*) AS fetched, count(*) FILTER (WHERE NOT failed) AS transformed
+FROM ({SQL_REST_ALL})
 """)
 def q_report(spark, sf):
     """One-line run report."""

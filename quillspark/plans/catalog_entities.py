@@ -218,17 +218,12 @@ def rejected(spark: SparkSession, sf: str) -> DataFrame:
     return r.withColumn("reason", reason).filter(F.col("reason").isNotNull())
 
 
-@query("drop_private_without_principals", f"""
-SELECT seq, entityType || '-' || id AS doc_id FROM ({SQL_ENTITY})
-WHERE coalesce(action, 'upsert') <> 'delete' AND entityType IN ('initiative', 'commitment', 'launch')
-  AND private AND len(allowedUsers) + coalesce(len(allowedGroups), 0) = 0 AND coalesce(ownerEmail, '') = ''
-""")
+@query("drop_private_without_principals", f"SELECT seq, doc_id FROM ({SQL_ENTITY_DOCS})")
 def q_drop_private(spark, sf):
-    """F8: the rows dropped because they are private with nobody to grant to."""
+    """F8: the documents left when the private ones with nobody to grant to are dropped."""
     r = FL.drop_unmapped_entities(FL.drop_deletes(rows(spark, sf)), KNOWN)
-    proj = P.project_entities(r, KNOWN)
-    dropped = proj.filter(F.col("acl_info").isNull())  # complement of FL.drop_private_without_principals
-    return dropped.select(F.col("_seq").alias("seq"), F.col("id").alias("doc_id"))
+    kept = FL.drop_private_without_principals(P.project_entities(r, KNOWN))
+    return kept.select(F.col("_seq").alias("seq"), F.col("id").alias("doc_id"))
 
 
 @query("skip_reasons", f"""
@@ -308,15 +303,13 @@ def q_visible(spark, sf):
     return J.visible_counts(latest(spark, sf, "acl_info"), users)
 
 
+# The newest row of an id decides, whether it is in the index or in the feed; at the same time the feed wins.
 SQL_APPLY_CHANGES = f"""
 WITH r AS ({SQL_ENTITY}),
-m AS (SELECT *, entityType || '-' || id AS doc_id FROM r WHERE entityType IN ('initiative', 'commitment', 'launch', 'person')),
-idx AS (SELECT doc_id, title FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY updatedAt DESC, seq DESC) rn
-                                   FROM m WHERE o_orderstatus = 'F') WHERE rn = 1),
-ch AS (SELECT doc_id, title, action FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY updatedAt DESC, seq DESC) rn
-                                          FROM m WHERE o_orderstatus IN ('O', 'P')) WHERE rn = 1)
-SELECT doc_id, title FROM idx WHERE doc_id NOT IN (SELECT doc_id FROM ch)
-UNION ALL SELECT doc_id, title FROM ch WHERE action <> 'delete'
+m AS (SELECT *, entityType || '-' || id AS doc_id FROM r WHERE entityType IN ('initiative', 'commitment', 'launch', 'person'))
+SELECT doc_id, title FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY updatedAt DESC, seq DESC, action IS NOT NULL DESC) rn FROM m)
+WHERE rn = 1 AND coalesce(action, 'upsert') <> 'delete'
 """
 
 
@@ -327,10 +320,13 @@ def q_apply_changes(spark, sf):
     r = FL.drop_unmapped_entities(rows(spark, sf), KNOWN) \
         .withColumn("doc_id", F.concat(F.col("entityType"), F.lit("-"), F.col("id")))
     base = r.filter(F.col("action").isNull()).select("doc_id", "title", "updatedAt", "_seq")
-    index = O.latest_per_id(base, "doc_id", [F.col("updatedAt"), F.col("_seq")]).select("doc_id", "title")
+    index = O.latest_per_id(base, "doc_id", [F.col("updatedAt"), F.col("_seq")])
     changes = r.filter(F.col("action").isNotNull()).select("doc_id", "title", "action", "updatedAt", "_seq")
-    return ST.apply_changes(index, changes, [F.col("updatedAt"), F.col("_seq")], key="doc_id",
-                            propagate_deletes=True)
+    applied = index
+    for part in range(3):  # three batches, with late events in each
+        batch = changes.filter(F.pmod(F.col("_seq"), F.lit(3)) == part)
+        applied = ST.apply_changes(applied, batch, ["updatedAt", "_seq"], key="doc_id", propagate_deletes=True)
+    return ST.live(applied).select("doc_id", "title")
 
 
 @query("apply_changes_stream", SQL_APPLY_CHANGES)
@@ -346,10 +342,11 @@ def q_apply_changes_stream(spark, sf):
     root, changes_dir, ckpt = (scratch_dir(spark, n) for n in ("stream-index", "stream-changes", "stream-ckpt"))
     base = r.filter(F.col("action").isNull()).select("doc_id", "title", "updatedAt", "_seq")
     K.publish(spark, O.latest_per_id(base, "doc_id", [F.col("updatedAt"), F.col("_seq")])
-              .select("doc_id", "title", "updatedAt", "_seq"), root)
+              .select("doc_id", "title", "updatedAt", "_seq").withColumn("_deleted", F.lit(False)), root, key="doc_id")
     feed = r.filter(F.col("action").isNotNull()).select("doc_id", "title", "action", "updatedAt", "_seq")
-    feed.write.json(changes_dir)
-    q = start_change_stream(spark, changes_dir, feed.schema, root, ckpt, key="doc_id",
-                            order=("updatedAt", "_seq"), propagate_deletes=True)
-    q.awaitTermination()
-    return K.read_index(spark, root).select("doc_id", "title")
+    for part in range(2):  # two batches, with late events in both
+        feed.filter(F.pmod(F.col("_seq"), F.lit(2)) == part).write.mode("append").json(changes_dir)
+        q = start_change_stream(spark, changes_dir, feed.schema, root, ckpt, key="doc_id",
+                                order=("updatedAt", "_seq"), propagate_deletes=True)
+        q.awaitTermination()
+    return ST.live(K.read_index(spark, root)).select("doc_id", "title")

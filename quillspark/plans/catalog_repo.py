@@ -120,29 +120,28 @@ def q_cache(spark, sf):
     return hit_ids.unionByName(misses.select("page_id", F.lit("miss").alias("status")))
 
 
-REPO_PATTERNS = ["blog/th:develop", "m/:mobile", "www/", "th", "[:broken"]
+REPO_PATTERNS = [("blog/th", "develop"), ("m/", "mobile"), ("www/", None), ("th", None), ("[", "broken")]
 
-
-def _sql_case_patterns() -> str:
-    parts = []
-    for pat, branch in J.parse_repo_patterns(REPO_PATTERNS):
-        parts.append(f"WHEN regexp_matches(repository, '^(?:{pat})') THEN '{branch}'")
-    return "CASE " + " ".join(parts) + " END"
+# Written by hand: the broken pattern is skipped, a missing branch is HEAD.
+SQL_CASE_PATTERNS = """
+CASE WHEN starts_with(repository, 'blog/th') THEN 'develop' WHEN starts_with(repository, 'm/') THEN 'mobile'
+     WHEN starts_with(repository, 'www/') THEN 'HEAD' WHEN starts_with(repository, 'th') THEN 'HEAD' END
+"""
 
 
 @query("match_repositories", f"""
-SELECT repository, branch FROM (SELECT DISTINCT repository, {_sql_case_patterns()} AS branch FROM ({SQL_PAGES}))
+SELECT repository, branch FROM (SELECT DISTINCT repository, {SQL_CASE_PATTERNS} AS branch FROM ({SQL_PAGES}))
 WHERE branch IS NOT NULL
 """)
 def q_match_repos(spark, sf):
     """Ordered, start-anchored patterns; first match supplies the branch; an invalid
     pattern is skipped."""
     repos = B.repo_entries(_t(spark, sf, "pages")).select("repository").distinct()
-    return J.match_repositories(repos, J.parse_repo_patterns(REPO_PATTERNS), "repository")
+    return J.match_repositories(repos, REPO_PATTERNS, "repository")
 
 
 @query("resolve_branch", f"""
-WITH m AS (SELECT DISTINCT repository, host, {_sql_case_patterns()} AS branch FROM ({SQL_PAGES})),
+WITH m AS (SELECT DISTINCT repository, host, {SQL_CASE_PATTERNS} AS branch FROM ({SQL_PAGES})),
 d AS (SELECT repository, CASE WHEN suffix(host, '.com') THEN 'trunk' WHEN suffix(host, '.net') THEN 'main' END
       AS default_branch FROM m)
 SELECT m.repository, CASE WHEN m.branch = 'HEAD' THEN d.default_branch ELSE m.branch END AS branch
@@ -153,20 +152,21 @@ def q_resolve_branch(spark, sf):
     """HEAD replaced by the repository's default branch; unresolvable -> skipped."""
     pages = _t(spark, sf, "pages")
     repos = pages.select(B.page_repository(F.col("url")).alias("repository"), B.page_host(F.col("url")).alias("host")).distinct()
-    targets = J.match_repositories(repos.select("repository"), J.parse_repo_patterns(REPO_PATTERNS), "repository")
+    targets = J.match_repositories(repos.select("repository"), REPO_PATTERNS, "repository")
     defaults = repos.select("repository", F.when(F.col("host").endswith(".com"), F.lit("trunk"))
                             .when(F.col("host").endswith(".net"), F.lit("main")).alias("default_branch"))
     return J.resolve_branch(targets, defaults).select("repository", "branch")
 
 
 @query("breadth_first_listing", f"""
-SELECT repository, len(string_split(path, '/')) AS depth, path
+SELECT repository, len(string_split(path, '/')) AS depth, path,
+       row_number() OVER (ORDER BY repository, len(string_split(path, '/')), path) - 1 AS position
 FROM ({SQL_PAGES}) WHERE NOT is_binary AND {SQL_PATH_INCLUDED} AND NOT ({SQL_PATH_EXCLUDED})
 """)
 def q_bfs(spark, sf):
     """O2: files level by level (depth, then path) per repository."""
-    f = O.breadth_first_listing(files(spark, sf))
-    return f.select("repository", O.path_depth("path").cast("bigint").alias("depth"), "path")
+    f = O.number_rows(O.breadth_first_listing(files(spark, sf).select("repository", "path")))
+    return f.select("repository", O.path_depth("path").cast("bigint").alias("depth"), "path", "position")
 
 
 @query("project_file_document", f"""
@@ -190,16 +190,13 @@ def q_file_doc(spark, sf):
 SQL_THREAD = """
 SELECT conv_id, string_agg('- [turn-' || CAST(turn AS VARCHAR) || '] ' || role || ': ' || text, chr(10) ORDER BY turn) AS lines,
        count(*) AS n
-FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn FROM conversations WHERE {cond})
-WHERE rn <= 50 GROUP BY conv_id
+FROM conversations WHERE {cond} GROUP BY conv_id
 """
 
 SQL_REVIEWS = """
 SELECT conv_id, string_agg('- [turn-' || CAST(turn AS VARCHAR) || '] ' || role || ' (COMMENTED): ' || text, chr(10) ORDER BY turn)
        AS lines, count(*) AS n
-FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn FROM conversations
-      WHERE turn >= 1 AND role = 'system')
-WHERE rn <= 50 GROUP BY conv_id
+FROM conversations WHERE turn >= 1 AND role = 'system' GROUP BY conv_id
 """
 
 
@@ -236,7 +233,7 @@ def issues(spark: SparkSession, sf: str) -> DataFrame:
 SELECT raw_id AS id, number, n_comments, n_reviews, body_len FROM ({_sql_discussion('pr')})
 """)
 def q_scan_prs(spark, sf):
-    """Pull-request records with at most 50 comments and 50 reviews each."""
+    """Pull-request records with all their comments and reviews."""
     p = prs(spark, sf)
     return p.select("id", "number", F.size("comments").cast("bigint").alias("n_comments"),
                     F.size("reviews").cast("bigint").alias("n_reviews"),
@@ -247,7 +244,7 @@ def q_scan_prs(spark, sf):
 SELECT raw_id AS id, number, n_comments FROM ({_sql_discussion('issue')})
 """)
 def q_scan_issues(spark, sf):
-    """Issue records with at most 50 comments each."""
+    """Issue records with all their comments."""
     i = issues(spark, sf)
     return i.select("id", "number", F.size("comments").cast("bigint").alias("n_comments"))
 
@@ -353,15 +350,14 @@ def q_newest_n(spark, sf):
 SQL_CONTRIB = f"""
 SELECT repository, array_to_string(list_sort(list_distinct(list(email) FILTER (WHERE contains(email, '@')))), ',')
        AS contributors
-FROM (SELECT *, row_number() OVER (PARTITION BY repository ORDER BY ts DESC, event_id DESC) AS pos FROM ({SQL_COMMITS}))
-WHERE pos <= 100 GROUP BY repository HAVING count(*) FILTER (WHERE contains(email, '@')) > 0
+FROM ({SQL_COMMITS}) GROUP BY repository HAVING count(*) FILTER (WHERE contains(email, '@')) > 0
 """
 
 
 @query("repo_contributors", SQL_CONTRIB)
 def q_contrib(spark, sf):
-    """A4: sorted distinct author e-mails with ``@`` in the newest 100 commits."""
-    c = AG.repo_contributors(commits(spark, sf), 100, B.newest_first())
+    """A4: sorted distinct author e-mails with ``@`` over all commits."""
+    c = AG.repo_contributors(commits(spark, sf))
     return c.select("repository", F.array_join("contributors", ",").alias("contributors"))
 
 
@@ -372,7 +368,7 @@ FROM ({SQL_EMITTED_COMMITS}) e LEFT JOIN ({SQL_CONTRIB}) k ON e.repository = k.r
 def q_attach_contrib(spark, sf):
     """Documents carry their repository's contributor list."""
     recs = SF.scan_commits(emitted_commits(spark, sf))
-    contrib = AG.repo_contributors(commits(spark, sf), 100, B.newest_first())
+    contrib = AG.repo_contributors(commits(spark, sf))
     out = J.attach_contributors(recs, contrib)
     return out.select("id", F.array_join("contributors", ",").alias("contributors"))
 
@@ -386,7 +382,7 @@ SELECT repository, login, email FROM (
 def q_email_per_login(spark, sf):
     """A5: per login the e-mail written last when reading newest first (the oldest)."""
     c = commits(spark, sf).filter(F.col("login").isNotNull() & F.col("email").contains("@"))
-    return c.groupBy("repository", "login").agg(F.min_by("email", F.struct("ts", "event_id")).alias("email"))
+    return J.email_per_login(c, B.age())
 
 
 def collaborators(spark: SparkSession, sf: str) -> DataFrame:
@@ -401,7 +397,7 @@ def collaborators(spark: SparkSession, sf: str) -> DataFrame:
 
 SQL_MINED = f"""
 WITH c AS (SELECT *, row_number() OVER (PARTITION BY repository ORDER BY ts DESC, event_id DESC) AS pos FROM ({SQL_COMMITS})),
-w AS (SELECT * FROM c WHERE pos <= 50 AND login IS NOT NULL AND contains(email, '@')),
+w AS (SELECT * FROM c WHERE login IS NOT NULL AND contains(email, '@')),
 e AS (SELECT repository, login, email FROM (SELECT *, row_number() OVER (PARTITION BY repository, login ORDER BY pos DESC) rn
                                             FROM w) WHERE rn = 1),
 u AS (SELECT DISTINCT user_id FROM events),
@@ -413,8 +409,8 @@ SELECT l.repository, l.pos, l.login, e.email FROM l LEFT JOIN e ON l.repository
 
 @query("mine_login_emails", SQL_MINED)
 def q_mine(spark, sf):
-    """Collaborator logins -> e-mail mined from the newest 50 commits."""
-    return J.mine_login_emails(collaborators(spark, sf), commits(spark, sf), 50, B.newest_first())
+    """Collaborator logins -> e-mail mined from all commits."""
+    return J.mine_login_emails(collaborators(spark, sf), commits(spark, sf), oldest=B.age())
 
 
 @query("domain_emails", f"""
@@ -432,9 +428,9 @@ SELECT repository, array_to_string(list(email ORDER BY pos), ',') AS readers,
 FROM ({SQL_MINED}) WHERE coalesce(email, '') <> '' GROUP BY repository
 """)
 def q_readers(spark, sf):
-    """J13 (+C10): first 100 collaborators -> commit-mining mapper -> reader list -> ACL."""
+    """J13 (+C10): collaborators -> commit-mining mapper -> reader list -> ACL."""
     c = commits(spark, sf)
-    mapper = lambda logins: J.mine_login_emails(logins, c, 50, B.newest_first())
+    mapper = lambda logins: J.mine_login_emails(logins, c, oldest=B.age())
     r = J.resolve_repo_readers(collaborators(spark, sf), mapper)
     return r.select("repository", F.array_join("readers", ",").alias("readers"),
                     A.acl_summary(A.acl_from_emails("readers")).alias("acl"))
@@ -450,7 +446,7 @@ WHERE coalesce(email, '') <> '' GROUP BY repository
 def q_acl_principals(spark, sf):
     """Reader lists become principals; an ``allUsers`` reader makes the document public."""
     c = commits(spark, sf)
-    mined = J.mine_login_emails(collaborators(spark, sf), c, 50, B.newest_first())
+    mined = J.mine_login_emails(collaborators(spark, sf), c, oldest=B.age())
     marked = mined.withColumn("email", F.when((F.col("pos") == 2) & F.col("repository").endswith("7"),
                                               F.lit("allUsers")).otherwise(F.col("email")))
     kept = marked.filter(F.coalesce("email", F.lit("")) != "")
@@ -575,11 +571,11 @@ def q_next_cp(spark, sf):
 
 
 @query("order_by_updated_desc", """
-SELECT event_id, ts FROM events
+SELECT event_id, ts, row_number() OVER (ORDER BY ts DESC, event_id DESC) - 1 AS position FROM events
 """)
 def q_order_desc(spark, sf):
     """O1: newest first (a range-partitioned global sort)."""
-    return O.order_by_updated_desc(_t(spark, sf, "events").select("event_id", "ts"), "ts", "event_id")
+    return O.number_rows(O.order_by_updated_desc(_t(spark, sf, "events").select("event_id", "ts"), "ts", "event_id"))
 
 
 @query("union_discussions", f"""

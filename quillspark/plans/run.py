@@ -38,12 +38,13 @@ class RunResult:
 
 def sync_run(spark: SparkSession, records: DataFrame, steps: Sequence[Callable[[DataFrame], DataFrame]],
              index_root: str, mode: str = "INCREMENTAL", validate: Column | None = None,
-             order: Sequence[str] = (), source_col: str | None = None, error_policy: str = "skip_and_log",
+             order: Sequence[str] = ("_rec",), source_col: str | None = None, error_policy: str = "skip_and_log",
              state: DataFrame | None = None, checkpoint_kind: str | None = None,
              checkpoint_key: str = "repository", updated_col: str = "updated_at",
              component: str = "transformer", name: str = "sync") -> RunResult:
     """Run one sync.  ``validate`` is a string column (NULL = valid) evaluated on the
-    transformed documents; rows dropped by the steps count as skipped.  Steps must
+    transformed documents; rows dropped by the steps count as skipped.  Without another
+    ``order`` the last record of an id, as fetched, wins.  Steps must
     keep underscore-prefixed columns (the projections in ``operators.project`` do)."""
     run_id = f"run-{uuid.uuid4().hex[:12]}"
     started = time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime())
@@ -62,6 +63,8 @@ def sync_run(spark: SparkSession, records: DataFrame, steps: Sequence[Callable[[
     ST.enforce_error_policy(errors, "skip_and_log" if error_policy == "fail_on_any_error" else error_policy)
 
     sink_cols = [c for c in good.columns if not c.startswith("_") or c in order]
+    if "_rec" in order and mode.upper() == "FULL":
+        sink_cols.remove("_rec")
     summary = K.sync_index(spark, index_root, good.select(*sink_cols), mode=mode,
                            staging_root=f"{index_root.rstrip('/')}/_staging", order=list(order))
 

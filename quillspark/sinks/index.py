@@ -1,51 +1,58 @@
 """Index sinks (survey K1-K9).
 
-The index is a Parquet table keyed by ``id``.  Every write goes to a fresh
-version folder under the index root and a one-line pointer names the current
-version, so a merge never overwrites the path it is reading and a failed write
-leaves the previous version current.  All folders live under the shared
-checkpoint location on a cluster.
+The index is a Parquet table keyed by ``id`` and split by hash of the id into
+``BUCKETS`` buckets.  A *manifest* says which folder holds each bucket and how many
+rows it has.  A run writes the buckets it touches to a fresh version folder; the
+new manifest keeps the others where they are, so a small delta rewrites only what
+it changes.  Manifests are files numbered upwards and created without overwriting:
+the highest number is the current index, a run that fails leaves the previous one,
+and of two concurrent writers the second fails.  Only a root without any version is
+a new index; a missing, empty or unreadable manifest beside versions is an error.
+All folders live under the shared checkpoint location on a cluster.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillspark.functions.scalars import decode_text
-from quillspark.operators.broadcast import broadcast_if_small
-from quillspark.operators.ordering import latest_per_id
+from quillspark.operators.ordering import latest_per_id, number_rows
 
 UPLOAD_BATCH_SIZE = 100
-MAX_BROADCAST_IDS = 2_000_000
+#: Buckets of a new index; an index keeps the number it was made with.
+BUCKETS = 32
+_BUCKET = "_bucket"
 
 
-def index_upsert(existing: DataFrame | None, new: DataFrame, key: str = "id", order: list | None = None) -> DataFrame:
+class IndexStateError(RuntimeError):
+    """The index cannot be read, or another writer was first."""
+
+
+def newest_documents(new: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """This run's documents: those with an id, the last one per id by ``order``."""
+    if not order:
+        raise ValueError("an order column is needed to tell which document of an id is the last")
+    missing = [c for c in order if c not in new.columns]
+    if missing:
+        raise ValueError(f"order column {missing[0]!r} missing")
+    return latest_per_id(new.filter(F.coalesce(F.col(key), F.lit("")) != ""), key, [F.col(c) for c in order])
+
+
+def index_upsert(existing: DataFrame | None, new: DataFrame, key: str = "id", order: list[str] | None = None) -> DataFrame:
     """K1 (INCREMENTAL): existing index overlaid by this run's documents; last one per
-    id wins; documents without id are dropped; nothing is deleted.
-
-    One shuffle on ``id``: both sides are unioned with a generation tag and reduced
-    with ``max_by`` (partial aggregation handles a hot id)."""
-    order = order or []
-    fresh = new.filter(F.coalesce(F.col(key), F.lit("")) != "")
-    for c in order:
-        if c not in fresh.columns:
-            raise ValueError(f"order column {c!r} missing")
-    # Without an explicit order the winner must still be deterministic (a retried task
-    # has to pick the same row): fall back to a hash of the payload.
-    ordering = [F.col(c) for c in order] or [F.xxhash64(*[F.col(c) for c in fresh.columns if c != key])]
-    latest_new = latest_per_id(fresh, key, ordering)
+    id by ``order`` (required) wins; documents without id are dropped; nothing is deleted."""
+    fresh = newest_documents(new, key, order or [])
     if existing is None:
-        return latest_new
-    # The run's ids are usually far fewer than the index: a size-checked broadcast
-    # anti join leaves the existing index unshuffled; a large run falls back to a
-    # shuffle join.
-    replaced = broadcast_if_small(latest_new.select(key), MAX_BROADCAST_IDS)
-    untouched = existing.join(replaced, key, "left_anti")
-    return untouched.unionByName(latest_new, allowMissingColumns=True)
+        return fresh
+    untouched = existing.join(fresh.select(key), key, "left_anti")
+    return untouched.unionByName(fresh, allowMissingColumns=True)
 
 
 def index_replace(new: DataFrame) -> DataFrame:
@@ -67,87 +74,207 @@ def index_delete(index: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame
     return index.join(ids.select(key).distinct(), key, "left_anti")
 
 
-def _pointer_dir(root: str) -> str:
-    return f"{root.rstrip('/')}/_current"
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def current_version(spark: SparkSession, root: str) -> str | None:
-    """Folder of the current index version, or None for a new index."""
-    try:
-        rows = spark.read.text(_pointer_dir(root)).take(1)
-    except Exception:  # no pointer yet
+def _children(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _path(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def _manifest_numbers(spark: SparkSession, root: str) -> list[int]:
+    found = [re.fullmatch(r"m-(\d+)\.json", n) for n in _children(spark, f"{root}/_manifests")]
+    return sorted(int(m[1]) for m in found if m)
+
+
+def read_manifest(spark: SparkSession, root: str) -> dict | None:
+    """The current manifest, or None for a root that never had a version."""
+    root = root.rstrip("/")
+    numbers = _manifest_numbers(spark, root)
+    if not numbers:
+        lost = [n for n in _children(spark, root) if n.startswith("v-")]
+        if lost:
+            raise IndexStateError(f"{root} has versions but no manifest: {lost[:3]}")
         return None
-    return rows[0][0] if rows else None
+    fs, p = _path(spark, f"{root}/_manifests/m-{numbers[-1]:012d}.json")
+    stream = fs.open(p)
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    try:
+        return json.loads(text) | {"number": numbers[-1]}
+    except ValueError as exc:
+        raise IndexStateError(f"{p.toString()} is not a manifest") from exc
 
 
-def read_index(spark: SparkSession, root: str) -> DataFrame | None:
-    v = current_version(spark, root)
-    return spark.read.parquet(v) if v else None
+def write_manifest(spark: SparkSession, root: str, manifest: dict, after: int) -> int:
+    """Add the manifest that follows number ``after``; fails if that number is taken."""
+    number = after + 1
+    fs, final = _path(spark, f"{root}/_manifests/m-{number:012d}.json")
+    _, part = _path(spark, f"{root}/_manifests/.part-{uuid.uuid4().hex}")
+    out = fs.create(part, False)
+    out.write(bytearray(json.dumps(manifest).encode()))
+    out.close()
+    if fs.exists(final) or not fs.rename(part, final):
+        raise IndexStateError(f"another writer published version {number} of {root}")
+    return number
 
 
-def publish(spark: SparkSession, df: DataFrame, root: str) -> str:
-    """Write ``df`` as a new version folder and move the pointer to it."""
-    version = f"{root.rstrip('/')}/v-{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
-    df.write.mode("errorifexists").parquet(version)
-    point_to(spark, root, version)
-    return version
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """Folder written by the last run, or None for a new index."""
+    m = read_manifest(spark, root)
+    return m["version"] if m else None
+
+
+def _read_buckets(spark: SparkSession, manifest: dict, buckets: list[int] | None = None) -> DataFrame:
+    schema = T.StructType.fromJson(manifest["schema"])
+    wanted = manifest["buckets"].items() if buckets is None else [(str(b), manifest["buckets"][str(b)]) for b in buckets if str(b) in manifest["buckets"]]
+    paths = [f"{x['folder']}/{_BUCKET}={b}" for b, x in wanted]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
-def point_to(spark: SparkSession, root: str, version: str) -> None:
-    """Make ``version`` current (a one-line pointer, written only after the data)."""
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(_pointer_dir(root))
+def read_index(spark: SparkSession, root: str) -> DataFrame | None:
+    m = read_manifest(spark, root)
+    return _read_buckets(spark, m) if m else None
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
+
+
+def _write_buckets(df: DataFrame, folder: str, key: str, buckets: int) -> dict:
+    """Write ``df`` by bucket; (folder, rows) of each bucket, read from the files' footers."""
+    spread = df.withColumn(_BUCKET, bucket_of(key, buckets)).repartition(F.col(_BUCKET))
+    spread.write.mode("errorifexists").partitionBy(_BUCKET).parquet(folder)
+    if not any(n.startswith(_BUCKET) for n in _children(df.sparkSession, folder)):
+        return {}
+    written = df.sparkSession.read.parquet(folder).groupBy(_BUCKET).count()
+    return {str(r[_BUCKET]): {"folder": folder, "rows": r["count"]} for r in written.collect()}  # one row a bucket
+
+
+def _commit(spark: SparkSession, root: str, old: dict | None, folder: str, schema: T.StructType, buckets: int,
+            parts: dict, extra: dict) -> int:
+    manifest = {"version": folder, "n_buckets": buckets, "schema": schema.jsonValue(), "buckets": parts,
+                "batches": (old or {}).get("batches", {}) | extra}
+    return write_manifest(spark, root, manifest, old["number"] if old else 0)
+
+
+def publish(spark: SparkSession, df: DataFrame, root: str, key: str = "id", batches: dict | None = None) -> str:
+    """Write ``df`` as the whole new index; returns the version folder."""
+    root = root.rstrip("/")
+    old = read_manifest(spark, root)
+    folder = f"{root}/v-{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
+    buckets = old["n_buckets"] if old else BUCKETS
+    parts = _write_buckets(df, folder, key, buckets)
+    _commit(spark, root, old, folder, df.schema, buckets, parts, batches or {})
+    return folder
+
+
+def merge_into(spark: SparkSession, root: str, keys: DataFrame, merge, key: str = "id", batches: dict | None = None,
+               schema: T.StructType | None = None) -> dict:
+    """Rewrite the buckets that ``keys`` fall into with ``merge(existing rows of them)``; the other
+    buckets stay where they are.  Returns rows in the index and rows marked ``_new``."""
+    root = root.rstrip("/")
+    old = read_manifest(spark, root)
+    buckets = old["n_buckets"] if old else BUCKETS
+    touched = sorted(r[0] for r in keys.select(bucket_of(key, buckets)).distinct().collect())  # at most one a bucket
+    existing = _read_buckets(spark, old, touched) if old else (spark.createDataFrame([], schema) if schema else None)
+    counts = Observation()
+    merged = merge(existing).observe(counts, F.count_if("_new").alias("new")).drop("_new")
+    folder = f"{root}/v-{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
+    parts = _write_buckets(merged, folder, key, buckets)
+    kept = {b: x for b, x in (old["buckets"] if old else {}).items() if int(b) not in touched}
+    known = T.StructType.fromJson(old["schema"]) if old else T.StructType()
+    fields = {f.name: f for f in [*known, *merged.schema]}
+    _commit(spark, root, old, folder, T.StructType(list(fields.values())), buckets, kept | parts, batches or {})
+    return {"version": folder, "rows": sum(x["rows"] for x in (kept | parts).values()), "new": counts.get["new"], "touched": touched}
+
+
+def expire_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Retention: drop all but the last ``keep`` manifests and the version folders that none of
+    these name; returns the folders dropped."""
+    root = root.rstrip("/")
+    numbers = _manifest_numbers(spark, root)
+    used, gone = set(), []
+    for n in numbers[-keep:]:
+        fs, p = _path(spark, f"{root}/_manifests/m-{n:012d}.json")
+        stream = fs.open(p)
+        m = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        stream.close()
+        used |= {m["version"], *(x["folder"] for x in m["buckets"].values())}
+    for n in numbers[:-keep]:
+        fs, p = _path(spark, f"{root}/_manifests/m-{n:012d}.json")
+        fs.delete(p, False)
+    for name in _children(spark, root):
+        if name.startswith("v-") and f"{root}/{name}" not in used:
+            fs, p = _path(spark, f"{root}/{name}")
+            fs.delete(p, True)
+            gone.append(name)
+    return gone
 
 
 def sync_index(spark: SparkSession, root: str, docs: DataFrame, mode: str = "INCREMENTAL",
-               staging_root: str | None = None, order: list | None = None) -> dict:
-    """K1/K2/K5/K9 end to end: merge (or replace), publish, and summarise."""
+               staging_root: str | None = None, order: list[str] | None = None, key: str = "id") -> dict:
+    """K1/K2/K5/K9 end to end: merge (or replace), publish, and summarise what was written."""
     stage = full_requires_staging(mode, staging_root)
     if mode.upper() == "FULL":
-        # The complete staged run becomes the new version as is: publishing moves the
-        # pointer, no second copy of the index is written.
-        index_replace(docs).write.mode("errorifexists").parquet(stage)
-        point_to(spark, root, stage)
+        # The complete staged run becomes the new version as is: no second copy is written.
+        old = read_manifest(spark, root)
+        parts = _write_buckets(index_replace(docs), stage, key, BUCKETS)
+        _commit(spark, root.rstrip("/"), old, stage, docs.schema, BUCKETS, parts, {})
+        total = synced = sum(x["rows"] for x in parts.values())
         version = stage
     else:
-        version = publish(spark, index_upsert(read_index(spark, root), docs, order=order), root)
-    written = spark.read.parquet(version)
-    return upload_summary(written, docs, mode).first().asDict() | {"version": version}
+        fresh = newest_documents(docs, key, order or []).withColumn("_new", F.lit(True))
+
+        def merge(existing):
+            if existing is None:
+                return fresh
+            untouched = existing.join(fresh.select(key), key, "left_anti").withColumn("_new", F.lit(False))
+            return untouched.unionByName(fresh, allowMissingColumns=True)
+
+        done = merge_into(spark, root, fresh, merge, key)
+        version, total, synced = done["version"], done["rows"], done["new"]
+    return {"destination_format": "PARQUET", "total_records_indexed": total, "records_synced_this_run": synced,
+            "reconciliation_mode": mode.upper(), "status": "success", "version": version}
+
+
+def upload_summary(spark: SparkSession, summary: dict) -> DataFrame:
+    """K9 as a row: ``{destination_format, total_records_indexed, records_synced_this_run, mode, status}``,
+    the counts of what a run of ``sync_index`` wrote."""
+    return spark.createDataFrame([tuple(summary[k] for k in _SUMMARY)], ", ".join(f"{k} {t}" for k, t in _SUMMARY.items()))
+
+
+_SUMMARY = {"destination_format": "string", "total_records_indexed": "bigint", "records_synced_this_run": "bigint",
+            "reconciliation_mode": "string", "status": "string"}
+
+
+def _camel(name: str) -> str:
+    first, *rest = name.split("_")
+    return first + "".join(x.capitalize() for x in rest)
 
 
-def upload_summary(written: DataFrame, synced: DataFrame, mode: str) -> DataFrame:
-    """K9: ``{destination_format, total_records_indexed, records_synced_this_run, mode, status}``."""
-    total = written.agg(F.count(F.lit(1)).cast("bigint").alias("total_records_indexed"))
-    this_run = synced.agg(F.count(F.lit(1)).cast("bigint")).scalar()  # scalar subquery
-    return total.select(F.lit("PARQUET").alias("destination_format"), "total_records_indexed",
-                        this_run.alias("records_synced_this_run"), F.lit(mode.upper()).alias("reconciliation_mode"),
-                        F.lit("success").alias("status"))
+def camel_case(t: T.DataType) -> T.DataType:
+    """The same type with the document's own field names in camelCase; a document's ``struct_data``
+    holds the source's names and keeps them."""
+    if isinstance(t, T.StructType):
+        return T.StructType([T.StructField(_camel(f.name), f.dataType if f.name == "struct_data" else camel_case(f.dataType), f.nullable) for f in t])
+    return T.ArrayType(camel_case(t.elementType), t.containsNull) if isinstance(t, T.ArrayType) else t
 
 
 def write_ndjson(df: DataFrame, path: str, keep_nulls: bool = False) -> None:
-    """K3: one JSON document per line, UTF-8, bytes as base64."""
-    df.write.mode("errorifexists").option("ignoreNullFields", str(not keep_nulls).lower()).json(path)
+    """K3: one JSON document per line, UTF-8, bytes as base64, field names in camelCase."""
+    named = df.select(*[F.col(f.name).cast(g.dataType).alias(g.name) for f, g in zip(df.schema, camel_case(df.schema))])
+    named.write.mode("errorifexists").option("ignoreNullFields", str(not keep_nulls).lower()).json(path)
 
 
 def assign_batches(df: DataFrame, order_col: str = "id", batch_size: int = UPLOAD_BATCH_SIZE) -> DataFrame:
-    """K4: consecutive batches of ``batch_size`` in ``order_col`` order, last one short.
-
-    A global row number without a single-partition window: range-partition and sort,
-    number rows inside each partition, then add the row count of all earlier
-    partitions (a table with one row per partition)."""
-    sorted_df = df.orderBy(order_col)
-    numbered = (sorted_df.withColumn("_pid", F.spark_partition_id())
-                .withColumn("_mono", F.monotonically_increasing_id()))
-    numbered = numbered.checkpoint(eager=True)  # pin partition ids; cut lineage before two uses
-    local = numbered.withColumn("_local", F.col("_mono") - (F.col("_pid").cast("bigint") * F.lit(1 << 33)))
-    counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per partition: a tiny frame, so an unpartitioned running sum is fine here.
-    offsets = counts.select("_pid", F.sum("_n").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)).alias("_off"))
-    out = local.join(F.broadcast(offsets), "_pid", "left")
-    idx = F.coalesce(F.col("_off"), F.lit(0)) + F.col("_local")
-    return out.withColumn("batch_id", F.floor(idx / batch_size).cast("bigint")) \
-              .withColumn("row_index", idx.cast("bigint")) \
-              .drop("_pid", "_mono", "_local", "_off")
+    """K4: consecutive batches of ``batch_size`` in ``order_col`` order, last one short."""
+    numbered = number_rows(df.orderBy(order_col), "row_index")
+    return numbered.withColumn("batch_id", F.floor(F.col("row_index") / batch_size).cast("bigint"))
 
 
 def write_audit(docs: DataFrame, path: str, run_id: str, mode: str) -> DataFrame:

@@ -18,17 +18,11 @@ from quillspark.operators.filters import (DEFAULT_EXCLUDE_EXTENSIONS, DEFAULT_EX
                                           drop_binary, select_repo_files)
 from quillspark.operators.ordering import take_until_seen
 
-COMMENT_LIMIT = 50
-REVIEW_LIMIT = 50
-
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    """Path check through the data source's own resolution (no job runs)."""
-    try:
-        spark.read.format("text").load(path)
-        return True
-    except Exception:
-        return False
+    """Whether the path is there; an unreachable or forbidden store raises."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
 def scan_json_documents(spark: SparkSession, full_path: str, schema: T.StructType, delta_path: str | None = None,
@@ -63,15 +57,15 @@ def scan_repo_files(entries: DataFrame, blobs: DataFrame, include_paths: Sequenc
 
 
 def scan_pull_requests(prs: DataFrame, last_sync: DataFrame | None = None) -> DataFrame:
-    """Landed pull requests -> records: body NULL -> empty, first 50 comments and
+    """Landed pull requests -> records: body NULL -> empty, all comments and
     reviews, ``id = repository:pr:N``; with checkpoints only rows updated after them."""
     out = prs.select(
         F.lit("pull_request").alias("type"),
         F.concat(F.col("repository"), F.lit(":pr:"), F.col("number").cast("string")).alias("id"),
         "number", "title", F.coalesce(F.col("body"), F.lit("")).alias("body"), "state",
         "created_at", "updated_at", "author",
-        F.slice(F.coalesce(F.col("comments"), F.array()), 1, COMMENT_LIMIT).alias("comments"),
-        F.slice(F.coalesce(F.col("reviews"), F.array()), 1, REVIEW_LIMIT).alias("reviews"),
+        F.coalesce(F.col("comments"), F.array()).alias("comments"),
+        F.coalesce(F.col("reviews"), F.array()).alias("reviews"),
         "repository")
     return _after_checkpoint(out, last_sync)
 
@@ -83,7 +77,7 @@ def scan_issues(issues: DataFrame, last_sync: DataFrame | None = None) -> DataFr
         F.concat(F.col("repository"), F.lit(":issue:"), F.col("number").cast("string")).alias("id"),
         "number", "title", F.coalesce(F.col("body"), F.lit("")).alias("body"), "state",
         "created_at", "updated_at", "author",
-        F.slice(F.coalesce(F.col("comments"), F.array()), 1, COMMENT_LIMIT).alias("comments"),
+        F.coalesce(F.col("comments"), F.array()).alias("comments"),
         "repository")
     return _after_checkpoint(out, last_sync)
 

@@ -1,10 +1,9 @@
 """I7 as a stream: change files landing in a folder are applied to the index.
 
-``readStream`` picks up new files; each micro-batch is merged into the current
-index version with ``apply_changes`` and published as a new version (the
-``foreachBatch`` sink).  The checkpoint location makes the stream restartable:
-a batch that fails is re-run on restart, and publishing a version is
-idempotent per batch id.
+``readStream`` picks up new files; each micro-batch rewrites the index buckets that its
+ids fall into (``foreachBatch``).  The index's manifest records, under the stream's
+checkpoint folder, the last batch applied: a batch that is run again after a restart is
+recognised and skipped.
 """
 
 from __future__ import annotations
@@ -23,15 +22,18 @@ def start_change_stream(spark: SparkSession, changes_dir: str, schema: T.StructT
     """Start the stream; returns the ``StreamingQuery``.  ``schema`` must include
     ``key``, ``action`` and the ``order`` columns."""
     stream = spark.readStream.schema(schema).format(file_format).load(changes_dir)
+    columns = T.StructType([f for f in schema if f.name != "action"] + [T.StructField("_deleted", T.BooleanType())])
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
-        current = K.read_index(spark, index_root)
-        cols = [c for c in batch.columns if c != "action"]
-        if current is None:
-            current = spark.createDataFrame([], T.StructType([batch.schema[c] for c in cols]))
-        merged = apply_changes(current, batch, [F.col(c) for c in order], key=key,
-                               propagate_deletes=propagate_deletes)
-        K.publish(spark, merged, index_root)
+        manifest = K.read_manifest(spark, index_root)
+        if manifest and manifest["batches"].get(checkpoint_dir, -1) >= batch_id:
+            return
+
+        def merge(existing: DataFrame) -> DataFrame:
+            return apply_changes(existing, batch, list(order), key=key, propagate_deletes=propagate_deletes) \
+                .withColumn("_new", F.lit(False))
+
+        K.merge_into(spark, index_root, batch, merge, key, {checkpoint_dir: batch_id}, columns)
 
     writer = stream.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if trigger_once else writer.trigger(processingTime="1 minute")

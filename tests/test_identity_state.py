@@ -60,7 +60,13 @@ def test_resolve_repo_readers_and_contributors(spark):
     mapper = lambda df: df.select("repository", "pos", F.when(F.col("pos") % 2 == 0, F.concat("login", F.lit("@x")))  # noqa
                                   .alias("email"))
     r = J.resolve_repo_readers(collab, mapper).first()
-    assert r.readers[:2] == ["l2@x", "l4@x"] and len(r.readers) == 50  # first 100 collaborators only
+    assert r.readers[:2] == ["l2@x", "l4@x"] and len(r.readers) == 52  # all of them
+    assert len(J.resolve_repo_readers(collab, mapper, limit=100).first().readers) == 50
+    many = spark.createDataFrame([("r", i, "l", f"a{i}@x") for i in range(1, 151)],
+                                 "repository string, pos int, login string, email string")
+    assert len(AG.repo_contributors(many).first().contributors) == 150
+    one = spark.createDataFrame([("r", 1, "l")], "repository string, pos int, login string")
+    assert J.mine_login_emails(one, many).first().email == "a150@x"
     commits = spark.createDataFrame([("r", 1, "b@x"), ("r", 2, "a@x"), ("r", 3, "nope"), ("r", 4, "a@x")],
                                     "repository string, pos int, email string")
     assert AG.repo_contributors(commits).first().contributors == ["a@x", "b@x"]

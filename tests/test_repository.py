@@ -59,8 +59,8 @@ def test_drop_binary(spark):
 def test_match_repositories_golden(spark):
     repos = spark.createDataFrame([("Acme/demo-app",), ("Acme/connectors",),
                                    ("Acme/test_bot",), ("OtherOrg/other-repo",)], "name string")
-    pats = J.parse_repo_patterns(["^Acme/demo-app:master", "^Acme/connectors:develop",
-                                  "^Acme/.*", "(:bad"], default_branch="main")
+    pats = [("^Acme/demo-app", "master"), ("^Acme/connectors", "develop"), ("(?P<o>Acme)/", "python-only"),
+            ("^Acme/.*", "main"), ("(", "bad")]
     got = {r.name: r.branch for r in J.match_repositories(repos, pats).collect()}
     assert got == {"Acme/demo-app": "master", "Acme/connectors": "develop",
                    "Acme/test_bot": "main"}

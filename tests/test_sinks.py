@@ -63,6 +63,39 @@ def test_full_requires_staging_and_keeps_duplicates(spark):
     assert K.index_replace(dup).count() == 4
 
 
+def test_undecodable_content_fails_the_record(spark):
+    rows = [("a", "A", None, "not base64!", "X", None, None, None, None), FULL[0]]
+    d = {r.id: r._error for r in docs(spark, rows).collect()}
+    assert d == {"a": P.REST_UNDECODABLE, "doc-001": None}
+
+
+def test_upsert_needs_an_order_and_last_wins(spark):
+    import pytest
+    new = spark.createDataFrame([("a", v) for v in range(6)], "id string, v int")
+    with pytest.raises(ValueError):
+        K.index_upsert(None, new)
+    assert [r.v for r in K.index_upsert(None, new, order=["v"]).collect()] == [5]
+
+
+def test_summary_counts_what_was_written(spark):
+    root = scratch_dir(spark, "test-summary")
+    new = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), ("", 4), ("b", 5)], "id string, v int")
+    s = K.sync_index(spark, root, new, order=["v"])
+    assert (s["total_records_indexed"], s["records_synced_this_run"]) == (2, 2)
+    assert K.upload_summary(spark, s).first().records_synced_this_run == 2
+
+
+def test_a_delta_rewrites_only_its_buckets_and_new_columns_are_kept(spark):
+    root = scratch_dir(spark, "test-buckets")
+    K.publish(spark, spark.range(500).select(F.col("id").cast("string").alias("id"), F.lit(0).alias("v")), root)
+    before = K.read_manifest(spark, root)["buckets"]
+    K.sync_index(spark, root, spark.createDataFrame([("7", 1, "x")], "id string, v int, extra string"), order=["v"])
+    after = K.read_manifest(spark, root)["buckets"]
+    assert sum(before[b] != after[b] for b in before) == 1
+    got = {r.id: (r.v, r.extra) for r in K.read_index(spark, root).collect()}
+    assert len(got) == 500 and got["7"] == (1, "x") and got["8"] == (0, None)
+
+
 def test_upsert_drops_missing_ids_and_keeps_others(spark):
     existing = spark.createDataFrame([("a", 1), ("b", 1)], "id string, v int")
     new = spark.createDataFrame([("a", 2), (None, 9), ("", 9), ("c", 3), ("c", 4)], "id string, v int") \
@@ -92,4 +125,4 @@ def test_ndjson_roundtrip(spark):
     K.write_ndjson(docs(spark, DELTA).select("id", "content"), path)
     back = spark.read.json(path)
     row = back.filter(F.col("id") == "doc-006").first()
-    assert row.content.raw_bytes == "JVBERi0x"
+    assert row.content.rawBytes == "JVBERi0x" and row.content.mimeType == "application/pdf"

@@ -1,6 +1,8 @@
 """Sources and cache/group lookups: S1 error handling, S5 delta preference, S10
 nested policy tags, J3 FULL mode, J11 external groups."""
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +31,17 @@ def test_select_tables_full_match():
     assert selected == ["launches", "launch_reviews"] and skipped == ["people"]
     selected, _ = TB.select_tables(["a", "b"], explicit=["b"])
     assert selected == ["b"]
-    assert TB.entity_type_for_table("user") == "user" and TB.entity_type_for_table("houses") == "hous"
+
+
+def test_a_missing_table_raises_without_an_error_list(spark):
+    with pytest.raises(AnalysisException):
+        TB.scan_tables({"missing": lambda: spark.read.parquet("/nonexistent/path/quillspark")})
+
+
+def test_entity_types_of_table_names(spark):
+    names = spark.createDataFrame([("user",), ("houses",), ("people",)], "t string")
+    got = [r[0] for r in names.select(TB.entity_type_column("t", {"people": "person"})).collect()]
+    assert got == ["user", "hous", "person"]
 
 
 def test_json_documents_prefer_delta_incrementally(spark):
