@@ -10,6 +10,7 @@ import json
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed values that must equal the reference's.
 DOC_ID_INVALID_CHARS = r"[^a-zA-Z0-9_-]"
@@ -66,6 +67,34 @@ def iso_date(col) -> Column:
     return F.date_format(_c(col), "yyyy-MM-dd")
 
 
+def iso_deep(col, dtype: T.DataType) -> Column:
+    """C6 at any depth: every date and timestamp inside structs, arrays and map values as
+    ISO text; other values as they are, and a NULL stays NULL."""
+    c = _c(col)
+    if isinstance(dtype, T.DateType):
+        return iso_date(c)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return iso_datetime(c)
+    if not has_dates(dtype):
+        return c
+    if isinstance(dtype, T.StructType):
+        fields = [iso_deep(c[f.name], f.dataType).alias(f.name) for f in dtype]
+        return F.when(c.isNotNull(), F.struct(*fields))
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(c, lambda x: iso_deep(x, dtype.elementType))
+    return F.transform_values(c, lambda k, v: iso_deep(v, dtype.valueType))
+
+
+def has_dates(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.StructType):
+        return any(has_dates(f.dataType) for f in dtype)
+    if isinstance(dtype, T.ArrayType):
+        return has_dates(dtype.elementType)
+    if isinstance(dtype, T.MapType):
+        return has_dates(dtype.valueType)
+    return isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
 def json_text(col) -> Column:
     """JSON text of a value (compact form; compare parsed, not byte-wise)."""
     return F.to_json(_c(col))

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from quillspark.functions.acl import (acl_from_permissions, acl_from_row, permissions_block,
                                       public_acl)
 from quillspark.functions.scalars import (author_display, author_email, base64_decode, basename, encode_text,
-                                          extract_tickets, int_or_null, prefix_id, sanitize_doc_id,
+                                          extract_tickets, has_dates, int_or_null, iso_deep, prefix_id, sanitize_doc_id,
                                           thread_lines)
 
 # Fixed values that must equal the reference's.
@@ -27,12 +27,13 @@ REST_DEFAULTS = {
     "version": "1.0_rest",
     "node": "primary",
 }
-# Deployment settings of the entity sync (the datasource name written into each
+# Deployment settings of the entity sync (the next three) (the datasource name written into each
 # payload, the author used when a row names none, the base of generated view URLs):
 # set them to the values of the deployment being replaced.
 ENTITY_DATASOURCE = "entity-catalog"
 INTERNAL_AUTHOR_FALLBACK = "internal.author@example.com"
 ENTITY_URL_BASE = "https://entities.example.com"
+# Fixed values that must equal the reference's: object types, URL paths, payload keys, kinds.
 ENTITY_OBJECT_TYPES = {
     "initiative": "Initiatives",
     "commitment": "Commitments",
@@ -265,8 +266,9 @@ def json_prop(df: DataFrame, name: str) -> Column:
     if isinstance(t, T.ArrayType):
         return F.when(F.size(c) > 0, F.to_json(c))
     if isinstance(t, T.StringType):
-        # landed JSON columns (mixed-type fields) already hold JSON text
-        return F.when(c != "", c)
+        # Columns of mixed type are landed as JSON text of lists and objects; plain text is encoded.
+        quoted = F.to_json(F.array(c))
+        return F.when(c != "", F.when(F.ltrim(c).rlike(r"^[\[{]"), c).otherwise(F.substring(quoted, F.lit(2), F.length(quoted) - 2)))
     return F.to_json(c)
 
 
@@ -334,86 +336,40 @@ def _entity_props(df: DataFrame, entity: str) -> list[tuple[str, Column]]:
     raise ValueError(f"no projection for entity type {entity!r}")
 
 
-def build_envelope(df: DataFrame, entity: str, doc_id: Column, view_url: Column, author: Column,
-                   props: Column, datasource: str = ENTITY_DATASOURCE) -> Column:
-    """The common payload.  ``title`` defaults to empty only when the column is
-    absent (an explicit NULL stays NULL); description NULL -> empty."""
-    title = F.col("title") if "title" in df.columns else F.lit("")
-    perms = (F.struct(F.lit(True).alias("allowAnonymousAccess"),
-                      F.lit(None).cast("array<struct<email:string>>").alias("allowedUsers"),
-                      F.lit(None).cast("array<struct<id:string>>").alias("allowedGroups"))
-             if entity == "person" else
-             permissions_block(_opt(df, "private", "boolean"), _opt(df, "allowedUsers", "array<string>"),
-                               _opt(df, "allowedGroups", "array<string>")))
-    return F.struct(
-        F.lit(datasource).alias("datasource"),
-        F.lit(ENTITY_OBJECT_TYPES[entity]).alias("objectType"),
-        doc_id.alias("id"),
-        title.cast("string").alias("title"),
-        F.struct(F.lit("text/plain").alias("mimeType"),
-                 F.coalesce(_opt(df, "description"), F.lit("")).alias("textContent")).alias("body"),
-        view_url.alias("viewURL"),
-        int_or_null(_opt(df, "createdAt")).alias("createdAt"),
-        int_or_null(_opt(df, "updatedAt")).alias("updatedAt"),
-        perms.alias("permissions"),
-        F.struct(author.alias("email")).alias("author"),
-        props.alias("customProperties"),
-        interactions(df).alias("interactions"),
-    )
-
+def iso_dates(df: DataFrame) -> DataFrame:
+    """C6 over a frame: dates and timestamps become ISO text before anything is projected."""
+    return df.select(*[iso_deep(f.name, f.dataType).alias(f.name) if has_dates(f.dataType) else F.col(f.name) for f in df.schema])
 
-def project_entity(df: DataFrame, entity: str) -> DataFrame:
-    """P8-P11 + P14 for one entity type: envelope, properties, ACL (rows are assumed to
-    be of that type)."""
-    keep = [c for c in df.columns if c.startswith("_")]
-    return df.select(_projected_column(df, entity, "id").alias("id"), F.lit(entity).alias("entityType"),
-                     _projected_column(df, entity, "envelope").alias("envelope"),
-                     _projected_column(df, entity, "acl_info").alias("acl_info"), *keep)
 
-
-def finalize_documents(projected: DataFrame, with_json: bool = False) -> DataFrame:
-    """No ACL -> no document.  ``with_json`` adds the serialised payload; leave it
-    to the sink so dedupe and joins do not carry the JSON text."""
-    kept = projected.filter(F.col("acl_info").isNotNull())
-    return kept.withColumn("json_data", F.to_json("envelope")) if with_json else kept
-
-
-def project_entities(rows: DataFrame, entity_types: Sequence[str] = tuple(ENTITY_OBJECT_TYPES)) -> DataFrame:
-    """P8-P11 dispatch on ``entityType`` in a single pass over the input.
-
-    The envelope parts shared by all types are built once; only what differs per
-    type (object type, URL path, author rule, permissions, properties, ACL) is a CASE
-    on the entity type, which keeps the generated code small enough for whole-stage
-    codegen and scans the input once instead of once per type."""
+def build_envelope(df: DataFrame, entity_types: Sequence[str], doc_id: Column) -> Column:
+    """The payload of all entity types.  What they share is built once; only what differs
+    (object type, URL path, author rule, permissions, properties) is a CASE on the type.
+    ``title`` defaults to empty only when the column is absent (an explicit NULL stays NULL);
+    description NULL -> empty."""
     et = F.col("entityType")
-    df = rows.filter(et.isin(*entity_types))
-
-    def case(fn):
-        expr = None
-        for e in entity_types:
-            expr = F.when(et == e, fn(e)) if expr is None else expr.when(et == e, fn(e))
-        return expr
 
     def lookup(mapping):
         return F.create_map(*[x for e in entity_types for x in (F.lit(e), F.lit(mapping[e]))])[et]
 
+    properties = None
+    for e in entity_types:
+        own = custom_properties(_entity_props(df, e))
+        properties = F.when(et == e, own) if properties is None else properties.when(et == e, own)
     raw_id = F.col("id").cast("string")
-    doc_id = F.concat(et, F.lit("-"), F.coalesce(raw_id, F.lit("None")))
     is_person = et == "person"
     tail = F.when(is_person, F.coalesce(_opt(df, "employeeId"), F.lit(""))).otherwise(F.coalesce(raw_id, F.lit("None")))
     view_url = F.coalesce(F.nullif(_opt(df, "url"), F.lit("")),
                           F.concat(F.lit(ENTITY_URL_BASE), lookup(ENTITY_URL_PATHS), tail))
     owner = F.nullif(_opt(df, "ownerEmail"), F.lit(""))
-    author = F.when(is_person, F.coalesce(F.nullif(_opt(df, "email"), F.lit("")), owner, F.lit(INTERNAL_AUTHOR_FALLBACK))) \
-        .otherwise(F.coalesce(owner, F.lit(INTERNAL_AUTHOR_FALLBACK)))
+    own_email = F.when(is_person, F.nullif(_opt(df, "email"), F.lit("")))
+    author = F.coalesce(own_email, owner, F.lit(INTERNAL_AUTHOR_FALLBACK))
     title = F.col("title") if "title" in df.columns else F.lit("")
-    row_perms = permissions_block(_opt(df, "private", "boolean"), _opt(df, "allowedUsers", "array<string>"),
-                                  _opt(df, "allowedGroups", "array<string>"))
     perms = F.when(is_person, F.struct(F.lit(True).alias("allowAnonymousAccess"),
                                        F.lit(None).cast("array<struct<email:string>>").alias("allowedUsers"),
                                        F.lit(None).cast("array<struct<id:string>>").alias("allowedGroups"))) \
-        .otherwise(row_perms)
-    env = F.struct(
+        .otherwise(permissions_block(_opt(df, "private", "boolean"), _opt(df, "allowedUsers", "array<string>"),
+                                     _opt(df, "allowedGroups", "array<string>")))
+    return F.struct(
         F.lit(ENTITY_DATASOURCE).alias("datasource"), lookup(ENTITY_OBJECT_TYPES).alias("objectType"),
         doc_id.alias("id"), title.cast("string").alias("title"),
         F.struct(F.lit("text/plain").alias("mimeType"),
@@ -421,36 +377,28 @@ def project_entities(rows: DataFrame, entity_types: Sequence[str] = tuple(ENTITY
         view_url.alias("viewURL"),
         int_or_null(_opt(df, "createdAt")).alias("createdAt"), int_or_null(_opt(df, "updatedAt")).alias("updatedAt"),
         perms.alias("permissions"), F.struct(author.alias("email")).alias("author"),
-        case(lambda e: custom_properties(_entity_props(df, e))).alias("customProperties"),
-        interactions(df).alias("interactions"))
-    acl = F.when(is_person, public_acl()).otherwise(
+        properties.alias("customProperties"), interactions(df).alias("interactions"))
+
+
+def finalize_documents(projected: DataFrame, with_json: bool = False) -> DataFrame:
+    """No ACL -> no document.  ``with_json`` adds the serialised payload; leave it
+    to the sink so dedupe and joins do not carry the JSON text."""
+    kept = projected.filter(F.col("acl_info").isNotNull())
+    return kept.withColumn("json_data", F.to_json("envelope")) if with_json else kept
+
+
+def project_entities(rows: DataFrame, entity_types: Sequence[str] = tuple(ENTITY_OBJECT_TYPES)) -> DataFrame:
+    """P8-P11 dispatch on ``entityType`` in a single pass over the input: dates to ISO text (C6),
+    then id, payload (P7) and ACL."""
+    et = F.col("entityType")
+    df = iso_dates(rows.filter(et.isin(*entity_types)))
+    doc_id = F.concat(et, F.lit("-"), F.coalesce(F.col("id").cast("string"), F.lit("None")))
+    acl = F.when(et == "person", public_acl()).otherwise(
         acl_from_row(_opt(df, "private", "boolean"), _opt(df, "allowedUsers", "array<string>"),
                      _opt(df, "allowedGroups", "array<string>"), _opt(df, "ownerEmail")))
     keep = [c for c in df.columns if c.startswith("_")]
-    return df.select(sanitize_doc_id(doc_id).alias("id"), et.alias("entityType"), env.alias("envelope"),
-                     acl.alias("acl_info"), *keep)
-
-
-def _projected_column(df: DataFrame, entity: str, name: str) -> Column:
-    """One output column of ``project_entity`` as an expression over ``df``."""
-    raw_id = F.col("id").cast("string")
-    doc_id = F.concat(F.lit(f"{entity}-"), F.coalesce(raw_id, F.lit("None")))
-    if name == "id":
-        return sanitize_doc_id(doc_id)
-    if name == "acl_info":
-        if entity == "person":
-            return public_acl()
-        return acl_from_row(_opt(df, "private", "boolean"), _opt(df, "allowedUsers", "array<string>"),
-                            _opt(df, "allowedGroups", "array<string>"), _opt(df, "ownerEmail"))
-    url_tail = F.coalesce(_opt(df, "employeeId"), F.lit("")) if entity == "person" else F.coalesce(raw_id, F.lit("None"))
-    view_url = F.coalesce(F.nullif(_opt(df, "url"), F.lit("")),
-                          F.concat(F.lit(ENTITY_URL_BASE + ENTITY_URL_PATHS[entity]), url_tail))
-    owner = F.nullif(_opt(df, "ownerEmail"), F.lit(""))
-    if entity == "person":
-        author = F.coalesce(F.nullif(_opt(df, "email"), F.lit("")), owner, F.lit(INTERNAL_AUTHOR_FALLBACK))
-    else:
-        author = F.coalesce(owner, F.lit(INTERNAL_AUTHOR_FALLBACK))
-    return build_envelope(df, entity, doc_id, view_url, author, custom_properties(_entity_props(df, entity)))
+    return df.select(sanitize_doc_id(doc_id).alias("id"), et.alias("entityType"),
+                     build_envelope(df, entity_types, doc_id).alias("envelope"), acl.alias("acl_info"), *keep)
 
 
 # ---------------------------------------------------------------- P15

@@ -121,7 +121,14 @@ def entity_rows(orders: DataFrame, customer: DataFrame) -> DataFrame:
         only("commitment", status).alias("commitmentStatus"),
         only("commitment", status == "F").alias("isClosedOut"),
         # launch
-        only("launch", F.date_format("o_orderdate", "yyyy-MM-dd")).alias("launchDate"),
+        only("launch", F.to_date("o_orderdate")).alias("launchDate"),
+        F.when(et.isin("initiative", "launch"), F.array(F.struct(F.to_date("o_orderdate").alias("at"), status.alias("status"))))
+         .alias("statusLogs"),
+        F.when(et.isin("initiative", "launch"), F.array(F.struct(F.lit("Order").alias("title"), F.concat(
+            F.lit("https://orders.example.com/"), F.col("o_orderkey").cast("string")).alias("url")))).alias("links"),
+        only("launch", F.array(F.struct(email.alias("by"), F.col("o_orderdate").cast("timestamp").alias("at")))).alias("reviews"),
+        only("commitment", F.array(F.struct(status.alias("status"), F.col("o_orderdate").cast("timestamp_ntz").alias("changedAt"))))
+         .alias("statusHistory"),
         only("launch", F.when(F.col("o_totalprice") > 200000, F.array(F.lit("web"), F.lit("ios")))
              .otherwise(F.array().cast("array<string>"))).alias("platforms"),
         only("launch", F.array(F.col("o_orderkey").cast("string"),

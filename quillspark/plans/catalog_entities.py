@@ -48,11 +48,17 @@ SQL_PROPS = f"""
 CASE entityType
   WHEN 'initiative' THEN 'programStatus=' || o_orderstatus || ';activeQuarters=["Q' || CAST(quarter(o_orderdate) AS VARCHAR)
        || '"];hierarchyTeam=["' || c_mktsegment || '"]'
+       || ';statusLogsJSONString=[{{"at":"' || strftime(o_orderdate, '%Y-%m-%d') || '","status":"' || o_orderstatus || '"}}]'
+       || ';linksJSONString=[{{"title":"Order","url":"https://orders.example.com/' || CAST(seq AS VARCHAR) || '"}}]'
   WHEN 'commitment' THEN 'quarter=' || CAST(year(o_orderdate) AS VARCHAR) || '-Q' || CAST(quarter(o_orderdate) AS VARCHAR)
        || ';commitmentStatus=' || o_orderstatus || ';isClosedOut=' || CASE WHEN o_orderstatus = 'F' THEN 'True' ELSE 'False' END
+       || ';statusHistoryJsonString=[{{"status":"' || o_orderstatus || '","changedAt":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '"}}]'
   WHEN 'launch' THEN 'launchDate=' || strftime(o_orderdate, '%Y-%m-%d')
        || CASE WHEN o_totalprice > 200000 THEN ';platforms=["web","ios"]' ELSE '' END
+       || ';reviewsJsonString=[{{"by":"' || email || '","at":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '"}}]'
        || ';commitmentID=["commitment-' || CAST(seq AS VARCHAR) || '","commitment-' || CAST(o_custkey AS VARCHAR) || '"]'
+       || ';links=["{{\\"title\\":\\"Order\\",\\"url\\":\\"https://orders.example.com/' || CAST(seq AS VARCHAR) || '\\"}}"]'
+       || ';statusLogsJsonString=[{{"at":"' || strftime(o_orderdate, '%Y-%m-%d') || '","status":"' || o_orderstatus || '"}}]'
   WHEN 'person' THEN 'email=' || email || ';displayName=' || c_name || ';positionId=' || CAST(seq AS VARCHAR)
        || ';employeeId=' || CAST(c_custkey AS VARCHAR) || ';level=' || c_mktsegment || ';hierarchyTeam=' || c_mktsegment
 END
@@ -218,6 +224,52 @@ def rejected(spark: SparkSession, sf: str) -> DataFrame:
     return r.withColumn("reason", reason).filter(F.col("reason").isNotNull())
 
 
+SQL_JSON_DOCS = f"""
+SELECT seq, doc_id, updatedAt,
+       CASE entityType WHEN 'initiative' THEN 'Initiatives' WHEN 'commitment' THEN 'Commitments'
+                       WHEN 'launch' THEN 'Launches' ELSE 'OrgData' END AS object_type,
+       title, {SQL_VIEW_URL} AS view_url, {SQL_AUTHOR} AS author_email, {SQL_PROPS} AS props, acl
+FROM ({SQL_ENTITY_DOCS})
+"""
+
+
+def _from_json(df: DataFrame, *more) -> DataFrame:
+    """The fields of a document's ``json_data``, parsed back."""
+    payload = F.from_json("json_data", "objectType string, title string, viewURL string, author struct<email:string>, "
+                                       "customProperties array<struct<name:string,value:string>>")
+    return df.select("*", payload.alias("_p")).select(
+        *more, F.col("id").alias("doc_id"), F.col("_p.objectType").alias("object_type"), F.col("_p.title").alias("title"),
+        F.col("_p.viewURL").alias("view_url"), F.col("_p.author.email").alias("author_email"),
+        _props_text(F.col("_p")).alias("props"), A.acl_summary("acl_info").alias("acl"))
+
+
+@query("finalize_document", f"SELECT * EXCLUDE (updatedAt) FROM ({SQL_JSON_DOCS})")
+def q_finalize(spark, sf):
+    """The serialised payload (``json_data``) of every document with an ACL, parsed back."""
+    r = FL.drop_unmapped_entities(FL.drop_deletes(rows(spark, sf)), KNOWN)
+    done = P.finalize_documents(P.project_entities(r, KNOWN), with_json=True)
+    return _from_json(done, F.col("_seq").alias("seq"))
+
+
+@query("sync_run_entities", f"""
+SELECT * EXCLUDE (updatedAt, seq, rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY updatedAt DESC, seq DESC) AS rn FROM ({SQL_JSON_DOCS})) WHERE rn = 1
+""")
+def q_sync_run_entities(spark, sf):
+    """The end-to-end run: warehouse rows -> entity documents with ``json_data`` -> index, read back."""
+    from quillspark.plans.run import sync_run
+    from quillspark.session import scratch_dir
+    from quillspark.sinks import index as K
+    root = scratch_dir(spark, "sync-entities")
+    steps = (
+        FL.drop_deletes, lambda df: FL.drop_unmapped_entities(df, KNOWN),
+        lambda df: P.finalize_documents(P.project_entities(df, KNOWN), with_json=True),
+        lambda df: df.select("id", "json_data", "acl_info", F.col("envelope")["updatedAt"].alias("_updated"), "_seq", "_rec"),
+    )
+    sync_run(spark, rows(spark, sf), steps, root, mode="INCREMENTAL", order=["_updated", "_seq"])
+    return _from_json(K.read_index(spark, root))
+
+
 @query("drop_private_without_principals", f"SELECT seq, doc_id FROM ({SQL_ENTITY_DOCS})")
 def q_drop_private(spark, sf):
     """F8: the documents left when the private ones with nobody to grant to are dropped."""
