@@ -115,6 +115,51 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+_BASE = 0x9E3779B97F4A7C15
+_SEGMENT = 1 << 20
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, 9, 10, 11, 12, 13]] = True
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """base**i and base**-i modulo 2**64 for i below n (base is odd)."""
+    if base not in _POWERS or len(_POWERS[base][0]) < n:
+        size = 1 << max(16, n.bit_length())
+        both = []
+        for b in (base, pow(base, -1, 1 << 64)):
+            steps = np.full(size, b, np.uint64)
+            steps[0] = 1
+            both.append(np.cumprod(steps, dtype=np.uint64))
+        _POWERS[base] = (both[0], both[1])
+    return _POWERS[base]
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(start, 64-bit hash) of the words of a text, by prefix sums over its bytes.
+
+    The text is taken in segments that end at white space, so memory does not follow its length."""
+    whole = np.frombuffer(data, np.uint8)
+    values = mix(np.arange(1, 257, dtype=np.uint64))
+    starts, hashes, at = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], 0
+    while at < len(whole):
+        to = min(len(whole), at + _SEGMENT)
+        while to < len(whole) and not _SPACE[whole[to]]:
+            to += 1
+        part = whole[at:to]
+        inside = np.zeros(len(part) + 2, np.int8)
+        inside[1:-1] = ~_SPACE[part]
+        edge = np.diff(inside)
+        start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        up, down = powers(_BASE, len(part) + 1)
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(values[part] * up[: len(part)], dtype=np.uint64, out=sums[1:])
+        starts.append(start + at)
+        hashes.append(mix((sums[end] - sums[start]) * down[start]))
+        at = to
+    return np.concatenate(starts), np.concatenate(hashes)
+
+
 class WordHash(dict):
     """word (bytes) -> 64-bit hash, remembering frequent words up to a bound on memory."""
 

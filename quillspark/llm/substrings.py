@@ -29,46 +29,31 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.shared import WordHash, arrow_map, blocks, gather, mix, pack, read_block, split_ranges, stage, unpack
+from quillspark.llm.shared import arrow_map, blocks, gather, mix, pack, powers, read_block, split_ranges, stage, unpack, word_hashes
 
 U = np.uint64
 #: Text bytes that a task looks at together.
 CHUNK = 3 << 20
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
-_WORDS = WordHash()
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64."""
-    if base not in _POWERS or len(_POWERS[base][0]) < n:
-        size = 1 << max(16, n.bit_length())
-        both = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            steps = np.full(size, b, U)
-            steps[0] = 1
-            both.append(np.cumprod(steps, dtype=U))
-        _POWERS[base] = (both[0], both[1])
-    return _POWERS[base]
 
 
 def _windows(words: np.ndarray, base: int, starts: np.ndarray, window: int) -> np.ndarray:
     """64-bit hashes of the windows at these starts."""
-    up, down = _powers(base, len(words) + 1)
+    up, down = powers(base, len(words) + 1)
     sums = np.zeros(len(words) + 1, U)
     np.cumsum(words * up[: len(words)], dtype=U, out=sums[1:])
     return mix((sums[starts + window] - sums[starts]) * down[starts])
 
 
 class Chunk:
-    """Some documents of a block: their words, hashed, and where windows start."""
+    """Some documents of a block: the hashes of their words and where windows start."""
 
     def __init__(self, number: int, ids: list, texts: list[bytes], window: int):
-        self.number, self.ids, self.window = number, ids, window
-        self.words = [t.split() for t in texts]
-        self.hashed = np.concatenate([_WORDS.of(w) for w in self.words]) if ids else np.zeros(0, U)
-        self.lengths = np.array([len(w) for w in self.words], np.int64)
-        self.ends = np.cumsum(self.lengths)
+        self.number, self.ids, self.texts, self.window = number, ids, texts, window
+        places, self.hashed = word_hashes(b"\n".join(texts))
+        begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        self.ends = np.searchsorted(places, begins[1:])
+        self.lengths = np.diff(self.ends, prepend=0)
         last = np.repeat(self.ends - window, self.lengths)
         self.starts = np.nonzero(np.arange(len(self.hashed)) <= last)[0]
 
@@ -108,6 +93,10 @@ def _split(values: np.ndarray, bits: int, ranges: int) -> list[tuple[int, int, i
 def _member(values: np.ndarray, among: np.ndarray) -> np.ndarray:
     if not len(among):
         return np.zeros(len(values), bool)
+    if len(values) < 300_000:
+        at = np.searchsorted(among, values)
+        at[at == len(among)] = 0
+        return among[at] == values
     # Most values are not there: a table of their hashes' low bits spares them the search.
     low = U((1 << 24) - 1)
     table = np.zeros(1 << 24, bool)
@@ -162,8 +151,10 @@ def remove_repeated(docs: DataFrame, window: int = 35, depth: int = 2, id_col: s
             marks = [_flags(x["twice"], len(e)) for x, e in zip(r["found"], each)]
             cells = np.sort(np.concatenate(each + [e[m] for e, m in zip(each, marks)]))
             often = np.unique(cells[1:][cells[1:] == cells[:-1]])
+            flags, at = _member(np.concatenate(each), often), 0
             for x, e in zip(r["found"], each):
-                hit = e[_member(e, often)]
+                hit = e[flags[at : at + len(e)]]
+                at += len(e)
                 if len(hit):
                     yield x["block"], x["chunk"], r["row"], pack(hit)
 
@@ -229,10 +220,12 @@ def remove_repeated(docs: DataFrame, window: int = 35, depth: int = 2, id_col: s
                     np.add.at(cover, hit, 1)
                     np.add.at(cover, hit + window, -1)
                 stay = np.cumsum(cover[:-1]) == 0
-                for key, words, end, n in zip(c.ids, c.words, c.ends.tolist(), c.lengths.tolist()):
-                    left = list(compress(words, stay[end - n : end].tolist()))
-                    text = b" ".join(left)
-                    row = (key, n, n - len(left), hashlib.sha256(text).hexdigest())
+                for key, text, end, n in zip(c.ids, c.texts, c.ends.tolist(), c.lengths.tolist()):
+                    own = stay[end - n : end]
+                    left = int(own.sum())
+                    words = text.split()
+                    text = b" ".join(words if left == n else compress(words, own.tolist()))
+                    row = (key, n, n - left, hashlib.sha256(text).hexdigest())
                     yield (*row, text.decode()) if with_text else row
 
     side = where.join(gather(exact, ["block"], "chunk", "one"), "block", "left")
