@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.shared import (
-    WordHash, arrow_map, blocks, cut, gather, mix, pack, planes, read_block, split_ranges, stage, summed, unplanes, unpack)
+    arrow_map, blocks, cut, gather, mix, pack, planes, read_block, split_ranges, stage, summed, unplanes, unpack, word_hashes)
 
 U = np.uint64
 #: Context bytes; a gram and the number of a document then fit in 64 bits.
@@ -41,7 +41,6 @@ ORDER = 5
 #: Stands for the time before a text and for its end; no UTF-8 text has it.
 EDGE = 255
 CHUNK = 1 << 20
-_WORDS = WordHash()
 
 
 def grams(data: np.ndarray) -> np.ndarray:
@@ -79,7 +78,9 @@ def read(block: str) -> Iterator[tuple[list, list[np.ndarray], Iterator[Chunk]]]
     rows, texts, weight = [], [], 0
 
     def done():
-        words = [_WORDS.of(t.split()) for t in texts]
+        places, hashed = word_hashes(b"\n".join(texts))
+        ends = np.searchsorted(places, np.cumsum([len(t) + 1 for t in texts])).tolist()
+        words = [hashed[a:b] for a, b in zip([0, *ends], ends)]
 
         def chunks():
             some, held = [], 0

@@ -26,17 +26,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.components import bucket_links, components
-from quillspark.llm.shared import WordHash, arrow_map, cut, mix
+from quillspark.llm.shared import arrow_map, cut, mix, word_hashes
 
 U = np.uint64
 #: Elements whose walks are held together; a longer document is taken in parts.
 ELEMENTS = 150_000
-_WORDS = WordHash()
 
 
-def shingle_hashes(text: bytes, width: int) -> np.ndarray:
-    """Distinct shingles of a text, as ascending 64-bit hashes; A-Z are lower-cased."""
-    words = _WORDS.of(text.lower().split())
+def shingles_of(words: np.ndarray, width: int) -> np.ndarray:
+    """Distinct shingles, as ascending 64-bit hashes, of the hashes of a text's words."""
     if not len(words):
         return words
     if len(words) < width:
@@ -51,6 +49,11 @@ def shingle_hashes(text: bytes, width: int) -> np.ndarray:
     return np.unique(total)
 
 
+def shingle_hashes(text: bytes, width: int) -> np.ndarray:
+    """``shingles_of`` a text; A-Z are lower-cased."""
+    return shingles_of(word_hashes(text.lower())[1], width)
+
+
 def super_minhash(sets: list[np.ndarray], slots: int) -> np.ndarray:
     """Signatures (documents x slots) of non-empty sets: rank in the high half, fraction in the low."""
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
@@ -90,9 +93,12 @@ def signatures(docs: DataFrame, width: int, slots: int, bands: int, id_col: str,
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(rows):
-        keys, sets, weight = [], [], 0
+        keys, texts, weight = [], [], 0
 
         def done():
+            places, hashed = word_hashes(b"\n".join(texts))
+            ends = np.searchsorted(places, np.cumsum([len(t) + 1 for t in texts])).tolist()
+            sets = [shingles_of(hashed[a:b], width) for a, b in zip([0, *ends], ends)]
             some = [s for s in sets if len(s)]
             parts = [(i, s[a : a + ELEMENTS]) for i, s in enumerate(some) for a in range(0, len(s), ELEMENTS)]
             sig = np.full((len(some), slots), np.iinfo(np.int64).max, np.int64)
@@ -113,12 +119,13 @@ def signatures(docs: DataFrame, width: int, slots: int, bands: int, id_col: str,
 
         for r in rows:
             keys.append(r["id"])
-            sets.append(shingle_hashes(r["text"] or b"", width))
-            weight += len(sets[-1])
-            if weight > ELEMENTS or len(keys) >= 2048:
+            texts.append((r["text"] or b"").lower())
+            weight += len(texts[-1])
+            if weight > 8 * ELEMENTS or len(keys) >= 2048:
                 yield from done()
-                keys, sets, weight = [], [], 0
-        yield from done()
+                keys, texts, weight = [], [], 0
+        if keys:
+            yield from done()
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     return arrow_map(rows, run, f"id {kind}, n long, k1 long, k2 long, bands array<long>, sketch array<long>")

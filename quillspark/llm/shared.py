@@ -160,25 +160,6 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(starts), np.concatenate(hashes)
 
 
-class WordHash(dict):
-    """word (bytes) -> 64-bit hash, remembering frequent words up to a bound on memory."""
-
-    def __init__(self, bound: int = 250_000):
-        super().__init__()
-        self.bound = bound
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= self.bound:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def arrow_map(df: DataFrame, function, schema: str) -> DataFrame:
     """``mapInArrow`` for a generator over rows: ``function`` gets dicts of Python values."""
     from pyspark.sql.types import StructType
