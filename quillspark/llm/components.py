@@ -66,7 +66,7 @@ def _relabel(pairs: DataFrame, hooks: DataFrame) -> DataFrame:
 
 def bucket_links(buckets: DataFrame, prepare, traits: DataFrame | None = None, near=None) -> DataFrame:
     """Confirmed links (a, b) that connect all members that any confirmed pair of members of a
-    bucket connects.  ``buckets`` has (bucket, node); ``prepare(nodes)`` returns a filter of
+    bucket connects.  ``buckets`` has (bucket, node), repeats do no harm; ``prepare(nodes)`` returns a filter of
     candidate pairs (a, b) of these nodes.
 
     All members of a bucket are first compared with its smallest node and with its most central one,
@@ -74,7 +74,7 @@ def bucket_links(buckets: DataFrame, prepare, traits: DataFrame | None = None, n
     pairs of members that these links leave in different groups remain, and all are compared, but
     for those that ``near(x, y)`` rules out; it gets the two sides' columns of ``traits``, which has one
     row for each node."""
-    buckets = cut(buckets.distinct(), "buckets")
+    buckets = cut(buckets, "buckets")
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("low")).where("size > 1")
     shared = cut(buckets.join(sizes, "bucket"), "shared")
     central = shared.groupBy("node").agg(F.sum("size").alias("weight"))

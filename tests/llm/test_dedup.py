@@ -122,7 +122,7 @@ def test_repeated_windows_of_an_empty_table(spark):
 
 
 def norm(line):
-    return re.sub(r"[\W_]+", " ", line.lower()).strip()
+    return re.sub(r"[\x00-/:-`{-\x7f]+", " ", line.lower()).strip()
 
 
 def simhash(ws):
@@ -132,7 +132,7 @@ def simhash(ws):
         for w in ws:
             h = xxhash.xxh64_intdigest(w.encode(), seed=42)
             if second:
-                h = xxhash.xxh64_intdigest(struct.pack("<i", 1), seed=h)
+                h = xxhash.xxh64_intdigest(struct.pack("<Q", h), seed=42)
             for b in range(64):
                 n[b] += h >> b & 1
         value = sum(1 << b for b in range(64) if 2 * n[b] > len(ws))
@@ -174,7 +174,7 @@ def test_line_groups_match_brute_force(spark):
                 found[i, j] = norm(line)
     texts = sorted(set(found.values()))
     hashes = {t: simhash(t.split()) for t in texts}
-    bits = min(32, max(16, (len(texts) * 4).bit_length()))
+    bits = min(32, max(16, (len(texts) * 64).bit_length()))
     links = []
     for x, a in enumerate(texts):
         for b in texts[:x]:
