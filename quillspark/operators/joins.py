@@ -263,19 +263,12 @@ def principal_keys(acl) -> Column:
         F.concat(F.lit("user:"), p["user_id"]), F.concat(F.lit("group:"), p["group_id"])))
 
 
-def visible_to(docs: DataFrame, user_keys: DataFrame, id_col: str = "id", acl_col: str = "acl_info") -> DataFrame:
-    """(user_id, doc id) pairs a user may read through an explicit grant: the
-    user's principal keys (``user:<email>`` plus ``group:<g>`` for each group that
-    expands to the user) meet the document's principals.  Public documents are
-    readable by everyone and are reported by ``public_documents``; they are not
-    paired with every user (that would be a cross join)."""
-    restricted = docs.filter(~F.coalesce(F.element_at(F.col(acl_col)["readers"], 1)["idp_wide"], F.lit(False)))
-    grants = restricted.select(F.col(id_col), F.explode(principal_keys(F.col(acl_col))).alias("principal"))
-    return grants.join(user_keys, "principal", "inner").select("user_id", id_col).distinct()
-
-
-def public_documents(docs: DataFrame, acl_col: str = "acl_info") -> DataFrame:
-    return docs.filter(F.coalesce(F.element_at(F.col(acl_col)["readers"], 1)["idp_wide"], F.lit(False)))
+def visible_to(docs: DataFrame, principals: Sequence[str], acl_col: str = "acl_info") -> DataFrame:
+    """The documents one user may read: public ones, and those whose ACL names one of the
+    user's ``principals`` (``user:<email>`` and ``group:<g>`` for each group of the user).  A
+    filter on each document: no join and no (user, document) pairs."""
+    public = F.coalesce(F.element_at(F.col(acl_col)["readers"], 1)["idp_wide"], F.lit(False))
+    return docs.filter(public | F.arrays_overlap(principal_keys(F.col(acl_col)), F.array(*map(F.lit, principals))))
 
 
 def visible_counts(docs: DataFrame, users: DataFrame, id_col: str = "id", acl_col: str = "acl_info") -> DataFrame:

@@ -236,6 +236,28 @@ def route_discussion(df: DataFrame, type_col: str = "type") -> DataFrame:
               .filter(F.col("discussion_type").isNotNull()))
 
 
+def project_discussions(records: dict[str, DataFrame], web_base: str = "https://github.com") -> DataFrame:
+    """Each kind of record (``pull_request``, ``issue``, ``commit``) goes to its own projection;
+    other kinds are dropped.  ``contributors`` and ``acl_info`` are taken along where the records
+    have them.  The payloads differ by kind, so ``struct_data`` comes as JSON beside the fields
+    that all have."""
+    project = {"pull_request": project_pull_request_document, "issue": project_issue_document, "commit": project_commit_document}
+    out = None
+    for kind, rows in records.items():
+        if kind not in DISCUSSION_TYPES:
+            continue
+        docs = project[kind](rows, web_base)
+        part = docs.select(
+            "id", "repository", F.lit(DISCUSSION_TYPES[kind]).alias("discussion_type"),
+            F.col("struct_data.sourceUrl").alias("url"), F.col("struct_data.jiraTickets").alias("tickets"),
+            F.col("struct_data.contributors").alias("contributors"), F.to_json("struct_data").alias("struct_json"),
+            "content", "text", "acl_info")
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        raise ValueError("no known kind of discussion")
+    return out
+
+
 # ---------------------------------------------------------------- entity documents
 
 def prop_value(df: DataFrame, name: str) -> Column:

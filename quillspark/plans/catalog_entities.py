@@ -355,6 +355,18 @@ def q_visible(spark, sf):
     return J.visible_counts(latest(spark, sf, "acl_info"), users)
 
 
+READER = ["user:customer.000000001@example.com", "group:external_group:nation-7"]
+
+
+@query("visible_documents", f"""
+SELECT seq, doc_id FROM ({SQL_ENTITY_DOCS})
+WHERE acl = 'PUBLIC' OR list_has_any(string_split(acl, ','), {READER})
+""")
+def q_visible_documents(spark, sf):
+    """J12 as a list: the documents that one user may read, by own grant, group or for everyone."""
+    return J.visible_to(emitted(spark, sf), READER).select(F.col("_seq").alias("seq"), F.col("id").alias("doc_id"))
+
+
 # The newest row of an id decides, whether it is in the index or in the feed; at the same time the feed wins.
 SQL_APPLY_CHANGES = f"""
 WITH r AS ({SQL_ENTITY}),

@@ -436,6 +436,43 @@ def q_readers(spark, sf):
                     A.acl_summary(A.acl_from_emails("readers")).alias("acl"))
 
 
+SQL_READERS = f"""
+SELECT repository, array_to_string(list('user:' || email ORDER BY pos), ',') AS acl
+FROM ({SQL_MINED}) WHERE coalesce(email, '') <> '' GROUP BY repository
+"""
+
+
+@query("project_discussions", f"""
+WITH d AS (
+  SELECT raw_id AS id, 'org/threads' AS repository, 'discussion_pr' AS discussion_type,
+         'https://github.com/org/threads/pull/' || CAST(number AS VARCHAR) AS url, text
+  FROM ({_sql_discussion('pr')}) WHERE number <> 0
+  UNION ALL SELECT raw_id, 'org/threads', 'discussion_issue',
+         'https://github.com/org/threads/issues/' || CAST(number AS VARCHAR), text
+  FROM ({_sql_discussion('issue')}) WHERE number <> 0
+  UNION ALL SELECT repository || ':commit:' || sha, repository, 'discussion_commit',
+         'https://github.com/' || repository || '/commit/' || sha,
+         'COMMIT: ' || sha || chr(10) || 'Author: ' || author_name || ' <' || email || '>' || chr(10) || 'Date: '
+         || committed_date || chr(10) || chr(10) || '--- Commit Message ---' || chr(10) || message
+  FROM ({SQL_EMITTED_COMMITS}))
+SELECT regexp_replace(d.id, '[^a-zA-Z0-9_-]', '_', 'g') AS id, discussion_type, url, text, r.acl, k.contributors
+FROM d LEFT JOIN ({SQL_READERS}) r ON d.repository = r.repository LEFT JOIN ({SQL_CONTRIB}) k ON d.repository = k.repository
+""")
+def q_project_discussions(spark, sf):
+    """P6 (P3-P5, J7, J9): pull requests, issues and commits dispatched to their projections,
+    with their repository's readers and contributors."""
+    c = commits(spark, sf)
+    readers = J.resolve_repo_readers(collaborators(spark, sf), lambda logins: J.mine_login_emails(logins, c, oldest=B.age()))
+    contributors = AG.repo_contributors(c)
+    kinds = {"pull_request": prs(spark, sf), "issue": issues(spark, sf), "commit": SF.scan_commits(emitted_commits(spark, sf)),
+             "status": c.limit(0)}
+    attached = {k: J.attach_contributors(J.attach_repository_acl(v, readers), contributors) if k in P.DISCUSSION_TYPES else v
+                for k, v in kinds.items()}
+    out = P.project_discussions(attached)
+    return out.select("id", "discussion_type", "url", "text", A.acl_summary("acl_info").alias("acl"),
+                      F.array_join("contributors", ",").alias("contributors"))
+
+
 @query("acl_from_principals", f"""
 SELECT repository, CASE WHEN list_contains(list(email), 'allUsers') THEN 'PUBLIC'
                         ELSE array_to_string(list('user:' || email ORDER BY pos), ',') END AS acl
@@ -602,29 +639,37 @@ T18 = 1705536000.0   # 2024-01-18T00:00:00Z
 T19H = 1705665600.0  # 2024-01-19T12:00:00Z
 
 
-def _entries(e: DataFrame, lo: str | None, hi: str) -> DataFrame:
-    cond = F.col("ts") < F.lit(hi).cast("timestamp")
+def _state_key() -> F.Column:
+    """User, kind and a day of the month modulo 20, so that some keys are written by both runs."""
+    return F.concat(F.lit("user:"), F.col("user_id").cast("string"), F.lit(":"), F.col("event_type"), F.lit(":"),
+                    (F.dayofmonth("ts") % 20).cast("string"))
+
+
+def _entries(e: DataFrame, lo: str | None, hi: str | None) -> DataFrame:
+    cond = F.lit(True)
+    if hi:
+        cond = cond & (F.col("ts") < F.lit(hi).cast("timestamp"))
     if lo:
         cond = cond & (F.col("ts") >= F.lit(lo).cast("timestamp"))
     return e.filter(cond).select(
-        F.concat(F.lit("user:"), F.col("user_id").cast("string"), F.lit(":"), F.col("event_type")).alias("key"),
+        _state_key().alias("key"),
         F.col("props").alias("value"), "ts", "event_id")
 
 
 def state_after_two_runs(spark: SparkSession, sf: str) -> DataFrame:
     e = _t(spark, sf, "events")
     s1 = ST.state_put(None, _entries(e, None, "2024-01-10"), T10, 10 * 86400, order=[F.col("ts"), F.col("event_id")])
-    return ST.state_put(s1, _entries(e, "2024-01-10", "2024-01-18"), T18, 86400, order=[F.col("ts"), F.col("event_id")])
+    return ST.state_put(s1, _entries(e, "2024-01-10", None), T18, 86400, order=[F.col("ts"), F.col("event_id")])
 
 
 SQL_STATE = f"""
-WITH e AS (SELECT 'user:' || CAST(user_id AS VARCHAR) || ':' || event_type AS key, props AS value, ts, event_id FROM events),
+WITH e AS (SELECT 'user:' || CAST(user_id AS VARCHAR) || ':' || event_type || ':' || CAST(day(ts) % 20 AS VARCHAR) AS key, props AS value, ts, event_id FROM events),
 p1 AS (SELECT key, value, {T10 + 10 * 86400} AS expires_at FROM (
         SELECT *, row_number() OVER (PARTITION BY key ORDER BY ts DESC, event_id DESC) rn FROM e
         WHERE ts < TIMESTAMP '2024-01-10') WHERE rn = 1),
 p2 AS (SELECT key, value, {T18 + 86400} AS expires_at FROM (
         SELECT *, row_number() OVER (PARTITION BY key ORDER BY ts DESC, event_id DESC) rn FROM e
-        WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-18') WHERE rn = 1),
+        WHERE ts >= TIMESTAMP '2024-01-10') WHERE rn = 1),
 st AS (SELECT * FROM p1 WHERE expires_at > {T18} AND key NOT IN (SELECT key FROM p2) UNION ALL SELECT * FROM p2)
 """
 
@@ -641,8 +686,7 @@ SELECT k.key, st.value FROM (SELECT DISTINCT key FROM e) k LEFT JOIN st ON k.key
 def q_state_get(spark, sf):
     """Look up every key at a later time: live value or NULL (miss / expired)."""
     e = _t(spark, sf, "events")
-    keys = e.select(F.concat(F.lit("user:"), F.col("user_id").cast("string"), F.lit(":"), F.col("event_type"))
-                    .alias("key")).distinct()
+    keys = e.select(_state_key().alias("key")).distinct()
     got = ST.state_get(keys, state_after_two_runs(spark, sf), F.col("key"), T19H, "value")
     return got.select("key", "value")
 

@@ -36,18 +36,21 @@ class RunResult:
     state: DataFrame | None
 
 
-def sync_run(spark: SparkSession, records: DataFrame, steps: Sequence[Callable[[DataFrame], DataFrame]],
+def sync_run(spark: SparkSession, source: DataFrame | Callable[[SparkSession], DataFrame], steps: Sequence[Callable[[DataFrame], DataFrame]],
              index_root: str, mode: str = "INCREMENTAL", validate: Column | None = None,
              order: Sequence[str] = ("_rec",), source_col: str | None = None, error_policy: str = "skip_and_log",
              state: DataFrame | None = None, checkpoint_kind: str | None = None,
              checkpoint_key: str = "repository", updated_col: str = "updated_at",
-             component: str = "transformer", name: str = "sync") -> RunResult:
-    """Run one sync.  ``validate`` is a string column (NULL = valid) evaluated on the
+             component: str = "transformer", name: str = "sync",
+             sink: Callable[..., dict] = K.sync_index) -> RunResult:
+    """Run one sync.  ``source`` is a frame of records or a hook that returns one; ``sink`` is
+    called as ``sync_index`` is and returns its summary.  ``validate`` is a string column (NULL = valid) evaluated on the
     transformed documents; rows dropped by the steps count as skipped.  Without another
     ``order`` the last record of an id, as fetched, wins.  Steps must
     keep underscore-prefixed columns (the projections in ``operators.project`` do)."""
     run_id = f"run-{uuid.uuid4().hex[:12]}"
     started = time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime())
+    records = source if isinstance(source, DataFrame) else source(spark)
     fetched = records.withColumn("_rec", F.monotonically_increasing_id())
     fetched = fetched.checkpoint(eager=True)  # stable record ids for the skipped count
     docs = chain_transforms(fetched, *steps)
@@ -65,7 +68,7 @@ def sync_run(spark: SparkSession, records: DataFrame, steps: Sequence[Callable[[
     sink_cols = [c for c in good.columns if not c.startswith("_") or c in order]
     if "_rec" in order and mode.upper() == "FULL":
         sink_cols.remove("_rec")
-    summary = K.sync_index(spark, index_root, good.select(*sink_cols), mode=mode,
+    summary = sink(spark, index_root, good.select(*sink_cols), mode=mode,
                            staging_root=f"{index_root.rstrip('/')}/_staging", order=list(order))
 
     # Outcome per fetched record: transformed / failed / skipped (dropped by a step).
@@ -74,7 +77,8 @@ def sync_run(spark: SparkSession, records: DataFrame, steps: Sequence[Callable[[
                           .otherwise(F.lit("failed")).alias("status"))
     outcomes = (fetched.select(*outcome_cols).join(emitted, "_rec", "left")
                 .withColumn("status", F.coalesce("status", F.lit("skipped"))))
-    metrics = AG.run_metrics(outcomes)
+    # What the sink wrote, not what was handed to it, counts as uploaded.
+    metrics = AG.run_metrics(outcomes).withColumn("uploaded", F.lit(summary["records_synced_this_run"]).cast("bigint"))
     breakdown = AG.source_breakdown(outcomes, repo_col=None, source_col=source_col) if source_col else \
         AG.source_breakdown(outcomes.withColumn("_none", F.lit(None).cast("string")), None, "_none")
     report = AG.run_report(metrics, breakdown, errors, run_id, name, started,
