@@ -165,8 +165,8 @@ def line_corpus():
     return rows + [(98, None), (99, "")]
 
 
-def test_line_groups_match_brute_force(spark):
-    rows = line_corpus()
+def repeated_lines(rows):
+    """({(id, line): normalised line}, {normalised line: its group}, {group: first (id, line)})."""
     found = {}
     for i, t in rows:
         for j, line in enumerate((t or "").split("\n")):
@@ -185,16 +185,25 @@ def test_line_groups_match_brute_force(spark):
     first = {}
     for place in sorted(found):
         first.setdefault(group[found[place]], place)
+    return found, group, first
+
+
+def without_repeated_lines(rows):
+    found, group, first = repeated_lines(rows)
+    gone = {p for p, t in found.items() if p != first[group[t]]}
+    return [(i, t and "\n".join(x for j, x in enumerate(t.split("\n")) if (i, j) not in gone)) for i, t in rows]
+
+
+def test_line_groups_match_brute_force(spark):
+    rows = line_corpus()
+    found, group, first = repeated_lines(rows)
     got = line_groups(documents(spark, rows)).collect()
     assert {(r.doc_id, r.line): (r.first_id, r.first_line, r.kept) for r in got} == {
         p: (*first[group[t]], p == first[group[t]]) for p, t in found.items()}
-    assert len(set(group.values())) < len(texts)
-
-    gone = {p for p, t in found.items() if p != first[group[t]]}
-    want = {i: t and "\n".join(x for j, x in enumerate(t.split("\n")) if (i, j) not in gone) for i, t in rows}
+    assert len(set(group.values())) < len(group)
     out = drop_repeated_lines(documents(spark, rows))
     assert out.columns == documents(spark, rows).columns
-    assert {r.doc_id: r.text for r in out.collect()} == want
+    assert {r.doc_id: r.text for r in out.collect()} == dict(without_repeated_lines(rows))
 
 
 def test_lines_without_ids_repeated_rows_and_no_rows(spark):
