@@ -124,7 +124,7 @@ def schema_drift(rows: DataFrame, expected: Mapping[str, Sequence[str]], raw_col
     keep = (F.col("value").isNotNull() & (vt != "VOID")
             & ~((vt == "STRING") & (text == ""))
             & ~(vt.startswith("ARRAY") & (text == "[]")))
-    # The expected-key list is configuration (a few dozen rows): a checked broadcast.
+    # The expected-key list is configuration: a few dozen rows.
     drift = exploded.filter(keep).join(exp, ["entity", "key"], "left_anti")
     return drift.select("entity", "key", _python_type_name(vt).alias("value_type")).distinct()
 
@@ -195,6 +195,11 @@ def run_report(metrics: DataFrame, breakdown: DataFrame, errors: DataFrame, run_
                     (err == 0).alias("success"), "metrics", err.alias("error_count"), n_src.alias("n_sources"))
 
 
+def report_line(report: DataFrame) -> DataFrame:
+    """A9 as it is logged: one JSON object on one line."""
+    return report.select(F.to_json(F.struct("*")).alias("line"))
+
+
 def skip_reasons(rejected: DataFrame, reason_col: str = "reason", entity_col: str = "entityType") -> DataFrame:
     """Counts of rows not emitted, by reason and entity type."""
     return rejected.groupBy(reason_col, entity_col).agg(F.count(F.lit(1)).cast("bigint").alias("n"))

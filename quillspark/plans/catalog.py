@@ -371,7 +371,7 @@ UNION ALL SELECT t, false, NULL FROM (VALUES ('supplier'), ('lineitem'), ('event
 def q_select_tables(spark, sf):
     """S2 + U2: full-match pattern over the catalog listing; selected tables are read
     whole (row counts), skipped ones reported."""
-    selected, skipped = ST_.select_tables(B.TABLES, pattern=SELECT_PATTERN)
+    selected, skipped = ST_.select_tables(ST_.discover_tables(spark, sf), pattern=SELECT_PATTERN)
     frames = [_t(spark, sf, t).agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
               .select(F.lit(t).alias("table_name"), F.lit(True).alias("selected"), "n_rows") for t in selected]
     frames.append(spark.createDataFrame([(t, False, None) for t in skipped],

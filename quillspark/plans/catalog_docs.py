@@ -236,8 +236,10 @@ def q_report(spark, sf):
     breakdown = AG.source_breakdown(out, repo_col=None, source_col="_source")
     errors = out.filter(F.col("status") == "failed")
     rep = AG.run_report(metrics, breakdown, errors, "run-rest", "rest documents", "start", "end")
-    return rep.select("run_id", "name", "success", "error_count", "n_sources",
-                      F.col("metrics")["fetched"].alias("fetched"), F.col("metrics")["transformed"].alias("transformed"))
+    parsed = AG.report_line(rep).select(F.from_json("line", "run_id string, name string, success boolean, error_count bigint, "
+                                                           "n_sources bigint, metrics map<string,bigint>").alias("r")).select("r.*")
+    return parsed.select("run_id", "name", "success", "error_count", "n_sources",
+                         F.col("metrics")["fetched"].alias("fetched"), F.col("metrics")["transformed"].alias("transformed"))
 
 
 @query("full_requires_staging", f"""
