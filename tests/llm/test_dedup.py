@@ -126,7 +126,7 @@ def norm(line):
 
 
 def simhash(ws):
-    out = []
+    out, ws = [], [w for i, w in enumerate(ws) if i == 0 or len(w) > 3]
     for second in (False, True):
         n = [0] * 64
         for w in ws:
