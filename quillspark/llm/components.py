@@ -64,7 +64,7 @@ def _relabel(pairs: DataFrame, hooks: DataFrame) -> DataFrame:
     return ends.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
-def bucket_links(buckets: DataFrame, prepare, traits: DataFrame | None = None, near=None) -> DataFrame:
+def bucket_links(buckets: DataFrame, prepare, traits: DataFrame | None = None, near=None, settle=None) -> DataFrame:
     """Confirmed links (a, b) that connect all members that any confirmed pair of members of a
     bucket connects.  ``buckets`` has (bucket, node), repeats do no harm; ``prepare(nodes)`` returns a filter of
     candidate pairs (a, b) of these nodes.
@@ -91,6 +91,9 @@ def bucket_links(buckets: DataFrame, prepare, traits: DataFrame | None = None, n
     )
     mixed = member.groupBy("bucket").agg(F.min("g").alias("g1"), F.max("g").alias("g2")).where("g1 < g2").select("bucket")
     inner = member.where("node != low AND node != high").join(mixed, "bucket", "left_semi").drop("low", "high")
+    if settle is not None:
+        rest = settle(cut(inner, "mixed")).distinct()
+        return links.unionByName(cut(check(cut(rest, "rest")), "more-links"))
     if traits is not None:
         inner = inner.join(traits, "node")
     x, y = inner.alias("x"), inner.alias("y")

@@ -6,9 +6,12 @@ order of its own (a Fisher-Yates walk), the value of a slot is the smallest rank
 all elements, and the walk stops once no later rank can lower a slot.  Bands of the signature are
 buckets.  In each bucket all members are compared with two hubs; after the groups of these links are
 known, only pairs of members that lie in different groups are left (``components.bucket_links``).  So
-a bucket of one large group costs two comparisons a member.  Of the pairs left, those go unchecked
-whose sizes cannot reach the similarity or whose sketches, one bit of each slot, differ in over 32
-of 128 places.  Links are confirmed on the full sets.
+a bucket of one large group costs two comparisons a member.  The pairs left are compared where the
+bucket lies, in blocks of its members, and never become rows: many texts that share a long passage
+but are no duplicates make very many of them.  Of these pairs, those go unchecked whose sizes cannot
+reach the similarity or whose sketches, one bit of each slot, differ in over 32 of 128 places; the
+others are compared on their sets, hashed to 32 bits, which never lowers an intersection, and only
+those that pass are confirmed on the full sets.
 
 With 32 bands of 4 slots, two sets of similarity 0.8 share no band once in twenty million times;
 their sketches differ in 13 places on average, and in over 32 once in three million times.
@@ -31,6 +34,8 @@ from quillspark.llm.shared import arrow_map, cut, mix, word_hashes
 U = np.uint64
 #: Elements whose walks are held together; a longer document is taken in parts.
 ELEMENTS = 150_000
+#: Members of a bucket that are compared in one task with as many others.
+BLOCK = 4096
 
 
 def shingles_of(words: np.ndarray, width: int) -> np.ndarray:
@@ -132,15 +137,68 @@ def signatures(docs: DataFrame, width: int, slots: int, bands: int, id_col: str,
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """(node, shingles) of the documents named in ``nodes``."""
+    """(node, shingles, small) of the documents named in ``nodes``; small: the set in 32-bit hashes."""
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("node"), F.col(text_col).cast("binary").alias("text")).join(nodes, "node", "left_semi")
 
     def run(rows):
         for r in rows:
-            yield r["node"], shingle_hashes(r["text"] or b"", width).view(np.int64).tolist()
+            found = shingle_hashes(r["text"] or b"", width)
+            yield r["node"], found.view(np.int64).tolist(), np.unique(found.astype(np.uint32)).tobytes()
+
+    return arrow_map(rows, run, f"node {kind}, shingles array<long>, small binary").dropDuplicates(["node"])
+
+
+def close_pairs(bucket: int, members: list[dict], percent: int, slots: int):
+    """Pairs (a, b) of a block's members that may reach ``percent`` and whose first common band is
+    ``bucket``.  A member has side (which of the two blocks), node, g, n, sketch, bands and small."""
+    members = sorted(members, key=lambda m: m["side"])
+    groups = {g: i for i, g in enumerate(dict.fromkeys(m["g"] for m in members))}
+    g, n = np.array([groups[m["g"]] for m in members]), np.array([m["n"] for m in members])
+    # Unsigned: numpy counts the bits of a signed number's absolute value.
+    sketch = np.array([m["sketch"] for m in members], np.int64).view(U)
+    bands = np.array([m["bands"] for m in members], np.int64)
+    sets = [np.frombuffer(m["small"], np.uint32) for m in members]
+    first = sum(m["side"] == 0 for m in members)
+    two = first < len(members)
+    for x in range(first if two else len(members)):
+        rest = slice(first, None) if two else slice(x + 1, None)
+        start = rest.start
+        far = np.bitwise_count(sketch[rest] ^ sketch[x]).sum(1)
+        fits = (g[rest] != g[x]) & (far <= slots // 4) & (100 * np.minimum(n[rest], n[x]) >= percent * np.maximum(n[rest], n[x]))
+        ys = start + np.flatnonzero(fits)
+        before = int(np.flatnonzero(bands[x] == bucket)[0])
+        ys = ys[~(bands[ys, :before] == bands[x, :before]).any(1)] if before else ys
+        for part in np.array_split(ys, -(-len(ys) // 2048)) if len(ys) else ():
+            several = [sets[y] for y in part]
+            sizes = np.array([len(v) for v in several])
+            values = np.concatenate(several)
+            at = np.searchsorted(sets[x], values)
+            at[at == len(sets[x])] = 0
+            common = np.add.reduceat((sets[x][at] == values).astype(np.int64), np.cumsum(sizes) - sizes)
+            # 32-bit hashes may coincide within a set as well: that only lowers the sizes, not n.
+            lost = n[part] - sizes + n[x] - len(sets[x])
+            for y in part[100 * (common + lost) >= percent * (n[part] + n[x] - common - lost)].tolist():
+                a, b = members[x]["node"], members[y]["node"]
+                yield (a, b) if a < b else (b, a)
+
+
+def settle_in_blocks(members: DataFrame, traits: DataFrame, sets: DataFrame, percent: int, slots: int) -> DataFrame:
+    """``close_pairs`` of all buckets: a bucket's members are dealt into blocks by hash, and each pair of
+    blocks is one group of rows."""
+    kind = members.schema["node"].dataType.simpleString()
+    sizes = members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = members.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select("bucket", "node", "g", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"))
+    full = dealt.join(traits, "node").join(sets.select("node", "small"), "node")
+    grouped = full.groupBy("bucket", "i", "j").agg(F.collect_list(F.struct("side", "node", "g", "n", "sketch", "bands", "small")).alias("members"))
 
-    return arrow_map(rows, run, f"node {kind}, shingles array<long>").dropDuplicates(["node"])
+    def run(rows):
+        for r in rows:
+            yield from close_pairs(r["bucket"], r["members"], percent, slots)
+
+    return arrow_map(grouped, run, f"a {kind}, b {kind}")
 
 
 def confirm(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -160,17 +218,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, slots: i
     chosen = full.join(classes, ["k1", "k2"]).where("id = node")
     buckets = chosen.select(F.explode("bands").alias("bucket"), "node")
 
-    def prepare(nodes: DataFrame):
-        sets = cut(full_sets(docs, nodes, width, id_col, text_col), "sets")
-        return lambda pairs: confirm(sets, pairs, percent)
+    prepared = {}
 
-    def near(x, y):
-        differ = sum((F.bit_count(x("sketch")[i].bitwiseXOR(y("sketch")[i])) for i in range(slots // 64)), F.lit(0))
-        sizes = 100 * F.least(x("n"), y("n")) >= percent * F.greatest(x("n"), y("n"))
-        return sizes & (differ <= slots // 4)
+    def prepare(nodes: DataFrame):
+        prepared["sets"] = cut(full_sets(docs, nodes, width, id_col, text_col), "sets")
+        return lambda pairs: confirm(prepared["sets"], pairs, percent)
 
-    traits = chosen.dropDuplicates(["node"]).select("node", "n", "sketch")
-    links = bucket_links(buckets, prepare, traits, near)
+    traits = chosen.dropDuplicates(["node"]).select("node", "n", "sketch", "bands")
+    links = bucket_links(buckets, prepare, settle=lambda m: settle_in_blocks(m, traits, prepared["sets"], percent, slots))
     groups = classes.join(components(links), "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component"))
     found = full.join(groups, ["k1", "k2"]).select("id", "n", "component")
     alone = sigs.where("n = 0").select("id", "n", F.col("id").alias("component"))

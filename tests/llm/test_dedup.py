@@ -15,7 +15,7 @@ from cases import classes, corpus, documents, empty, split  # noqa: E402
 
 from quillspark.llm.components import components  # noqa: E402
 from quillspark.llm.lines import drop_repeated_lines, line_groups  # noqa: E402
-from quillspark.llm.minhash import near_duplicates, shingle_hashes, super_minhash  # noqa: E402
+from quillspark.llm.minhash import band_hashes, close_pairs, near_duplicates, shingle_hashes, super_minhash  # noqa: E402
 from quillspark.llm.substrings import remove_repeated  # noqa: E402
 
 
@@ -43,8 +43,10 @@ def test_components_of_no_links(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_near_duplicates_match_brute_force(spark):
-    for k in (2, 5):
+@pytest.mark.parametrize("block", [3, 4096])
+def test_near_duplicates_match_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr("quillspark.llm.minhash.BLOCK", block)
+    for k in (2,) if block == 3 else (2, 5):
         rows = corpus(k)
         sets = {i: shingles(t, k) for i, t in rows}
         links = [(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
@@ -96,6 +98,42 @@ def test_super_minhash_stops_early_without_changing_the_result():
     assert (whole == parts).all() and len(shingle_hashes(b"", 2)) == 0
 
 
+def test_block_comparison_finds_every_link_once():
+    rng, base = np.random.default_rng(0), np.random.default_rng(1).integers(0, 2**63, 300).astype(np.uint64)
+    sets = []
+    for _ in range(90):
+        s = base.copy()
+        m = int(rng.integers(0, 60))
+        s[rng.choice(300, m, replace=False)] = rng.integers(0, 2**63, m).astype(np.uint64)
+        sets.append(np.unique(s))
+    signature = super_minhash(sets, 128)
+    bands, sketch = band_hashes(signature, 32), np.packbits(signature.astype(np.uint8) & 1, axis=1).view(np.int64)
+    want = []
+    for a in range(90):
+        for b in range(a + 1, 90):
+            common = len(np.intersect1d(sets[a], sets[b]))
+            if a % 3 != b % 3 and 100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common):
+                want.append((a, b))
+
+    def member(k, side):
+        return {"side": side, "node": k, "g": k % 3, "n": len(sets[k]), "sketch": sketch[k].tolist(), "bands": bands[k].tolist(),
+                "small": np.unique(sets[k].astype(np.uint32)).tobytes()}
+
+    buckets = {}
+    for k in range(90):
+        for h in bands[k].tolist():
+            buckets.setdefault(h, []).append(k)
+    whole, halves = [], []
+    for h, v in buckets.items():
+        whole += close_pairs(h, [member(k, 0) for k in v], 80, 128)
+        even, odd = [k for k in v if k % 2 == 0], [k for k in v if k % 2]
+        for part in (even, odd):
+            halves += close_pairs(h, [member(k, 0) for k in part], 80, 128)
+        if even and odd:
+            halves += close_pairs(h, [member(k, 0) for k in even] + [member(k, 1) for k in odd], 80, 128)
+    assert sorted(whole) == sorted(halves) == want and len(want) > 100
+
+
 def removed(rows, k):
     w = [split(t) for _, t in rows]
     count = Counter(tuple(x[i : i + k]) for x in w for i in range(len(x) - k + 1))
