@@ -30,24 +30,26 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.shared import arrow_map, gather
+from quillspark.llm.shared import arrow_map, gather, word_hashes
 
 #: Words of a passage, words of a window and words between window starts.
 PASSAGE, WINDOW, STRIDE = 48, 32, 8
 #: Terms whose sums travel together.
 TERMS = 256
-_EDGE = re.compile(r"^[\W_]+|[\W_]+$")
+#: ASCII punctuation and control signs to spaces; words are what lies between.
+_PLAIN = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
 
 
-def plain(word: str) -> str:
-    return _EDGE.sub("", word.lower())
+def plain(text: bytes) -> bytes:
+    """A-Z in lower case, and only words and white space left."""
+    return text.lower().translate(_PLAIN)
 
 
-def words_of(text: str) -> list[str]:
-    return [w for w in map(plain, text.split()) if w]
+def words_of(text: str) -> list[bytes]:
+    return plain(text.encode()).split()
 
 
-def answer_of(text: str) -> list[str]:
+def answer_of(text: str) -> list[bytes]:
     """The last sentence's words; the last quarter if there is one sentence or it is very short."""
     sentences = [s for s in (words_of(x) for x in re.split(r"[.?!\n]+(?:\s|$)", text)) if s]
     words = words_of(text)
@@ -56,9 +58,9 @@ def answer_of(text: str) -> list[str]:
     return words[-max(3, len(words) // 4) :]
 
 
-def lcs(a: list[str], b: list[str]) -> int:
+def lcs(a: list[bytes], b: list[bytes]) -> int:
     """Length of the longest common subsequence, one big-integer step for each word of ``b``."""
-    places: dict[str, int] = defaultdict(int)
+    places: dict[bytes, int] = defaultdict(int)
     for i, w in enumerate(a):
         places[w] |= 1 << i
     full = (1 << len(a)) - 1
@@ -70,48 +72,54 @@ def lcs(a: list[str], b: list[str]) -> int:
     return len(a) - state.bit_count()
 
 
-class Terms(dict):
-    """raw word (bytes) -> number of its term, -1 for words that no item has, -2 for no word."""
+class Terms:
+    """The benchmark's terms as ascending 64-bit hashes; a term's number is its place."""
 
-    def __init__(self, terms: dict[str, int], bound: int = 250_000):
-        super().__init__()
-        self.terms, self.bound = terms, bound
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = hashes
+        self.table = np.zeros(1 << 20, bool)
+        self.table[hashes & np.uint64((1 << 20) - 1)] = True
 
-    def __missing__(self, raw: bytes) -> int:
-        if len(self) >= self.bound:
-            self.clear()
-        word = plain(raw.decode())
-        self[raw] = found = self.terms.get(word, -1) if word else -2
-        return found
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each word's term, -1 for words that no item has."""
+        out = np.full(len(hashes), -1, np.int64)
+        maybe = np.flatnonzero(self.table[hashes & np.uint64((1 << 20) - 1)])
+        at = np.searchsorted(self.hashes, hashes[maybe])
+        at[at == len(self.hashes)] = 0
+        found = self.hashes[at] == hashes[maybe]
+        out[maybe[found]] = at[found]
+        return out
 
-    def of(self, text: bytes) -> tuple[np.ndarray, list[bytes]]:
-        raw = text.split()
-        return np.fromiter(map(self.__getitem__, raw), np.int64, len(raw)), raw
+    def batches(self, rows, most: int = 2 << 20):
+        """(row, its plain text, the numbers of its words) for all rows, looked up many at a time."""
+        some, texts, weight = [], [], 0
 
+        def done():
+            places, hashes = word_hashes(b"\n".join(texts))
+            ends = np.searchsorted(places, np.cumsum([len(t) + 1 for t in texts])).tolist()
+            numbers = self.of(hashes)
+            return [(r, t, numbers[a:b]) for r, t, a, b in zip(some, texts, [0, *ends], ends)]
 
-def _batches(rows, most: int = 4 << 20):
-    some, weight = [], 0
-    for r in rows:
-        some.append(r)
-        weight += len(r["text"] or b"")
-        if weight > most:
-            yield some
-            some, weight = [], 0
-    if some:
-        yield some
+        for r in rows:
+            some.append(r)
+            texts.append(plain(r["text"] or b""))
+            weight += len(texts[-1])
+            if weight > most:
+                yield from done()
+                some, texts, weight = [], [], 0
+        if some:
+            yield from done()
 
 
-def document_frequencies(docs: DataFrame, terms: dict[str, int], text_col: str) -> tuple[np.ndarray, int]:
+def document_frequencies(docs: DataFrame, terms: np.ndarray, text_col: str) -> tuple[np.ndarray, int]:
     """In how many documents each term is, over all documents, and how many documents there are."""
     shared = docs.sparkSession.sparkContext.broadcast(terms)
 
     def run(rows):
-        lookup, n, total = Terms(shared.value), np.zeros(len(shared.value), np.int64), 0
-        for batch in _batches(rows):
-            for r in batch:
-                found = np.unique(lookup.of(r["text"] or b"")[0])
-                n[found[found >= 0]] += 1
-            total += len(batch)
+        n, total = np.zeros(len(shared.value), np.int64), 0
+        for _, _, numbers in Terms(shared.value).batches(rows):
+            n[np.unique(numbers[numbers >= 0])] += 1
+            total += 1
         at = np.nonzero(n)[0]
         yield at.tolist(), n[at].tolist(), total
 
@@ -169,7 +177,7 @@ def latent_space(passages: DataFrame, weights: np.ndarray, rank: int, seed: int
     return (q @ vectors[:, order[values[order] > 1e-9]]).astype(np.float32)
 
 
-def _search(docs: DataFrame, items: list[tuple], passages: DataFrame, terms: dict[str, int], rank: int, cosine: float, share: float, paraphrase: float, answer: float, id_col: str, text_col: str, schema: str) -> DataFrame:
+def _search(docs: DataFrame, items: list[tuple], passages: DataFrame, terms: np.ndarray, rank: int, cosine: float, share: float, paraphrase: float, answer: float, id_col: str, text_col: str, schema: str) -> DataFrame:
     spark = docs.sparkSession
     seen, total = document_frequencies(docs, terms, text_col)
     weights = np.log1p(total / (1.0 + seen)).astype(np.float32)
@@ -181,56 +189,57 @@ def _search(docs: DataFrame, items: list[tuple], passages: DataFrame, terms: dic
         lookup = Terms(terms)
         owner, vectors = [], []
         for k, (_, words, _) in enumerate(items):
+            numbers = lookup.of(word_hashes(b" ".join(words))[1])
             for a in range(0, len(words), PASSAGE):
-                t = np.array([terms[w] for w in words[a : a + PASSAGE]])
+                t = numbers[a : a + PASSAGE]
                 z = weights[t] @ space[t]
                 owner.append(k)
                 vectors.append(z / max(np.linalg.norm(z), 1e-12))
         owner, vectors = np.array(owner), np.array(vectors, np.float32)
-        # Words that no item has weigh as much as an item's average term; empty ones nothing.
-        square = np.concatenate([weights**2, [0.0, float((weights**2).mean())]])
-        for batch in _batches(rows):
-            for r in batch:
-                number, raw = lookup.of(r["text"] or b"")
-                n = len(number)
-                if not (number >= 0).any():
-                    continue
-                weight = square[number]
-                all_ = np.concatenate([[0.0], np.cumsum(weight)])
-                own = np.concatenate([[0.0], np.cumsum(np.where(number >= 0, weight, 0))])
-                starts = np.arange(0, max(1, n - WINDOW + STRIDE), STRIDE)
-                ends = np.minimum(starts + WINDOW, n)
-                norm = all_[ends] - all_[starts]
-                which = np.nonzero(own[ends] - own[starts] >= cosine**2 * np.maximum(norm, 1e-9))[0]
-                if not len(which):
-                    continue
-                spans: dict[int, list] = defaultdict(list)
-                for w in which.tolist():
-                    t = number[starts[w] : ends[w]]
-                    t = t[t >= 0]
-                    z = weights[t] @ space[t] / np.sqrt(norm[w])
-                    near = vectors @ z
-                    for p in np.nonzero(near >= cosine)[0].tolist():
-                        spans[int(owner[p])].append((int(starts[w]), int(ends[w]), float(near[p])))
-                for k, found in spans.items():
-                    item_id, words, last = items[k]
-                    best = None
-                    around: list[list] = []
-                    for a, b, c in found:
-                        a, b = max(0, a - len(words)), min(n, b + len(words))
-                        if around and a <= around[-1][1]:
-                            around[-1][1] = b
-                            around[-1][2] = max(around[-1][2], c)
-                        else:
-                            around.append([a, b, c])
-                    for a, b, c in around:
-                        text = [w for w in (plain(x.decode()) for x in raw[a:b]) if w]
-                        whole = lcs(words, text) / len(words)
-                        end = lcs(last, text) / len(last)
-                        if whole >= share or whole >= paraphrase and end >= answer:
-                            best = max(best or (0,), (whole, end, c, a, b))
-                    if best:
-                        yield r["id"], item_id, best[2], best[0], best[1], best[3], best[4]
+        # Words that no item has (the number -1) weigh as much as an item's average term.
+        square = np.append(weights**2, (weights**2).mean())
+        for r, raw, number in lookup.batches(rows):
+            n = len(number)
+            if not (number >= 0).any():
+                continue
+            weight = square[number]
+            all_ = np.concatenate([[0.0], np.cumsum(weight)])
+            own = np.concatenate([[0.0], np.cumsum(np.where(number >= 0, weight, 0))])
+            starts = np.arange(0, max(1, n - WINDOW + STRIDE), STRIDE)
+            ends = np.minimum(starts + WINDOW, n)
+            norm = all_[ends] - all_[starts]
+            which = np.nonzero(own[ends] - own[starts] >= cosine**2 * np.maximum(norm, 1e-9))[0]
+            if not len(which):
+                continue
+            spans: dict[int, list] = defaultdict(list)
+            texts: list[bytes] = []
+            for w in which.tolist():
+                t = number[starts[w] : ends[w]]
+                t = t[t >= 0]
+                z = weights[t] @ space[t] / np.sqrt(norm[w])
+                near = vectors @ z
+                for p in np.nonzero(near >= cosine)[0].tolist():
+                    spans[int(owner[p])].append((int(starts[w]), int(ends[w]), float(near[p])))
+            for k, found in spans.items():
+                item_id, words, last = items[k]
+                texts = texts or raw.split()
+                best = None
+                around: list[list] = []
+                for a, b, c in found:
+                    a, b = max(0, a - len(words)), min(n, b + len(words))
+                    if around and a <= around[-1][1]:
+                        around[-1][1] = b
+                        around[-1][2] = max(around[-1][2], c)
+                    else:
+                        around.append([a, b, c])
+                for a, b, c in around:
+                    text = texts[a:b]
+                    whole = lcs(words, text) / len(words)
+                    end = lcs(last, text) / len(last)
+                    if whole >= share or whole >= paraphrase and end >= answer:
+                        best = max(best or (0,), (whole, end, c, a, b))
+                if best:
+                    yield r["id"], item_id, best[2], best[0], best[1], best[3], best[4]
 
     return arrow_map(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")), run, schema)
 
@@ -253,8 +262,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = 256, cosine:
                 items.append((r["item"], words, answer_of(r["text"])))
         if not items:
             continue
-        terms = {w: i for i, w in enumerate(sorted({w for _, words, _ in items for w in words}))}
-        rows = [([terms[w] for w in words[a : a + PASSAGE]],) for _, words, _ in items for a in range(0, len(words), PASSAGE)]
+        hashed = [word_hashes(b" ".join(words))[1] for _, words, _ in items]
+        terms = np.unique(np.concatenate(hashed))
+        numbers = [np.searchsorted(terms, h).tolist() for h in hashed]
+        rows = [(n[a : a + PASSAGE],) for n in numbers for a in range(0, len(n), PASSAGE)]
         passages = spark.createDataFrame(rows, "terms array<int>")
         out = out.unionByName(_search(docs, items, passages, terms, rank, cosine, share, paraphrase, answer, id_col, text_col, schema))
     return out
