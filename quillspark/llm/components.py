@@ -64,7 +64,7 @@ def _relabel(pairs: DataFrame, hooks: DataFrame) -> DataFrame:
     return ends.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
-def bucket_links(buckets: DataFrame, prepare, traits: DataFrame | None = None, near=None, settle=None) -> DataFrame:
+def bucket_links(buckets: DataFrame, prepare, traits=None, near=None, settle=None) -> DataFrame:
     """Confirmed links (a, b) that connect all members that any confirmed pair of members of a
     bucket connects.  ``buckets`` has (bucket, node), repeats do no harm; ``prepare(nodes)`` returns a filter of
     candidate pairs (a, b) of these nodes.
@@ -72,8 +72,8 @@ def bucket_links(buckets: DataFrame, prepare, traits: DataFrame | None = None, n
     All members of a bucket are first compared with its smallest node and with its most central one,
     the node whose buckets hold most members (the text that many others were copied from).  Then only
     pairs of members that these links leave in different groups remain, and all are compared, but
-    for those that ``near(x, y)`` rules out; it gets the two sides' columns of ``traits``, which has one
-    row for each node."""
+    for those that ``near(x, y)`` rules out; it gets the two sides' columns of ``traits()``, which has one
+    row for each node and is called after ``prepare``."""
     buckets = cut(buckets, "buckets")
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("low")).where("size > 1")
     shared = cut(buckets.join(sizes, "bucket"), "shared")
@@ -95,7 +95,7 @@ def bucket_links(buckets: DataFrame, prepare, traits: DataFrame | None = None, n
         rest = settle(cut(inner, "mixed")).distinct()
         return links.unionByName(cut(check(cut(rest, "rest")), "more-links"))
     if traits is not None:
-        inner = inner.join(traits, "node")
+        inner = inner.join(traits(), "node")
     x, y = inner.alias("x"), inner.alias("y")
     apart = F.expr("x.bucket = y.bucket AND x.node < y.node AND x.g != y.g")
     if near is not None:

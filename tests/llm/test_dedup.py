@@ -14,7 +14,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 from cases import classes, corpus, documents, empty, split  # noqa: E402
 
 from quillspark.llm.components import components  # noqa: E402
-from quillspark.llm.lines import drop_repeated_lines, line_groups  # noqa: E402
+from quillspark.llm.lines import drop_repeated_lines, least_sizes, line_groups  # noqa: E402
 from quillspark.llm.minhash import band_hashes, close_pairs, near_duplicates, shingle_hashes, super_minhash  # noqa: E402
 from quillspark.llm.substrings import remove_repeated  # noqa: E402
 
@@ -250,3 +250,33 @@ def test_lines_without_ids_repeated_rows_and_no_rows(spark):
     out = drop_repeated_lines(documents(spark, rows)).collect()
     assert sorted((str(r.doc_id), r.text) for r in out) == [("3", line), ("3", line), ("4", "own words here are these ones"), ("None", line)]
     assert line_groups(empty(spark)).count() == 0 and drop_repeated_lines(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("percent", [70, 80, 90])
+def test_line_groups_match_plain_edit_similarity(spark, percent):
+    rng = random.Random(percent)
+    texts = []
+    for n in [5, 6, 7, 8, 9, 10, 11, 14, 15, 19, 20, 21, 25, 40, 60, 130] * 3:
+        base = [f"{'abcd'[rng.randrange(4)]}word{rng.randrange(3000)}" if rng.random() < 0.6 else rng.choice(["a", "of", "the", "in"]) for _ in range(n)]
+        w, most = list(base), n * (100 - percent) // 100
+        if rng.random() < 0.5:
+            for e in range(most):  # evenly spread
+                w[(2 * e + 1) * n // (2 * most)] = f"new{rng.randrange(10**6)}"
+        else:
+            for e in range(rng.randrange(most + 2)):
+                at = rng.randrange(len(w))
+                w[at : at + rng.randrange(2)] = [f"new{rng.randrange(10**6)}"] * rng.randrange(2)
+        texts += [" ".join(base), " ".join(w)]
+    kept = [t for t in dict.fromkeys(texts) if len(t.split()) >= 5]
+    links = [(i, j) for j, b in enumerate(kept) for i, a in enumerate(kept[:j])
+             if edits(a.split(), b.split()) <= max(len(a.split()), len(b.split())) * (100 - percent) // 100]
+    want = classes(range(len(kept)), links)
+    got = {r.doc_id: r.first_id for r in line_groups(documents(spark, list(enumerate(kept))), percent=percent).collect()}
+    assert got == want and len(links) > 20
+
+
+def test_lines_within_the_similarity_share_a_gram_of_the_stated_width():
+    for percent in (51, 67, 70, 75, 80, 90, 100):
+        for q, low in enumerate(least_sizes(percent), 1):
+            assert all(m - q + 1 - q * (m * (100 - percent) // 100) >= 1 for m in range(low, low + 5000))
+    assert least_sizes(80) == [1, 2, 6] and len(least_sizes(60)) == 2
