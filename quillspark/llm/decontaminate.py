@@ -3,19 +3,22 @@
 Benchmark items are cut into passages.  Their TF-IDF matrix, with document frequencies counted over
 all documents, is reduced by a randomised SVD: two passes over the passages sum A'(A X) by block of
 terms in Spark, and only these sums (terms x ``rank``) reach the driver.  Documents are cut into
-overlapping windows; a window's latent vector is compared with the latent passages by cosine.  As
-a projection never lengthens a vector, a window whose benchmark words carry too little of its weight
-cannot reach the threshold and is not projected.  Candidates are checked on words: the longest common
+overlapping windows; a window's latent vector is compared with the latent passages by their product
+over the passage's norm and the smaller of the two norms: the cosine, or how much of the passage a
+window that outweighs it contains, so the text around a leak does not hide it.  A model has at
+least as many directions as passages, so projecting loses nothing of them, and a window is
+longer than a passage by the words between windows, so a verbatim copy always reaches 1 in some
+window.  A window whose benchmark words carry too little weight for any passage cannot reach the
+threshold and is not projected.  Candidates are checked on words: the longest common
 subsequence of the item and the text around the window, and for middling shares (paraphrases) that
 of the item's answer, which is its last sentence.
 
 The SVD is of the benchmark's passages, not of the documents': a few hundred directions of a large
 corpus are its function words, and the rare words by which passages are told apart would be lost.
 
-The benchmark is the stated query set and is taken in blocks of ``block_items`` items; the model of
-a block has at most ``block_items * item words`` terms and is broadcast.  Documents are read twice for
-each block, in map tasks only, so a passage that very many documents share costs nothing extra.  An
-item of fewer than about six words can stay under the cosine in a window of other words.
+The benchmark is the stated query set and is taken in blocks of at most ``block_items`` items and
+``rank`` passages (an item of more passages is a block with as many directions); a block's model is broadcast.  Documents are read twice for
+each block, in map tasks only, so a passage that very many documents share costs nothing extra.
 
 Defined cases: null or empty texts and items without words match nothing; items repeated under
 other ids are each reported; a repeated document row is reported again; a row without an id is
@@ -34,7 +37,7 @@ from pyspark.sql import functions as F
 from quillspark.llm.shared import arrow_map, gather, word_hashes
 
 #: Words of a passage, words of a window and words between window starts.
-PASSAGE, WINDOW, STRIDE = 24, 16, 8
+PASSAGE, WINDOW, STRIDE = 48, 64, 16
 #: Terms whose sums travel together.
 TERMS = 256
 #: ASCII punctuation and control signs to spaces; words are what lies between.
@@ -73,6 +76,11 @@ def lcs(a: list[bytes], b: list[bytes]) -> int:
     return len(a) - state.bit_count()
 
 
+def passages_of(terms: np.ndarray) -> list[np.ndarray]:
+    """The distinct terms of each passage of an item: parts of about equal length."""
+    return [np.unique(t) for t in np.array_split(terms, max(1, -(-len(terms) // PASSAGE)))]
+
+
 class Terms:
     """The benchmark's terms as ascending 64-bit hashes; a term's number is its place."""
 
@@ -188,15 +196,16 @@ def _search(docs: DataFrame, items: list[tuple], passages: DataFrame, terms: np.
     def run(rows):
         terms, items, weights, space = model.value
         lookup = Terms(terms)
-        owner, vectors = [], []
+        owner, vectors, norms = [], [], []
         for k, (_, words, _) in enumerate(items):
             numbers = lookup.of(word_hashes(b" ".join(words))[1])
-            for a in range(0, len(words), PASSAGE):
-                t = numbers[a : a + PASSAGE]
+            for t in passages_of(numbers):
                 z = weights[t] @ space[t]
                 owner.append(k)
-                vectors.append(z / max(np.linalg.norm(z), 1e-12))
-        owner, vectors = np.array(owner), np.array(vectors, np.float32)
+                vectors.append(z / max(np.linalg.norm(weights[t]), 1e-12))
+                norms.append(np.linalg.norm(weights[t]))
+        owner, vectors, norms = np.array(owner), np.array(vectors, np.float32), np.array(norms)
+        lightest = norms.min() ** 2
         # Words that no item has (the number -1) weigh as much as a word found nowhere.
         square = np.append(weights**2, unseen**2)
         for r, raw, number in lookup.batches(rows):
@@ -209,16 +218,16 @@ def _search(docs: DataFrame, items: list[tuple], passages: DataFrame, terms: np.
             starts = np.arange(0, max(1, n - WINDOW + STRIDE), STRIDE)
             ends = np.minimum(starts + WINDOW, n)
             norm = all_[ends] - all_[starts]
-            which = np.nonzero(own[ends] - own[starts] >= cosine**2 * np.maximum(norm, 1e-9))[0]
+            which = np.nonzero(own[ends] - own[starts] >= 0.99 * cosine**2 * np.clip(norm, 1e-9, lightest))[0]
             if not len(which):
                 continue
             spans: dict[int, list] = defaultdict(list)
             texts: list[bytes] = []
             for w in which.tolist():
                 t = number[starts[w] : ends[w]]
-                t = t[t >= 0]
-                z = weights[t] @ space[t] / np.sqrt(norm[w])
-                near = vectors @ z
+                t = np.unique(t[t >= 0])
+                z = weights[t] @ space[t]
+                near = vectors @ z / np.minimum(norms, np.sqrt(norm[w]))
                 for p in np.nonzero(near >= cosine)[0].tolist():
                     spans[int(owner[p])].append((int(starts[w]), int(ends[w]), float(near[p])))
             for k, found in spans.items():
@@ -245,7 +254,7 @@ def _search(docs: DataFrame, items: list[tuple], passages: DataFrame, terms: np.
     return arrow_map(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")), run, schema)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = 256, cosine: float = 0.5, share: float = 0.8, paraphrase: float = 0.6, answer: float = 0.6, block_items: int = 1024, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = 256, cosine: float = 0.35, share: float = 0.8, paraphrase: float = 0.6, answer: float = 0.6, block_items: int = 1024, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(id, item_id, cosine, lcs_share, answer_share, first_word, end_word) of each document and item
     it contains: by a common subsequence of at least ``share`` of the item's words, or of
     ``paraphrase`` with ``answer`` of the answer's.  The span is where it was searched."""
@@ -256,17 +265,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = 256, cosine:
     given = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text"), block.alias("block"))
     out = spark.createDataFrame([], schema)
     for (b,) in given.select("block").distinct().orderBy("block").collect():
-        items = []
+        parts, held = [[]], 0
         for r in given.where(F.col("block") == b).collect():  # a block of the query set
             words = words_of(r["text"] or "")
-            if words:
-                items.append((r["item"], words, answer_of(r["text"])))
-        if not items:
-            continue
-        hashed = [word_hashes(b" ".join(words))[1] for _, words, _ in items]
-        terms = np.unique(np.concatenate(hashed))
-        numbers = [np.searchsorted(terms, h).tolist() for h in hashed]
-        rows = [(n[a : a + PASSAGE],) for n in numbers for a in range(0, len(n), PASSAGE)]
-        passages = spark.createDataFrame(rows, "terms array<int>")
-        out = out.unionByName(_search(docs, items, passages, terms, rank, cosine, share, paraphrase, answer, id_col, text_col, schema))
+            if not words:
+                continue
+            count = -(-len(words) // PASSAGE)
+            if parts[-1] and (held + count > rank or len(parts[-1]) >= block_items):
+                parts.append([])
+                held = 0
+            parts[-1].append((r["item"], words, answer_of(r["text"])))
+            held += count
+        for items in filter(None, parts):
+            hashed = [word_hashes(b" ".join(words))[1] for _, words, _ in items]
+            terms = np.unique(np.concatenate(hashed))
+            rows = [(t.tolist(),) for h in hashed for t in passages_of(np.searchsorted(terms, h))]
+            passages = spark.createDataFrame(rows, "terms array<int>")
+            out = out.unionByName(_search(docs, items, passages, terms, max(rank, len(rows)), cosine, share, paraphrase, answer, id_col, text_col, schema))
     return out

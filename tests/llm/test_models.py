@@ -194,6 +194,24 @@ def test_leaks_are_found_and_clean_documents_left(spark):
     assert D.contaminated(empty(spark), bench).count() == 0 and D.contaminated(documents(spark, rows), bench.limit(0)).count() == 0
 
 
+def test_leaks_are_found_when_passages_outnumber_the_rank(spark):
+    rng = random.Random(61)
+
+    def text(n):
+        return [f"t{rng.randrange(9000)}" for _ in range(n)]
+
+    items = [(i, " ".join(text(rng.randrange(12, 90))) + ". " + " ".join(text(5)) + ".") for i in range(300)]
+    items += [(300 + i, f"s{i}a s{i}b s{i}c s{i}d.") for i in range(10)]  # short ones
+    rows = []
+    for i, t in items:
+        leak, body = t.split(), text(200)
+        for j in rng.sample(range(len(leak) - 5), (len(leak) - 5) * (i % 5) // 10) if i < 300 else ():
+            leak[j] = f"u{rng.randrange(9999)}"
+        rows.append((i, " ".join(body[: i % 200] + leak + body[i % 200 :])))
+    got = D.contaminated(documents(spark, rows), spark.createDataFrame(items, "item_id long, text string"), rank=256)
+    assert {(r.id, r.item_id) for r in got.collect()} == {(i, i) for i, _ in items}
+
+
 def test_anchors_lose_no_paragraph_that_could_be_confirmed():
     found = set(anchors(0.6))
     for _, t in TEMPLATES:
