@@ -1,16 +1,19 @@
 """Licence scan of paragraphs, in DataFrame functions only.
 
 A paragraph is a line of a text.  A multinomial logistic regression over word 1- to 3-grams (sparse:
-most weights are driven to zero) tells licence families and an ``unknown`` class apart.  It is fitted
-on variants of the families' templates (words left out, text of the corpus before and after) and,
-as unknown, on at most ``sample`` paragraphs of the corpus that share no template's words, the least
-by hash.  A held-out fifth of these sets the probability from which a family is believed, so that
-at most ``false_share`` of the unknown paragraphs pass.  A prediction is confirmed if the paragraph has at
-least ``similarity`` of the 3-grams of a template of the predicted family.
-
-A paragraph that can be confirmed must hold one of the *anchors*: the fewest, rarest words without
-which less than ``similarity`` of each template's 3-grams are left.  Only paragraphs with an anchor are
-scored; that loses none.
+most weights are driven to zero) tells licence families and an ``unknown`` class apart.  It scores every
+paragraph.  It is fitted on variants of the families' templates (words left out, text of the corpus
+before and after) and, as unknown, on ``sample`` distinct whole paragraphs of the corpus, the least by
+hash, without those that have much of a template's 3-grams.  A held-out fifth of these sets the probability
+from which a family is believed, so that at most ``false_share`` of the unknown paragraphs pass.  A
+prediction is confirmed if the paragraph has at least ``similarity`` of the 3-grams of a template of the
+predicted family.
+
+A notice may be wrapped over lines.  Where a line's end and the words after it, up to a blank line, have
+``similarity`` of a template's 3-grams and more of them than the line and the words after it have
+alone, they are scored as one further paragraph, under the number of the line.  Such a span must hold one of the
+*anchors*: the fewest, rarest words without which less than ``similarity`` of each template's
+3-grams are left.  So only lines with an anchor in or after them are tested for spans; that loses none.
 
 Defined cases: null or empty texts have no paragraphs; a repeated row is scanned again; a row without
 an id is reported with a null id; a corpus without plain paragraphs trains on templates and their
@@ -51,6 +54,10 @@ TEMPLATES = [
     ("cc-by-nc", "licensed under cc by nc 4.0"),
     ("cc-by-nc", "licensed under a creative commons attribution noncommercial 4.0 international license"),
     ("cc0", "this work is dedicated to the public domain under cc0 1.0 universal"),
+    ("gpl", "gnu gpl v3"),
+    ("lgpl", "gnu lgpl v3"),
+    ("agpl", "gnu agpl v3"),
+    ("proprietary", "all rights reserved"),
     ("proprietary", "all rights reserved no part of this work may be reproduced without permission"),
 ]
 UNKNOWN = "unknown"
@@ -91,8 +98,45 @@ def anchors(similarity: float) -> list[str]:
     return sorted(chosen)
 
 
+LONGEST = max(len(_plain(t)) for _, t in TEMPLATES)
+
+
 def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(text_col, "\n")).alias("paragraph", "text"))
+    """(id, paragraph, text, next): the lines, and what of the lines after one, up to a blank line, a notice
+    that starts in it can reach."""
+    # A notice's later words lie in as many lines at most; a blank one ends it.
+    heads = F.transform(F.split(text_col, "\n"), lambda t: F.when(F.trim(t) == "", "\n").otherwise(F.substring_index(F.trim(t), " ", LONGEST)))
+
+    def lines(h: Column) -> Column:
+        after = lambda i: F.substring_index(F.array_join(F.slice(h, i + 2, LONGEST), " "), "\n", 1)
+        return F.transform(F.split(text_col, "\n"), lambda t, i: F.struct(t.alias("text"), after(i).alias("next")))
+
+    both = F.transform(F.array(heads), lines)[0]
+    rows = docs.select(F.col(id_col).alias("id"), F.posexplode(both).alias("paragraph", "t"))
+    return rows.select("id", "paragraph", "t.text", "t.next")
+
+
+def template_shares(grams: Column) -> list[tuple[str, Column]]:
+    """(family, the share of the 3-grams that are among ``grams``) for each template."""
+    split = [(f, _plain(t)) for f, t in TEMPLATES]
+    threes = [(f, [" ".join(w[i : i + 3]) for i in range(len(w) - 2)]) for f, w in split]
+    return [(f, F.size(F.array_intersect(grams, F.array(*map(F.lit, three)))) / len(three)) for f, three in threes]
+
+
+def nearest_template(words: Column) -> Column:
+    """The largest share of a template; the words and their 3-grams are bound, so that each is computed once."""
+    threes = F.transform(F.array(words), _trigrams)
+    return F.transform(threes, lambda g: F.greatest(*[share for _, share in template_shares(g)]))[0]
+
+
+def wrapped(words: Column, after: Column, similarity: float) -> Column:
+    """The words of a notice that starts in a line and goes on after it, as an array of one or none."""
+    end = F.slice(words, F.greatest(F.size(words) - LONGEST + 2, F.lit(1)), LONGEST - 1)
+    span = F.concat(end, after)
+    whole = nearest_template(span)
+    apart = F.greatest(nearest_template(words), nearest_template(after))
+    none = F.array().cast("array<array<string>>")
+    return F.when((F.size(after) > 0) & (whole >= similarity) & (whole > apart), F.array(span)).otherwise(none)
 
 
 def training_set(spark: SparkSession, plain: DataFrame, variants: int) -> DataFrame:
@@ -106,7 +150,8 @@ def training_set(spark: SparkSession, plain: DataFrame, variants: int) -> DataFr
     def stays(w: Column, i: Column) -> Column:
         return F.pmod(F.xxhash64(w, i, F.col("place"), F.col("number")), F.lit(12)) != 0
 
-    kept = F.when(F.col("place") < 4, F.col("words")).otherwise(F.filter("words", stays))
+    # A short form is only itself with all its words.
+    kept = F.when((F.col("place") < 4) | (F.size("words") < 5), F.col("words")).otherwise(F.filter("words", stays))
     size = F.size("filler")
     before = F.slice("filler", 1, F.pmod(F.col("place"), size + 1))
     after = F.slice("filler", F.pmod(F.col("place"), size + 1) + 1, size)
@@ -145,26 +190,26 @@ class LicenceModel:
 
 
 def scan(docs: DataFrame, similarity: float = 0.6, sample: int = 4000, variants: int = 60, false_share: float = 0.002, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, paragraph, family, probability, template_similarity, confirmed) of every paragraph with an
-    anchor; family is ``unknown`` where the probability is not believed."""
+    """(id, paragraph, family, probability, template_similarity, confirmed) of every paragraph whose family is
+    believed or that holds an anchor; family is ``unknown`` where the probability is not believed."""
     spark = docs.sparkSession
     found = anchors(similarity)
     pattern = rf"(?i)(?<!\p{{L}})(?:{'|'.join(map(re.escape, found))})(?!\p{{L}})"
     parts = paragraphs(docs, id_col, text_col)
-    vocabulary = F.array(*[F.lit(w) for w in found])
-    plain = (
-        parts.where(F.length("text") >= 20).orderBy(F.xxhash64("text"), "text").limit(sample)
-        .select(F.slice(tokens(F.col("text")), 1, 200).alias("words")).where(~F.arrays_overlap("words", vocabulary))
-    )
+    hashed = parts.select("text", F.xxhash64("text").alias("h")).where(F.col("text").rlike(r"[\p{L}0-9]"))
+    least = cut(hashed.select("h").distinct().orderBy("h").limit(sample), "licence-hashes")
+    taken = hashed.join(F.broadcast(least), "h", "left_semi").dropDuplicates(["h"])
+    plain = taken.select(tokens(F.col("text")).alias("words")).where(nearest_template(F.col("words")) < similarity / 2)
     model = LicenceModel(spark, cut(plain, "licence-sample"), variants, false_share)
-    rows = parts.where(F.col("text").rlike(pattern)).select("id", "paragraph", tokens(F.col("text")).alias("words"))
-    rows = rows.select("id", "paragraph", grams(F.col("words")).alias("grams"))
+    near = F.concat_ws(" ", "text", "next").rlike(pattern)
+    rows = parts.select("id", "paragraph", tokens(F.col("text")).alias("words"), F.when(near, F.slice(tokens(F.col("next")), 1, LONGEST - 1)).alias("after"), F.col("text").rlike(pattern).alias("anchor"))
+    spans = F.when(F.col("after").isNotNull(), wrapped(F.col("words"), F.col("after"), similarity)).otherwise(F.array().cast("array<array<string>>"))
+    rows = rows.select("id", "paragraph", "anchor", F.explode(F.concat(F.array("words"), spans)).alias("words")).where(F.size("words") > 0)
+    rows = rows.select("id", "paragraph", "anchor", grams(F.col("words")).alias("grams"))
     scored = model.predict(rows)
-    shares = [
-        F.when(F.col("family") == f, F.size(F.array_intersect("grams", F.array(*map(F.lit, three)))) / len(three))
-        for f, three in ((f, [" ".join(w[i : i + 3]) for i in range(len(w) - 2)]) for f, w in ((f, _plain(t)) for f, t in TEMPLATES))
-    ]
     believed = F.col("family_probability") > F.lit(max(model.least, 0.5))
+    scored = scored.where(believed | F.col("anchor"))
+    shares = [F.when(F.col("family") == f, share) for f, share in template_shares(F.col("grams"))]
     alike = F.coalesce(F.greatest(*shares), F.lit(0.0))
     return scored.select(
         F.col("id").alias(id_col), "paragraph",

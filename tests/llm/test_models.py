@@ -232,3 +232,23 @@ def test_licences_are_found_and_prose_is_not(spark):
     want.update({(200, 0, "mit"): 2, (None, 0, "cc-by-nc"): 1})
     assert named == want
     assert scan(empty(spark)).count() == 0
+
+
+def test_short_and_wrapped_notices_are_found(spark):
+    rng = random.Random(9)
+    prose = [" ".join(rng.choice(["under", "the", "any", "stone", "river", "copy", "file", "work", "general", "blue"]) for _ in range(rng.randrange(8, 60))) for _ in range(150)]
+    rows = [(i, p) for i, p in enumerate(prose)]
+    rows += [(200, f"{prose[0]}\nAll rights reserved.\n{prose[1]}"), (201, "GNU GPL v3"), (202, f"{prose[2]}\nThis work is licensed under the GNU\nGeneral Public License, version 3.\n{prose[3]}")]
+    rows += [(203, "Permission is hereby granted,\nfree of charge, to any\nperson obtaining a copy of\nthis software"), (204, "This work is licensed under the GNU\n\nGeneral Public License, version 3.")]
+    got = scan(documents(spark, rows)).collect()
+    confirmed = {(r.doc_id, r.paragraph, r.family) for r in got if r.confirmed}
+    assert {(200, 1, "proprietary"), (201, 0, "gpl"), (202, 1, "gpl"), (203, 0, "mit")} <= confirmed
+    assert (204, 0, "gpl") not in confirmed
+
+
+def test_plain_paragraphs_with_anchor_words_are_seldom_believed(spark):
+    rng = random.Random(10)
+    kinds = ["under", "the", "any", "general", "copy", "file", "work", "part", "subject", "public", "terms", "version", "license"]
+    rows = [(i, " ".join(rng.choice(kinds + ["stone", "river"]) for _ in range(rng.randrange(8, 300)))) for i in range(600)]
+    got = scan(documents(spark, rows), sample=300).collect()
+    assert sum(r.family != "unknown" for r in got) <= 12
