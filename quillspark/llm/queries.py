@@ -22,10 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 @query()
@@ -146,3 +146,45 @@ def op7_licence_scan(spark, sf_dir):
     from quillspark.llm.licenses import scan
 
     return scan(table(spark, sf_dir, "documents"))
+
+
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``documents`` with a run planted in about a tenth: where crc32(doc_id) is divisible by ten, the
+    words from word g % n on repeat a pattern to the end (g is the crc32 over ten)."""
+    from pyspark.sql import functions as F
+
+    from quillspark.llm.shared import word_array
+
+    hashed = docs.withColumn("_h", F.crc32(F.col("doc_id").cast("string").cast("binary")))
+    words = hashed.withColumn("_w", F.when(F.col("_h") % 10 == 0, word_array(F.col("text"))))
+    sized = words.withColumn("_n", F.size("_w")).withColumn("_g", F.floor(F.col("_h") / 10))
+    placed = sized.withColumn("_a", F.expr("CASE WHEN _n > 0 THEN _g % _n END"))
+    placed = placed.withColumn("_p", F.expr("1 + floor((_n - _a) / (3 + _g % 8))"))
+    planted = F.expr(
+        "array_join(concat(slice(_w, 1, int(_a)), transform(sequence(_a, _n - 1), i -> _w[int(_a + (i - _a) % _p)])), ' ')")
+    return placed.select("doc_id", F.when(F.col("_n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+@query()
+def op12_periodic_runs(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from quillspark.llm.periods import periodic_runs
+
+    found = periodic_runs(_with_planted_runs(table(spark, sf_dir, "documents")), min_length=12)
+    best = "array_max(transform(runs, r -> struct(r.length AS length, -r.start AS start, -r.period AS period)))"
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.withColumn("best", F.expr(best)).select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.floor(F.expr("1000 * best.length / -best.period")).alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@query()
+def op11_tokenizer_alignment(spark, sf_dir):
+    from quillspark.llm.alignment import align
+
+    found = align(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+    return found.withColumnRenamed("id", "doc_id")
