@@ -188,3 +188,13 @@ def op11_tokenizer_alignment(spark, sf_dir):
 
     found = align(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op13_main_text(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from quillspark.llm.html_text import extract
+
+    found = extract(table(spark, sf_dir, "pages").withColumn("key", F.struct("page_id", "url")), id_col="key")
+    return found.select("id.page_id", "id.url", "text", F.length("text").cast("long").alias("n_chars"))
