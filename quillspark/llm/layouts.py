@@ -17,7 +17,7 @@ _PARTS = {
     "main": "content article post story entry body text main copy page post-content article-body entry-content main-content story-body post-body page-content article-text articleBody".split(),
     "menu": "nav menu navbar navigation breadcrumb breadcrumbs topnav mainnav tabs links pagination pager toc skip categories tags sitemap".split(),
     "header": "header masthead site-header page-header top topbar banner branding logo site-title tagline".split(),
-    "footer": "footer foot site-footer bottom copyright legal colophon credits imprint".split(),
+    "footer": "footer foot site-footer bottom copyright legal colophon credits imprint contentinfo page-footer".split(),
     "side": "sidebar aside side widget widgets related rail popular trending recent most-read secondary complementary recommended teaser more left right left-column right-rail".split(),
     "advert": "ad ads advert advertisement adbox sponsor sponsored promo promotion banner-ad adslot commercial".split(),
     "notice": "cookie cookies consent gdpr notice alert popup modal overlay disclaimer warning announcement message banner toast privacy".split(),
@@ -82,7 +82,7 @@ class Layout:
         if self.chance(0.1):
             head, *tail = name.replace("_", "-").split("-")
             name = head + "".join(x.capitalize() for x in tail)
-        which = self.rng.choice(["class", "class", "class", "id"])
+        which = self.rng.choice(["class", "class", "class", "class", "id", "id", "role"])
         return f' {which}="{name}"' + (f' id="{self._word()}"' if which == "class" and self.chance(0.15) else "")
 
     def neutral(self) -> str:
