@@ -25,9 +25,12 @@ documents of their own, an empty table gives no rows, further columns are not lo
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
+from array import array
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +44,7 @@ from quillspark.llm.shared import cut, pack, planes, unpack, unplanes
 #: A's tokens in one lane at first; links of a group that are listed one by one.
 LANE, SMALL_GROUP = 128, 1024
 #: Bytes of text and rows of a chunk.
-CHUNK_BYTES, CHUNK_ROWS = 4 << 20, 8192
+CHUNK_BYTES, CHUNK_ROWS = 3 << 20, 8192
 #: B's ids are below 2**B_BITS; a pair is ``a << B_BITS | b``.
 B_BITS = 15
 
@@ -52,7 +55,7 @@ class TwoTokenizers:
     A is a byte-level file of the tokenizers library and is given space + text; B is a SentencePiece
     model that adds the space itself.  The store of words is bounded; long words are not kept."""
 
-    words_bound, kept_length = 300_000, 48
+    words_bound, kept_length = 400_000, 48
     #: A single space between visible characters: no token of either side reaches across it.
     between = re.compile(r"(?<=\S) (?=\S)")
 
@@ -76,47 +79,121 @@ class TwoTokenizers:
             raise ValueError("a piece of B reaches across a space")
         self.a_length = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_length = np.array([len(x) for x in self.b_bytes], np.int64)
-        self.words: dict[str, tuple[bytes, bytes]] = {}
+        self.a_starts, self.b_starts = (np.array([x[:1] == b" " for x in side]) for side in (self.a_bytes, self.b_bytes))
+        self.a_ranks, self.b_ranks = self._ranked()
+        self.a_ids: dict[str, bytes] = {}
+        self.b_ids: dict[str, bytes] = {}
+        self.bad: set[str] = set()
         names = [str(i) for i in range(max(len(self.a_bytes), n_b))]
         n_a = len(self.a_bytes)
         self.spelled = [*(x + "," for x in names[:n_a]), *(x + "|" for x in names[:n_a]),
                         *(x + "," for x in names[:n_b]), *(x + ";" for x in names[:n_b])]
 
+    def _ranked(self):
+        """Rank encoders of A and of B, which are quicker and are used for ASCII words without white
+        space.  A merges by the order of its merges, B by its scores; where that is the order of the
+        ids, merging the lowest id first gives the same ids.  None for a side where it is not."""
+        import tiktoken
+
+        model = json.loads(self.a.to_str())["model"]
+        made = [model["vocab"].get("".join(m if isinstance(m, list) else m.split(" ")), -1) for m in model["merges"]]
+        added = set(self.a.get_added_tokens_decoder())
+        plain = [i for i in range(len(self.b_bytes)) if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i) or self.b.is_unused(i))]
+        plain = [i for i in plain if self.b_bytes[i].strip() or self.b_bytes[i] == b" "]  # runs of spaces don't arise
+        longer = [i for i in plain if len(self.b.id_to_piece(i)) > 1]
+        scores = [self.b.get_score(i) for i in longer]
+        a = b = None
+        if made == sorted(made) and min(made, default=-1) >= 256:
+            from public_tokenizers import PATTERN
+
+            ranks = {x: i for i, x in enumerate(self.a_bytes) if i not in added}
+            a = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        if all(x > y for x, y in zip(scores, scores[1:])):
+            ranks = {self.b_bytes[i]: i for i in range(len(self.b_bytes)) if self.b.is_byte(i)} | {self.b_bytes[i]: i for i in plain}
+            b = tiktoken.Encoding("b", pat_str=r" ?[^ ]+", mergeable_ranks=ranks, special_tokens={})
+        return a, b
+
     def _piece(self, i: int) -> bytes:
         if self.b.is_byte(i):
             return bytes([int(self.b.id_to_piece(i)[1:-1], 16)])
         return self.b.id_to_piece(i).replace("▁", " ").encode()
 
     def _learn(self, new: list[str]) -> None:
-        """Store the ids of ``new`` words; a word that is not spelled out exactly gets none."""
-        a = self.a.encode_batch([" " + w for w in new], add_special_tokens=False)
-        b = self.b.encode(new, num_threads=1)
-        for w, x, y in zip(new, a, b):
-            x, text = x.ids, (" " + w).encode()
-            good = b"".join([self.a_bytes[i] for i in x]) == text == b"".join([self.b_bytes[i] for i in y])
-            self.words[w] = (np.array(x, "<u2").tobytes(), np.array(y, "<u2").tobytes()) if good else (b"", b"")
-
-    def encode(self, texts: list[str]):
-        """For each text the ids of both sides as little-endian 16-bit integers; b"" if not exact."""
+        """Store the ids of ``new`` words; a word that is not spelled out exactly is a bad one."""
+        if not self._learn_joined(new):
+            a = self.a.encode_batch([" " + w for w in new], add_special_tokens=False)
+            b = self.b.encode(new, num_threads=1)
+            for w, x, y in zip(new, a, b):
+                x, text = x.ids, (" " + w).encode()
+                if not b"".join([self.a_bytes[i] for i in x]) == text == b"".join([self.b_bytes[i] for i in y]):
+                    self.bad.add(w)
+                self.a_ids[w], self.b_ids[w] = array("H", x).tobytes(), array("H", y).tobytes()
+
+    def _learn_joined(self, new: list[str]) -> bool:
+        """The same for words without white space, as one text; False if that can't be told apart."""
+        if any(len(w.split()) > 1 for w in new):
+            return False
+        line = " ".join(new)
+        text, found = (" " + line).encode(), []
+        plain = line.isascii()
+        a = self.a_ranks.encode_ordinary(" " + line) if self.a_ranks and plain else self.a.encode(" " + line, add_special_tokens=False).ids
+        b = self.b_ranks.encode_ordinary(" " + line) if self.b_ranks and plain else self.b.encode(line, num_threads=1)
+        for ids, pieces, starts in ((a, self.a_bytes, self.a_starts), (b, self.b_bytes, self.b_starts)):
+            if b"".join([pieces[i] for i in ids]) != text:
+                return False
+            cuts = (2 * np.flatnonzero(starts[np.array(ids)])).tolist()
+            if len(cuts) != len(new):
+                return False
+            data = array("H", ids).tobytes()
+            found.append([data[i:j] for i, j in zip(cuts, [*cuts[1:], len(data)])])
+        self.a_ids.update(zip(new, found[0]))
+        self.b_ids.update(zip(new, found[1]))
+        return True
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of A through all texts, how many of them each text has, the same for B); texts that
+        are not spelled out exactly have none."""
         split = [self.between.split(t) if t else [] for t in texts]
-        new = set().union(*split).difference(self.words)
-        if len(self.words) + len(new) > self.words_bound:
-            self.words = {}
-            new = set().union(*split)
-        todo = sorted(new, key=len)
-        for i in range(0, len(todo), 2000):
-            self._learn(todo[i : i + 2000])
-        words = self.words
-        for s in split:
-            found = [words[w] for w in s]
-            if all(x[0] for x in found):
-                yield b"".join([x[0] for x in found]), b"".join([x[1] for x in found])
-            else:
-                yield b"", b""
-        for w in reversed(todo):
-            if len(w) <= self.kept_length:
-                break
-            del self.words[w]
+        words = list(chain.from_iterable(split))
+        numbers = {w: i for i, w in enumerate(dict.fromkeys(words))}
+        self._know(numbers)
+        of = np.repeat(np.arange(len(texts)), [len(s) for s in split])
+        code = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+        bad = np.zeros(len(numbers), bool)
+        bad[[numbers[w] for w in self.bad if w in numbers]] = True
+        out = np.zeros(len(texts), bool)
+        out[of[bad[code]]] = True
+        of, code = of[~out[of]], code[~out[of]]
+        found = []
+        for ids in (self.a_ids, self.b_ids):
+            stored = [ids[w] for w in numbers]
+            flat = np.frombuffer(b"".join(stored), np.uint16).astype(np.int64)
+            length = np.fromiter(map(len, stored), np.int64, len(stored)) // 2
+            start = np.cumsum(length) - length
+            n = length[code]
+            found.append(flat[np.repeat(start[code] - np.cumsum(n) + n, n) + np.arange(n.sum())])
+            found.append(np.bincount(of, weights=n, minlength=len(texts)).astype(np.int64))
+        for w in [w for w in numbers if len(w) > self.kept_length]:
+            del self.a_ids[w], self.b_ids[w]
+            self.bad.discard(w)
+        return found[0], found[1], found[2], found[3]
+
+    def _know(self, words) -> None:
+        """Have the ids of all ``words`` in the store."""
+        new = [w for w in words if w not in self.a_ids]
+        if len(self.a_ids) + len(new) > self.words_bound:
+            for ids in (self.a_ids, self.b_ids):
+                kept = {w: ids[w] for w in words if w in ids}
+                ids.clear()
+                ids.update(kept)
+            self.bad.intersection_update(words)
+        new.sort(key=len)
+        kinds: tuple[list[str], ...] = ([], [], [])
+        for w in new:
+            kinds[2 if len(w.split()) != 1 else 0 if w.isascii() else 1].append(w)
+        for some in kinds:
+            for i in range(0, len(some), 2000):
+                self._learn(some[i : i + 2000])
 
 
 def _byte_letters() -> dict[str, int]:
@@ -151,22 +228,26 @@ def lockstep_groups(a_end: np.ndarray, b_end: np.ndarray, a_from: np.ndarray, la
     begins = np.zeros(len(ia), bool)
     begins[first] = True
     ib[first] = np.searchsorted(b_end, np.where(a_from > 0, a_end[a_from - 1], 0), side="right")
+    if len(a_end) + len(b_end) < 1 << 31 and a_end[-1] < 1 << 31:  # half the memory to move
+        ia, ib, a_end, b_end, limit = (v.astype(np.int32) for v in (ia, ib, a_end, b_end, limit))
     sa, sb = np.where(begins, ia, -1), ib.copy()
-    out = [np.zeros((0, 4), np.int64)]
+    out: list[list[np.ndarray]] = [[], [], [], []]
     while len(ia):
         ea, eb = a_end[ia], b_end[ib]
         at = np.flatnonzero(ea == eb)
-        ia = ia + (ea <= eb)
-        ib = ib + (eb <= ea)
+        ia += ea <= eb
+        ib += eb <= ea
         if len(at):
             met = at[sa[at] >= 0]
-            out.append(np.column_stack([sa[met], sb[met], ia[met], ib[met]]))
+            for column, v in zip(out, (sa, sb, ia, ib)):
+                column.append(v[met])
             sa[at], sb[at] = ia[at], ib[at]
-            if (ea[at] >= limit[at]).any():
+            done = ea[at] >= limit[at]
+            if done.any():
                 stay = np.ones(len(ia), bool)
-                stay[at[ea[at] >= limit[at]]] = False
+                stay[at[done]] = False
                 ia, ib, sa, sb, limit = ia[stay], ib[stay], sa[stay], sb[stay], limit[stay]
-    groups = np.concatenate(out)
+    groups = np.column_stack([np.concatenate(c) for c in out]).astype(np.int64) if out[0] else np.zeros((0, 4), np.int64)
     return groups[np.argsort(groups[:, 0], kind="stable")]
 
 
@@ -209,14 +290,9 @@ _DOC = "slot int, n_a long, n_b long, n_groups long, n_links long, groups_sha256
 
 def _align_chunk(tokenizers: TwoTokenizers, texts: list[bytes], with_groups: bool):
     """(columns of the chunk's documents, its distinct pairs, the number of documents with each)."""
-    encoded = list(tokenizers.encode([t.decode("utf-8", "replace") for t in texts]))
-    # A text that is no valid UTF-8 was decoded with replacements: its bytes can't be spelled out.
-    for i, t in enumerate(texts):
-        if encoded[i][0] and not _valid(t):
-            encoded[i] = b"", b""
-    n_a, n_b = (np.array([len(x[side]) // 2 for x in encoded], np.int64) for side in (0, 1))
+    # What is no valid UTF-8 can't be spelled out.
+    a, n_a, b, n_b = tokenizers.encode([t.decode("utf-8") if _valid(t) else "" for t in texts])
     full = np.flatnonzero(n_a)
-    a, b = (np.frombuffer(b"".join([x[side] for x in encoded]), "<u2").astype(np.int64) for side in (0, 1))
     a_past = np.cumsum(n_a[full])
     groups = lockstep_groups(np.cumsum(tokenizers.a_length[a]), np.cumsum(tokenizers.b_length[b]), a_past - n_a[full])
     bounds = np.searchsorted(groups[:, 2], a_past, side="right")
