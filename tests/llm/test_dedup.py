@@ -211,13 +211,11 @@ def repeated_lines(rows):
             if len(norm(line).split()) >= 5:
                 found[i, j] = norm(line)
     texts = sorted(set(found.values()))
-    hashes = {t: simhash(t.split()) for t in texts}
-    bits = min(32, max(16, (len(texts) * 64).bit_length()))
     links = []
     for x, a in enumerate(texts):
         for b in texts[:x]:
             m, n = len(a.split()), len(b.split())
-            if any(p >> 32 - bits == q >> 32 - bits for p, q in zip(hashes[a], hashes[b])) and edits(a.split(), b.split()) <= max(m, n) * 20 // 100:
+            if edits(a.split(), b.split()) <= max(m, n) * 20 // 100:
                 links.append((a, b))
     group = classes(texts, links)
     first = {}

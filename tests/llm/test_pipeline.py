@@ -89,7 +89,7 @@ def test_stages_keep_columns_and_take_awkward_tables(spark, tmp_path):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11)) and SQL.keys() <= QUERIES.keys()
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14)) and SQL.keys() <= QUERIES.keys()
     assert [n for n, _ in corpus_pipeline.STAGES][0] == "quality_rules" and len(corpus_pipeline.STAGES) == 5
 
 
