@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.functions.acl import acl_from_emails, public_acl
+from quillspark.operators.access import access_index, is_public, principal_keys
 from quillspark.operators.ordering import latest_per_id, newest_n_per_key
 
 # Fixed values that must equal the reference's.
@@ -256,50 +257,14 @@ def resolve_external_groups(principals: DataFrame, memberships: DataFrame,
     return p.join(m, "_ext", "left").drop("_ext")
 
 
-def principal_keys(acl) -> Column:
-    """Array of ``user:<id>`` / ``group:<id>`` keys of an ACL's first reader."""
-    first = F.element_at(_c(acl)["readers"], 1)
-    return F.transform(F.coalesce(first["principals"], F.array()), lambda p: F.coalesce(
-        F.concat(F.lit("user:"), p["user_id"]), F.concat(F.lit("group:"), p["group_id"])))
-
-
 def visible_to(docs: DataFrame, principals: Sequence[str], acl_col: str = "acl_info") -> DataFrame:
     """The documents one user may read: public ones, and those whose ACL names one of the
     user's ``principals`` (``user:<email>`` and ``group:<g>`` for each group of the user).  A
     filter on each document: no join and no (user, document) pairs."""
-    public = F.coalesce(F.element_at(F.col(acl_col)["readers"], 1)["idp_wide"], F.lit(False))
-    return docs.filter(public | F.arrays_overlap(principal_keys(F.col(acl_col)), F.array(*map(F.lit, principals))))
+    return docs.filter(is_public(acl_col) | F.arrays_overlap(principal_keys(acl_col), F.array(*map(F.lit, principals))))
 
 
 def visible_counts(docs: DataFrame, users: DataFrame, id_col: str = "id", acl_col: str = "acl_info") -> DataFrame:
-    """J12 as counts, exact and without emitting (user, document) pairs for group grants.
-
-    ``users``: (user_id, groups ARRAY<STRING>) where groups are group principal ids.
-    visible(u) = public + |direct(u)| + |docs granting any group of u| - |direct(u) that
-    also grant a group of u|.  Users are bucketed by their sorted group set, so the
-    group term is computed once per distinct set, not once per user."""
-    # The documents feed four branches: materialise the narrow (id, acl) frame once in
-    # the shared checkpoint folder instead of recomputing its lineage per branch.
-    docs = docs.select(id_col, acl_col).checkpoint(eager=True)
-    first = F.element_at(F.col(acl_col)["readers"], 1)
-    is_public = F.coalesce(first["idp_wide"], F.lit(False))
-    restricted = docs.filter(~is_public & F.col(acl_col).isNotNull())
-    principals = restricted.select(F.col(id_col).alias("_doc"), F.explode(first["principals"]).alias("p"))
-    doc_users = principals.filter(F.col("p.user_id").isNotNull()).select("_doc", F.col("p.user_id").alias("user_id")).distinct()
-    doc_groups = principals.filter(F.col("p.group_id").isNotNull()).select("_doc", F.col("p.group_id").alias("group_id")).distinct()
-
-    u = users.select("user_id", F.array_sort(F.array_distinct(F.coalesce("groups", F.array().cast("array<string>"))))
-                     .alias("gset"))
-    sets = u.select("gset").distinct()
-    set_groups = sets.select("gset", F.explode("gset").alias("group_id"))
-    per_set = (doc_groups.join(set_groups, "group_id").select("gset", "_doc").distinct()
-               .groupBy("gset").agg(F.count(F.lit(1)).alias("_group_n")))
-    direct = doc_users.join(u, "user_id")
-    direct_n = direct.groupBy("user_id").agg(F.count(F.lit(1)).alias("_direct_n"))
-    overlap = (direct.join(doc_groups, "_doc").filter(F.array_contains("gset", F.col("group_id")))
-               .select("user_id", "_doc").distinct().groupBy("user_id").agg(F.count(F.lit(1)).alias("_overlap")))
-    public_n = docs.filter(is_public).agg(F.count(F.lit(1))).scalar()  # scalar subquery, no join
-    out = u.join(per_set, "gset", "left").join(direct_n, "user_id", "left").join(overlap, "user_id", "left")
-    total = (public_n + F.coalesce("_direct_n", F.lit(0)) + F.coalesce("_group_n", F.lit(0))
-             - F.coalesce("_overlap", F.lit(0)))
-    return out.select("user_id", total.cast("bigint").alias("visible"))
+    """J12 as counts, by access signatures: (user_id, visible) for ``users`` (user_id, groups
+    ARRAY<STRING> of group principal ids).  No (user, document) pairs arise."""
+    return access_index(docs, id_col, acl_col).count(users)

@@ -120,11 +120,8 @@ def apply_changes(index: DataFrame, changes: DataFrame, order: list[str], key: s
     deletes = F.coalesce(F.col(action_col), F.lit("upsert")) == "delete"
     events = changes if propagate_deletes else changes.filter(~deletes)
     events = events.withColumn("_deleted", deletes).drop(action_col).select(*index.columns)
-    latest = latest_per_id(events, key, [F.col(c) for c in order])
-    before = index.join(latest.select(key), key, "left_semi").withColumn("_event", F.lit(0))
-    decided = latest_per_id(before.unionByName(latest.withColumn("_event", F.lit(1))), key,
-                            [*[F.col(c) for c in order], F.col("_event")]).drop("_event")
-    return index.join(latest.select(key), key, "left_anti").unionByName(decided.select(*index.columns))
+    both = index.withColumn("_event", F.lit(0)).unionByName(events.withColumn("_event", F.lit(1)))
+    return latest_per_id(both, key, [*[F.col(c) for c in order], F.col("_event")]).select(*index.columns)
 
 
 def live(index: DataFrame) -> DataFrame:

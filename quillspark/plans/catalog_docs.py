@@ -99,7 +99,7 @@ def q_index_upsert(spark, sf):
     the result is the published index read back."""
     root = _index_root(spark, "index-upsert")
     base = rest_documents(spark, sf).select("id", "struct_data", "content", "acl_info", "_seq")
-    K.sync_index(spark, root, base, mode="FULL", staging_root=root + "/_staging")
+    K.sync_index(spark, root, base, mode="FULL", staging_root=root + "-staging")
     K.sync_index(spark, root, _labelled_delta(spark, sf), mode="INCREMENTAL", order=["_seq"])
     idx = K.read_index(spark, root)
     return idx.select("id", F.col("struct_data")["title"].alias("title"))
@@ -110,8 +110,8 @@ def q_index_replace(spark, sf):
     """K2 + K5: FULL run stages then replaces the index with exactly this run's documents."""
     root = _index_root(spark, "index-replace")
     base = rest_documents(spark, sf).select("id", "struct_data", "content", "acl_info", "_seq")
-    K.sync_index(spark, root, base, mode="FULL", staging_root=root + "/_staging")
-    K.sync_index(spark, root, _labelled_delta(spark, sf), mode="FULL", staging_root=root + "/_staging")
+    K.sync_index(spark, root, base, mode="FULL", staging_root=root + "-staging")
+    K.sync_index(spark, root, _labelled_delta(spark, sf), mode="FULL", staging_root=root + "-staging")
     return K.read_index(spark, root).select("id", F.col("struct_data")["title"].alias("title"))
 
 
@@ -124,7 +124,7 @@ def q_upload_summary(spark, sf):
     """K9: summary of an incremental run over an existing index."""
     root = _index_root(spark, "index-summary")
     base = rest_documents(spark, sf).select("id", "struct_data", "content", "acl_info", "_seq")
-    K.sync_index(spark, root, base, mode="FULL", staging_root=root + "/_staging")
+    K.sync_index(spark, root, base, mode="FULL", staging_root=root + "-staging")
     summary = K.sync_index(spark, root, _labelled_delta(spark, sf), mode="INCREMENTAL", order=["_seq"])
     return K.upload_summary(spark, summary)
 
@@ -243,15 +243,13 @@ def q_report(spark, sf):
 
 
 @query("full_requires_staging", f"""
-SELECT id, title, true AS staged FROM ({SQL_REST})
+SELECT id, title, false AS left_behind FROM ({SQL_REST})
 """)
 def q_full_staging(spark, sf):
-    """K5: a FULL run is written to a staging folder under the staging root, and that
-    staged folder becomes the published version (FULL without staging is an error)."""
+    """K5: a FULL run is written to a staging folder under the staging root and published from
+    there; the folder goes afterwards (FULL without staging is an error)."""
     root = _index_root(spark, "index-staged")
-    staging = root + "/_staging"
     base = rest_documents(spark, sf).select("id", "struct_data", "content", "acl_info")
-    K.sync_index(spark, root, base, mode="FULL", staging_root=staging)
-    version = K.current_version(spark, root)
-    return K.read_index(spark, root).select("id", F.col("struct_data")["title"].alias("title"),
-                                            F.lit(version.startswith(staging)).alias("staged"))
+    K.sync_index(spark, root, base, mode="FULL", staging_root=root + "-staging")
+    left = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root + "-staging").isEmpty()
+    return K.read_index(spark, root).select("id", F.col("struct_data")["title"].alias("title"), F.lit(not left).alias("left_behind"))

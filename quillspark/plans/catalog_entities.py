@@ -13,6 +13,7 @@ from quillspark.operators import joins as J
 from quillspark.operators import ordering as O
 from quillspark.operators import project as P
 from quillspark.operators import state as ST
+from quillspark.operators.access import access_index
 from quillspark.plans import bindings as B
 from quillspark.plans.catalog import SQL_CUSTOMER_EMAIL, SQL_ENTITY, SQL_ENTITY_DOCS, _t, query, shared
 
@@ -264,7 +265,7 @@ def q_sync_run_entities(spark, sf):
     steps = (
         FL.drop_deletes, lambda df: FL.drop_unmapped_entities(df, KNOWN),
         lambda df: P.finalize_documents(P.project_entities(df, KNOWN), with_json=True),
-        lambda df: df.select("id", "json_data", "acl_info", F.col("envelope")["updatedAt"].alias("_updated"), "_seq", "_rec"),
+        lambda df: df.select("id", "json_data", "acl_info", F.col("envelope")["updatedAt"].alias("_updated"), "_seq", "_rec", "_source_key"),
     )
     sync_run(spark, rows(spark, sf), steps, root, mode="INCREMENTAL", order=["_updated", "_seq"])
     return _from_json(K.read_index(spark, root))
@@ -367,6 +368,29 @@ def q_visible_documents(spark, sf):
     return J.visible_to(emitted(spark, sf), READER).select(F.col("_seq").alias("seq"), F.col("id").alias("doc_id"))
 
 
+SQL_RESTRICTED = f"""
+l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY updatedAt DESC, seq DESC) AS rn
+                     FROM ({SQL_ENTITY_DOCS})) WHERE rn = 1),
+p AS (SELECT doc_id, unnest(string_split(acl, ',')) AS principal FROM l WHERE acl <> 'PUBLIC')
+"""
+
+
+@query("readable_documents", f"""
+WITH {SQL_RESTRICTED},
+u AS (SELECT {SQL_CUSTOMER_EMAIL} AS user_id, 'group:external_group:nation-' || CAST(c_nationkey AS VARCHAR) AS grp
+      FROM customer WHERE c_custkey % 50 = 0)
+SELECT DISTINCT u.user_id, p.doc_id FROM u JOIN p ON p.principal = 'user:' || u.user_id OR p.principal = u.grp
+""")
+def q_readable_documents(spark, sf):
+    """J12 as the search path does it, for many readers at once: every fiftieth customer against all
+    (latest) documents, through the signatures; public documents are not listed again for each."""
+    c = _t(spark, sf, "customer").where(F.col("c_custkey") % 50 == 0)
+    readers = c.select(B.customer_email(F.col("c_name")).alias("user_id"),
+                       F.array(F.concat(F.lit("external_group:nation-"), F.col("c_nationkey").cast("string"))).alias("groups"))
+    index = access_index(latest(spark, sf, "acl_info"))
+    return index.documents(readers).withColumnRenamed("id", "doc_id")
+
+
 # The newest row of an id decides, whether it is in the index or in the feed; at the same time the feed wins.
 SQL_APPLY_CHANGES = f"""
 WITH r AS ({SQL_ENTITY}),
@@ -405,8 +429,8 @@ def q_apply_changes_stream(spark, sf):
         .withColumn("doc_id", F.concat(F.col("entityType"), F.lit("-"), F.col("id")))
     root, changes_dir, ckpt = (scratch_dir(spark, n) for n in ("stream-index", "stream-changes", "stream-ckpt"))
     base = r.filter(F.col("action").isNull()).select("doc_id", "title", "updatedAt", "_seq")
-    K.publish(spark, O.latest_per_id(base, "doc_id", [F.col("updatedAt"), F.col("_seq")])
-              .select("doc_id", "title", "updatedAt", "_seq").withColumn("_deleted", F.lit(False)), root, key="doc_id")
+    newest = O.latest_per_id(base, "doc_id", [F.col("updatedAt"), F.col("_seq")])
+    K.publish(spark, newest.withColumn("_deleted", F.lit(False)), root, key="doc_id")
     feed = r.filter(F.col("action").isNotNull()).select("doc_id", "title", "action", "updatedAt", "_seq")
     for part in range(2):  # two batches, with late events in both
         feed.filter(F.pmod(F.col("_seq"), F.lit(2)) == part).write.mode("append").json(changes_dir)

@@ -1,40 +1,36 @@
 """Index sinks (survey K1-K9).
 
-The index is a Parquet table keyed by ``id`` and split by hash of the id into
-``BUCKETS`` buckets.  A *manifest* says which folder holds each bucket and how many
-rows it has.  A run writes the buckets it touches to a fresh version folder; the
-new manifest keeps the others where they are, so a small delta rewrites only what
-it changes.  Manifests are files numbered upwards and created without overwriting:
-the highest number is the current index, a run that fails leaves the previous one,
-and of two concurrent writers the second fails.  Only a root without any version is
-a new index; a missing, empty or unreadable manifest beside versions is an error.
-All folders live under the shared checkpoint location on a cluster.
+The index is one plain Parquet table keyed by ``id`` and partitioned by ``_bucket``, a hash of the id.
+How many buckets it has follows the size of the run that made it (``BUCKET_BYTES`` each) and is kept
+in the key column's metadata.  A delta is merged with the buckets that its ids fall into, which
+Spark replaces by dynamic partition overwrite; the others are not read or written.  A bucket is
+written by up to ``WRITERS`` tasks, so that an id with very many rows is no single task.
+
+A job that fails before its commit leaves the index as it was.  Spark commits bucket by bucket: a run
+that ends between two of them is repeated with the same documents, which gives the same index.  One
+writer at a time.
 """
 
 from __future__ import annotations
 
-import json
-import re
-import time
 import uuid
+from typing import Callable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillspark.functions.scalars import decode_text
 from quillspark.operators.ordering import latest_per_id, number_rows
+from quillspark.session import scratch_dir
 
 UPLOAD_BATCH_SIZE = 100
-#: Buckets of a new index; an index keeps the number it was made with.
-BUCKETS = 32
+#: Bytes (as written) that a bucket of a new index holds, and the most tasks that write one.
+BUCKET_BYTES, WRITERS = 256 << 20, 4
 _BUCKET = "_bucket"
 
 
-class IndexStateError(RuntimeError):
-    """The index cannot be read, or another writer was first."""
-
-
 def newest_documents(new: DataFrame, key: str, order: list[str]) -> DataFrame:
     """This run's documents: those with an id, the last one per id by ``order``."""
     if not order:
@@ -74,172 +70,103 @@ def index_delete(index: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame
     return index.join(ids.select(key).distinct(), key, "left_anti")
 
 
-def _path(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+def written(df: DataFrame, folder: str) -> DataFrame:
+    """``df`` written as Parquet and read back: computed once, kept when executors are lost."""
+    df.write.mode("errorifexists").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def _children(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _path(spark, path)
-    return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
+def bytes_of(spark: SparkSession, folder: str) -> int:
+    """Size of a written folder; the listing is Spark's, the contents are not read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder)
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
-def _manifest_numbers(spark: SparkSession, root: str) -> list[int]:
-    found = [re.fullmatch(r"m-(\d+)\.json", n) for n in _children(spark, f"{root}/_manifests")]
-    return sorted(int(m[1]) for m in found if m)
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
 
 
-def read_manifest(spark: SparkSession, root: str) -> dict | None:
-    """The current manifest, or None for a root that never had a version."""
-    root = root.rstrip("/")
-    numbers = _manifest_numbers(spark, root)
-    if not numbers:
-        lost = [n for n in _children(spark, root) if n.startswith("v-")]
-        if lost:
-            raise IndexStateError(f"{root} has versions but no manifest: {lost[:3]}")
-        return None
-    fs, p = _path(spark, f"{root}/_manifests/m-{numbers[-1]:012d}.json")
-    stream = fs.open(p)
-    try:
-        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
+def _stored(spark: SparkSession, root: str) -> DataFrame | None:
+    """The table as it lies, with its bucket column; None if nothing was written yet."""
     try:
-        return json.loads(text) | {"number": numbers[-1]}
-    except ValueError as exc:
-        raise IndexStateError(f"{p.toString()} is not a manifest") from exc
-
-
-def write_manifest(spark: SparkSession, root: str, manifest: dict, after: int) -> int:
-    """Add the manifest that follows number ``after``; fails if that number is taken."""
-    number = after + 1
-    fs, final = _path(spark, f"{root}/_manifests/m-{number:012d}.json")
-    _, part = _path(spark, f"{root}/_manifests/.part-{uuid.uuid4().hex}")
-    out = fs.create(part, False)
-    out.write(bytearray(json.dumps(manifest).encode()))
-    out.close()
-    if fs.exists(final) or not fs.rename(part, final):
-        raise IndexStateError(f"another writer published version {number} of {root}")
-    return number
-
-
-def current_version(spark: SparkSession, root: str) -> str | None:
-    """Folder written by the last run, or None for a new index."""
-    m = read_manifest(spark, root)
-    return m["version"] if m else None
-
-
-def _read_buckets(spark: SparkSession, manifest: dict, buckets: list[int] | None = None) -> DataFrame:
-    schema = T.StructType.fromJson(manifest["schema"])
-    wanted = manifest["buckets"].items() if buckets is None else [(str(b), manifest["buckets"][str(b)]) for b in buckets if str(b) in manifest["buckets"]]
-    paths = [f"{x['folder']}/{_BUCKET}={b}" for b, x in wanted]
-    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+        return spark.read.parquet(root)
+    except AnalysisException as exc:
+        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def read_index(spark: SparkSession, root: str) -> DataFrame | None:
-    m = read_manifest(spark, root)
-    return _read_buckets(spark, m) if m else None
-
-
-def bucket_of(key: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
-
-
-def _write_buckets(df: DataFrame, folder: str, key: str, buckets: int) -> dict:
-    """Write ``df`` by bucket; (folder, rows) of each bucket, read from the files' footers."""
-    spread = df.withColumn(_BUCKET, bucket_of(key, buckets)).repartition(F.col(_BUCKET))
-    spread.write.mode("errorifexists").partitionBy(_BUCKET).parquet(folder)
-    if not any(n.startswith(_BUCKET) for n in _children(df.sparkSession, folder)):
-        return {}
-    written = df.sparkSession.read.parquet(folder).groupBy(_BUCKET).count()
-    return {str(r[_BUCKET]): {"folder": folder, "rows": r["count"]} for r in written.collect()}  # one row a bucket
-
-
-def _commit(spark: SparkSession, root: str, old: dict | None, folder: str, schema: T.StructType, buckets: int,
-            parts: dict, extra: dict) -> int:
-    manifest = {"version": folder, "n_buckets": buckets, "schema": schema.jsonValue(), "buckets": parts,
-                "batches": (old or {}).get("batches", {}) | extra}
-    return write_manifest(spark, root, manifest, old["number"] if old else 0)
-
-
-def publish(spark: SparkSession, df: DataFrame, root: str, key: str = "id", batches: dict | None = None) -> str:
-    """Write ``df`` as the whole new index; returns the version folder."""
-    root = root.rstrip("/")
-    old = read_manifest(spark, root)
-    folder = f"{root}/v-{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
-    buckets = old["n_buckets"] if old else BUCKETS
-    parts = _write_buckets(df, folder, key, buckets)
-    _commit(spark, root, old, folder, df.schema, buckets, parts, batches or {})
-    return folder
-
-
-def merge_into(spark: SparkSession, root: str, keys: DataFrame, merge, key: str = "id", batches: dict | None = None,
-               schema: T.StructType | None = None) -> dict:
-    """Rewrite the buckets that ``keys`` fall into with ``merge(existing rows of them)``; the other
-    buckets stay where they are.  Returns rows in the index and rows marked ``_new``."""
-    root = root.rstrip("/")
-    old = read_manifest(spark, root)
-    buckets = old["n_buckets"] if old else BUCKETS
-    touched = sorted(r[0] for r in keys.select(bucket_of(key, buckets)).distinct().collect())  # at most one a bucket
-    existing = _read_buckets(spark, old, touched) if old else (spark.createDataFrame([], schema) if schema else None)
-    counts = Observation()
-    merged = merge(existing).observe(counts, F.count_if("_new").alias("new")).drop("_new")
-    folder = f"{root}/v-{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
-    parts = _write_buckets(merged, folder, key, buckets)
-    kept = {b: x for b, x in (old["buckets"] if old else {}).items() if int(b) not in touched}
-    known = T.StructType.fromJson(old["schema"]) if old else T.StructType()
-    fields = {f.name: f for f in [*known, *merged.schema]}
-    _commit(spark, root, old, folder, T.StructType(list(fields.values())), buckets, kept | parts, batches or {})
-    return {"version": folder, "rows": sum(x["rows"] for x in (kept | parts).values()), "new": counts.get["new"], "touched": touched}
-
-
-def expire_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
-    """Retention: drop all but the last ``keep`` manifests and the version folders that none of
-    these name; returns the folders dropped."""
-    root = root.rstrip("/")
-    numbers = _manifest_numbers(spark, root)
-    used, gone = set(), []
-    for n in numbers[-keep:]:
-        fs, p = _path(spark, f"{root}/_manifests/m-{n:012d}.json")
-        stream = fs.open(p)
-        m = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        stream.close()
-        used |= {m["version"], *(x["folder"] for x in m["buckets"].values())}
-    for n in numbers[:-keep]:
-        fs, p = _path(spark, f"{root}/_manifests/m-{n:012d}.json")
-        fs.delete(p, False)
-    for name in _children(spark, root):
-        if name.startswith("v-") and f"{root}/{name}" not in used:
-            fs, p = _path(spark, f"{root}/{name}")
-            fs.delete(p, True)
-            gone.append(name)
-    return gone
+    """The index, or None for a root without any document."""
+    found = _stored(spark, root)
+    return None if found is None else found.drop(_BUCKET)
+
+
+def buckets_of(index: DataFrame, key: str = "id") -> int:
+    return int(index.schema[key].metadata["buckets"])
+
+
+def _write(df: DataFrame, root: str, key: str, buckets: int, only_touched: bool) -> None:
+    """Write ``df`` over the whole index, or over the buckets that it has rows in."""
+    named = df.withColumn(key, F.col(key).alias(key, metadata={"buckets": buckets})).withColumn(_BUCKET, bucket_of(key, buckets))
+    spread = named.repartition(buckets * WRITERS, F.col(_BUCKET), F.pmod(F.spark_partition_id(), F.lit(WRITERS)))
+    how = "dynamic" if only_touched else "static"
+    spread.write.mode("overwrite").option("partitionOverwriteMode", how).partitionBy(_BUCKET).parquet(root)
+
+
+def publish(spark: SparkSession, df: DataFrame, root: str, key: str = "id", bucket_bytes: int = BUCKET_BYTES,
+            staging: str | None = None) -> int:
+    """Make ``df`` the whole index, by way of a staging folder that goes afterwards; returns its rows.
+    Rows repeating an id stay."""
+    staging = staging or scratch_dir(spark, "index-stage")
+    staged = written(df, staging)
+    _write(staged, root, key, max(1, -(-bytes_of(spark, staging) // bucket_bytes)), only_touched=False)
+    rows = staged.count()
+    path = spark._jvm.org.apache.hadoop.fs.Path(staging)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return rows
+
+
+def merge_into(spark: SparkSession, root: str, changes: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame],
+               key: str = "id", bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Replace the buckets that ``changes`` fall into by ``merge(their rows, changes)``; returns the
+    number of changes.  Columns that the index does not have yet are added, for which it is written
+    anew as a whole, so that all its files have one schema."""
+    folder = scratch_dir(spark, "index-changes")
+    fresh = written(changes, folder)
+    stored = _stored(spark, root)
+    if stored is None:
+        nothing = spark.createDataFrame([], fresh.schema)
+        _write(merge(nothing, fresh), root, key, max(1, -(-bytes_of(spark, folder) // bucket_bytes)), only_touched=False)
+        return fresh.count()
+    buckets = buckets_of(stored, key)
+    touched = fresh.select(bucket_of(key, buckets).alias(_BUCKET)).distinct()
+    widened = merge(stored.drop(_BUCKET).limit(0), fresh.limit(0)).schema
+    if set(widened.names) - set(stored.columns):
+        everything = written(merge(stored.drop(_BUCKET), fresh), scratch_dir(spark, "index-widened"))
+        _write(everything, root, key, buckets, only_touched=False)
+    else:
+        _write(merge(stored.join(touched, _BUCKET, "left_semi").drop(_BUCKET), fresh), root, key, buckets, only_touched=True)
+    return fresh.count()
 
 
 def sync_index(spark: SparkSession, root: str, docs: DataFrame, mode: str = "INCREMENTAL",
                staging_root: str | None = None, order: list[str] | None = None, key: str = "id") -> dict:
-    """K1/K2/K5/K9 end to end: merge (or replace), publish, and summarise what was written."""
+    """K1/K2/K5/K9 end to end: merge (or replace), and summarise what was written."""
     stage = full_requires_staging(mode, staging_root)
-    if mode.upper() == "FULL":
-        # The complete staged run becomes the new version as is: no second copy is written.
-        old = read_manifest(spark, root)
-        parts = _write_buckets(index_replace(docs), stage, key, BUCKETS)
-        _commit(spark, root.rstrip("/"), old, stage, docs.schema, BUCKETS, parts, {})
-        total = synced = sum(x["rows"] for x in parts.values())
-        version = stage
+    if stage is not None:
+        if stage.startswith(root.rstrip("/") + "/"):
+            raise ValueError("the staging location must not lie inside the index")
+        synced = publish(spark, index_replace(docs), root, key, staging=stage)
     else:
-        fresh = newest_documents(docs, key, order or []).withColumn("_new", F.lit(True))
-
-        def merge(existing):
-            if existing is None:
-                return fresh
-            untouched = existing.join(fresh.select(key), key, "left_anti").withColumn("_new", F.lit(False))
+        def merge(existing: DataFrame, fresh: DataFrame) -> DataFrame:
+            untouched = existing.join(fresh.select(key), key, "left_anti")
             return untouched.unionByName(fresh, allowMissingColumns=True)
 
-        done = merge_into(spark, root, fresh, merge, key)
-        version, total, synced = done["version"], done["rows"], done["new"]
-    return {"destination_format": "PARQUET", "total_records_indexed": total, "records_synced_this_run": synced,
-            "reconciliation_mode": mode.upper(), "status": "success", "version": version}
+        synced = merge_into(spark, root, newest_documents(docs, key, order or []), merge, key)
+    index = read_index(spark, root)
+    return {"destination_format": "PARQUET", "total_records_indexed": 0 if index is None else index.count(),
+            "records_synced_this_run": synced, "reconciliation_mode": mode.upper(), "status": "success"}
 
 
 def upload_summary(spark: SparkSession, summary: dict) -> DataFrame:

@@ -1,9 +1,8 @@
 """I7 as a stream: change files landing in a folder are applied to the index.
 
 ``readStream`` picks up new files; each micro-batch rewrites the index buckets that its
-ids fall into (``foreachBatch``).  The index's manifest records, under the stream's
-checkpoint folder, the last batch applied: a batch that is run again after a restart is
-recognised and skipped.
+ids fall into (``foreachBatch``).  The newest of an id's row and events decides, so a batch that
+is run again after a restart changes nothing.
 """
 
 from __future__ import annotations
@@ -22,18 +21,13 @@ def start_change_stream(spark: SparkSession, changes_dir: str, schema: T.StructT
     """Start the stream; returns the ``StreamingQuery``.  ``schema`` must include
     ``key``, ``action`` and the ``order`` columns."""
     stream = spark.readStream.schema(schema).format(file_format).load(changes_dir)
-    columns = T.StructType([f for f in schema if f.name != "action"] + [T.StructField("_deleted", T.BooleanType())])
 
-    def apply_batch(batch: DataFrame, batch_id: int) -> None:
-        manifest = K.read_manifest(spark, index_root)
-        if manifest and manifest["batches"].get(checkpoint_dir, -1) >= batch_id:
-            return
-
-        def merge(existing: DataFrame) -> DataFrame:
-            return apply_changes(existing, batch, list(order), key=key, propagate_deletes=propagate_deletes) \
-                .withColumn("_new", F.lit(False))
+    def merge(existing: DataFrame, batch: DataFrame) -> DataFrame:
+        known = existing if "_deleted" in existing.columns else existing.drop("action").withColumn("_deleted", F.lit(False))
+        return apply_changes(known, batch, list(order), key=key, propagate_deletes=propagate_deletes)
 
-        K.merge_into(spark, index_root, batch, merge, key, {checkpoint_dir: batch_id}, columns)
+    def apply_batch(batch: DataFrame, batch_id: int) -> None:
+        K.merge_into(spark, index_root, batch, merge, key)
 
     writer = stream.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if trigger_once else writer.trigger(processingTime="1 minute")

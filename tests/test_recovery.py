@@ -1,5 +1,5 @@
-"""A failed write never changes the published index, a broken manifest is an error and never a
-new index; scratch output follows the session's checkpoint folder."""
+"""A failed write never changes the published index, and the same delta again gives the same index;
+scratch output follows the session's checkpoint folder."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,57 +15,43 @@ def content(spark, root):
 def test_failed_publish_keeps_previous_version(spark):
     root = scratch_dir(spark, "recovery-index")
     v1 = spark.createDataFrame([("a", 1), ("b", 2)], "id string, v int")
-    first = K.publish(spark, v1, root)
+    K.publish(spark, v1, root)
     bad = spark.createDataFrame([("a", 10), ("boom", 0)], "id string, v int") \
         .withColumn("v", F.when(F.col("id") == "boom", F.raise_error(F.lit("simulated failure"))).otherwise(F.col("v")))
     with pytest.raises(Exception):
         K.sync_index(spark, root, bad, order=["v"])
-    assert K.current_version(spark, root) == first
     assert content(spark, root) == {"a": 1, "b": 2}
     # re-running with good input succeeds on top of the unchanged version
     K.sync_index(spark, root, spark.createDataFrame([("a", 10)], "id string, v int"), order=["v"])
     assert content(spark, root) == {"a": 10, "b": 2}
 
 
-def manifests(spark, root):
-    fs, p = K._path(spark, f"{root}/_manifests")
-    return fs, sorted((x.getPath() for x in fs.listStatus(p)), key=lambda x: x.getName())
+def test_a_repeated_delta_changes_nothing(spark):
+    root = scratch_dir(spark, "recovery-repeat")
+    K.publish(spark, spark.range(200).select(F.col("id").cast("string").alias("id"), F.lit(0).alias("v")), root, bucket_bytes=300)
+    delta = spark.createDataFrame([(str(v), v) for v in (1, 2, 3)], "id string, v int")
+    for _ in range(2):
+        K.sync_index(spark, root, delta, order=["v"])
+        got = content(spark, root)
+        assert len(got) == 200 and (got["1"], got["2"], got["3"], got["4"]) == (1, 2, 3, 0)
 
 
-def test_an_emptied_or_missing_manifest_is_an_error(spark):
-    root = scratch_dir(spark, "recovery-manifest")
-    new = spark.createDataFrame([("a", 1)], "id string, v int")
-    K.publish(spark, new, root)
-    fs, (only,) = manifests(spark, root)
-    fs.create(only, True).close()
-    with pytest.raises(K.IndexStateError):
-        K.sync_index(spark, root, new, order=["v"])
-    fs.delete(only, False)
-    with pytest.raises(K.IndexStateError):
-        K.sync_index(spark, root, new, order=["v"])
-    assert K.read_index(spark, scratch_dir(spark, "recovery-new")) is None
-
-
-def test_of_two_writers_the_second_fails(spark):
-    root = scratch_dir(spark, "recovery-writers")
+def test_a_failing_full_run_keeps_the_index(spark):
+    root = scratch_dir(spark, "recovery-full")
     K.publish(spark, spark.createDataFrame([("a", 1)], "id string, v int"), root)
-    seen = K.read_manifest(spark, root)
-    K.publish(spark, spark.createDataFrame([("a", 2)], "id string, v int"), root)
-    with pytest.raises(K.IndexStateError):
-        K.write_manifest(spark, root, seen, seen["number"])
-    assert content(spark, root) == {"a": 2}
+    bad = spark.createDataFrame([("b", 1)], "id string, v int").withColumn("v", F.raise_error(F.lit("simulated failure")).cast("int"))
+    with pytest.raises(Exception):
+        K.sync_index(spark, root, bad, mode="FULL", staging_root=root + "-stage")
+    assert content(spark, root) == {"a": 1}
 
 
-def test_retention_keeps_what_the_last_manifests_name(spark):
-    root = scratch_dir(spark, "recovery-retention")
-    K.publish(spark, spark.range(200).select(F.col("id").cast("string").alias("id"), F.lit(0).alias("v")), root)
-    for v in (1, 2, 3):
-        K.sync_index(spark, root, spark.createDataFrame([(str(v), v)], "id string, v int"), order=["v"])
-    K.expire_versions(spark, root, keep=1)
-    got = content(spark, root)
-    assert len(got) == 200 and (got["1"], got["2"], got["3"], got["4"]) == (1, 2, 3, 0)
-    K.publish(spark, spark.createDataFrame([("a", 1)], "id string, v int"), root)
-    assert len(K.expire_versions(spark, root, keep=1)) >= 4 and content(spark, root) == {"a": 1}
+def test_no_index_and_an_empty_one(spark):
+    root = scratch_dir(spark, "recovery-new")
+    assert K.read_index(spark, root) is None
+    nothing = spark.createDataFrame([], "id string, v int")
+    assert K.sync_index(spark, root, nothing, order=["v"])["total_records_indexed"] == 0
+    K.sync_index(spark, root, spark.createDataFrame([("a", 1)], "id string, v int"), order=["v"])
+    assert K.sync_index(spark, root, nothing, order=["v"])["total_records_indexed"] == 1
 
 
 def test_scratch_under_checkpoint_dir(spark):

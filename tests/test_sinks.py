@@ -41,7 +41,7 @@ def test_rest_projection_defaults_and_acl(spark):
 
 def test_full_then_incremental_merge(spark):
     root = scratch_dir(spark, "test-index")
-    s1 = K.sync_index(spark, root, docs(spark, FULL), mode="FULL", staging_root=root + "/stage")
+    s1 = K.sync_index(spark, root, docs(spark, FULL), mode="FULL", staging_root=root + "-stage")
     assert s1["total_records_indexed"] == 3 and s1["records_synced_this_run"] == 3
     s2 = K.sync_index(spark, root, docs(spark, DELTA), mode="INCREMENTAL", order=["_seq"])
     assert s2["total_records_indexed"] == 6 and s2["records_synced_this_run"] == 4
@@ -85,15 +85,47 @@ def test_summary_counts_what_was_written(spark):
     assert K.upload_summary(spark, s).first().records_synced_this_run == 2
 
 
+def files_of(spark, root):
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root).select("path").collect()
+    out = {}
+    for r in found:
+        out.setdefault(r.path.split("_bucket=")[1].split("/")[0], set()).add(r.path)
+    return out
+
+
 def test_a_delta_rewrites_only_its_buckets_and_new_columns_are_kept(spark):
     root = scratch_dir(spark, "test-buckets")
-    K.publish(spark, spark.range(500).select(F.col("id").cast("string").alias("id"), F.lit(0).alias("v")), root)
-    before = K.read_manifest(spark, root)["buckets"]
-    K.sync_index(spark, root, spark.createDataFrame([("7", 1, "x")], "id string, v int, extra string"), order=["v"])
-    after = K.read_manifest(spark, root)["buckets"]
-    assert sum(before[b] != after[b] for b in before) == 1
+    K.publish(spark, spark.range(500).select(F.col("id").cast("string").alias("id"), F.lit(0).alias("v")), root, bucket_bytes=500)
+    before = files_of(spark, root)
+    assert len(before) > 4
+    K.sync_index(spark, root, spark.createDataFrame([("7", 1)], "id string, v int"), order=["v"])
+    after = files_of(spark, root)
+    assert before.keys() == after.keys() and sum(before[b] != after[b] for b in before) == 1
+    K.sync_index(spark, root, spark.createDataFrame([("9", 2, "x")], "id string, v int, extra string"), order=["v"])
     got = {r.id: (r.v, r.extra) for r in K.read_index(spark, root).collect()}
-    assert len(got) == 500 and got["7"] == (1, "x") and got["8"] == (0, None)
+    assert len(got) == 500 and got["7"] == (1, None) and got["8"] == (0, None) and got["9"] == (2, "x")
+    assert K.buckets_of(K.read_index(spark, root)) == len(before)
+
+
+def test_buckets_and_tasks_follow_the_size(spark):
+    """Ten times the documents make about ten times the buckets; copies of one id are spread."""
+    made = []
+    for n in (2_000, 20_000):
+        root = scratch_dir(spark, "test-size")
+        rows = spark.range(n).select(F.sha2(F.col("id").cast("string"), 256).alias("id"), F.lit(0).alias("v"))
+        K.publish(spark, rows, root, bucket_bytes=20_000)
+        made.append(K.buckets_of(K.read_index(spark, root)))
+    assert 5 * made[0] < made[1] < 20 * made[0]
+    root = scratch_dir(spark, "test-hot")
+    K.publish(spark, spark.range(0, 1000, 1, 8).select(F.lit("same").alias("id"), F.col("id").alias("v")), root)
+    assert 1 < len(files_of(spark, root)["0"]) <= K.WRITERS and K.read_index(spark, root).count() == 1000
+
+
+def test_staging_inside_the_index_is_refused(spark):
+    import pytest
+    root = scratch_dir(spark, "test-inside")
+    with pytest.raises(ValueError):
+        K.sync_index(spark, root, docs(spark, FULL), mode="FULL", staging_root=root + "/stage")
 
 
 def test_upsert_drops_missing_ids_and_keeps_others(spark):
