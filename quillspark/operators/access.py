@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.session import scratch_dir
+from quillspark.session import written
 
 PUBLIC = "*"
 
@@ -44,13 +44,6 @@ def is_public(acl: str) -> Column:
     return F.coalesce(_first_reader(acl)["idp_wide"], F.lit(False))
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder: read by several branches, survives lost executors."""
-    path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 @dataclass
 class AccessIndex:
     members: DataFrame
@@ -91,7 +84,7 @@ class AccessIndex:
         The documents of the set's most granted group are a sum over that group alone.  Only the
         other groups' parts are matched part by part, less those that name the first one too."""
         by_part = self.signatures.where("sig <> 0").groupBy("part").agg(F.sum("n").alias("n"))
-        parts = _written(self._parts(), "access-parts")
+        parts = written(self._parts(), "access-parts")
         totals = parts.join(by_part, "part").groupBy("group").agg(F.sum("n").alias("n"))
         weighed = sets.select("gset", F.explode("gset").alias("group")).join(totals, "group")
         top = weighed.groupBy("gset").agg(F.max(F.struct("n", "group")).alias("_top")).select("gset", F.col("_top.group").alias("top"), F.col("_top.n").alias("_first"))
@@ -119,12 +112,12 @@ def access_index(docs: DataFrame, id_col: str = "id", acl_col: str = "acl_info")
     signature 0 is the public one."""
     granted = docs.select(F.col(id_col).alias("id"), F.when(is_public(acl_col), F.array(F.lit(PUBLIC)))
                           .otherwise(F.array_sort(F.array_distinct(principal_keys(acl_col)))).alias("keys"))
-    granted = _written(granted.where(F.size("keys") > 0), "access-documents")
+    granted = written(granted.where(F.size("keys") > 0), "access-documents")
     sets = granted.groupBy("keys").agg(F.count(F.lit(1)).alias("n"))
     groups = F.filter("keys", lambda k: k.startswith("group:"))
     numbered = F.when(F.array_contains("keys", PUBLIC), F.lit(0)).otherwise(F.monotonically_increasing_id() + 1)
-    sets = _written(sets.select("keys", "n", numbered.alias("sig"), groups.alias("gkeys")), "access-sets")
-    parts = _written(sets.select("gkeys").distinct().select("gkeys", F.monotonically_increasing_id().alias("part")), "access-group-parts")
+    sets = written(sets.select("keys", "n", numbered.alias("sig"), groups.alias("gkeys")), "access-sets")
+    parts = written(sets.select("gkeys").distinct().select("gkeys", F.monotonically_increasing_id().alias("part")), "access-group-parts")
     signatures = sets.join(parts, "gkeys").select("sig", "part", "n")
     postings = sets.select(F.explode("keys").alias("principal"), "sig").where(F.col("principal") != PUBLIC)
     return AccessIndex(granted.join(sets.select("keys", "sig"), "keys").select("id", "sig"), signatures, postings)

@@ -6,14 +6,13 @@ All predicates are column expressions, so Catalyst can push the simple ones
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.functions.scalars import basename
-
 # Fixed values that must equal the reference's defaults for repository files.
 DEFAULT_EXCLUDE_EXTENSIONS = [".png", ".jpg", ".jpeg", ".gif", ".pdf", ".zip", ".gz", ".tar",
                               ".lock", ".log", ".exe", ".bin"]
@@ -44,14 +43,6 @@ def require_fields(df: DataFrame, *cols: str, nonzero: Sequence[str] = ()) -> Da
     return df.filter(cond)
 
 
-def missing_fields(df: DataFrame, *cols: str, nonzero: Sequence[str] = ()) -> DataFrame:
-    """Complement of F1 (the skipped side), for skip counts."""
-    cond = reduce(lambda a, b: a & b, [present(c) for c in cols], F.lit(True))
-    for c in nonzero:
-        cond = cond & F.coalesce(_c(c) != 0, F.lit(False))
-    return df.filter(~cond)
-
-
 def action_of(col="action") -> Column:
     return F.coalesce(_c(col), F.lit("upsert"))
 
@@ -66,35 +57,31 @@ def drop_unmapped_entities(df: DataFrame, known: Sequence[str], col: str = "enti
     return df.filter(present(col) & _c(col).isin(*known))
 
 
-def unmapped_entity_rows(df: DataFrame, known: Sequence[str], col: str = "entityType") -> DataFrame:
-    """Rejected side of F3 that gets reported (non-empty, unknown type)."""
-    return df.filter(present(col) & ~_c(col).isin(*known))
+def _either(texts: Sequence[str]) -> str:
+    return "(" + "|".join(re.escape(t) for t in texts) + ")"
 
 
-def path_prefixes(path) -> Column:
-    """Every ancestor directory of a path and the path itself: a/b/c -> [a, a/b, a/b/c]."""
-    parts = F.split(_c(path), "/")
-    return F.transform(F.sequence(F.lit(1), F.size(parts)),
-                       lambda i: F.array_join(F.slice(parts, 1, i), "/"))
+def _excluded(path: Column, exclude_extensions: Sequence[str], exclude_paths: Sequence[str], suffix_end: str) -> Column:
+    """One match for all suffixes (in any case) and one for all directory names (in their own)."""
+    tests = []
+    if exclude_extensions:
+        tests.append(F.lower(path).rlike(_either([e.lower() for e in exclude_extensions]) + suffix_end))
+    if exclude_paths:
+        tests.append(path.rlike("(^|/)" + _either([d.rstrip("/") for d in exclude_paths]) + "(/|$)"))
+    return _any(tests)
 
 
-def excluded_entry(p: Column, exclude_extensions: Sequence[str], exclude_paths: Sequence[str]) -> Column:
-    """The reference's per-entry exclusion test: extension suffix (case-insensitive) or an
-    excluded directory (case-sensitive) at the root or at any depth."""
-    low = F.lower(p)
-    ext = [low.endswith(e.lower()) for e in exclude_extensions]
-    dirs = []
-    for d in exclude_paths:
-        dc = d.rstrip("/")
-        dirs += [p == dc, p.startswith(dc + "/"), p.contains(f"/{dc}/"), p.endswith(f"/{dc}")]
-    return _any(ext + dirs)
+def entry_excluded(path, exclude_extensions: Sequence[str] = DEFAULT_EXCLUDE_EXTENSIONS,
+                   exclude_paths: Sequence[str] = DEFAULT_EXCLUDE_PATHS) -> Column:
+    """F4 for one entry alone, as a walk meets it: its ending, or a directory name anywhere in it."""
+    return _excluded(_c(path), exclude_extensions, exclude_paths, "$")
 
 
 def path_excluded(path, exclude_extensions: Sequence[str] = DEFAULT_EXCLUDE_EXTENSIONS,
                   exclude_paths: Sequence[str] = DEFAULT_EXCLUDE_PATHS) -> Column:
-    """a file is excluded when it or any ancestor directory is excluded (a directory
-    named ``x.bin`` prunes its whole subtree)."""
-    return F.exists(path_prefixes(path), lambda p: excluded_entry(p, exclude_extensions, exclude_paths))
+    """F4 for a full path: it or any directory above it is excluded (a directory named ``x.bin``
+    prunes its whole subtree), so a suffix counts wherever a name ends."""
+    return _excluded(_c(path), exclude_extensions, exclude_paths, "(/|$)")
 
 
 def _clean_includes(include_paths: Sequence[str] | None) -> list[str]:
@@ -105,28 +92,23 @@ def path_included(path, include_paths: Sequence[str] | None = None,
                   include_filenames: Sequence[str] = DEFAULT_INCLUDE_FILENAMES,
                   include_extensions: Sequence[str] = DEFAULT_INCLUDE_EXTENSIONS) -> Column:
     """under an include path (if any are set), then README-like name or whitelisted extension."""
-    low = F.lower(_c(path))
-    incs = _clean_includes(include_paths)
-    under = _any([(low == i) | low.startswith(i + "/") for i in incs]) if incs else F.lit(True)
-    name = F.lower(basename(path))
-    by_name = _any([(name == n) | name.startswith(n + ".") for n in include_filenames])
-    by_ext = _any([low.endswith(e.lower()) for e in include_extensions])
-    return under & (by_name | by_ext)
+    low, inside = F.lower(_c(path)), _clean_includes(include_paths)
+    wanted = []
+    if include_filenames:
+        wanted.append(low.rlike("(^|/)" + _either(include_filenames) + r"(\.[^/]*)?$"))
+    if include_extensions:
+        wanted.append(low.rlike(_either([e.lower() for e in include_extensions]) + "$"))
+    return (low.rlike("^" + _either(inside) + "(/|$)") if inside else F.lit(True)) & _any(wanted)
 
 
 def dir_traversable(dir_path, include_paths: Sequence[str] | None = None,
                     exclude_extensions: Sequence[str] = DEFAULT_EXCLUDE_EXTENSIONS,
                     exclude_paths: Sequence[str] = DEFAULT_EXCLUDE_PATHS) -> Column:
-    """not excluded, and inside an include path or an ancestor of one."""
-    d = _c(dir_path)
-    incs = _clean_includes(include_paths)
-    low = F.regexp_replace(F.lower(d), "/+$", "")
-    if incs:
-        inside = _any([(low == i) | low.startswith(i + "/") | F.lit(i).startswith(F.concat(low, F.lit("/")))
-                       for i in incs])
-    else:
-        inside = F.lit(True)
-    return ~excluded_entry(d, exclude_extensions, exclude_paths) & inside
+    """not excluded, and inside an include path or above one."""
+    low, inside = F.regexp_replace(F.lower(_c(dir_path)), "/+$", ""), _clean_includes(include_paths)
+    above = sorted({"/".join(i.split("/")[:n]) for i in inside for n in range(1, i.count("/") + 1)})
+    leads_in = (low.rlike("^" + _either(inside) + "(/|$)") | low.isin(above)) if inside else F.lit(True)
+    return ~entry_excluded(dir_path, exclude_extensions, exclude_paths) & leads_in
 
 
 def select_repo_files(entries: DataFrame, include_paths: Sequence[str] | None = None,

@@ -14,6 +14,7 @@ from quillspark.operators import joins as J
 from quillspark.operators import ordering as O
 from quillspark.operators import project as P
 from quillspark.operators import state as ST
+from quillspark.operators import tree as TR
 from quillspark.plans import bindings as B
 from quillspark.plans.catalog import SQL_COMMITS, SQL_CUSTOMER_EMAIL, SQL_PAGES, _t, query, shared
 from quillspark.session import scratch_dir
@@ -169,6 +170,27 @@ def q_bfs(spark, sf):
     return f.select("repository", O.path_depth("path").cast("bigint").alias("depth"), "path", "position")
 
 
+@query("walk_repo_tree", f"""
+WITH f AS (SELECT repository, path, string_split(path, '/') AS parts FROM ({SQL_PAGES})),
+d AS (SELECT DISTINCT repository, array_to_string(parts[1:i], '/') AS path, i AS depth
+      FROM (SELECT repository, parts, unnest(generate_series(1, len(parts) - 1)) AS i FROM f)),
+j AS (SELECT *, {_sql_excluded('path')} OR NOT (regexp_matches(lower(path), '^(en|fr)(/|$)') OR lower(path) IN ('en', 'fr')) AS stop FROM d),
+below AS (SELECT x.repository, x.path FROM j x JOIN j y ON x.repository = y.repository AND y.stop AND starts_with(x.path, y.path || '/')),
+m AS (SELECT * FROM j WHERE (repository, path) NOT IN (SELECT (repository, path) FROM below))
+SELECT repository, path, 'tree' AS type, depth, CASE WHEN stop THEN 'pruned' ELSE 'entered' END AS outcome FROM m
+UNION ALL
+SELECT repository, path, 'blob', len(parts),
+       CASE WHEN NOT {_sql_excluded('path')} AND {SQL_PATH_INCLUDED} AND regexp_matches(lower(path), '^(en|fr)(/|$)') THEN 'kept' ELSE 'passed' END
+FROM f WHERE len(parts) = 1 OR (repository, array_to_string(parts[1:len(parts) - 1], '/')) IN (SELECT (repository, path) FROM m WHERE NOT stop)
+""")
+def q_walk_tree(spark, sf):
+    """S6 + O2 as a walk: the directories and files of every repository that are met from its root,
+    level by level, into ``en`` and ``fr`` only and not into excluded directories."""
+    entries = B.repo_entries(_t(spark, sf, "pages"))
+    walked = TR.walk_tree(TR.listing_from_paths(entries), INCLUDE_PATHS, exclude_paths=EXCLUDE_PATHS)
+    return walked.withColumn("depth", F.col("depth").cast("bigint"))
+
+
 @query("project_file_document", f"""
 SELECT regexp_replace(repository || ':' || path, '[^a-zA-Z0-9_-]', '_', 'g') AS id,
        list_last(string_split(path, '/')) AS title,

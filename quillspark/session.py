@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale: AQE re-plans joins and coalesces/splits
 # partitions at runtime, skew-join splits hot keys, and the broadcast threshold
@@ -65,6 +65,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/quillspark/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once for all that read it, kept when
+    executors are lost."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scale_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,
                target_partition_bytes: int = 256 * 1024 * 1024) -> dict:
     """Settings for a cluster run over ``input_bytes`` of input.
