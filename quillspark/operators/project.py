@@ -275,6 +275,10 @@ def prop_value(df: DataFrame, name: str) -> Column:
         v = c.cast("string")
     elif isinstance(t, T.ArrayType):
         v = F.when(F.size(c) > 0, F.to_json(c))
+    elif isinstance(t, T.VariantType):  # the value's own type decides
+        kind, text = F.schema_of_variant(c), F.try_variant_get(c, "$", "string")
+        v = (F.when(kind == "BOOLEAN", F.initcap(text)).when(kind.startswith("ARRAY"), F.when(text != "[]", F.to_json(c)))
+             .when(kind.startswith("OBJECT"), F.to_json(c)).otherwise(text))
     else:
         v = F.to_json(c)
     return F.when(v != "", v)
@@ -287,6 +291,9 @@ def json_prop(df: DataFrame, name: str) -> Column:
     c, t = F.col(name), _dtype(df, name)
     if isinstance(t, T.ArrayType):
         return F.when(F.size(c) > 0, F.to_json(c))
+    if isinstance(t, T.VariantType):
+        falsy = F.coalesce(F.try_variant_get(c, "$", "string"), F.lit("")).isin("", "[]", "{}", "0", "0.0", "false")
+        return F.when(~falsy, F.to_json(c))
     if isinstance(t, T.StringType):
         # Columns of mixed type are landed as JSON text of lists and objects; plain text is encoded.
         quoted = F.to_json(F.array(c))
@@ -331,8 +338,9 @@ def _entity_props(df: DataFrame, entity: str) -> list[tuple[str, Column]]:
         prefixed = F.when(F.size(ids) > 0, F.to_json(F.transform(ids, lambda x: prefix_id("commitment", x))))
         link_texts = F.lit(None).cast("string")
         if "links" in df.columns:
-            links = F.col("links")
             link_type = _dtype(df, "links")
+            mixed = isinstance(link_type, T.VariantType)
+            links = F.try_variant_get("links", "$", "array<variant>") if mixed else F.col("links")
             if isinstance(link_type, T.ArrayType) and isinstance(link_type.elementType, T.StringType):
                 as_text = lambda x: F.to_json(F.array(x)).substr(F.lit(2), F.length(F.to_json(F.array(x))) - 2)
             else:

@@ -139,10 +139,52 @@ def entity_rows(orders: DataFrame, customer: DataFrame) -> DataFrame:
         only("person", F.col("c_custkey").cast("string")).alias("employeeId"), only("person", seg).alias("level"),
         # columns the projections do not know (schema drift)
         F.lit("orders").alias("sourceTable"), F.col("o_totalprice").alias("totalPrice"),
-        F.col("o_orderkey").alias("_seq"), F.col("c_nationkey").alias("_nation"),
+        F.col("o_orderkey").alias("_seq"), F.col("c_nationkey").alias("_nation"), seg.alias("_segment"),
     )
 
 
+def mixed_records(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """The same orders as JSON lines of mixed shape: (_seq, value).  Numbers arrive as numbers or
+    as text, lists as lists or as one text, links in two shapes, and some lines are no objects."""
+    e = entity_rows(orders, customer)
+    et, seq = F.col("entityType"), F.col("_seq")
+    even, third = seq % 2 == 0, seq % 3 == 0
+
+    def either(cond: Column, a: Column, b: Column) -> Column:
+        """JSON text of ``a`` or of ``b``, whose types differ."""
+        return F.when(cond, json_value(a)).otherwise(json_value(b))
+
+    def json_value(c: Column) -> Column:
+        text = F.to_json(F.struct(c.alias("v")))
+        return F.when(c.isNotNull(), F.substring(text, F.lit(6), F.length(text) - 6))
+
+    def when(kind: str, c: Column) -> Column:
+        return F.when(et == kind, c)
+
+    team = F.when(et == "initiative", either(third, F.col("_segment"), F.array("_segment", F.lit("Core")))).when(et == "person", json_value(F.col("_segment")))
+    address = F.concat(F.lit("https://a.example.com/"), seq.cast("string"))
+    links = F.when(et == "initiative", json_value(F.array(F.struct(address.alias("address"), F.lit("Spec").alias("name"))))) \
+        .when(et == "launch", json_value(F.array(F.struct(F.lit("Plan").alias("name"), address.alias("url")))))
+    values = {
+        "entityType": json_value(et), "id": either(even, F.col("id").cast("bigint"), F.col("id")), "title": json_value(F.col("title")),
+        "updatedAt": either(third, F.col("updatedAt"), F.col("updatedAt").cast("string")),
+        "private": either(even, F.col("private"), F.when(F.col("private"), F.lit(1)).otherwise(F.lit(0))),
+        "allowedUsers": F.when(F.size("allowedUsers") > 0, either(even, F.col("allowedUsers"), F.get("allowedUsers", F.lit(0)))),
+        "allowedGroups": json_value(F.col("allowedGroups")), "ownerEmail": json_value(F.col("ownerEmail")),
+        "hierarchyTeam": team, "links": links,
+        "quarter": when("commitment", either(even, F.lit(3), F.lit("Q3"))), "commitmentStatus": when("commitment", json_value(F.col("commitmentStatus"))),
+        "isClosedOut": when("commitment", json_value(F.col("isClosedOut"))),
+        "platforms": when("launch", either(third, F.array().cast("array<string>"), F.array(F.lit("web"), F.lit("ios")))),
+        "commitmentIds": when("launch", F.concat(F.lit("["), seq.cast("string"), F.lit(',"commitment-7"]'))),
+        "positionId": when("person", either(even, seq, seq.cast("string"))), "level": when("person", json_value(F.lit(0))),
+        "budget": when("initiative", either(even, F.lit(10), F.lit("ten"))),
+        "interactions": F.when(third, F.concat(F.lit('{"numLikes":"4","numViews":'), seq.cast("string"), F.lit("}"))),
+    }
+    members = [F.concat(F.lit(f'"{k}":'), v) for k, v in values.items()]
+    line = F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
+    return e.select("_seq", F.when(seq % 11 == 0, F.lit("[1, 2]")).otherwise(line).alias("value"))
+
+
 # ---------------------------------------------------------------- policy from customer / nation / region
 
 def policy_groups(nation: DataFrame, region: DataFrame) -> DataFrame:

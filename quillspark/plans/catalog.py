@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.functions import scalars as S
+from quillspark.functions.sql import register_functions
 from quillspark.operators import aggregates as AG
 from quillspark.operators import filters as FL
 from quillspark.operators import ordering as O
@@ -394,6 +395,37 @@ def q_scan_query(spark, sf):
     return ST_.scan_query(spark, SCAN_QUERY_SQL)
 
 
+FUNCTION_SQL = """
+SELECT sanitize_doc_id(prefix_id('order', CAST(o_orderkey AS STRING))) AS doc_id,
+       entity_type_for_table(lower(c_mktsegment)) AS entity_type, author_display(o_owner, c_name) AS author,
+       acl_summary(acl_from_row(c_mktsegment <> 'BUILDING', filter(array(o_owner), o -> o IS NOT NULL), NULL, c_name)) AS acl,
+       iso_date(o_orderdate) AS day, config_hash(concat(c_mktsegment, '/', o_orderpriority)) AS cache_key,
+       array_join(extract_tickets(concat('ORD-', o_orderkey, ' ', o_orderpriority, ' C', c_nationkey, '-', o_custkey)), ',') AS tickets,
+       int_or_null(substring(o_orderpriority, 1, 1)) AS priority
+FROM (SELECT *, CASE WHEN o_totalprice > 100000 THEN lower(c_name) END AS o_owner FROM orders JOIN customer ON o_custkey = c_custkey)
+WHERE int_or_null(substring(o_orderpriority, 1, 1)) <= 3
+"""
+
+
+@query("scan_query_functions", r"""
+SELECT regexp_replace('order-' || CAST(o_orderkey AS VARCHAR), '[^a-zA-Z0-9_-]', '_', 'g') AS doc_id,
+       lower(c_mktsegment) AS entity_type,
+       CASE WHEN o_totalprice > 100000 THEN lower(c_name) ELSE c_name END AS author,
+       CASE WHEN c_mktsegment = 'BUILDING' THEN 'PUBLIC' WHEN o_totalprice > 100000 THEN 'user:' || lower(c_name) ELSE 'user:' || c_name END AS acl,
+       strftime(o_orderdate, '%Y-%m-%d') AS day, substr(sha256(c_mktsegment || '/' || o_orderpriority), 1, 16) AS cache_key,
+       array_to_string(list_sort(list_distinct(regexp_extract_all('ORD-' || CAST(o_orderkey AS VARCHAR) || ' ' || o_orderpriority || ' C'
+         || CAST(c_nationkey AS VARCHAR) || '-' || CAST(o_custkey AS VARCHAR), '\b([A-Z][A-Z0-9]{1,9}-\d+)\b', 1))), ',') AS tickets,
+       TRY_CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS priority
+FROM orders JOIN customer ON o_custkey = c_custkey WHERE TRY_CAST(substr(o_orderpriority, 1, 1) AS BIGINT) <= 3
+""")
+def q_scan_query_functions(spark, sf):
+    """S3 with the library's functions in the query's own text."""
+    register_functions(spark)
+    for t in ("orders", "customer"):
+        _t(spark, sf, t).createOrReplaceTempView(t)
+    return ST_.scan_query(spark, FUNCTION_SQL)
+
+
 @query("entity_type_for_table", """
 WITH w AS (SELECT DISTINCT unnest(string_split(lower(p_name || ' ' || p_type || ' ' || p_brand), ' ')) AS word FROM part)
 SELECT word,

@@ -15,6 +15,8 @@ from quillspark.operators import project as P
 from quillspark.operators import state as ST
 from quillspark.operators.access import access_index
 from quillspark.plans import bindings as B
+from quillspark.session import scratch_dir
+from quillspark.sources import mixed as MX
 from quillspark.plans.catalog import SQL_CUSTOMER_EMAIL, SQL_ENTITY, SQL_ENTITY_DOCS, _t, query, shared
 
 KNOWN = list(P.ENTITY_OBJECT_TYPES)
@@ -302,6 +304,65 @@ def q_drift(spark, sf):
     return AG.schema_drift_typed(ok, P.ENTITY_KEYS)
 
 
+SQL_MIXED = f"""
+SELECT *, seq % 2 = 0 AS even, seq % 3 = 0 AS third FROM ({SQL_ENTITY}) WHERE seq % 11 <> 0
+  AND entityType IN ('initiative', 'commitment', 'launch', 'person')
+"""
+SQL_MIXED_ACL = """
+CASE WHEN entityType = 'person' OR NOT private THEN 'PUBLIC'
+     WHEN len(allowedUsers) + coalesce(len(allowedGroups), 0) > 0 THEN
+       array_to_string(list_concat(list_transform(allowedUsers, lambda u: 'user:' || u),
+                       list_transform(coalesce(allowedGroups, []), lambda g: 'group:' || g)), ',')
+     WHEN coalesce(ownerEmail, '') <> '' THEN 'user:' || ownerEmail END
+"""
+
+
+@shared
+def mixed(spark: SparkSession, sf: str) -> DataFrame:
+    """The records of mixed shape, landed as text files and read back as VARIANT."""
+    path = scratch_dir(spark, "mixed-records")
+    lines = B.mixed_records(_t(spark, sf, "orders"), _t(spark, sf, "customer"))
+    lines.select(F.concat(F.col("_seq").cast("string"), F.lit("\t"), F.col("value"))).write.text(path)
+    landed = spark.read.text(path).select(F.split_part("value", F.lit("\t"), F.lit(1)).cast("bigint").alias("_seq"),
+                                          F.regexp_replace("value", "^[^\t]*\t", "").alias("value"))
+    return MX.parse_records(landed)
+
+
+@query("project_mixed_entities", f"""
+SELECT seq, entityType || '-' || id AS doc_id, {SQL_MIXED_ACL} AS acl, updatedAt AS updated_at,
+  CASE entityType
+    WHEN 'initiative' THEN 'hierarchyTeam=' || CASE WHEN third THEN '"' || c_mktsegment || '"' ELSE '["' || c_mktsegment || '","Core"]' END
+      || ';linksJSONString=[{{"address":"https://a.example.com/' || CAST(seq AS VARCHAR) || '","name":"Spec"}}]'
+    WHEN 'commitment' THEN 'quarter=' || CASE WHEN even THEN '3' ELSE 'Q3' END || ';commitmentStatus=' || o_orderstatus
+      || ';isClosedOut=' || CASE WHEN o_orderstatus = 'F' THEN 'True' ELSE 'False' END
+    WHEN 'launch' THEN CASE WHEN third THEN '' ELSE 'platforms=["web","ios"];' END
+      || 'commitmentID=["commitment-' || CAST(seq AS VARCHAR) || '","commitment-7"]'
+      || ';links=["{{\\"name\\":\\"Plan\\",\\"url\\":\\"https://a.example.com/' || CAST(seq AS VARCHAR) || '\\"}}"]'
+    ELSE 'positionId=' || CAST(seq AS VARCHAR) || ';level=0;hierarchyTeam=' || c_mktsegment END AS props,
+  CASE WHEN third THEN 4 END AS likes, CASE WHEN third THEN 0 END AS comments, CASE WHEN third THEN seq END AS views
+FROM ({SQL_MIXED}) WHERE {SQL_MIXED_ACL} IS NOT NULL
+""")
+def q_mixed(spark, sf):
+    """P8-P14 over records whose keys change type, held as VARIANT."""
+    r = FL.drop_unmapped_entities(MX.entity_columns(mixed(spark, sf).where("_raw IS NOT NULL")), KNOWN)
+    e = P.finalize_documents(P.project_entities(r, KNOWN))
+    env = F.col("envelope")
+    return e.select(F.col("_seq").alias("seq"), F.col("id").alias("doc_id"), A.acl_summary("acl_info").alias("acl"),
+                    env["updatedAt"].alias("updated_at"), _props_text(env).alias("props"), env["interactions"]["numLikes"].alias("likes"),
+                    env["interactions"]["numComments"].alias("comments"), env["interactions"]["numViews"].alias("views"))
+
+
+@query("schema_drift_raw", f"""
+SELECT DISTINCT 'initiative' AS entity, 'budget' AS key, CASE WHEN even THEN 'int' ELSE 'str' END AS value_type
+FROM ({SQL_MIXED}) WHERE entityType = 'initiative'
+""")
+def q_drift_raw(spark, sf):
+    """A7 in its raw form, over the records of mixed shape: a key with two types is two rows."""
+    r = mixed(spark, sf).where("_raw IS NOT NULL").select("_raw", MX.value_at(F.col("_raw"), "entityType", "string").alias("entityType"))
+    known = FL.drop_unmapped_entities(r, KNOWN).withColumn("_raw", F.to_json("_raw"))
+    return AG.schema_drift(known, P.ENTITY_KEYS)
+
+
 @query("referenced_users", f"""
 WITH l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY updatedAt DESC, seq DESC) AS rn
                           FROM ({SQL_ENTITY_DOCS})) WHERE rn = 1),
