@@ -19,6 +19,7 @@ from quillspark.plans import bindings as B
 from quillspark.plans.catalog import SQL_COMMITS, SQL_CUSTOMER_EMAIL, SQL_PAGES, _t, query, shared
 from quillspark.session import scratch_dir
 from quillspark.sources import files as SF
+from quillspark.streaming import state as SS
 
 # ---------------------------------------------------------------- repository files (pages)
 
@@ -779,3 +780,49 @@ def q_route(spark, sf):
                                             "event_type"), "id")
     recs = recs.withColumn("type", F.when(F.col("event_type") == "error", F.lit("status")).otherwise(F.col("type")))
     return P.route_discussion(recs).select("id", "discussion_type")
+
+
+# ---------------------------------------------------------------- state carried by a stream (events)
+
+STREAM_TTL_SECONDS = 6 * 3600
+
+
+def _in_time_order(spark: SparkSession, sf: str, parts: int = 3):
+    """The events in ``parts`` runs by time: for each, the events that land with it."""
+    e = _t(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    first, last = e.agg(F.min("ts"), F.max("ts")).first()
+    for i in range(parts):
+        since = first + (last - first) * i / parts
+        until = first + (last - first) * (i + 1) / parts
+        yield e.where((F.col("ts") >= F.lit(since)) & ((F.col("ts") < F.lit(until)) | F.lit(i == parts - 1)))
+
+
+@query("stream_unseen_commits", "SELECT event_id, user_id, event_type FROM events")
+def q_stream_unseen(spark, sf):
+    """W3 / J4 as streaming state: every run lands new events and, once more, those of the run
+    before; the stream, started anew each time from its checkpoint, hands on each only once."""
+    landed, out, ckpt = (scratch_dir(spark, n) for n in ("seen-landed", "seen-out", "seen-ckpt"))
+    before = None
+    for part in _in_time_order(spark, sf):
+        (part if before is None else part.unionByName(before)).write.mode("append").parquet(landed)
+        before = part
+        stream = spark.readStream.schema(part.schema).parquet(landed)
+        SS.run_available(SS.unseen(stream, "event_id", "ts"), out, ckpt)
+    return spark.read.schema(before.schema).parquet(out).select("event_id", "user_id", "event_type")
+
+
+@query("stream_expiring_state", f"""
+SELECT 'user-' || CAST(user_id AS VARCHAR) AS key, event_id AS id,
+       coalesce(epoch_us(ts) < epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) + CAST({STREAM_TTL_SECONDS} AS BIGINT) * 1000000, false) AS hit
+FROM events
+""")
+def q_stream_state(spark, sf):
+    """I1-I3 as streaming state: each event looks its user's entry up and writes it for six hours;
+    the stream is stopped and started again between the runs."""
+    landed, out, ckpt = (scratch_dir(spark, n) for n in ("ttl-landed", "ttl-out", "ttl-ckpt"))
+    for part in _in_time_order(spark, sf):
+        part.write.mode("append").parquet(landed)
+        stream = spark.readStream.schema(part.schema).parquet(landed)
+        keyed = stream.withColumn("key", F.concat(F.lit("user-"), F.col("user_id").cast("string")))
+        SS.run_available(SS.lookups(keyed, "key", "ts", "event_id", STREAM_TTL_SECONDS), out, ckpt)
+    return spark.read.schema("key string, id bigint, hit boolean").parquet(out)
