@@ -19,6 +19,7 @@ from quillspark.operators import filters as FL
 from quillspark.operators import ordering as O
 from quillspark.operators import project as P
 from quillspark.plans import bindings as B
+from quillspark.session import scratch_dir
 from quillspark.sources import tables as ST_
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -454,6 +455,37 @@ def q_cls(spark, sf):
     return kept
 
 
+@query("scan_database", """
+SELECT 'read' AS kind, 'customer' AS table_name, 'c_custkey,c_name,c_nationkey' AS detail, count(*) AS n FROM customer
+UNION ALL SELECT 'read', 'nation', 'n_name,n_nationkey,n_regionkey', count(*) FROM nation
+UNION ALL SELECT 'error', 'customer', 'read without account, c_acctbal', 1
+UNION ALL SELECT 'skipped', 'region', NULL, 0
+UNION ALL SELECT 'skipped', 'supplier', NULL, 0
+""")
+def q_scan_database(spark, sf):
+    """S1, S2, S10 and U2 from a catalog: the tables of a database by a pattern; protected columns, one
+    by a tag on a leaf inside it, are known from the written table's schema and recorded as errors
+    of the run."""
+    root = scratch_dir(spark, "database")
+    database = "quill_" + root[-12:]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/db'")
+    c = _t(spark, sf, "customer")
+    c = c.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", F.struct("c_mktsegment", F.col("c_acctbal").alias("balance")).alias("account"))
+    tables = {"customer": ST_.tag_columns(c, {"c_acctbal": ["finance"], "account.balance": ["finance"], "c_name": ["public"]}),
+              "nation": _t(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey"),
+              "region": _t(spark, sf, "region"), "supplier": _t(spark, sf, "supplier")}
+    for name, df in tables.items():
+        df.write.parquet(f"{root}/{name}")
+        spark.catalog.createTable(f"{database}.{name}", path=f"{root}/{name}", source="parquet")
+    got = ST_.fetch_database(spark, database, pattern="customer|nat.*", granted_tags=["public"])
+    columns = [c for c in got.records.columns if c not in ("entityType", "_table")]
+    seen = F.array_sort(F.array_compact(F.array(*[F.max(F.when(F.col(c).isNotNull(), F.lit(c))) for c in columns])))
+    read = got.records.groupBy(F.col("_table").alias("table_name")).agg(F.array_join(seen, ",").alias("detail"), F.count(F.lit(1)).alias("n"))
+    told = [("error", t, message, 1) for _, t, _, message in got.errors] + [("skipped", t, None, 0) for t in got.skipped_tables]
+    rest = spark.createDataFrame(told, "kind string, table_name string, detail string, n bigint")
+    return read.select(F.lit("read").alias("kind"), "table_name", "detail", "n").unionByName(rest)
+
+
 def registry() -> tuple[dict[str, QueryFn], dict[str, str]]:
     # Import the remaining query modules for their registrations.
     from quillspark.plans import catalog_docs, catalog_entities, catalog_repo  # noqa: F401

@@ -25,20 +25,11 @@ from quillspark.operators import state as ST
 from quillspark.operators.project import chain_transforms
 from quillspark.session import scratch_dir
 from quillspark.sinks import index as K
+from quillspark.sources.tables import Fetched
 
 ERROR_FIELDS = "component string, item_id string, error_type string, message string"
 
 
-@dataclass
-class Fetched:
-    """What a source hook may return: its records, the tables it passed over, and failures that
-    belong to no record (a table that can't be read, a denied column) as A3 rows."""
-
-    records: DataFrame
-    skipped_tables: Sequence[str] = ()
-    errors: Sequence[tuple] = ()
-
-
 @dataclass
 class RunResult:
     run_id: str

@@ -75,6 +75,33 @@ def test_protected_columns_nested_leaf(spark):
     assert denied == ["notes", "profile"] and kept.columns == ["id", "open"]
 
 
+def test_tags_are_kept_by_the_written_table(spark):
+    root = scratch_dir(spark, "tagged")
+    df = spark.createDataFrame([(1, "a", [("x", 2)])], "id int, name string, notes array<struct<who: string, n: int>>")
+    TB.tag_columns(df, {"notes.n": ["pii"], "name": ["pii", "hr"]}).write.parquet(root)
+    back = spark.read.parquet(root)
+    assert TB.protected_columns(back.schema) == ["name", "notes"]
+    for granted, columns in [([], ["id"]), (["pii"], ["id", "notes"]), (["pii", "hr"], ["id", "name", "notes"])]:
+        assert TB.scan_table_minus_protected(back, granted)[0].columns == columns
+
+
+def test_fetch_database(spark):
+    root = scratch_dir(spark, "fetchdb")
+    db = "t_" + root[-12:]
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{root}'")
+    for name in ("launches", "cities", "users"):
+        TB.tag_columns(spark.createDataFrame([(1, "s")], "id int, secret string"), {"secret": ["pii"]} if name == "cities" else {}) \
+            .write.parquet(f"{root}/{name}")
+        spark.catalog.createTable(f"{db}.{name}", path=f"{root}/{name}", source="parquet")
+    got = TB.fetch_database(spark, db, pattern="launches|cities")
+    assert sorted((r.entityType, r.secret) for r in got.records.collect()) == [("city", None), ("launche", "s")]
+    assert got.skipped_tables == ["users"] and [e[:3] for e in got.errors] == [("scan_tables.protected", "cities", "ColumnDenied")]
+    named = TB.fetch_database(spark, db, explicit=["users", "gone"], pattern="ignored")
+    assert named.records.count() == 1 and [e[1:3] for e in named.errors] == [("gone", "AnalysisException")]
+    with __import__("pytest").raises(ValueError):
+        TB.fetch_database(spark, db, pattern="none")
+
+
 def test_content_cache_full_mode_ignores_hits(spark):
     entries = spark.createDataFrame([("r", "a.md", "o1"), ("r", "b.md", "o2")], "repository string, path string, oid string")
     cache = spark.createDataFrame([("r", "a.md", "o1", "cached")], "repository string, path string, oid string, content string")
