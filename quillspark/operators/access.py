@@ -49,6 +49,8 @@ class AccessIndex:
     members: DataFrame
     signatures: DataFrame
     postings: DataFrame
+    #: (group, part): which group parts name a group.
+    parts: DataFrame
 
     def count(self, readers: DataFrame) -> DataFrame:
         """(user_id, visible) for readers (user_id, groups ARRAY<STRING> of group principal ids).
@@ -68,15 +70,10 @@ class AccessIndex:
         total = F.coalesce(everyone, F.lit(0)) + F.coalesce("_grouped", F.lit(0)) + F.coalesce("_named", F.lit(0))
         return out.select("user_id", total.cast("bigint").alias("visible"))
 
-    def _parts(self) -> DataFrame:
-        """(group, part): which group parts name a group."""
-        grants = self.postings.where(F.col("principal").startswith("group:")).join(self.signatures.select("sig", "part"), "sig")
-        return grants.select(F.substring("principal", 7, 1 << 30).alias("group"), "part").distinct()
-
     def _granted(self, pairs: DataFrame) -> DataFrame:
         """Those (gset, part) pairs whose part names a group of the set."""
         wanted = pairs.select("gset", "part", F.explode("gset").alias("group"))
-        return wanted.join(self._parts(), ["group", "part"], "left_semi").select("gset", "part").distinct()
+        return wanted.join(self.parts, ["group", "part"], "left_semi").select("gset", "part").distinct()
 
     def _group_counts(self, sets: DataFrame) -> DataFrame:
         """(gset, _grouped): documents that grant any group of the set.
@@ -84,7 +81,7 @@ class AccessIndex:
         The documents of the set's most granted group are a sum over that group alone.  Only the
         other groups' parts are matched part by part, less those that name the first one too."""
         by_part = self.signatures.where("sig <> 0").groupBy("part").agg(F.sum("n").alias("n"))
-        parts = written(self._parts(), "access-parts")
+        parts = self.parts
         totals = parts.join(by_part, "part").groupBy("group").agg(F.sum("n").alias("n"))
         weighed = sets.select("gset", F.explode("gset").alias("group")).join(totals, "group")
         top = weighed.groupBy("gset").agg(F.max(F.struct("n", "group")).alias("_top")).select("gset", F.col("_top.group").alias("top"), F.col("_top.n").alias("_first"))
@@ -107,17 +104,22 @@ class AccessIndex:
         return self.members.where(F.col("sig") == 0).select("id")
 
 
-def access_index(docs: DataFrame, id_col: str = "id", acl_col: str = "acl_info") -> AccessIndex:
-    """The index over ``docs``: one shuffle of the documents, on their principal set, pre-aggregated;
-    signature 0 is the public one."""
+def access_index(docs: DataFrame, id_col: str = "id", acl_col: str = "acl_info", keep_members: bool = True) -> AccessIndex:
+    """The index over ``docs``: one shuffle of the documents, on their principal set, pre-aggregated.
+    Signature 0 is the public one.  Without ``keep_members`` (counts alone) the documents are read
+    once and not written."""
     granted = docs.select(F.col(id_col).alias("id"), F.when(is_public(acl_col), F.array(F.lit(PUBLIC)))
                           .otherwise(F.array_sort(F.array_distinct(principal_keys(acl_col)))).alias("keys"))
-    granted = written(granted.where(F.size("keys") > 0), "access-documents")
+    granted = granted.where(F.size("keys") > 0)
+    if keep_members:
+        granted = written(granted, "access-documents")
     sets = granted.groupBy("keys").agg(F.count(F.lit(1)).alias("n"))
-    groups = F.filter("keys", lambda k: k.startswith("group:"))
     numbered = F.when(F.array_contains("keys", PUBLIC), F.lit(0)).otherwise(F.monotonically_increasing_id() + 1)
-    sets = written(sets.select("keys", "n", numbered.alias("sig"), groups.alias("gkeys")), "access-sets")
-    parts = written(sets.select("gkeys").distinct().select("gkeys", F.monotonically_increasing_id().alias("part")), "access-group-parts")
-    signatures = sets.join(parts, "gkeys").select("sig", "part", "n")
+    groups = F.transform(F.filter("keys", lambda k: k.startswith("group:")), lambda k: F.substring(k, 7, 1 << 30))
+    sets = written(sets.select("keys", "n", numbered.alias("sig"), groups.alias("groups")), "access-sets")
+    # A group part is named by its groups; the digest only keeps the name short.
+    sets = sets.withColumn("part", F.sha2(F.to_json("groups"), 256))
     postings = sets.select(F.explode("keys").alias("principal"), "sig").where(F.col("principal") != PUBLIC)
-    return AccessIndex(granted.join(sets.select("keys", "sig"), "keys").select("id", "sig"), signatures, postings)
+    parts = sets.select("part", F.explode("groups").alias("group")).distinct().select("group", "part")
+    members = granted.join(sets.select("keys", "sig"), "keys").select("id", "sig")
+    return AccessIndex(members, sets.select("sig", "part", "n"), postings, parts)

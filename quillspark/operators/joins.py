@@ -267,4 +267,4 @@ def visible_to(docs: DataFrame, principals: Sequence[str], acl_col: str = "acl_i
 def visible_counts(docs: DataFrame, users: DataFrame, id_col: str = "id", acl_col: str = "acl_info") -> DataFrame:
     """J12 as counts, by access signatures: (user_id, visible) for ``users`` (user_id, groups
     ARRAY<STRING> of group principal ids).  No (user, document) pairs arise."""
-    return access_index(docs, id_col, acl_col).count(users)
+    return access_index(docs, id_col, acl_col, keep_members=False).count(users)

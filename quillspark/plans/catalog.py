@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions import scalars as S
@@ -155,14 +155,19 @@ FROM ({SQL_REST_ALL}) GROUP BY source
 def q_source_breakdown(spark, sf):
     """Flagship: scan -> P1 projection (ACL, content) -> F1 -> I6 split -> W1 -> A2."""
     out = rest_pipeline_outcomes(spark, sf)
-    good = FL.require_fields(out.filter(F.col("status") == "transformed"), "id")
-    # The length is taken before the dedupe, so the bytes themselves are not shuffled.
-    sized = good.select("id", "_seq", "_source", F.octet_length(F.col("content")["raw_bytes"]).alias("size"))
-    latest = O.latest_per_id(sized, "id", [F.col("_seq")])
-    per_src = latest.groupBy(F.col("_source").alias("source_key")).agg(
-        F.count(F.lit(1)).cast("bigint").alias("unique_ids"), F.sum("size").cast("bigint").alias("content_bytes"))
-    counts = AG.source_breakdown(out, repo_col=None, source_col="_source")
-    return counts.join(per_src, "source_key", "left")
+    # Content is decoded once and only its length goes on; copies of an id are combined before the shuffle.
+    rows = out.select("id", F.col("_source").alias("source_key"), "status", "_seq", F.octet_length(F.col("content")["raw_bytes"]).alias("size"))
+    good = (F.col("status") == "transformed") & FL.present("id")
+    per_id = rows.groupBy("id", "source_key").agg(
+        F.count(F.lit(1)).alias("fetched"), F.count_if(F.col("status") == "transformed").alias("transformed"),
+        F.count_if(F.col("status") == "failed").alias("failed"), F.max(F.when(good, F.col("_seq"))).alias("last"),
+        F.max_by("size", F.when(good, F.col("_seq"))).alias("size"))
+    newest = F.col("last") == F.max("last").over(Window.partitionBy("id"))
+    counted = per_id.withColumn("newest", F.coalesce(newest, F.lit(False)))
+    return counted.groupBy("source_key").agg(
+        F.sum("fetched").alias("fetched"), F.sum("transformed").alias("transformed"), F.sum("failed").alias("failed"),
+        F.sum("transformed").alias("uploaded"), F.count_if("newest").alias("unique_ids"),
+        F.sum(F.when(F.col("newest"), F.col("size"))).cast("bigint").alias("content_bytes"))
 
 
 # ====================================================================== scalar functions

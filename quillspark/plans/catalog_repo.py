@@ -647,9 +647,7 @@ UNION ALL SELECT repository || ':commit:' || sha, 'discussion_commit' FROM ({SQL
 def q_union(spark, sf):
     """U1 + P6: PRs, issues and commits as one stream; kinds rewritten, unknown kinds
     (status events) dropped."""
-    e = emitted_commits(spark, sf)
-    c = SF.scan_commits(e).join(e.select(F.concat(F.col("repository"), F.lit(":commit:"), F.col("sha")).alias("id"),
-                                         "event_type"), "id")
+    c = SF.scan_commits(emitted_commits(spark, sf), carry=["event_type"])
     c = c.withColumn("type", F.when(F.col("event_type") == "error", F.lit("status")).otherwise(F.col("type")))
     u = O.union_discussions(prs(spark, sf), issues(spark, sf), c)
     return P.route_discussion(u).select("id", "discussion_type")
@@ -775,9 +773,7 @@ FROM ({SQL_COMMITS}) WHERE event_type <> 'error'
 def q_route(spark, sf):
     """Records are dispatched on their type and the type rewritten; unknown kinds
     (status events in the commit feed) are dropped."""
-    c = commits(spark, sf)
-    recs = SF.scan_commits(c).join(c.select(F.concat(F.col("repository"), F.lit(":commit:"), F.col("sha")).alias("id"),
-                                            "event_type"), "id")
+    recs = SF.scan_commits(commits(spark, sf), carry=["event_type"])
     recs = recs.withColumn("type", F.when(F.col("event_type") == "error", F.lit("status")).otherwise(F.col("type")))
     return P.route_discussion(recs).select("id", "discussion_type")
 

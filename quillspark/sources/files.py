@@ -92,12 +92,13 @@ def _after_checkpoint(df: DataFrame, last_sync: DataFrame | None) -> DataFrame:
 
 
 def scan_commits(history: DataFrame, seen: DataFrame | None = None,
-                 order: Sequence[str] = ("committed_date", "sha")) -> DataFrame:
-    """History newest first until a known sha (W3); ``id = repository:commit:SHA``."""
+                 order: Sequence[str] = ("committed_date", "sha"), carry: Sequence[str] = ()) -> DataFrame:
+    """History newest first until a known sha (W3); ``id = repository:commit:SHA``.  ``carry``
+    names further columns of the history to hand on."""
     h = history if seen is None else take_until_seen(history, seen, "repository", list(order))
     return h.select(F.lit("commit").alias("type"),
                     F.concat(F.col("repository"), F.lit(":commit:"), F.col("sha")).alias("id"),
-                    "sha", "message", "committed_date", "author", "repository")
+                    "sha", "message", "committed_date", "author", "repository", *carry)
 
 
 CORRUPT_COL = "_corrupt_record"

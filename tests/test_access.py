@@ -52,7 +52,7 @@ def test_a_hot_group_does_not_multiply(spark, tmp_path):
     index = access_index(df)
     got = {r.user_id: r.visible for r in index.count(u).collect()}
     assert got == {f"u{i}": 20000 for i in range(500)}
-    parts = index._parts().count()
+    parts = index.parts.count()
     assert parts <= 11 and index.postings.count() <= 3 * index.signatures.count() and index.signatures.count() <= 5000
 
 
