@@ -11,8 +11,12 @@ from quillspark.operators import project as P
 from quillspark.operators import state as ST
 from quillspark.plans import bindings as B
 from quillspark.plans.catalog import SQL_ENTITY, SQL_REST, SQL_REST_ALL, _t, query, rest_pipeline_outcomes, shared
+from quillspark.plans.run import sync_run
 from quillspark.session import scratch_dir
 from quillspark.sinks import index as K
+from quillspark.sources.export import LandedExport
+from quillspark.sources.tables import Fetched
+from quillspark.streaming.state import run_available
 
 SQL_REST_ACL = """
 CASE WHEN source = 'src0' THEN 'PUBLIC'
@@ -253,3 +257,50 @@ def q_full_staging(spark, sf):
     K.sync_index(spark, root, base, mode="FULL", staging_root=root + "-staging")
     left = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root + "-staging").isEmpty()
     return K.read_index(spark, root).select("id", F.col("struct_data")["title"].alias("title"), F.lit(not left).alias("left_behind"))
+
+
+# ---------------------------------------------------------------- own sources and sinks (§2.10)
+
+@query("stream_export_documents", "SELECT doc_id, lang, length(text) AS n_chars FROM documents")
+def q_stream_export(spark, sf):
+    """W2 through an own data source: documents land in an export in three runs, each followed by a
+    stream that starts anew and goes on after the offset it kept."""
+    spark.dataSource.register(LandedExport)
+    path, out, ckpt = (scratch_dir(spark, n) for n in ("export-in", "export-out", "export-ckpt"))
+    docs = _t(spark, sf, "documents").select("doc_id", "lang", "text")
+    for i in range(3):
+        part = docs.where(F.pmod("doc_id", F.lit(3)) == i)
+        part.write.format("landed_export").option("landing", f"landing={i:04d}").mode("append").save(path)
+        stream = spark.readStream.format("landed_export").schema(docs.schema).load(path)
+        run_available(stream.select("doc_id", "lang", F.length("text").cast("bigint").alias("n_chars")), out, ckpt)
+    return spark.read.schema("doc_id bigint, lang string, n_chars bigint").parquet(out)
+
+
+@query("sync_run_hooks", f"""
+SELECT 'indexed' AS kind, id AS name, title AS detail FROM ({SQL_REST})
+UNION ALL SELECT 'failed', id, 'content is not valid base64' FROM ({SQL_REST_ALL}) WHERE failed
+UNION ALL SELECT 'skipped', 'labels', NULL
+UNION ALL SELECT 'uploaded', CAST(count(*) AS VARCHAR), 'FULL' FROM ({SQL_REST})
+""")
+def q_sync_run_hooks(spark, sf):
+    """A run with its own source and sink (§2.10): the source reads an export and names the tables it
+    passed over, the sink hands on to the index; the mode comes from the environment (I4)."""
+    spark.dataSource.register(LandedExport)
+    path, root = scratch_dir(spark, "hooks-export"), scratch_dir(spark, "hooks-index")
+    records = B.rest_records(_t(spark, sf, "documents"))
+    records.write.format("landed_export").option("landing", "landing=0001").mode("append").save(path)
+    summary = {}
+
+    def source(session):
+        return Fetched(session.read.format("landed_export").schema(records.schema).load(path), ["labels"])
+
+    def sink(session, where, docs, **how):
+        summary.update(K.sync_index(session, where, docs, **how))
+        return summary
+
+    run = sync_run(spark, source, (P.project_rest_document,), root, validate=F.col("_error"), sink=sink,
+                   component="rest_transformer", env={"RECONCILIATION_MODE": "FULL"})
+    indexed = K.read_index(spark, root).select(F.lit("indexed").alias("kind"), F.col("id").alias("name"), F.col("struct_data")["title"].alias("detail"))
+    failed = run.errors.select(F.lit("failed"), "item_id", "message")
+    rest = [("skipped", t, None) for t in run.skipped_tables] + [("uploaded", str(summary["records_synced_this_run"]), run.mode)]
+    return indexed.union(failed).union(spark.createDataFrame(rest, "kind string, name string, detail string"))
