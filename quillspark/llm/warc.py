@@ -8,8 +8,8 @@ of the attempts that succeeded make up the manifest, so files of lost attempts a
 Reading: the file is inflated piece by piece; a record is framed by its Content-Length, its block
 and payload digests are recomputed while it streams past and a mismatch raises ``ValueError``.
 
-Defined cases: a null payload is empty; a null url gives an empty target; a null id is kept null and
-is never referred to unless nothing else is there, in which case all records are responses; rows
+Defined cases: a null payload is empty; a null url gives an empty target, one of any length is kept
+whole; an empty text as id comes back null; a null id is kept null and is never referred to unless nothing else is there, in which case all records are responses; rows
 repeating both id and payload of the largest id are all responses; an empty table gives no archive.
 """
 
@@ -20,6 +20,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -97,12 +98,22 @@ class Members:
                 return True
         return False
 
-    def until(self, mark: bytes, most: int = 1 << 20) -> bytes:
-        while mark not in self.held:
-            if len(self.held) > most or not self._more():
+    def until(self, mark: bytes) -> bytes:
+        """What comes before the next ``mark``, however long it is."""
+        pieces, joint = [], b""  # a mark may lie across two pieces
+        while True:
+            at = (joint + self.held).find(mark)
+            if at >= 0:
+                break
+            pieces.append(self.held)
+            joint = (joint + self.held)[1 - len(mark) :]
+            self.held = b""
+            if not self._more():
                 raise ValueError("a header does not end")
-        found, self.held = self.held.split(mark, 1)
-        return found
+        cut_at = at - len(joint)  # below 0 where the mark begins in the pieces before
+        found = b"".join([*pieces, self.held[: max(cut_at, 0)]])
+        self.held = self.held[cut_at + len(mark) :]
+        return found[:cut_at] if cut_at < 0 else found
 
     def take(self, n: int) -> Iterator[bytes]:
         while n:
@@ -159,10 +170,11 @@ def read_records(source, payloads: bool = False) -> Iterator[dict]:
 
 
 def write_archives(pages: DataFrame, folder: str, min_revisit: int = 1000, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
-    """Write the archives under ``folder``; the manifest (path, records) is a table there too."""
+    """Write the archives under ``folder``; the manifest (path, records) is a table there too.  Ids may
+    be whole numbers or text."""
     data = F.encode(F.coalesce(F.col(payload_col), F.lit("")), "utf-8")
     rows = pages.select(
-        F.col(id_col).cast("long").alias("id"),
+        F.col(id_col).alias("id"),
         F.coalesce(F.col(url_col), F.lit("")).alias("url"),
         data.alias("payload"),
         F.sha1(data).alias("digest"),
@@ -184,8 +196,7 @@ def write_archives(pages: DataFrame, folder: str, min_revisit: int = 1000, id_co
                 where.create_dir(base, recursive=True)
                 name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex[:12]}.warc.gz"
                 out = where.open_output_stream(f"{base}/{name}", compression=None)
-            key = "" if r["id"] is None else str(r["id"])
-            out.write(record_bytes(key, r["url"], r["payload"], r["digest"], None if r["refers"] is None else str(r["refers"])))
+            out.write(record_bytes(_key(r["id"]), r["url"], r["payload"], r["digest"], None if r["refers"] is None else _key(r["refers"])))
             n += 1
         if out is not None:
             out.close()
@@ -194,8 +205,14 @@ def write_archives(pages: DataFrame, folder: str, min_revisit: int = 1000, id_co
     return cut(arrow_map(records, write, "path string, records long"), "warc-manifest")
 
 
-def read_archives(manifest: DataFrame, payloads: bool = False) -> DataFrame:
-    """(id, url, payload_bytes, payload_digest, record_type, refers_to[, payload]) of all archives."""
+def _key(value) -> str:
+    """An id as part of a URN; a null one is empty."""
+    return "" if value is None else quote(str(value), safe="")
+
+
+def read_archives(manifest: DataFrame, payloads: bool = False, id_type: str = "long") -> DataFrame:
+    """(id, url, payload_bytes, payload_digest, record_type, refers_to[, payload]) of all archives;
+    ids come back as ``id_type``."""
 
     def read(rows):
         for r in rows:
@@ -204,17 +221,19 @@ def read_archives(manifest: DataFrame, payloads: bool = False) -> DataFrame:
                 found = 0
                 for x in read_records(source, payloads):
                     found += 1
-                    row = (int(x["key"]) if x["key"] else None, x["url"], x["bytes"], x["digest"], x["type"], int(x["refers"]) if x["refers"] else None)
+                    row = (unquote(x["key"]) or None, x["url"], x["bytes"], x["digest"], x["type"], unquote(x["refers"] or "") or None)
                     yield (*row, x["payload"]) if payloads else row
                 if found != r["records"]:
                     raise ValueError(f"{r['path']}: {found} records, {r['records']} were written")
 
-    schema = "id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
+    schema = "id string, url string, payload_bytes long, payload_digest string, record_type string, refers_to string"
     spark = manifest.sparkSession
     spread = manifest.repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), "path")
-    return arrow_map(spread, read, schema + (", payload binary" if payloads else ""))
+    found = arrow_map(spread, read, schema + (", payload binary" if payloads else ""))
+    return found.withColumns({c: F.col(c).cast(id_type) for c in ("id", "refers_to")})
 
 
 def round_trip(pages: DataFrame, **options) -> DataFrame:
     """Write the pages to archives in the shared folder and read them back."""
-    return read_archives(write_archives(pages, scratch_dir(pages.sparkSession, "warc"), **options))
+    kind = pages.schema[options.get("id_col", "page_id")].dataType.simpleString()
+    return read_archives(write_archives(pages, scratch_dir(pages.sparkSession, "warc"), **options), id_type=kind)

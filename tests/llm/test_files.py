@@ -146,3 +146,22 @@ def test_shards_hold_whole_groups_and_gapless_slots(spark):
         groups.setdefault(r.group_key, set()).add(r.shard)
     assert all(len(s) == 1 for s in groups.values())
     assert shard_documents(empty(spark)).count() == 0
+
+
+def test_a_long_url_and_ids_that_are_text(spark):
+    url = "http://example.org/" + "x" * (2 << 20)
+    same = "p" * 1500
+    rows = [("a/b c", url, same), ("zé", "u", same), (None, "v", "short"), ("1", "w", None)]
+    back = round_trip(spark.createDataFrame(rows, "page_id string, url string, html string"))
+    got = {r.id: (r.url, r.payload_bytes, r.record_type, r.refers_to) for r in back.collect()}
+    assert got == {"a/b c": (url, 1500, "revisit", "zé"), "zé": ("u", 1500, "response", None), None: ("v", 5, "response", None), "1": ("w", 0, "response", None)}
+
+
+@pytest.mark.parametrize("piece", [1, 2, 3, 5, 64])
+def test_headers_across_pieces(monkeypatch, piece):
+    from quillspark.llm import warc
+
+    monkeypatch.setattr(warc, "PIECE", piece)
+    payloads = [b"", b"a\r\n\r\nb", b"\r\n" * 9]
+    data = b"".join(record_bytes(str(i), "u", p, hashlib.sha1(p).hexdigest(), None) for i, p in enumerate(payloads))
+    assert [r["payload"] for r in read_records(io.BytesIO(data), True)] == payloads
