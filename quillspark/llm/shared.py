@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
+import xxhash
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -117,6 +118,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 _BASE = 0x9E3779B97F4A7C15
 _SEGMENT = 1 << 20
+LONG_WORD = 256
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -136,7 +138,8 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(start, 64-bit hash) of the words of a text, by prefix sums over its bytes.
+    """(start, 64-bit hash) of the words of a text, by prefix sums over its bytes; words of over
+    ``LONG_WORD`` bytes, for which sums modulo 2**64 can be made to agree, by a hash of their bytes.
 
     The text is taken in segments that end at white space, so memory does not follow its length."""
     whole = np.frombuffer(data, np.uint8)
@@ -155,7 +158,10 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
         sums = np.zeros(len(part) + 1, np.uint64)
         np.cumsum(values[part] * up[: len(part)], dtype=np.uint64, out=sums[1:])
         starts.append(start + at)
-        hashes.append(mix((sums[end] - sums[start]) * down[start]))
+        own = mix((sums[end] - sums[start]) * down[start])
+        for i in np.flatnonzero(end - start > LONG_WORD).tolist():
+            own[i] = xxhash.xxh3_64_intdigest(part[start[i] : end[i]].tobytes())
+        hashes.append(own)
         at = to
     return np.concatenate(starts), np.concatenate(hashes)
 

@@ -34,6 +34,8 @@ from quillspark.llm.shared import arrow_map, blocks, gather, mix, pack, powers,
 U = np.uint64
 #: Text bytes that a task looks at together.
 CHUNK = 3 << 20
+#: Rows of a chunk at most, for tables of empty and very short texts.
+CHUNK_ROWS = 65_536
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
@@ -72,7 +74,7 @@ def chunks(block: str, window: int) -> Iterator[Chunk]:
             ids.append(key)
             texts.append(text)
             weight += len(text)
-            if weight >= CHUNK:
+            if weight >= CHUNK or len(ids) >= CHUNK_ROWS:
                 yield Chunk(number, ids, texts, window)
                 number, ids, texts, weight = number + 1, [], [], 0
     if ids:

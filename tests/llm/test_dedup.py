@@ -278,3 +278,26 @@ def test_lines_within_the_similarity_share_a_gram_of_the_stated_width():
         for q, low in enumerate(least_sizes(percent), 1):
             assert all(m - q + 1 - q * (m * (100 - percent) // 100) >= 1 for m in range(low, low + 5000))
     assert least_sizes(80) == [1, 2, 6] and len(least_sizes(60)) == 2
+
+
+def test_long_words_are_told_apart():
+    """The words that a sum modulo 2**64 takes for one: Thue and Morse's, and its complement."""
+    from quillspark.llm.shared import LONG_WORD, word_hashes
+
+    for n in (1024, 2048, 8192):
+        word = bytes(97 + (i.bit_count() & 1) for i in range(n))
+        other = bytes(97 + 98 - c for c in word)
+        _, hashes = word_hashes(b"x " + word + b" y " + other + b" x")
+        assert len(set(hashes.tolist())) == 4 and hashes[0] == hashes[4]
+    edge = b"a" * LONG_WORD
+    assert len(set(word_hashes(edge + b" " + edge + b"a " + edge + b"b")[1].tolist())) == 3
+
+
+def test_repeated_windows_of_long_words(spark):
+    from quillspark.llm.substrings import remove_repeated
+
+    word = "".join("ab"[i.bit_count() & 1] for i in range(1024))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, " ".join([word] * 35)), (2, " ".join([other] * 35)), (3, " ".join([word] * 36))]
+    got = {r.id: r.n_removed for r in remove_repeated(documents(spark, rows), window=35).collect()}
+    assert got == {1: 35, 2: 0, 3: 36}

@@ -88,6 +88,14 @@ def test_stages_keep_columns_and_take_awkward_tables(spark, tmp_path):
     assert corpus_pipeline.best_fit_packing(spark, docs.limit(0), folder).count() == 0
 
 
+def test_columns_with_inner_names_do_no_harm(spark, tmp_path):
+    text = " ".join(f"word{i}" for i in range(60))
+    folder = tables(spark, tmp_path, [(None, text), (1, text)], [])
+    docs = spark.read.parquet(f"{folder}/documents.parquet").selectExpr("*", "1 AS _row", "2 AS id", "3 AS kept")
+    out = corpus_pipeline.quality_rules(spark, docs, folder)
+    assert out.columns == docs.columns and out.count() == 2
+
+
 def test_one_query_for_each_operator():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14)) and SQL.keys() <= QUERIES.keys()
     assert [n for n, _ in corpus_pipeline.STAGES][0] == "quality_rules" and len(corpus_pipeline.STAGES) == 5
