@@ -39,10 +39,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     if nameless.isEmpty():
         return known
     # Rows without an id cannot be looked up: the base rules alone are applied to them.
-    marked = nameless.withColumn("_row", F.monotonically_increasing_id())
+    row = "_row_" + "_".join(docs.columns)  # no column of the table has this name
+    marked = nameless.withColumn(row, F.monotonically_increasing_id())
     marked = cut(marked, "nameless")
-    passed = measures(marked, id_col="_row").where("NOT base_failed").select(F.col("id").alias("_row"))
-    return known.unionByName(marked.join(passed, "_row", "left_semi").drop("_row"))
+    passed = measures(marked, id_col=row).where("NOT base_failed").select(F.col("id").alias(row))
+    return known.unionByName(marked.join(passed, row, "left_semi").drop(row))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
