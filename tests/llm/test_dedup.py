@@ -1,14 +1,12 @@
 import hashlib
 import random
 import re
-import struct
 import sys
 from collections import Counter
 from pathlib import Path
 
 import numpy as np
 import pytest
-import xxhash
 
 sys.path.insert(0, str(Path(__file__).parent))
 from cases import classes, corpus, documents, empty, split  # noqa: E402
@@ -163,21 +161,6 @@ def norm(line):
     return re.sub(r"[\x00-/:-`{-\x7f]+", " ", line.lower()).strip()
 
 
-def simhash(ws):
-    out, ws = [], [w for i, w in enumerate(ws) if i == 0 or len(w) > 3]
-    for second in (False, True):
-        n = [0] * 64
-        for w in ws:
-            h = xxhash.xxh64_intdigest(w.encode(), seed=42)
-            if second:
-                h = xxhash.xxh64_intdigest(struct.pack("<Q", h), seed=42)
-            for b in range(64):
-                n[b] += h >> b & 1
-        value = sum(1 << b for b in range(64) if 2 * n[b] > len(ws))
-        out += [value & 0xFFFFFFFF, value >> 32]
-    return out
-
-
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
