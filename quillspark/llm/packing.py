@@ -123,7 +123,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id:
             keys.append(r["id"])
             texts.append(r["text"] or b"")
             weight += len(texts[-1])
-            if weight > 4 << 20:
+            if weight > 4 << 20 or len(keys) >= 65_536:
                 yield from done()
                 keys, texts, weight = [], [], 0
         yield from done()
