@@ -53,3 +53,18 @@ def test_drift_sees_each_type(records):
     r = records.where("_raw IS NOT NULL").select(F.to_json("_raw").alias("_raw"), MX.value_at(F.col("_raw"), "entityType", "string").alias("entityType"))
     got = sorted(tuple(x) for x in AG.schema_drift(r.where("entityType IS NOT NULL"), P.ENTITY_KEYS).collect())
     assert got == [("commitment", "flag", "bool"), ("commitment", "note", "dict")]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_record_is_parsed_and_taken_apart_once(records):
+    e = P.finalize_documents(P.project_entities(MX.entity_columns(records.where("_raw IS NOT NULL"))))
+    plan = _plan(e)
+    assert plan.count("parseJson") == 1 and "$.entityType" not in plan
+
+
+def test_an_object_after_white_space(spark):
+    rows = MX.parse_records(spark.createDataFrame([(1, ' \t{"a": 1}'), (2, "{"), (3, " []")], "_seq int, value string"))
+    assert [(r._seq, r._raw is None, r._corrupt_record) for r in rows.orderBy("_seq").collect()] == [(1, False, None), (2, True, "{"), (3, True, " []")]
