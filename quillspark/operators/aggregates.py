@@ -113,19 +113,25 @@ def schema_drift(rows: DataFrame, expected: Mapping[str, Sequence[str]], raw_col
                  entity_col: str = "entityType") -> DataFrame:
     """Distinct (entity, key, value type) for keys that are not expected for the
     entity and whose value is not NULL / empty text / empty list.  Keys are read from
-    the raw JSON of each row (only keys present can be seen)."""
-    exp_rows = [(e, k) for e, ks in expected.items() for k in list(COMMON_ENTITY_KEYS) + list(ks)]
-    exp = rows.sparkSession.createDataFrame(exp_rows, "entity string, key string")
-    exploded = (rows.select(F.col(entity_col).alias("entity"),
-                            F.from_json(F.col(raw_col), "map<string,variant>").alias("_m"))
-                .select("entity", F.explode("_m").alias("key", "value")))
+    each row's record, JSON text or VARIANT (only keys present can be seen).  Expected
+    keys are configuration, a few dozen names: a filter drops them before any value's
+    type is told, and what remains is combined before the shuffle."""
+    raw, entity, members = F.col(raw_col), F.col(entity_col), "map<string,variant>"
+    if isinstance(rows.schema[raw_col].dataType, T.VariantType):
+        found = F.try_variant_get(raw, "$", members)
+    else:
+        found = F.from_json(raw, members)
+    pairs = rows.select(entity.alias("entity"), F.explode(found).alias("key", "value"))
+    ent, key = F.col("entity"), F.col("key")
+    known = F.lit(False)
+    for e, ks in expected.items():
+        known = known | ((ent == e) & key.isin(*COMMON_ENTITY_KEYS, *ks))
     vt = F.schema_of_variant(F.col("value"))
     text = F.variant_get(F.col("value"), "$", "string")
     keep = (F.col("value").isNotNull() & (vt != "VOID")
             & ~((vt == "STRING") & (text == ""))
             & ~(vt.startswith("ARRAY") & (text == "[]")))
-    # The expected-key list is configuration: a few dozen rows.
-    drift = exploded.filter(keep).join(exp, ["entity", "key"], "left_anti")
+    drift = pairs.filter(~F.coalesce(known, F.lit(False))).filter(keep)
     return drift.select("entity", "key", _python_type_name(vt).alias("value_type")).distinct()
 
 

@@ -65,6 +65,14 @@ def test_a_record_is_parsed_and_taken_apart_once(records):
     assert plan.count("parseJson") == 1 and "$.entityType" not in plan
 
 
+def test_drift_of_variants_drops_expected_keys_before_any_shuffle(records):
+    r = records.where("_raw IS NOT NULL").select("_raw", MX.value_at(F.col("_raw"), "entityType", "string").alias("entityType"))
+    drift = AG.schema_drift(r.where("entityType IS NOT NULL"), P.ENTITY_KEYS)
+    assert sorted(tuple(x) for x in drift.collect()) == [("commitment", "flag", "bool"), ("commitment", "note", "dict")]
+    plan = _plan(AG.schema_drift(r.where("entityType IS NOT NULL"), P.ENTITY_KEYS))
+    assert "Join" not in plan and "from_json" not in plan
+
+
 def test_an_object_after_white_space(spark):
     rows = MX.parse_records(spark.createDataFrame([(1, ' \t{"a": 1}'), (2, "{"), (3, " []")], "_seq int, value string"))
     assert [(r._seq, r._raw is None, r._corrupt_record) for r in rows.orderBy("_seq").collect()] == [(1, False, None), (2, True, "{"), (3, True, " []")]
