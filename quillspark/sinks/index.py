@@ -1,10 +1,12 @@
 """Index sinks (survey K1-K9).
 
 The index is one plain Parquet table keyed by ``id`` and partitioned by ``_bucket``, a hash of the id.
-How many buckets it has follows the size of the run that made it (``BUCKET_BYTES`` each) and is kept
-in the key column's metadata.  A delta is merged with the buckets that its ids fall into, which
+How many buckets it has follows the size of the run that made it (``BUCKET_BYTES`` of values each, not of
+Parquet, which may pack them many times smaller) and is kept in the key column's metadata.  A delta is merged with the buckets that its ids fall into, which
 Spark replaces by dynamic partition overwrite; the others are not read or written.  A bucket is
-written by up to ``WRITERS`` tasks, so that an id with very many rows is no single task.
+written by ``WRITERS`` tasks; each row is told its task, as tasks
+drawn by a hash of few values would get several shares or none.  The rows of one id that come from
+different tasks go to different ones, so that an id with very many rows is no single task.
 
 A job that fails before its commit leaves the index as it was.  Spark commits bucket by bucket: a run
 that ends between two of them is repeated with the same documents, which gives the same index.  One
@@ -17,7 +19,7 @@ import uuid
 from typing import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,7 +28,7 @@ from quillspark.operators.ordering import latest_per_id, number_rows
 from quillspark.session import scratch_dir
 
 UPLOAD_BATCH_SIZE = 100
-#: Bytes (as written) that a bucket of a new index holds, and the most tasks that write one.
+#: Bytes (of values) that a bucket of a new index holds, and the tasks that write that much.
 BUCKET_BYTES, WRITERS = 256 << 20, 4
 _BUCKET = "_bucket"
 
@@ -76,10 +78,29 @@ def written(df: DataFrame, folder: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def bytes_of(spark: SparkSession, folder: str) -> int:
-    """Size of a written folder; the listing is Spark's, the contents are not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder)
-    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+def value_bytes(c: Column, t: T.DataType) -> Column:
+    """Bytes of a value: texts and binaries by their length, all else that is flat as 8."""
+    if isinstance(t, (T.StringType, T.BinaryType)):
+        own = F.octet_length(c).cast("bigint")
+    elif isinstance(t, T.VariantType):
+        own = F.octet_length(F.to_json(c)).cast("bigint")
+    elif isinstance(t, T.StructType):
+        own = sum((value_bytes(c[f.name], f.dataType) for f in t), F.lit(0).cast("bigint"))
+    elif isinstance(t, T.ArrayType):
+        own = F.aggregate(c, F.lit(0).cast("bigint"), lambda total, x: total + value_bytes(x, t.elementType))
+    elif isinstance(t, T.MapType):
+        own = value_bytes(F.map_keys(c), T.ArrayType(t.keyType)) + value_bytes(F.map_values(c), T.ArrayType(t.valueType))
+    else:
+        own = F.lit(8).cast("bigint")
+    return F.coalesce(own, F.lit(0).cast("bigint"))
+
+
+def measured(df: DataFrame, folder: str) -> tuple[DataFrame, int, int]:
+    """``df`` written and read back, its rows and the bytes of their values, counted as they are written."""
+    seen = Observation()
+    size = sum((value_bytes(df[f.name], f.dataType) for f in df.schema), F.lit(0).cast("bigint"))
+    out = written(df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(size).alias("bytes")), folder)
+    return out, seen.get["rows"], seen.get["bytes"] or 0
 
 
 def bucket_of(key: str, buckets: int) -> Column:
@@ -109,7 +130,9 @@ def buckets_of(index: DataFrame, key: str = "id") -> int:
 def _write(df: DataFrame, root: str, key: str, buckets: int, only_touched: bool) -> None:
     """Write ``df`` over the whole index, or over the buckets that it has rows in."""
     named = df.withColumn(key, F.col(key).alias(key, metadata={"buckets": buckets})).withColumn(_BUCKET, bucket_of(key, buckets))
-    spread = named.repartition(buckets * WRITERS, F.col(_BUCKET), F.pmod(F.spark_partition_id(), F.lit(WRITERS)))
+    own = F.pmod(F.xxhash64(F.lit("share"), F.col(key).cast("string")), F.lit(WRITERS)).cast("int")
+    task = F.col(_BUCKET) * WRITERS + F.pmod(own + F.spark_partition_id(), F.lit(WRITERS))
+    spread = named.withColumn("_task", task).repartitionById(buckets * WRITERS, "_task").drop("_task")
     how = "dynamic" if only_touched else "static"
     spread.write.mode("overwrite").option("partitionOverwriteMode", how).partitionBy(_BUCKET).parquet(root)
 
@@ -119,9 +142,8 @@ def publish(spark: SparkSession, df: DataFrame, root: str, key: str = "id", buck
     """Make ``df`` the whole index, by way of a staging folder that goes afterwards; returns its rows.
     Rows repeating an id stay."""
     staging = staging or scratch_dir(spark, "index-stage")
-    staged = written(df, staging)
-    _write(staged, root, key, max(1, -(-bytes_of(spark, staging) // bucket_bytes)), only_touched=False)
-    rows = staged.count()
+    staged, rows, size = measured(df, staging)
+    _write(staged, root, key, max(1, -(-size // bucket_bytes)), only_touched=False)
     path = spark._jvm.org.apache.hadoop.fs.Path(staging)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     return rows
@@ -132,13 +154,12 @@ def merge_into(spark: SparkSession, root: str, changes: DataFrame, merge: Callab
     """Replace the buckets that ``changes`` fall into by ``merge(their rows, changes)``; returns the
     number of changes.  Columns that the index does not have yet are added, for which it is written
     anew as a whole, so that all its files have one schema."""
-    folder = scratch_dir(spark, "index-changes")
-    fresh = written(changes, folder)
+    fresh, rows, size = measured(changes, scratch_dir(spark, "index-changes"))
     stored = _stored(spark, root)
     if stored is None:
         nothing = spark.createDataFrame([], fresh.schema)
-        _write(merge(nothing, fresh), root, key, max(1, -(-bytes_of(spark, folder) // bucket_bytes)), only_touched=False)
-        return fresh.count()
+        _write(merge(nothing, fresh), root, key, max(1, -(-size // bucket_bytes)), only_touched=False)
+        return rows
     buckets = buckets_of(stored, key)
     touched = fresh.select(bucket_of(key, buckets).alias(_BUCKET)).distinct()
     widened = merge(stored.drop(_BUCKET).limit(0), fresh.limit(0)).schema
@@ -147,7 +168,7 @@ def merge_into(spark: SparkSession, root: str, changes: DataFrame, merge: Callab
         _write(everything, root, key, buckets, only_touched=False)
     else:
         _write(merge(stored.join(touched, _BUCKET, "left_semi").drop(_BUCKET), fresh), root, key, buckets, only_touched=True)
-    return fresh.count()
+    return rows
 
 
 def sync_index(spark: SparkSession, root: str, docs: DataFrame, mode: str = "INCREMENTAL",

@@ -158,3 +158,15 @@ def test_ndjson_roundtrip(spark):
     back = spark.read.json(path)
     row = back.filter(F.col("id") == "doc-006").first()
     assert row.content.rawBytes == "JVBERi0x" and row.content.mimeType == "application/pdf"
+
+
+def test_buckets_follow_the_values_and_tasks_get_equal_shares(spark, tmp_path):
+    """Copies that Parquet packs into nothing still count; no task writes twice its share."""
+    rows = spark.range(0, 4000, 1, 4).select(F.col("id").cast("string").alias("id"), F.struct(F.array(F.repeat(F.lit("same text "), 100)).alias("t")).alias("s"))
+    staged, n, size = K.measured(rows, str(tmp_path / "rows"))
+    assert n == 4000 and 4000 * 1000 < size < 4000 * 1010 and staged.count() == 4000
+    root = scratch_dir(spark, "test-shares")
+    K.publish(spark, rows, root, bucket_bytes=1 << 20)
+    assert K.buckets_of(K.read_index(spark, root)) == 4
+    per_file = [r["count"] for r in spark.read.parquet(root).groupBy(F.input_file_name()).count().collect()]
+    assert len(per_file) == 4 * K.WRITERS and max(per_file) < 2 * 4000 / len(per_file)
