@@ -6,7 +6,8 @@
 * as a stream, whose offset is the path of the last file taken in: files land in the order of their
   paths (``landing=0001/...``), so a run that starts anew goes on after the offset kept in its
   checkpoint (W2), whatever was read before;
-* as a sink, each task writes one file of the landing that the option ``landing`` names, and the
+* as a sink, each task writes one file of the landing that the option ``landing`` names, in row groups
+  bounded in bytes, so that a task that reads it holds a bounded part; the
   commit writes ``_summary.json`` beside them (K9): what was written, from the tasks' own counts.  A
   run that fails leaves no file of its landing.
 
@@ -29,6 +30,8 @@ from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourc
 from pyspark.sql.types import StructType
 
 SUMMARY = "_summary.json"
+#: Bytes of a row group as it is written, and of a batch as it is read.
+GROUP = 8 << 20
 
 
 def _store(path: str) -> tuple[pafs.FileSystem, str]:
@@ -55,8 +58,22 @@ class ExportFile(InputPartition):
 def _read(partition: ExportFile, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     store, root = _store(partition.path)
     with store.open_input_file(f"{root}/{partition.name}") as f:
-        for batch in pq.ParquetFile(f).iter_batches(4096, columns=schema.names):
-            yield batch.cast(schema) if batch.schema != schema else batch
+        file = pq.ParquetFile(f, buffer_size=1 << 20, pre_buffer=False)
+        for i in range(file.num_row_groups):
+            group = file.metadata.row_group(i)
+            rows = max(1, min(4096, group.num_rows * GROUP // max(1, group.total_byte_size)))
+            for batch in file.iter_batches(rows, row_groups=[i], columns=schema.names, use_threads=False):
+                yield batch.cast(schema) if batch.schema != schema else batch
+
+
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in parts of at most ``GROUP`` bytes, or of one row."""
+    if batch.num_rows < 2 or batch.nbytes <= GROUP:
+        yield batch
+        return
+    half = batch.num_rows // 2
+    yield from _parts(batch.slice(0, half))
+    yield from _parts(batch.slice(half))
 
 
 class _Reader(DataSourceReader):
@@ -107,7 +124,8 @@ class _Writer(DataSourceArrowWriter):
         hidden = f"{root}/{posixpath.dirname(name)}/_{posixpath.basename(name)}"  # not a data file before the commit
         for batch in iterator:
             out = out or pq.ParquetWriter(hidden, batch.schema, filesystem=store)
-            out.write_batch(batch)
+            for part in _parts(batch):
+                out.write_batch(part)
             rows += batch.num_rows
         if out is None:
             return Written(None, 0)
