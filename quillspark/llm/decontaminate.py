@@ -8,10 +8,10 @@ over the passage's norm and the smaller of the two norms: the cosine, or how muc
 window that outweighs it contains, so the text around a leak does not hide it.  A model has at
 least as many directions as passages, so projecting loses nothing of them, and a window is
 longer than a passage by the words between windows, so a verbatim copy always reaches 1 in some
-window.  A window whose benchmark words carry too little weight for any passage cannot reach the
-threshold and is not projected.  Candidates are checked on words: the longest common
-subsequence of the item and the text around the window, and for middling shares (paraphrases) that
-of the item's answer, which is its last sentence.
+window.  The products of all windows with all passages are first bounded together, by sums over steps of
+words (a repeated word counted again); only windows that can reach the threshold are projected.
+Candidates are checked on words: the longest common subsequence of the item and the text around the
+window, and for middling shares (paraphrases) that of the item's answer, which is its last sentence.
 
 The SVD is of the benchmark's passages, not of the documents': a few hundred directions of a large
 corpus are its function words, and the rare words by which passages are told apart would be lost.
@@ -38,6 +38,8 @@ from quillspark.llm.shared import arrow_map, gather, word_hashes
 
 #: Words of a passage, words of a window and words between window starts.
 PASSAGE, WINDOW, STRIDE = 48, 64, 16
+#: Windows that are bounded together.
+WINDOWS = 1024
 #: Terms whose sums travel together.
 TERMS = 256
 #: ASCII punctuation and control signs to spaces; words are what lies between.
@@ -186,6 +188,22 @@ def latent_space(passages: DataFrame, weights: np.ndarray, rank: int, seed: int
     return (q @ vectors[:, order[values[order] > 1e-9]]).astype(np.float32)
 
 
+def windows_bound(number: np.ndarray, products: np.ndarray) -> np.ndarray:
+    """(windows, passages): at least the product of each window's vector and each passage's.  ``products`` has a
+    term's with the passages as rows, and zeros at the end, for the number -1.  None is below zero, but for
+    rounding: the model holds the passages whole."""
+    n = len(number)
+    steps = np.full(-(-n // STRIDE) * STRIDE, -1, np.int64)
+    steps[:n] = number
+    steps = steps.reshape(-1, STRIDE)
+    sums = np.zeros((len(steps) + WINDOW // STRIDE - 1, products.shape[1]), np.float32)
+    for at in range(0, len(steps), 64):
+        part = steps[at : at + 64]
+        sums[at : at + len(part)] = products[part].sum(axis=1)
+    count = len(range(0, max(1, n - WINDOW + STRIDE), STRIDE))
+    return sum(sums[i : i + count] for i in range(WINDOW // STRIDE))
+
+
 def _search(docs: DataFrame, items: list[tuple], passages: DataFrame, terms: np.ndarray, rank: int, cosine: float, share: float, paraphrase: float, answer: float, id_col: str, text_col: str, schema: str) -> DataFrame:
     spark = docs.sparkSession
     seen, total = document_frequencies(docs, terms, text_col)
@@ -205,7 +223,7 @@ def _search(docs: DataFrame, items: list[tuple], passages: DataFrame, terms: np.
                 vectors.append(z / max(np.linalg.norm(weights[t]), 1e-12))
                 norms.append(np.linalg.norm(weights[t]))
         owner, vectors, norms = np.array(owner), np.array(vectors, np.float32), np.array(norms)
-        lightest = norms.min() ** 2
+        products = np.vstack([(weights[:, None] * space) @ vectors.T, np.zeros((1, len(vectors)), np.float32)])
         # Words that no item has (the number -1) weigh as much as a word found nowhere.
         square = np.append(weights**2, unseen**2)
         for r, raw, number in lookup.batches(rows):
@@ -214,11 +232,16 @@ def _search(docs: DataFrame, items: list[tuple], passages: DataFrame, terms: np.
                 continue
             weight = square[number]
             all_ = np.concatenate([[0.0], np.cumsum(weight)])
-            own = np.concatenate([[0.0], np.cumsum(np.where(number >= 0, weight, 0))])
             starts = np.arange(0, max(1, n - WINDOW + STRIDE), STRIDE)
             ends = np.minimum(starts + WINDOW, n)
             norm = all_[ends] - all_[starts]
-            which = np.nonzero(own[ends] - own[starts] >= 0.99 * cosine**2 * np.clip(norm, 1e-9, lightest))[0]
+            which = []
+            for at in range(0, len(starts), WINDOWS):  # a long text's windows, some at a time
+                some = slice(at, at + WINDOWS)
+                least = 0.98 * cosine * np.minimum(norms, np.sqrt(np.maximum(norm[some], 0))[:, None])
+                bound = windows_bound(number[starts[at] : ends[some][-1]], products)
+                which.append(at + np.flatnonzero((bound >= least).any(axis=1)))
+            which = np.concatenate(which)
             if not len(which):
                 continue
             spans: dict[int, list] = defaultdict(list)
