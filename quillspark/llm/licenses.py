@@ -1,8 +1,8 @@
 """Licence scan of paragraphs, in DataFrame functions only.
 
-A paragraph is a line of a text.  A multinomial logistic regression over word 1- to 3-grams (sparse:
-most weights are driven to zero) tells licence families and an ``unknown`` class apart.  It scores every
-paragraph.  It is fitted on variants of the families' templates (words left out, text of the corpus
+A paragraph is a line of a text.  A multinomial logistic regression over the word 1- to 3-grams of
+``LEAST_ROWS`` training rows or more (sparse: most weights are driven to zero) tells licence families and
+an ``unknown`` class apart.  It scores every paragraph.  It is fitted on variants of the families' templates (words left out, text of the corpus
 before and after) and, as unknown, on ``sample`` distinct whole paragraphs of the corpus, the least by
 hash, without those that have much of a template's 3-grams.  A held-out fifth of these sets the probability
 from which a family is believed, so that at most ``false_share`` of the unknown paragraphs pass.  A
@@ -26,7 +26,7 @@ import re
 from collections import Counter
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,7 +61,9 @@ TEMPLATES = [
     ("proprietary", "all rights reserved no part of this work may be reproduced without permission"),
 ]
 UNKNOWN = "unknown"
-FEATURES = 1 << 16
+#: A gram is a feature if so many training rows have it; each of a template's is in some thirty.  The driver
+#: holds some thirty numbers for each feature and family while it fits.
+LEAST_ROWS = 8
 
 
 def tokens(text: Column) -> Column:
@@ -101,19 +103,21 @@ def anchors(similarity: float) -> list[str]:
 LONGEST = max(len(_plain(t)) for _, t in TEMPLATES)
 
 
-def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, paragraph, text, next): the lines, and what of the lines after one, up to a blank line, a notice
-    that starts in it can reach."""
+def paragraphs(docs: DataFrame, id_col: str, text_col: str, pattern: str) -> DataFrame:
+    """(id, paragraph, text, anchor, next): the lines, whether ``pattern`` is in one, and, where it is in that or
+    the lines that follow, what of those, up to a blank line, a notice that starts in it can reach."""
     # A notice's later words lie in as many lines at most; a blank one ends it.
     heads = F.transform(F.split(text_col, "\n"), lambda t: F.when(F.trim(t) == "", "\n").otherwise(F.substring_index(F.trim(t), " ", LONGEST)))
+    found = F.transform(F.split(text_col, "\n"), lambda t: t.rlike(pattern))
 
-    def lines(h: Column) -> Column:
-        after = lambda i: F.substring_index(F.array_join(F.slice(h, i + 2, LONGEST), " "), "\n", 1)
-        return F.transform(F.split(text_col, "\n"), lambda t, i: F.struct(t.alias("text"), after(i).alias("next")))
+    def lines(b: Column) -> Column:
+        after = lambda i: F.substring_index(F.array_join(F.slice(b["heads"], i + 2, LONGEST), " "), "\n", 1)
+        near = lambda i: F.array_contains(F.slice(b["found"], i + 1, LONGEST + 1), True)
+        return F.transform(F.split(text_col, "\n"), lambda t, i: F.struct(t.alias("text"), F.get(b["found"], i).alias("anchor"), F.when(near(i), after(i)).alias("next")))
 
-    both = F.transform(F.array(heads), lines)[0]
+    both = F.transform(F.array(F.struct(heads.alias("heads"), found.alias("found"))), lines)[0]
     rows = docs.select(F.col(id_col).alias("id"), F.posexplode(both).alias("paragraph", "t"))
-    return rows.select("id", "paragraph", "t.text", "t.next")
+    return rows.select("id", "paragraph", "t.text", "t.anchor", "t.next")
 
 
 def template_shares(grams: Column) -> list[tuple[str, Column]]:
@@ -172,18 +176,19 @@ class LicenceModel:
     def __init__(self, spark: SparkSession, plain: DataFrame, variants: int, false_share: float):
         families = [UNKNOWN, *dict.fromkeys(f for f, _ in TEMPLATES)]
         self.families = families
-        self.hashing = HashingTF(numFeatures=FEATURES, binary=True, inputCol="grams", outputCol="features")
         label = F.array_position(F.array(*map(F.lit, families)), F.col("family")) - 1
         rows = cut(training_set(spark, plain, variants).select(label.cast("double").alias("label"), grams(F.col("words")).alias("grams"), "held_out"), "licence-training")
         fit = LogisticRegression(maxIter=40, regParam=2e-4, elasticNetParam=0.9, family="multinomial")
-        self.model = fit.fit(self.hashing.transform(rows.where("NOT held_out")))
+        train = rows.where("NOT held_out")
+        self.features = CountVectorizer(minDF=LEAST_ROWS, binary=True, inputCol="grams", outputCol="features").fit(train)
+        self.model = fit.fit(self.features.transform(train))
         held = self.predict(rows.where("held_out AND label = 0"))
         # The unknown paragraphs' highest family probabilities; at most false_share lie above.
         self.least = held.agg(F.coalesce(F.percentile(F.col("family_probability"), 1 - false_share), F.lit(0.5))).first()[0]
 
     def predict(self, rows: DataFrame) -> DataFrame:
         """Adds the likeliest family and its probability, the unknown class left aside."""
-        scored = self.model.transform(self.hashing.transform(rows)).withColumn("p", F.slice(vector_to_array("probability"), 2, len(self.families) - 1))
+        scored = self.model.transform(self.features.transform(rows)).withColumn("p", F.slice(vector_to_array("probability"), 2, len(self.families) - 1))
         best = F.array_max("p")
         return scored.withColumn("family_probability", best).withColumn(
             "family", F.element_at(F.array(*map(F.lit, self.families[1:])), F.array_position("p", best).cast("int")))
@@ -195,14 +200,13 @@ def scan(docs: DataFrame, similarity: float = 0.6, sample: int = 4000, variants:
     spark = docs.sparkSession
     found = anchors(similarity)
     pattern = rf"(?i)(?<!\p{{L}})(?:{'|'.join(map(re.escape, found))})(?!\p{{L}})"
-    parts = paragraphs(docs, id_col, text_col)
-    hashed = parts.select("text", F.xxhash64("text").alias("h")).where(F.col("text").rlike(r"[\p{L}0-9]"))
+    hashed = docs.select(F.explode(F.split(text_col, "\n")).alias("text")).select("text", F.xxhash64("text").alias("h")).where(F.col("text").rlike(r"[\p{L}0-9]"))
     least = cut(hashed.select("h").distinct().orderBy("h").limit(sample), "licence-hashes")
     taken = hashed.join(F.broadcast(least), "h", "left_semi").dropDuplicates(["h"])
     plain = taken.select(tokens(F.col("text")).alias("words")).where(nearest_template(F.col("words")) < similarity / 2)
     model = LicenceModel(spark, cut(plain, "licence-sample"), variants, false_share)
-    near = F.concat_ws(" ", "text", "next").rlike(pattern)
-    rows = parts.select("id", "paragraph", tokens(F.col("text")).alias("words"), F.when(near, F.slice(tokens(F.col("next")), 1, LONGEST - 1)).alias("after"), F.col("text").rlike(pattern).alias("anchor"))
+    parts = paragraphs(docs, id_col, text_col, pattern)
+    rows = parts.select("id", "paragraph", "anchor", tokens(F.col("text")).alias("words"), F.slice(tokens(F.col("next")), 1, LONGEST - 1).alias("after"))
     spans = F.when(F.col("after").isNotNull(), wrapped(F.col("words"), F.col("after"), similarity)).otherwise(F.array().cast("array<array<string>>"))
     rows = rows.select("id", "paragraph", "anchor", F.explode(F.concat(F.array("words"), spans)).alias("words")).where(F.size("words") > 0)
     rows = rows.select("id", "paragraph", "anchor", grams(F.col("words")).alias("grams"))

@@ -252,3 +252,18 @@ def test_plain_paragraphs_with_anchor_words_are_seldom_believed(spark):
     rows = [(i, " ".join(rng.choice(kinds + ["stone", "river"]) for _ in range(rng.randrange(8, 300)))) for i in range(600)]
     got = scan(documents(spark, rows), sample=300).collect()
     assert sum(r.family != "unknown" for r in got) <= 12
+
+
+def test_the_licence_model_has_no_slots_that_training_does_not_fill(spark):
+    from quillspark.llm.licenses import LicenceModel
+
+    rng = random.Random(11)
+    plain = [([rng.choice(["stone", "river", "blue", f"own{i}"]) for _ in range(40)],) for i in range(100)]
+    model = LicenceModel(spark, spark.createDataFrame(plain, "words array<string>"), 60, 0.002)
+    vocabulary = set(model.features.vocabulary)
+    # The driver's vectors have a place for each feature and family: none for grams of a few rows.
+    assert model.model.numFeatures == len(vocabulary) < 5000
+    for _, t in TEMPLATES:
+        w = _plain(t)
+        assert {" ".join(w[i : i + 3]) for i in range(len(w) - 2)} | set(w) <= vocabulary
+    assert {"stone river blue", "stone"} <= vocabulary and "own7" not in vocabulary
