@@ -5,7 +5,7 @@ its smallest id goes on.  Signatures come from SuperMinHash: each element visits
 order of its own (a Fisher-Yates walk), the value of a slot is the smallest rank plus fraction over
 all elements, and the walk stops once no later rank can lower a slot.  Bands of the signature are
 buckets.  In each bucket all members are compared with two hubs; after the groups of these links are
-known, only pairs of members that lie in different groups are left (``components.bucket_links``).  So
+known, only pairs of members that lie in different groups are left (``components.bucket_groups``).  So
 a bucket of one large group costs two comparisons a member.  The pairs left are compared where the
 bucket lies, in blocks of its members, and never become rows: many texts that share a long passage
 but are no duplicates make very many of them.  Of these pairs, those go unchecked whose sizes cannot
@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.components import bucket_links, components
+from quillspark.llm.components import bucket_groups
 from quillspark.llm.shared import arrow_map, cut, mix, word_hashes
 
 U = np.uint64
@@ -225,8 +225,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, slots: i
         return lambda pairs: confirm(prepared["sets"], pairs, percent)
 
     traits = chosen.dropDuplicates(["node"]).select("node", "n", "sketch", "bands")
-    links = bucket_links(buckets, prepare, settle=lambda m: settle_in_blocks(m, traits, prepared["sets"], percent, slots))
-    groups = classes.join(components(links), "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component"))
+    found = bucket_groups(buckets, prepare, settle=lambda m: settle_in_blocks(m, traits, prepared["sets"], percent, slots))
+    groups = classes.join(found, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component"))
     found = full.join(groups, ["k1", "k2"]).select("id", "n", "component")
     alone = sigs.where("n = 0").select("id", "n", F.col("id").alias("component"))
     return found.unionByName(alone).select(
